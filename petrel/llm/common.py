@@ -97,10 +97,19 @@ class Words:
         up, down = _BYTES.get(n + 1)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self._sums, self._down = sums, down
+        self.hash = self._of(self.start, self.end)
         self.doc = np.searchsorted(bounds, self.start, side="right") - 1
         self.first = np.searchsorted(self.start, bounds, side="left")  # words first[d]:first[d+1] are row d's
 
+    def _of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self._sums[end] - self._sums[start]) * self._down[start])
+
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word, hash) of the first n bytes of each word that has more."""
+        at = np.flatnonzero(self.end - self.start > n)
+        return at, mix(self._of(self.start[at], self.start[at] + n) ^ np.uint64(n))
+
     def windows(self, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(start word, hash) of each window of n consecutive words of one text."""
         m = len(self.hash)

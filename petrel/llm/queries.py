@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from petrel.llm.bpe import op8_byte_bpe
 from petrel.llm.pii import op9_pii
+from petrel.llm.quality import op4_quality_rules
 from petrel.llm.secrets import op5_secret_scan
+from petrel.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan, op8_byte_bpe, op9_pii)}
+QUERIES = {f.__name__: f for f in (op4_quality_rules, op5_secret_scan, op8_byte_bpe, op9_pii, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
