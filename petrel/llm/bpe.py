@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -123,16 +124,21 @@ class Codec:
 _CUT = regex.compile(r"[\p{L}\p{N}](?=\s)")
 
 
-def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
-    """(id, ids array<int>) of each whole text; one row for each input row."""
+def encode_texts(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
+    """``keep`` columns, n_tokens and ids array<int> of each whole text; one row for each input row."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         codec = Codec.get(path, pattern)
-        ids = [codec.encode(x or "", leaf, window) for x in b.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
+        # numbers, not Python lists of them, wait for the batch's end
+        ids = [np.array(codec.encode(x.as_py() or "", leaf, window), dtype=np.int32) for x in b.column(len(keep))]
+        size = np.array([len(x) for x in ids], dtype=np.int64)
+        bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+        return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(size), lists], [*keep, "n_tokens", "ids"])
 
-    src = docs.select(id_col, docs[text_col].cast("string").alias("text"))
-    return mapped(src, run, f"{id_col} {dict(src.dtypes)[id_col]}, ids array<int>")
+    src = docs.select(*keep, docs[text_col].cast("string").alias("text__"))
+    kinds = dict(src.dtypes)
+    return mapped(src, run, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", n_tokens long, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids", leaf: int = LEAF) -> DataFrame:

@@ -6,6 +6,7 @@ from petrel.llm.bpe import op8_byte_bpe
 from petrel.llm.chat import op3_chat_format
 from petrel.llm import decontaminate
 from petrel.llm.decontaminate import op7_benchmark_decontamination
+from petrel.llm.jaccard import op6_jaccard_join
 from petrel.llm.licenses import op1_license_scan
 from petrel.llm.pii import op9_pii
 from petrel.llm.quality import op4_quality_rules
@@ -13,6 +14,6 @@ from petrel.llm.secrets import op5_secret_scan
 from petrel.llm.substrings import op2_substring_dedup
 from petrel.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_chat_format, op4_quality_rules, op5_secret_scan, op7_benchmark_decontamination, op8_byte_bpe, op9_pii, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_chat_format, op4_quality_rules, op5_secret_scan, op6_jaccard_join, op7_benchmark_decontamination, op8_byte_bpe, op9_pii, op10_toxicity)}
 
 ORACLES: dict[str, str] = {"op7_benchmark_decontamination": decontaminate.ORACLE}
