@@ -99,12 +99,13 @@ def branches(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     scored = top.join(root, F.col("at") == F.col("rid")).select("tree", "leaf", "depth", (F.col("gain") + F.col("rscore")).alias("path_score"))
     ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.col("path_score").desc(), "leaf")))
     chosen = checkpointed(ranked if keep is None else ranked.where(F.col("rank") <= keep))
-    # every offset up to the depth is a sum of powers: each table doubles the members of the paths
-    members = chosen.select("leaf", F.col("leaf").alias("at"), F.lit(0).alias("off"))
+    # every offset up to the depth is a sum of powers: each table adds, beside a member, the one so far above it
+    members = chosen.select("leaf", F.struct(F.col("leaf").alias("at"), F.lit(0).alias("off")).alias("m"))
     for k, table_k in reversed(list(enumerate(jumps))):
         j = table_k.select(F.col("id").alias("jid"), "up")
-        higher = members.join(j, F.col("at") == F.col("jid")).select("leaf", F.col("up").alias("at"), (F.col("off") + 2**k).alias("off"))
-        members = members.union(higher)
+        above = F.when(F.col("up").isNotNull(), F.struct(F.col("up").alias("at"), (F.col("m.off") + 2**k).alias("off")))
+        members = members.join(j, F.col("m.at") == F.col("jid"), "left").select("leaf", F.explode(F.array_compact(F.array("m", above))).alias("m"))
+    members = members.select("leaf", "m.at", "m.off")
     texts = nodes.select(F.col("id").alias("nid"), "role", "text")
     filled = members.join(texts, F.col("at") == F.col("nid")).groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct((-F.col("off")).alias("depth"), "role", "text"))).alias("turns"))
     return chosen.select("leaf", "tree", "rank", "path_score").join(filled, "leaf")
