@@ -1 +1 @@
-"""functions."""
+"""Column expressions: all stay inside Catalyst."""

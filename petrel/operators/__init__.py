@@ -1 +1 @@
-"""operators."""
+"""DataFrame operators of the gene-network engine."""

@@ -1,19 +1,508 @@
-"""Every registered query and its SQL."""
+"""The registered queries of the engine's operators, each with the SQL that checks it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from petrel.functions import columns as C
+from petrel.operators import enrich, graph, louvain, mapping, report, score
+from petrel.plans.fixtures import THRESHOLD, Tables, with_tables
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable]:
+    """Register a function of the fixture tables under its name."""
+
+    def add(f: Callable[[Tables], DataFrame]) -> Callable:
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _r(c: str, digits: int = 9) -> Column:
+    return F.round(F.col(c), digits).alias(c)
+
+
+# ---------------------------------------------------------------- graph
+
+LEVELS = 9
+
+
+def _path_tables() -> dict:
+    """Breadth-first levels as SQL; the last one must be empty, which shortest_paths_complete checks."""
+    more = {"v0": ("SELECT id AS s, id AS t, 0 AS d, 1.0::DOUBLE AS sigma FROM vertices", ["vertices", "ends"]), "a0": ("SELECT * FROM v0", ["v0"])}
+    for k in range(1, LEVELS + 1):
+        more[f"v{k}"] = (f"SELECT f.s, e.other AS t, {k} AS d, sum(f.sigma) AS sigma FROM v{k - 1} f JOIN ends e ON f.t = e.id WHERE NOT EXISTS (SELECT 1 FROM a{k - 1} x WHERE x.s = f.s AND x.t = e.other) GROUP BY 1, 2", [f"v{k - 1}", f"a{k - 1}"])
+        more[f"a{k}"] = (f"SELECT * FROM a{k - 1} UNION ALL SELECT * FROM v{k}", [f"a{k - 1}", f"v{k}"])
+    more["sp"] = (f"SELECT * FROM a{LEVELS}", [f"a{LEVELS}"])
+    more["tri"] = ("SELECT a.src AS x, a.dst AS y, b.dst AS z FROM edges a JOIN edges b ON a.dst = b.src JOIN edges c ON c.src = a.src AND c.dst = b.dst", ["edges"])
+    more["comp"] = ("SELECT s AS id, min(t) AS component FROM sp GROUP BY 1", ["sp"])
+    more["lcc"] = ("SELECT component FROM comp GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1", ["comp"])
+    more["clus"] = ("SELECT d.id, degree, count(t.v) AS triangles, CASE WHEN degree < 2 THEN 0.0 ELSE 2.0 * count(t.v) / (degree * (degree - 1)) END AS local_clustering FROM degrees d LEFT JOIN (SELECT unnest([x, y, z]) AS v FROM tri) t ON d.id = t.v GROUP BY d.id, degree", ["degrees", "tri"])
+    return more
+
+
+_MORE = _path_tables()
+
+
+def _sql(q: str, *names: str) -> str:
+    return with_tables(q, *names, more=_MORE)
+
+
+@query(_sql(f"SELECT src, dst, score FROM links WHERE score >= {THRESHOLD}", "links"))
+def scan_links_threshold(t: Tables) -> DataFrame:
+    return graph.thresholded(t.links(), THRESHOLD)
+
+
+@query("SELECT DISTINCT least(l_suppkey, l_partkey) AS src, greatest(l_suppkey, l_partkey) AS dst FROM lineitem WHERE l_suppkey <> l_partkey")
+def simplify_edges(t: Tables) -> DataFrame:
+    return graph.simplified(t.read("lineitem"), "l_suppkey", "l_partkey")
+
+
+@query(_sql(f"SELECT DISTINCT id FROM (SELECT src AS id FROM links WHERE score >= {THRESHOLD} UNION ALL SELECT dst FROM links WHERE score >= {THRESHOLD}) JOIN supplier ON s_suppkey = id WHERE s_nationkey < 15", "links"))
+def induced_vertices(t: Tables) -> DataFrame:
+    ids = t.read("supplier").where("s_nationkey < 15").select(F.col("s_suppkey").alias("id"))
+    return graph.induced(t.links(), ids, THRESHOLD)[0]
+
+
+@query(_sql("SELECT src, dst FROM edges JOIN supplier a ON a.s_suppkey = src AND a.s_nationkey < 15 JOIN supplier b ON b.s_suppkey = dst AND b.s_nationkey < 15", "edges"))
+def induced_edges(t: Tables) -> DataFrame:
+    ids = t.read("supplier").where("s_nationkey < 15").select(F.col("s_suppkey").alias("id"))
+    return graph.induced(t.links(), ids, THRESHOLD)[1]
+
+
+@query(_sql("SELECT id, degree FROM degrees", "degrees"))
+def degree(t: Tables) -> DataFrame:
+    return graph.degrees(t.vertices(), t.edges())
+
+
+@query(_sql("SELECT degree, count(*) AS n, log10(degree) AS log_degree, log10(count(*)) AS log_n FROM degrees WHERE degree > 0 GROUP BY 1", "degrees"))
+def degree_histogram(t: Tables) -> DataFrame:
+    return graph.degree_histogram(graph.degrees(t.vertices(), t.edges()))
+
+
+@query(_sql("SELECT id, component FROM comp", "comp"))
+def connected_components(t: Tables) -> DataFrame:
+    return graph.components(t.vertices(), t.edges())
+
+
+@query(_sql("SELECT id, component, component = (SELECT component FROM lcc) AS in_largest_component FROM comp", "comp", "lcc"))
+def largest_component(t: Tables) -> DataFrame:
+    return graph.largest_component(graph.components(t.vertices(), t.edges()))
+
+
+@query(_sql("SELECT s, t, d, sigma FROM sp", "sp"))
+def shortest_paths(t: Tables) -> DataFrame:
+    return graph.shortest_paths(t.vertices(), t.edges())
+
+
+@query(_sql(f"SELECT count(*) AS beyond FROM v{LEVELS}", f"v{LEVELS}"))
+def shortest_paths_complete(t: Tables) -> DataFrame:
+    return graph.shortest_paths(t.vertices(), t.edges()).where(F.col("d") >= LEVELS).agg(F.count(F.lit(1)).alias("beyond"))
+
+
+_BETWEEN = "SELECT v.id, {x} AS {n} FROM vertices v LEFT JOIN (SELECT a.t AS v, sum(a.sigma * b.sigma / p.sigma) AS b, sum(a.sigma * b.sigma) AS st FROM sp p JOIN sp a ON a.s = p.s JOIN sp b ON b.t = p.t AND b.s = a.t WHERE p.s < p.t AND a.d + b.d = p.d AND a.d > 0 AND b.d > 0 GROUP BY 1) x ON v.id = x.v"
+
+
+@query(_sql(_BETWEEN.format(x="round(coalesce(b, 0) / ((SELECT count(*) FROM vertices) - 1) / ((SELECT count(*) FROM vertices) - 2) * 2, 9)", n="betweenness"), "sp"))
+def betweenness(t: Tables) -> DataFrame:
+    v, e = t.vertices(), t.edges()
+    out = graph.centrality(v, e, graph.shortest_paths(v, e))
+    return graph.normalised_betweenness(out, v.count()).select("id", _r("betweenness"))
+
+
+@query(_sql(_BETWEEN.format(x="coalesce(st, 0)", n="stress"), "sp"))
+def stress(t: Tables) -> DataFrame:
+    v, e = t.vertices(), t.edges()
+    return graph.centrality(v, e, graph.shortest_paths(v, e)).select("id", "stress")
+
+
+@query(_sql("SELECT v.id, round(c, 9) AS closeness FROM vertices v LEFT JOIN (SELECT s, count(*) / sum(d) AS c FROM sp WHERE d > 0 GROUP BY 1) ON s = v.id", "sp"))
+def closeness(t: Tables) -> DataFrame:
+    v, e = t.vertices(), t.edges()
+    return graph.distances(v, graph.shortest_paths(v, e), v.count()).select("id", _r("closeness"))
+
+
+@query(_sql("SELECT v.id, round(coalesce(h, 0) / ((SELECT count(*) FROM vertices) - 1), 9) AS harmonic_closeness, coalesce(e, 0) AS eccentricity FROM vertices v LEFT JOIN (SELECT s, sum(1.0 / d) AS h, max(d) AS e FROM sp WHERE d > 0 GROUP BY 1) ON s = v.id", "sp"))
+def harmonic(t: Tables) -> DataFrame:
+    v, e = t.vertices(), t.edges()
+    return graph.distances(v, graph.shortest_paths(v, e), v.count()).select("id", _r("harmonic_closeness"), "eccentricity")
+
+
+@query(_sql("SELECT id, degree, triangles, round(local_clustering, 9) AS local_clustering FROM clus", "clus"))
+def local_clustering(t: Tables) -> DataFrame:
+    d = graph.degrees(t.vertices(), t.edges())
+    return graph.clustering(d, graph.triangles(t.edges(), d)).select("id", "degree", "triangles", _r("local_clustering"))
+
+
+@query(_sql("SELECT CAST(sum(triangles) // 3 AS BIGINT) AS triangles, CAST(sum(degree * (degree - 1) // 2) AS BIGINT) AS triples, round(CASE WHEN sum(degree * (degree - 1) // 2) > 0 THEN sum(triangles) / sum(degree * (degree - 1) // 2) END, 9) AS transitivity FROM clus", "clus"))
+def global_transitivity(t: Tables) -> DataFrame:
+    d = graph.degrees(t.vertices(), t.edges())
+    return graph.transitivity(graph.clustering(d, graph.triangles(t.edges(), d))).select("triangles", "triples", _r("transitivity"))
+
+
+_LCC = "SELECT count(DISTINCT s) AS vertices, round(sum(d) / nullif(count(*) FILTER (d > 0), 0), 9) AS mean_distance, max(e) AS diameter, min(e) AS radius FROM (SELECT s, d, max(d) OVER (PARTITION BY s) AS e FROM sp JOIN comp ON s = id WHERE component = (SELECT component FROM lcc))"
+
+
+@query(_sql(_LCC, "sp", "comp", "lcc"))
+def lcc_distance_summary(t: Tables) -> DataFrame:
+    v, e = t.vertices(), t.edges()
+    member = graph.largest_component(graph.components(v, e))
+    return graph.distance_summary(member, graph.shortest_paths(v, e)).select("vertices", _r("mean_distance"), "diameter", "radius")
+
+
+_PARTS = "SELECT count(*) AS communities, round(sum(coalesce(i, 0) / m - (coalesce(e, 0) / (2 * m)) ** 2), 9) AS modularity FROM (SELECT DISTINCT s_nationkey AS c FROM supplier) LEFT JOIN (SELECT a.s_nationkey AS c, count(*) AS i FROM edges JOIN supplier a ON a.s_suppkey = src JOIN supplier b ON b.s_suppkey = dst WHERE a.s_nationkey = b.s_nationkey GROUP BY 1) USING (c) LEFT JOIN (SELECT s_nationkey AS c, count(*) AS e FROM ends JOIN supplier ON s_suppkey = id GROUP BY 1) USING (c) CROSS JOIN (SELECT count(*)::DOUBLE AS m FROM edges)"
+
+
+def _nations(t: Tables) -> DataFrame:
+    return t.read("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("community"))
+
+
+@query(_sql(_PARTS, "ends"))
+def modularity_given_partition(t: Tables) -> DataFrame:
+    return graph.modularity(t.edges(), _nations(t)).select("communities", _r("modularity"))
+
+
+@query(
+    _sql(
+        f"""SELECT unnest(['nodes', 'edges', 'components', 'largest_component_nodes', 'largest_component_fraction', 'density', 'average_degree', 'global_clustering', 'average_shortest_path_lcc', 'diameter_lcc', 'radius_lcc', 'louvain_communities', 'louvain_modularity', 'string_score_threshold']) AS metric,
+        unnest([n, m, c, l, round_even(l / n, 4), round(2 * m / (n * (n - 1)), 9), round(2 * m / n, 9), round(gt, 9), md, di, ra, co, mo, {float(THRESHOLD)}]) AS value
+        FROM (SELECT count(*)::DOUBLE AS n FROM vertices), (SELECT count(*)::DOUBLE AS m FROM edges), (SELECT count(DISTINCT component)::DOUBLE AS c, max(k)::DOUBLE AS l FROM (SELECT component, count(*) AS k FROM comp GROUP BY 1)),
+        (SELECT sum(triangles) / nullif(sum(degree * (degree - 1) // 2), 0) AS gt FROM clus), (SELECT mean_distance AS md, diameter::DOUBLE AS di, radius::DOUBLE AS ra FROM ({_LCC})), (SELECT communities::DOUBLE AS co, modularity AS mo FROM ({_PARTS}))""",
+        "sp", "comp", "lcc", "clus", "ends",
+    )
+)
+def graph_summary(t: Tables) -> DataFrame:
+    v, e = t.vertices(), t.edges()
+    member = graph.largest_component(graph.components(v, e))
+    d = graph.degrees(v, e)
+    clustered = graph.clustering(d, graph.triangles(e, d))
+    out = graph.graph_summary(v, e, member, clustered, graph.distance_summary(member, graph.shortest_paths(v, e)), graph.modularity(e, _nations(t)), THRESHOLD)
+    return out.select("metric", _r("value"))
+
+
+@query()
+def louvain_modules(t: Tables) -> DataFrame:
+    return louvain.louvain(t.vertices(), t.edges())
+
+
+@query(_sql("SELECT id, degree FROM degrees ORDER BY degree DESC, id LIMIT 30", "degrees"))
+def top_by_degree(t: Tables) -> DataFrame:
+    return graph.degrees(t.vertices(), t.edges()).orderBy(F.desc("degree"), "id").limit(30)
+
+
+# ---------------------------------------------------------------- input and symbols
+
+
+@query("SELECT p_partkey, regexp_replace(lower(p_name || ' (' || p_brand || ')'), '[^a-z0-9]+', '', 'g') AS cleaned FROM part")
+def clean_header_text(t: Tables) -> DataFrame:
+    return t.read("part").select("p_partkey", C.clean_name(F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")"))).alias("cleaned"))
+
+
+@query("SELECT p_partkey, TRY_CAST(replace(CASE WHEN p_partkey % 5 = 0 THEN 'n/a' ELSE ' ' || (p_partkey // 100) || ',' || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') END, ',', '.') AS DOUBLE) AS number FROM part")
+def as_number(t: Tables) -> DataFrame:
+    text = F.when(F.col("p_partkey") % 5 == 0, F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.expr("p_partkey div 100").cast("string"), F.lit(","), F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0")))
+    return t.read("part").select("p_partkey", C.as_number(text).alias("number"))
+
+
+@query("SELECT upper(p_name) AS gene, count(*) AS n, min(p_partkey) AS first_row, max(p_partkey) AS last_row FROM part GROUP BY 1 HAVING count(*) > 1")
+def duplicate_keys_ci(t: Tables) -> DataFrame:
+    return t.read("part").groupBy(F.upper("p_name").alias("gene")).agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first_row"), F.max("p_partkey").alias("last_row")).where("n > 1")
+
+
+def _case(classes: list[tuple[str, str]], text: str, otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({text}, '{p}') THEN '{n}'" for n, p in classes) + f" ELSE '{otherwise}' END"
+
+
+@query(_sql(f"SELECT id, symbol, {_case(C.SYMBOL_CLASSES, 'upper(symbol)', 'standard_gene_symbol')} AS class FROM genes", "genes"))
+def classify_symbol(t: Tables) -> DataFrame:
+    return t.genes().select("id", "symbol", C.symbol_class(F.col("symbol")).alias("class"))
+
+
+_ENTITY = _case(C.ENTITY_CLASSES, "upper(symbol)", C.CANONICAL)
+_ELIGIBLE = "CASE WHEN class = '" + C.CANONICAL + "' THEN 'review_ready_canonical' WHEN class IN (" + ", ".join(f"'{x}'" for x in C.NETWORK_ONLY) + ") THEN 'network_evidence_only' WHEN class IN (" + ", ".join(f"'{x}'" for x in C.EXCLUDED) + ") THEN 'excluded_from_automatic_priority' ELSE 'manual_review_required' END"
+
+
+@query(_sql(f"SELECT id, class, {_ELIGIBLE} AS eligibility FROM (SELECT id, {_ENTITY} AS class FROM genes)", "genes"))
+def classify_entity(t: Tables) -> DataFrame:
+    out = t.genes().select("id", C.entity_class(F.col("symbol")).alias("class"))
+    return out.withColumn("eligibility", C.eligibility(F.col("class")))
+
+
+# ---------------------------------------------------------------- mapping
+
+_MORE["names"] = ("SELECT upper(trim(name)) AS name, min(protein_id) AS protein_id FROM (SELECT protein_id, name FROM proteins UNION ALL SELECT protein_id, alias FROM aliases) WHERE trim(name) <> '' AND protein_id LIKE '9606.%' GROUP BY 1 HAVING count(DISTINCT protein_id) = 1", ["proteins", "aliases"])
+_MORE["mapped"] = ("SELECT g.*, n.protein_id FROM gene_rows g LEFT JOIN names n ON upper(trim(g.gene)) = n.name", ["gene_rows", "names"])
+_MORE["ranked"] = ("SELECT *, row_number() OVER (PARTITION BY protein_id ORDER BY pvalue, abs(logFC) DESC, input_row) AS choice, count(*) OVER (PARTITION BY protein_id) AS candidates FROM mapped WHERE protein_id LIKE '9606.%'", ["mapped"])
+
+
+def _names(t: Tables) -> DataFrame:
+    return mapping.unique_names(t.proteins(), t.aliases())
+
+
+def _mapped(t: Tables) -> DataFrame:
+    return mapping.mapped(t.gene_rows(), _names(t))
+
+
+@query(_sql("SELECT name, protein_id FROM names", "names"))
+def alias_unique_map(t: Tables) -> DataFrame:
+    return _names(t)
+
+
+@query(_sql("SELECT DISTINCT g.gene AS original_gene, m.protein_id, p.name AS corrected_gene FROM gene_rows g JOIN (SELECT upper(alias) AS k, min(protein_id) AS protein_id FROM aliases GROUP BY 1 HAVING count(DISTINCT protein_id) = 1) m ON upper(trim(g.gene)) = m.k JOIN proteins p ON p.protein_id = m.protein_id", "gene_rows", "aliases", "proteins"))
+def alias_correction(t: Tables) -> DataFrame:
+    return mapping.alias_corrections(t.gene_rows(), t.proteins(), t.aliases())
+
+
+@query(_sql("SELECT input_row, gene, logFC, pvalue, protein_id FROM ranked WHERE choice = 1", "ranked"))
+def collision_selected(t: Tables) -> DataFrame:
+    return mapping.resolved(_mapped(t))
+
+
+@query(_sql("SELECT input_row, gene, protein_id, candidates, choice = 1 AS selected FROM ranked WHERE candidates > 1", "ranked"))
+def collision_audit(t: Tables) -> DataFrame:
+    return mapping.collision_audit(_mapped(t)).select("input_row", "gene", "protein_id", "candidates", "selected")
+
+
+@query(_sql("SELECT count(*) FILTER (choice = 1 AND candidates > 1) AS proteins, count(*) FILTER (choice > 1) AS dropped FROM ranked", "ranked"))
+def collision_counts(t: Tables) -> DataFrame:
+    return mapping.collision_counts(_mapped(t))
+
+
+@query(_sql("SELECT count(*) AS total, count(protein_id) AS mapped, count(*) - count(protein_id) AS unmapped, round_even(100.0 * count(protein_id) / count(*), 1) AS percent FROM mapped", "mapped"))
+def mapping_counters(t: Tables) -> DataFrame:
+    return mapping.counters(_mapped(t))
+
+
+@query(_sql("SELECT DISTINCT gene FROM mapped WHERE protein_id IS NULL", "mapped"))
+def unmapped_genes(t: Tables) -> DataFrame:
+    return mapping.unmapped_genes(_mapped(t))
+
+
+@query(
+    _sql(
+        "SELECT DISTINCT gene AS input_gene, gene, 'unchanged_after_HGNChelper' AS hgnc_status, CASE WHEN protein_id IS NOT NULL THEN 'STRING_mapped_standard_protein' ELSE 'not_mapped_no_unique_STRING_protein_identifier' END AS symbol_category, "
+        "protein_id IS NOT NULL AS final_in_network, CASE WHEN protein_id IS NOT NULL THEN 'mapped_to_STRING' ELSE 'not_mapped_no_unique_STRING_protein_identifier' END AS gene_status FROM mapped WHERE NOT regexp_matches(upper(trim(gene)), 'P[0-9]+$') "
+        "UNION ALL SELECT DISTINCT gene, gene, 'unchanged_after_HGNChelper', CASE WHEN protein_id IS NOT NULL THEN 'STRING_mapped_standard_protein' ELSE 'not_mapped_pseudogene_like_symbol' END, protein_id IS NOT NULL, CASE WHEN protein_id IS NOT NULL THEN 'mapped_to_STRING' ELSE 'not_mapped_pseudogene_like_symbol' END FROM mapped WHERE regexp_matches(upper(trim(gene)), 'P[0-9]+$')",
+        "mapped",
+    )
+)
+def gene_status(t: Tables) -> DataFrame:
+    rows = _mapped(t)
+    fixes = t.spark.range(0).select(F.lit("").alias("original_gene"), F.lit("").alias("corrected_gene"))
+    return mapping.gene_status(rows.withColumn("input_gene", F.col("gene")), rows, fixes, rows).select("input_gene", "gene", "hgnc_status", "symbol_category", "final_in_network", "gene_status")
+
+
+@query(_sql("SELECT input_row, gene, protein_id, p.name AS preferred FROM mapped LEFT JOIN proteins p USING (protein_id)", "mapped", "proteins"))
+def first_match_lookup(t: Tables) -> DataFrame:
+    one = mapping.first_match(t.proteins().union(t.proteins()), ["protein_id"], ["name"])
+    return _mapped(t).join(one, "protein_id", "left").select("input_row", "gene", "protein_id", F.col("name").alias("preferred"))
+
+
+@query(_sql("SELECT name, url FROM (SELECT string_agg(protein_id, '%0d' ORDER BY a) AS ids FROM (SELECT protein_id, min(input_row) AS a FROM ranked GROUP BY 1 ORDER BY a LIMIT 300)), (VALUES ('current', 'https://string-db.org/cgi/network'), ('pinned_v12', 'https://version-12-0.stringdb.org/cgi/network')) h(name, host), LATERAL (SELECT host || '?identifiers=' || ids || '&species=9606&required_score=400&network_flavor=evidence' AS url)", "ranked"))
+def network_links(t: Tables) -> DataFrame:
+    return mapping.network_links(mapping.resolved(_mapped(t)).unionByName(mapping.resolved(_mapped(t))), 400)
+
+
+@query(_sql("SELECT 'a' AS side, id, degree, CAST(NULL AS VARCHAR) AS gene FROM degrees UNION ALL SELECT 'b', id, NULL, gene FROM genes", "degrees", "genes"))
+def bind_union_by_name(t: Tables) -> DataFrame:
+    a = graph.degrees(t.vertices(), t.edges()).withColumn("side", F.lit("a"))
+    return a.unionByName(t.genes().select(F.lit("b").alias("side"), "id", "gene"), allowMissingColumns=True)
+
+
+@query(_sql("SELECT input_row, protein_id IS NOT NULL AS is_mapped FROM mapped", "mapped"))
+def semi_join_flag(t: Tables) -> DataFrame:
+    hit = _names(t).select(F.col("name").alias("n"), F.lit(True).alias("hit"))
+    return t.gene_rows().join(hit, F.upper(C.trimmed(F.col("gene"))) == F.col("n"), "left").select("input_row", F.coalesce("hit", F.lit(False)).alias("is_mapped"))
+
+
+# ---------------------------------------------------------------- scores
+
+_MM = "CASE WHEN max({x}) OVER () = min({x}) OVER () THEN 1.0 ELSE ({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) END"
+_MORE["comps"] = ("SELECT *, " + ", ".join(f"{_MM.format(x=x)} AS {c}" for c, x in {"degree_component": "degree", "betweenness_component": "betweenness", "log_stress_component": "ln(1 + stress_centrality)", "abs_logFC_component": "abs_logFC", "statistical_component": "neg_log10_pvalue"}.items()) + " FROM nodes", ["nodes"])
+_MORE["scored"] = ("SELECT *, ((degree_component + betweenness_component + log_stress_component) / 3 + abs_logFC_component + statistical_component) / 3 AS candidate_score FROM comps", ["comps"])
+_RANK = "CAST(rank() OVER (ORDER BY {x} DESC) AS INTEGER)"
+_MORE["cand"] = (
+    "SELECT *, CAST(row_number() OVER (ORDER BY round(candidate_score, 9) DESC, degree DESC, betweenness DESC, gene, id) AS INTEGER) AS candidate_rank, "
+    + ", ".join(f"{_RANK.format(x=x)} AS {n}" for n, x in {"degree_rank": "degree", "betweenness_rank": "betweenness", "stress_rank": "stress_centrality", "abs_logFC_rank": "abs_logFC", "statistical_rank": "neg_log10_pvalue"}.items())
+    + f", {_ENTITY} AS class FROM scored",
+    ["scored"],
+)
+_MORE["candidates"] = (f"SELECT *, {_ELIGIBLE} AS eligibility FROM cand", ["cand"])
+
+
+def _scored(t: Tables) -> DataFrame:
+    return score.scored(t.nodes())
+
+
+def _candidates(t: Tables) -> DataFrame:
+    # equal scores must not differ in their last bits between engines
+    rows = score.ranked(_scored(t).withColumn("candidate_score", F.round("candidate_score", 9)))
+    return rows.withColumn("class", C.entity_class(F.col("symbol"))).withColumn("eligibility", C.eligibility(F.col("class")))
+
+
+@query(_sql("SELECT id, " + ", ".join(f"round({c}, 9) AS {c}" for c in score.COMPONENTS) + " FROM comps", "comps"))
+def minmax_components(t: Tables) -> DataFrame:
+    return _scored(t).select("id", *(_r(c) for c in score.COMPONENTS))
+
+
+@query(_sql("SELECT id, gene, round(candidate_score, 9) AS candidate_score FROM scored", "scored"))
+def candidate_score(t: Tables) -> DataFrame:
+    return _scored(t).select("id", "gene", _r("candidate_score"))
+
+
+@query(_sql("SELECT id, round(candidate_score, 9) AS score_reconstructed, true AS within_tolerance FROM scored", "scored"))
+def score_reconstruction(t: Tables) -> DataFrame:
+    return score.reconstructed(_scored(t)).select("id", _r("score_reconstructed"), (F.col("score_error") <= 1e-12).alias("within_tolerance"))
+
+
+@query(_sql("SELECT id, " + ", ".join(f"{n}" for n in ("candidate_rank", "degree_rank", "betweenness_rank", "stress_rank", "abs_logFC_rank", "statistical_rank")) + " FROM cand", "cand"))
+def candidate_ranks(t: Tables) -> DataFrame:
+    return _candidates(t).select("id", "candidate_rank", "degree_rank", "betweenness_rank", "stress_rank", "abs_logFC_rank", "statistical_rank")
+
+
+@query(_sql("SELECT id, x, CASE WHEN x IS NOT NULL THEN CAST(rank() OVER (ORDER BY x DESC NULLS LAST) AS INTEGER) END AS r FROM (SELECT id, CASE WHEN id % 3 > 0 THEN degree END AS x FROM degrees)", "degrees"))
+def rank_desc_nulls(t: Tables) -> DataFrame:
+    rows = graph.degrees(t.vertices(), t.edges()).select("id", F.when(F.col("id") % 3 > 0, F.col("degree")).alias("x"))
+    return rows.withColumn("r", C.rank_desc(F.col("x")))
+
+
+@query(_sql("SELECT id, CASE WHEN degree >= q[3] THEN 'very_high_top_10_percent' WHEN degree >= q[2] THEN 'high_top_25_percent' WHEN degree >= q[1] THEN 'medium_above_median' ELSE 'low_below_median' END AS degree_level FROM degrees, (SELECT quantile_cont(degree, [0.5, 0.75, 0.9]) AS q FROM degrees)", "degrees"))
+def evidence_levels(t: Tables) -> DataFrame:
+    return C.levels(graph.degrees(t.vertices(), t.edges()).withColumn("x", F.col("degree")), {"degree_level": F.col("x")}).select("id", "degree_level")
+
+
+@query(_sql("SELECT id, CASE WHEN candidate_rank <= 10 THEN 'priority_candidate_top10_by_composite_score' WHEN candidate_rank <= 30 THEN 'extended_candidate_topN_by_composite_score' WHEN least(degree_rank, betweenness_rank, stress_rank) <= 10 THEN 'topological_support_candidate' ELSE 'network_background_protein' END AS priority_class FROM cand", "cand"))
+def priority_classes(t: Tables) -> DataFrame:
+    return score.priority_class(_candidates(t)).select("id", "priority_class")
+
+
+@query(_sql("SELECT id, gene, candidate_rank FROM cand WHERE candidate_rank <= 30", "cand"))
+def top_candidates(t: Tables) -> DataFrame:
+    return _candidates(t).orderBy("candidate_rank").limit(30).select("id", "gene", "candidate_rank")
+
+
+@query(
+    _sql(
+        "SELECT module AS community, count(*) AS module_size, round(avg(logFC), 6) AS mean_logFC, round(quantile_cont(logFC, 0.5), 6) AS median_logFC, min(pvalue) AS min_pvalue, round(quantile_cont(pvalue, 0.5), 9) AS median_pvalue, "
+        "first(gene ORDER BY degree DESC, gene) AS top_by_degree, array_to_string(list_slice(list(gene ORDER BY degree DESC, gene), 1, 12), ';') AS top_genes_by_degree FROM nodes GROUP BY 1",
+        "nodes",
+    )
+)
+def module_summary_agg(t: Tables) -> DataFrame:
+    rows = t.nodes().withColumn("community", F.col("module")).withColumn("candidate_score", F.col("degree").cast("double")).withColumn("in_largest_component", F.lit(True))
+    return report.module_summary(rows).select("community", "module_size", _r("mean_logFC", 6), _r("median_logFC", 6), "min_pvalue", _r("median_pvalue"), F.col("top_candidate").alias("top_by_degree"), "top_genes_by_degree")
+
+
+# ---------------------------------------------------------------- enrichment
+
+_LC = "(lgamma({n} + 1) - lgamma({k} + 1) - lgamma({n} - ({k}) + 1))"
+_TAIL = f"list_sum(list_transform(range(greatest(x, draws + succ - pop), least(succ, draws) + 1), lambda i: exp({_LC.format(n='succ', k='i')} + {_LC.format(n='(pop - succ)', k='draws - i')} - {_LC.format(n='pop', k='draws')})))"
+_MORE["tmap"] = ("SELECT DISTINCT t.* FROM terms t JOIN background b ON t.id = b.id", ["terms", "background"])
+_MORE["drawn"] = ("SELECT DISTINCT q.query_name, q.id FROM term_queries q WHERE q.id IN (SELECT id FROM tmap)", ["term_queries", "tmap"])
+_MORE["tests"] = (
+    "SELECT d.query_name, d.draws, s.category, s.term, s.description, s.succ, (SELECT count(DISTINCT id) FROM tmap) AS pop, coalesce(h.x, 0) AS x "
+    "FROM (SELECT query_name, count(*) AS draws FROM drawn GROUP BY 1 HAVING count(*) >= 2) d CROSS JOIN (SELECT category, term, description, count(DISTINCT id) AS succ FROM tmap GROUP BY 1, 2, 3 HAVING succ BETWEEN 3 AND 500) s "
+    "LEFT JOIN (SELECT query_name, category, term, description, count(*) AS x FROM drawn JOIN tmap USING (id) GROUP BY 1, 2, 3, 4) h USING (query_name, category, term, description)",
+    ["drawn", "tmap"],
+)
+_MORE["tested"] = (f"SELECT *, CASE WHEN x <= draws + succ - pop THEN 1.0 ELSE least(1.0, {_TAIL}) END AS p FROM tests", ["tests"])
+_MORE["adjusted"] = (
+    "SELECT *, least(1.0, min(raw) OVER (PARTITION BY query_name ORDER BY p DESC, category, term, description ROWS UNBOUNDED PRECEDING)) AS fdr "
+    "FROM (SELECT *, p * count(*) OVER (PARTITION BY query_name) / (rank() OVER (PARTITION BY query_name ORDER BY p) + count(*) OVER (PARTITION BY query_name, p) - 1) AS raw FROM tested)",
+    ["tested"],
+)
+_MORE["enriched"] = ("SELECT * FROM adjusted WHERE x >= 2", ["adjusted"])
+_GEN = "(description IN (" + ", ".join(f"'{g}'" for g in enrich.GENERIC) + f") OR (regexp_matches(lower(description), '^(positive |negative )?regulation of |^response to ') AND NOT regexp_matches(lower(description), '{enrich.SPECIFIC}')))"
+_PREF = "[" + ", ".join(f"'{c}'" for c in enrich.PREFERRED) + "]"
+_SECOND = "(" + ", ".join(f"'{c}'" for c in enrich.SECONDARY) + ")"
+_MORE["prio"] = (
+    f"SELECT *, coalesce(nullif(list_position({_PREF}, category), 0), 99) AS cp, list_contains({_PREF}, category) AS pref, category IN {_SECOND} AS sec, {_GEN} AS gen, regexp_matches(lower(description), '{enrich.SPECIFIC}') AS spec, fdr <= 0.05 AS sig, "
+    f"list_contains({_PREF}, category) AND NOT {_GEN} AND regexp_matches(lower(description), '{enrich.SPECIFIC}') AS good FROM (SELECT * REPLACE (round(fdr, 8) AS fdr, round(p, 8) AS p) FROM enriched)",
+    ["enriched"],
+)
+
+
+def _enriched(t: Tables) -> DataFrame:
+    return enrich.enriched(t.terms(), t.term_queries(), t.background())
+
+
+def _rounded(t: Tables) -> DataFrame:
+    return _enriched(t).withColumns({"pvalue": F.round("pvalue", 8), "fdr": F.round("fdr", 8)})
+
+
+@query(_sql("SELECT query_name, category, term, description, x AS number_of_genes, succ AS number_of_genes_in_background, draws AS query_size, pop AS background_size, round(p, 8) AS pvalue, round(fdr, 8) AS fdr FROM enriched", "enriched"))
+def enrichment_by_query(t: Tables) -> DataFrame:
+    return _enriched(t).select("query_name", "category", "term", "description", "number_of_genes", "number_of_genes_in_background", "query_size", "background_size", _r("pvalue", 8), _r("fdr", 8))
+
+
+@query(_sql("SELECT query_name, category, term, string_agg(CAST(id AS VARCHAR), ';' ORDER BY id) AS protein_ids FROM drawn JOIN tmap USING (id) JOIN (SELECT query_name, category, term, description FROM enriched) USING (query_name, category, term, description) GROUP BY 1, 2, 3, description", "enriched", "drawn", "tmap"))
+def enrichment_members(t: Tables) -> DataFrame:
+    return _enriched(t).select("query_name", "category", "term", "protein_ids")
+
+
+@query(_sql("SELECT module, id, round(least(1.0, min(raw) OVER (PARTITION BY module ORDER BY pvalue DESC, id ROWS UNBOUNDED PRECEDING)), 9) AS adjusted FROM (SELECT module, id, pvalue, pvalue * count(*) OVER (PARTITION BY module) / (rank() OVER (PARTITION BY module ORDER BY pvalue) + count(*) OVER (PARTITION BY module, pvalue) - 1) AS raw FROM genes)", "genes"))
+def bh_adjust(t: Tables) -> DataFrame:
+    from petrel.functions.stats import benjamini_hochberg
+
+    return t.genes().select("module", "id", F.round(benjamini_hochberg(F.col("pvalue"), ["module"], [F.col("id")]), 9).alias("adjusted"))
+
+
+@query(_sql(f"SELECT DISTINCT description, {_GEN} AS is_generic FROM terms", "terms"))
+def generic_term_filter(t: Tables) -> DataFrame:
+    return t.terms().select("description").distinct().select("description", enrich.is_generic(F.col("description")).alias("is_generic"))
+
+
+@query(_sql("SELECT query_name, category, term, description, CAST(cp AS INTEGER) AS category_priority, pref AS is_preferred_category, sec AS is_secondary_category, gen AS is_generic_term, spec AS has_specific_keyword, sig AS is_significant_fdr, good AS is_specific_interpretable FROM prio", "prio"))
+def enrichment_priority(t: Tables) -> DataFrame:
+    return enrich.prioritised(_rounded(t)).select("query_name", "category", "term", "description", "category_priority", "is_preferred_category", "is_secondary_category", "is_generic_term", "has_specific_keyword", "is_significant_fdr", "is_specific_interpretable")
+
+
+@query(_sql("SELECT query_name, CAST(place AS INTEGER) AS place, category, term, 'specific_interpretable_term_used_in_report' AS term_filter_note, p AS pvalue, fdr FROM (SELECT *, row_number() OVER (PARTITION BY query_name ORDER BY cp, fdr, p, category, term, description) AS place FROM prio WHERE good) WHERE place <= 10", "prio"))
+def select_top_enrichment(t: Tables) -> DataFrame:
+    return enrich.selected(_rounded(t), ["query_name"]).select("query_name", "place", "category", "term", "term_filter_note", "pvalue", "fdr")
+
+
+_FIRST6 = "SELECT query_name, string_agg(description, '; ' ORDER BY n) AS {a} FROM (SELECT query_name, description, row_number() OVER (PARTITION BY query_name ORDER BY cp, fdr, p, term) AS n FROM (SELECT *, row_number() OVER (PARTITION BY query_name, description ORDER BY cp, fdr, p, term) AS k FROM prio {w}) WHERE k = 1) WHERE n <= 6 GROUP BY 1"
+
+
+@query(
+    _sql(
+        f"SELECT query_name, top_raw_terms, total AS total_enrichment_terms, top_interpretable_terms, best AS best_interpretable_fdr, coalesce(good_n, 0) AS specific_interpretable_terms_n FROM ({_FIRST6.format(a='top_raw_terms', w='')}) JOIN (SELECT query_name, count(*) AS total, count(*) FILTER (good AND sig) AS good_n, min(fdr) FILTER (good AND sig) AS best FROM prio GROUP BY 1) USING (query_name) "
+        f"LEFT JOIN ({_FIRST6.format(a='top_interpretable_terms', w='WHERE good AND sig')}) USING (query_name)",
+        "prio",
+    )
+)
+def collapse_enrichment(t: Tables) -> DataFrame:
+    return enrich.collapsed(_rounded(t), "query_name").select("query_name", "top_raw_terms", "total_enrichment_terms", "top_interpretable_terms", "best_interpretable_fdr", "specific_interpretable_terms_n")
+
+
+@query(_sql("SELECT query_name, string_agg(description, '; ' ORDER BY n) AS top_terms FROM (SELECT query_name, description, row_number() OVER (PARTITION BY query_name ORDER BY fdr, p, term) AS n FROM (SELECT *, row_number() OVER (PARTITION BY query_name, description ORDER BY fdr, p, term) AS k FROM prio) WHERE k = 1) WHERE n <= 3 GROUP BY 1", "prio"))
+def module_top_terms(t: Tables) -> DataFrame:
+    return enrich.top_terms(_rounded(t), "query_name").select("query_name", "top_terms")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    """The strongest candidates of the network: graph, score and ranks."""
+    return _candidates(Tables(spark, sf_dir)).orderBy("candidate_rank").limit(30).select("candidate_rank", "gene", "candidate_score", "degree", "degree_rank", "eligibility")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    from petrel.plans import catalog_evidence  # noqa: F401  registers the rest
+
+    return dict(_QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    from petrel.plans import catalog_evidence  # noqa: F401
+
+    return dict(_SQL)

@@ -1 +1 @@
-"""sources."""
+"""Scans with their contracts, rulebooks, and sinks."""
