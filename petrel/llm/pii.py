@@ -212,11 +212,16 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def counted(spans: str, rank: int) -> Column:
+    """Spans of one kind. A lambda with a second parameter, be it a default, would get the index."""
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(BASE)),
+        *(counted("base", k).alias(f"n_{KINDS[k]}") for k in range(BASE)),
         F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
