@@ -60,13 +60,17 @@ def module_genes(members: DataFrame) -> DataFrame:
     return clean.groupBy("module").agg(F.sort_array(F.collect_list("gene")).alias("genes"))
 
 
+def _like(genes: str, pattern: str) -> Column:
+    return F.filter(genes, lambda g: g.rlike(pattern))
+
+
 def technical(modules: DataFrame) -> DataFrame:
     """(module, detected, signature_id, display_label, supporting_genes, evidence_fraction); the first signature that fits."""
     size = F.size("genes")
     out = modules.select("module", "genes")
     found = None
     for name, label, pattern, least, share, core in SIGNATURES:
-        hits = F.filter("genes", lambda g, p=pattern: g.rlike(p))
+        hits = _like("genes", pattern)
         fits = (F.size(hits) >= least) & (F.size(hits) >= share * size)
         if core is not None:
             fits &= F.size(F.array_intersect("genes", F.array(*map(F.lit, core)))) < 2
