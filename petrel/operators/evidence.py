@@ -83,7 +83,7 @@ def rule_evidence(modules: DataFrame, terms: DataFrame, rules: DataFrame) -> Dat
     """Every module against every rule. terms: significant ones, (module, description, ...)."""
     listed = terms.groupBy("module").agg(F.collect_list(F.struct("fdr", "source", "description", "term_id", "supporting_genes")).alias("terms"))
     both = modules.select("module", "genes").join(listed, "module", "left").crossJoin(F.broadcast(rules)).withColumn("terms", F.array_sort(F.coalesce("terms", F.array().cast("array<struct<fdr:double,source:string,description:string,term_id:string,supporting_genes:string>>"))))
-    matching = lambda patterns: F.filter("terms", lambda t: F.exists(patterns, lambda p: F.lower(t["description"]).rlike(F.lower(p))))
+    matching = lambda patterns: F.filter("terms", lambda t: F.exists(patterns, lambda p: F.rlike(F.lower(t["description"]), F.lower(p))))
     hits = lambda markers: F.array_intersect("genes", F.transform(markers, lambda g: F.upper(trimmed(g))))
     out = both.withColumns({"positive": hits(F.col("positive_markers")), "supportive": hits(F.col("supportive_markers")), "exclusion": hits(F.col("exclusion_markers")), "matched": matching(F.col("term_patterns")), "required": F.size(matching(F.col("required_term_patterns")))})
     out = out.withColumns({"p": F.size("positive"), "s": F.size("supportive"), "x": F.size("exclusion"), "t": F.size("matched")})
@@ -228,7 +228,7 @@ def label_rules(modules: DataFrame, rules: DataFrame) -> DataFrame:
     marker_patterns, core_term_patterns, required_specific_patterns. Patterns count once however often they hit.
     """
     text = F.lower(F.coalesce("term_text", F.lit("")))
-    counting = lambda patterns: F.size(F.filter(patterns, lambda p: text.rlike(p)))
+    counting = lambda patterns: F.size(F.filter(patterns, lambda p: F.rlike(text, p)))
     markers = F.aggregate("marker_patterns", F.lit(0), lambda a, k: a + F.coalesce(F.try_element_at("counts", k), F.lit(0)))
     both = modules.crossJoin(F.broadcast(rules)).withColumns({"marker": markers, "term": counting(F.col("core_term_patterns")), "required": counting(F.col("required_specific_patterns"))})
     both = both.withColumn("score", label_score(F.col("marker"), F.col("term"), F.col("required"), F.col("best_fdr"), F.col("module_size")))
