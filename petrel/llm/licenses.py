@@ -170,7 +170,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def normalised(text: Column) -> Column:
-    """' word word ... ' in lower case; a single space if there is no word."""
+    """' word word ... ' in lower case; two spaces if there is no word."""
     return F.concat(F.lit(" "), F.regexp_replace(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", " "), "^ | $", ""), F.lit(" "))
 
 
@@ -228,7 +228,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rulese
     for k in least:
         any_keyword = any_keyword | F.contains(norm, F.lit(k))
     hits = F.flatten(F.transform(F.filter(table_, lambda r: F.contains(norm, r["keyword"])), lambda r: _hits(norm, r)))
-    return rows.select(id_col, F.when(F.length(norm) == 1, F.lit(0)).otherwise(_spaces(norm) - 1).cast("long").alias("n_words"), F.when(any_keyword, _kept(hits)).otherwise(F.array().cast(_HITS)).alias("detections"))
+    return rows.select(id_col, F.when(F.length(norm) <= 2, F.lit(0)).otherwise(_spaces(norm) - 1).cast("long").alias("n_words"), F.when(any_keyword, _kept(hits)).otherwise(F.array().cast(_HITS)).alias("detections"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
