@@ -102,6 +102,10 @@ class Words:
         self.doc = np.searchsorted(bounds, self.start, side="right") - 1
         self.first = np.searchsorted(self.start, bounds, side="left")  # words first[d]:first[d+1] are row d's
 
+    def forget(self) -> None:
+        """Drop what only prefixes() needs: eight bytes for each of the text's."""
+        self._sums = None
+
     def _of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._down[start])
 
