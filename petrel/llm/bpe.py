@@ -78,8 +78,9 @@ class Codec:
             joint = tail[start:] + head
             own = {m.end() for m in self.pattern.finditer(head) if w >= len(b) or m.end() <= len(head) - 4} | {0}
             edge = len(tail) - start
-            cut = None
+            cut, pieces = None, []
             for m in self.pattern.finditer(joint):
+                pieces.append(m[0])
                 e = m.end()
                 if e >= edge and (w >= len(b) or e <= len(joint) - 4) and (e - edge) in own:
                     cut = e - edge
@@ -89,7 +90,9 @@ class Codec:
                 continue
             if cut is None:
                 return self.encoding.encode_ordinary(a + b)
-            return self._drop_back(left, len(a[base:].encode())) + self.encoding.encode_ordinary(a[base:] + b[:cut]) + self._drop_front(right, len(b[:cut].encode()))
+            # piece by piece: the window as a text of its own could end in other pieces
+            between = [i for p in pieces for i in self.encoding.encode_ordinary(p)]
+            return self._drop_back(left, len(a[base:].encode())) + between + self._drop_front(right, len(b[:cut].encode()))
 
     def _safe_start(self, tail: str) -> int | None:
         """A place in the tail where every scan of the text has a piece boundary, or None.
