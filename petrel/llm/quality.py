@@ -102,7 +102,7 @@ def bucket_of(value: Column) -> Column:
 
 
 def bucket_floor(bucket: Column) -> Column:
-    return F.call_function("shiftleft", (bucket % 64).cast("long"), F.expr("bucket div 64").cast("int"))
+    return F.call_function("shiftleft", (bucket % 64).cast("long"), F.floor(bucket / 64).cast("int"))
 
 
 def sketch(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -119,17 +119,17 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
 def quantiles(sketches: DataFrame, keys: list[str], at: dict[str, float]) -> DataFrame:
     """(keys, measure, total, one column for each name of ``at``)."""
     # a sketch has a few hundred buckets at most, whatever it has counted
-    listed = sketches.groupBy(*keys, "measure").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("b"))
+    listed = sketches.groupBy(*keys, "measure").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("sketch__"))
 
     def upto(q: float) -> Column:
         start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("bucket"))
         step = lambda a, x: F.when((a["bucket"] >= 0), a).otherwise(F.struct((a["n"] + x["n"]).alias("n"), F.when(a["n"] + x["n"] >= q * F.col("total"), x["bucket"]).otherwise(F.lit(-1)).alias("bucket")))
-        return F.aggregate("b", start, step, lambda a: a["bucket"])
+        return F.aggregate("sketch__", start, step, lambda a: a["bucket"])
 
     out = listed
     for name, q in at.items():
-        out = out.withColumn("bucket", upto(q)).withColumn(name, bucket_floor(F.col("bucket")))
-    return out.drop("b", "bucket")
+        out = out.withColumn("at__", upto(q)).withColumn(name, bucket_floor(F.col("at__")))
+    return out.drop("sketch__", "at__")
 
 
 def thresholds(sketches: DataFrame, least_rows: int = LEAST_ROWS, reach: int = REACH) -> DataFrame:
