@@ -114,7 +114,7 @@ NOTICES = [
     ("boost-1", "boost", f"distributed under the boost software {_L} version 1 0"),
     ("zlib", "this software is provided", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
     ("unlicense", "public domain", "this is free and unencumbered software released into the public domain"),
-    ("cc0", "public domain", "to the extent possible under law .{1,60}? has waived all copyright"),
+    ("cc0", "extent possible under law", "to the extent possible under law .{1,60}? has waived all copyright"),
     ("public-domain", "public domain", "(?:released|placed|dedicated|donated) (?:in|into|to) the public domain"),
     ("proprietary", "all rights reserved", "all rights reserved"),
     ("proprietary", "confidential", "confidential and proprietary"),
