@@ -98,9 +98,10 @@ def _near(text: str, spans: list[tuple[int, int, int]], start: np.ndarray, end:
     out = []
     for (i, j), (s, _, e) in zip(places, spans):
         k = np.concatenate([np.arange(max(0, i - CONTEXT), i), np.arange(j, min(len(a), j + CONTEXT))])
+        context = int(term[k[~covered[k]]].sum())
         k = k[~covered[k] & usable[k]]
         if len(k):
-            entity, context = _hash(text[s:e].lower()), int(term[k].sum())
+            entity = _hash(text[s:e].lower())
             out += [{"entity": entity, "term": int(term[x]), "context": context, "start": int(a[x]), "end": int(b[x])} for x in k]
     return out
 
@@ -111,13 +112,14 @@ def _observed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(1)
-        all_spans, all_near, counted = [], [], []
+        all_spans, all_near, all_words, counted = [], [], [], []
         for i, j, raw, bounds in sliced(column):
             words = Words(raw, bounds, PLAIN)
             digits = np.concatenate([[0], np.cumsum((raw >= 0x30) & (raw <= 0x39))])
             usable = (words.end - words.start >= LEAST_BYTES) & (digits[words.end] == digits[words.start])
             signed = words.hash.view(np.int64)
             counted.append(signed[usable])
+            all_words += np.diff(words.first).tolist()
             for d in range(i, j):
                 text = column[d].as_py() or ""
                 spans = entities(text)
@@ -144,7 +146,7 @@ def _observed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
                 pa.array([*[None] * n, *full], pa.int32()),
                 pa.array([*[None] * n, *[terms[cuts[k] : cuts[k + 1]].tobytes() for k in full]], pa.binary()),
                 pa.array([*[None] * n, *[counts[cuts[k] : cuts[k + 1]].tobytes() for k in full]], pa.binary()),
-                pa.array([*[None] * n, *[int(counts[cuts[k] : cuts[k + 1]].sum()) for k in full]], pa.int64()),
+                pa.array([*all_words, *[None] * m], pa.int64()),
             ],
             [id_col, "spans", "near", "bucket", "terms", "counts", "n"],
         )
