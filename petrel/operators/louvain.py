@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from petrel.operators import graph
+from petrel.operators.shipping import shipped
 
 #: Edges of a component that one task takes; a larger one is refused rather than gathered.
 MOST_EDGES = 2_000_000
@@ -74,6 +75,7 @@ def partition(pairs: list[tuple], m: float) -> dict:
 
 def louvain(vertices: DataFrame, edges: DataFrame, most_edges: int = MOST_EDGES) -> DataFrame:
     """(id, community) with communities numbered from 1."""
+    shipped(vertices.sparkSession)
     kind = dict(vertices.dtypes)["id"]
     member = graph.components(vertices, edges)
     m = edges.count()
