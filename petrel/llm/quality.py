@@ -26,7 +26,7 @@ LEAST_WORDS, MOST_REPEATED = 10, 20
 #: Rows from which a group has thresholds of its own; fences reach so many quartile ranges out.
 LEAST_ROWS, REACH = 50, 6
 #: measure: (least upper fence, most lower fence), in ten-thousandths, or hundredths of a code point for word_len.
-MEASURES = {"symbol_share": (400, None), "dup_line_share": (3000, None), "repeat_share": (1500, None), "word_len": (1400, 250)}
+MEASURES = {"symbol_share": (400, None), "dup_line_share": (5000, None), "repeat_share": (2000, None), "word_len": (1400, 250)}
 
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
