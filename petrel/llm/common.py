@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from petrel.operators.shipping import shipped
+
 #: Bytes of text that one numpy pass takes; a longer text is a pass of its own.
 PASS_BYTES = 1 << 20
 
@@ -153,6 +155,7 @@ def mapped(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None],
             if (out := f(b)) is not None:
                 yield out
 
+    shipped(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
