@@ -227,8 +227,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rulese
     any_keyword = F.lit(False)
     for k in least:
         any_keyword = any_keyword | F.contains(norm, F.lit(k))
-    hits = F.flatten(F.transform(F.filter(table_, lambda r: F.contains(norm, r["keyword"])), lambda r: _hits(norm, r)))
-    return rows.select(id_col, F.when(F.length(norm) <= 2, F.lit(0)).otherwise(_spaces(norm) - 1).cast("long").alias("n_words"), F.when(any_keyword, _kept(hits)).otherwise(F.array().cast(_HITS)).alias("detections"))
+    # each keyword is sought once; the result is a column, since a lambda would evaluate it for every rule
+    found = F.when(any_keyword, F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(norm, k)))
+    words = F.when(F.length(norm) <= 2, F.lit(0)).otherwise(_spaces(norm) - 1).cast("long").alias("n_words")
+    rows = rows.select(id_col, "norm", words, found.alias("found"))
+    hits = F.flatten(F.transform(F.filter(table_, lambda r: F.array_contains("found", r["keyword"])), lambda r: _hits(norm, r)))
+    return rows.select(id_col, "n_words", F.when(F.col("found").isNotNull(), _kept(hits)).otherwise(F.array().cast(_HITS)).alias("detections"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
