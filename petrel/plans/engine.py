@@ -14,7 +14,7 @@ import petrel
 from petrel.functions import columns as C
 from petrel.operators import enrich, evidence, graph, louvain, mapping, report, score
 from petrel.operators.checkpoints import checkpointed
-from petrel.sources import contract, rules, sinks
+from petrel.sources import contract, labels, rules, sinks
 from petrel.sources.resources import Resources
 
 
@@ -79,6 +79,19 @@ def enrichments(nodes: DataFrame, selected: DataFrame, terms: DataFrame, cfg: Co
     return checkpointed(everything.unionByName(enrich.enriched(terms, top.union(modules), names.select("id"), names)))
 
 
+def module_labels(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Marker overlap, the label of the best set, the label by terms, the best label rule and its themes."""
+    spark = members.sparkSession
+    overlap = evidence.marker_overlap(members, rules.marker_sets(spark, labels.MARKERS))
+    size = members.groupBy("module").agg(F.count(F.lit(1)).cast("int").alias("module_size"))
+    text = enrich.collapsed(found, "module").select("module", F.col("top_interpretable_terms").alias("term_text"), F.col("best_interpretable_fdr").alias("best_fdr"))
+    rows = overlap.join(size, "module").join(text, "module", "left").withColumn("counts", labels.counts_of(F.col("marker_summary")))
+    best = evidence.label_rules(rows, rules.label_rules(spark, labels.RULES))
+    themes = labels.supporting_themes(rows.join(best.select("module", "label_id"), "module"), rules.label_rules(spark, labels.RULES))
+    by_set = rows.withColumns({"marker_label": labels.set_label(F.col("best_set")), "term_label": labels.label_from_terms(F.col("term_text"), labels.set_label(F.col("best_set")))})
+    return by_set.select("module", "module_size", "marker_summary", "evidence", "marker_label", "term_label").join(best.select("module", "final_label", "score", "confidence"), "module").join(themes, "module")
+
+
 def run(genes: DataFrame, res: Resources, cfg: Config = Config()) -> Result:
     """genes: input_row, gene, logFC, pvalue, valid under the contract."""
     spark = genes.sparkSession
@@ -104,6 +117,7 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config()) -> Result:
     terms = checkpointed(evidence.significant_terms(evidence.prepared_terms(found, "module", cfg.fdr)))
     decided = checkpointed(evidence.module_decisions(genes_by, terms, evidence.technical(genes_by)))
     t |= {"Significant terms": terms, "Module annotations": decided}
+    t["Module labels"] = module_labels(members, found)
     if cfg.rulebook:
         t["Rule evidence"] = evidence.rule_evidence(genes_by, terms, rules.frame(spark, list(cfg.rulebook)))
     entity = C.entity_class(F.col("gene"))

@@ -68,5 +68,5 @@ def marker_sets(spark: SparkSession, sets: dict[str, list[str]]) -> DataFrame:
 
 def label_rules(spark: SparkSession, rules: list[dict]) -> DataFrame:
     """Label rules for ``evidence.label_rules``, in order."""
-    rows = [(r["label_id"], r["fallback_label"], i, r["marker_patterns"], r["core_term_patterns"], r["required_specific_patterns"]) for i, r in enumerate(rules)]
-    return spark.createDataFrame(rows, "label_id string, fallback_label string, position int, marker_patterns array<string>, core_term_patterns array<string>, required_specific_patterns array<string>")
+    rows = [(r["label_id"], r["fallback_label"], i, r["marker_patterns"], r["core_term_patterns"], r["required_specific_patterns"], r.get("theme", "")) for i, r in enumerate(rules)]
+    return spark.createDataFrame(rows, "label_id string, fallback_label string, position int, marker_patterns array<string>, core_term_patterns array<string>, required_specific_patterns array<string>, theme string")

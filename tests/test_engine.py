@@ -10,7 +10,7 @@ import zipfile
 
 import pytest
 
-from petrel.operators import graph, louvain
+from petrel.operators import audit, graph, louvain
 from petrel.plans import engine
 from petrel.sources import contract, resources, rules, sinks
 
@@ -96,9 +96,13 @@ def test_publication(result, tmp_path):
         assert z.testzip() is None and b"Node metrics" in z.read("xl/workbook.xml")
     with open(f"{folder}/manifest.json") as f:
         assert json.load(f)["counts"]["network_edges"] == 31
+    assert {k: v for k, v in audit.publication(folder) if v != "PASS"} == {}
+    assert sinks.read_workbook(f"{folder}/analytical.xlsx")["Executive summary"][1][1] == "input_rows"
+    assert "cell_cycle_mitotic(" in str(result.tables["Module labels"].collect())
     with open(f"{folder}/network_links.txt", "a") as f:
         f.write("x")
     assert sinks.tampered(folder, f"{folder}/checksums.sha256") == ["network_links.txt"]
+    assert dict(audit.publication(folder))["digests_agree"] == "FAIL"
     with pytest.raises(FileExistsError):
         engine.publish(result, str(tmp_path), "case1")
     assert [x for x in os.listdir(tmp_path) if x.startswith(".")] == []
