@@ -97,17 +97,17 @@ def connected_components(t: Tables) -> DataFrame:
 
 @query(_sql("SELECT id, component, component = (SELECT component FROM lcc) AS in_largest_component FROM comp", "comp", "lcc"))
 def largest_component(t: Tables) -> DataFrame:
-    return graph.largest_component(graph.components(t.vertices(), t.edges()))
+    return graph.largest_component(graph.components(*t.graph()))
 
 
 @query(_sql("SELECT s, t, d, sigma FROM sp", "sp"))
 def shortest_paths(t: Tables) -> DataFrame:
-    return graph.shortest_paths(t.vertices(), t.edges())
+    return graph.shortest_paths(*t.graph())
 
 
 @query(_sql(f"SELECT count(*) AS beyond FROM v{LEVELS}", f"v{LEVELS}"))
 def shortest_paths_complete(t: Tables) -> DataFrame:
-    return graph.shortest_paths(t.vertices(), t.edges()).where(F.col("d") >= LEVELS).agg(F.count(F.lit(1)).alias("beyond"))
+    return graph.shortest_paths(*t.graph()).where(F.col("d") >= LEVELS).agg(F.count(F.lit(1)).alias("beyond"))
 
 
 _BETWEEN = "SELECT v.id, {x} AS {n} FROM vertices v LEFT JOIN (SELECT a.t AS v, sum(a.sigma * b.sigma / p.sigma) AS b, sum(a.sigma * b.sigma) AS st FROM sp p JOIN sp a ON a.s = p.s JOIN sp b ON b.t = p.t AND b.s = a.t WHERE p.s < p.t AND a.d + b.d = p.d AND a.d > 0 AND b.d > 0 GROUP BY 1) x ON v.id = x.v"
@@ -115,39 +115,41 @@ _BETWEEN = "SELECT v.id, {x} AS {n} FROM vertices v LEFT JOIN (SELECT a.t AS v,
 
 @query(_sql(_BETWEEN.format(x="round(coalesce(b, 0) / ((SELECT count(*) FROM vertices) - 1) / ((SELECT count(*) FROM vertices) - 2) * 2, 9)", n="betweenness"), "sp"))
 def betweenness(t: Tables) -> DataFrame:
-    v, e = t.vertices(), t.edges()
+    v, e = t.graph()
     out = graph.centrality(v, e, graph.shortest_paths(v, e))
     return graph.normalised_betweenness(out, v.count()).select("id", _r("betweenness"))
 
 
 @query(_sql(_BETWEEN.format(x="coalesce(st, 0)", n="stress"), "sp"))
 def stress(t: Tables) -> DataFrame:
-    v, e = t.vertices(), t.edges()
+    v, e = t.graph()
     return graph.centrality(v, e, graph.shortest_paths(v, e)).select("id", "stress")
 
 
 @query(_sql("SELECT v.id, round(c, 9) AS closeness FROM vertices v LEFT JOIN (SELECT s, count(*) / sum(d) AS c FROM sp WHERE d > 0 GROUP BY 1) ON s = v.id", "sp"))
 def closeness(t: Tables) -> DataFrame:
-    v, e = t.vertices(), t.edges()
+    v, e = t.graph()
     return graph.distances(v, graph.shortest_paths(v, e), v.count()).select("id", _r("closeness"))
 
 
 @query(_sql("SELECT v.id, round(coalesce(h, 0) / ((SELECT count(*) FROM vertices) - 1), 9) AS harmonic_closeness, coalesce(e, 0) AS eccentricity FROM vertices v LEFT JOIN (SELECT s, sum(1.0 / d) AS h, max(d) AS e FROM sp WHERE d > 0 GROUP BY 1) ON s = v.id", "sp"))
 def harmonic(t: Tables) -> DataFrame:
-    v, e = t.vertices(), t.edges()
+    v, e = t.graph()
     return graph.distances(v, graph.shortest_paths(v, e), v.count()).select("id", _r("harmonic_closeness"), "eccentricity")
 
 
 @query(_sql("SELECT id, degree, triangles, round(local_clustering, 9) AS local_clustering FROM clus", "clus"))
 def local_clustering(t: Tables) -> DataFrame:
-    d = graph.degrees(t.vertices(), t.edges())
-    return graph.clustering(d, graph.triangles(t.edges(), d)).select("id", "degree", "triangles", _r("local_clustering"))
+    v, e = t.graph()
+    d = graph.degrees(v, e)
+    return graph.clustering(d, graph.triangles(e, d)).select("id", "degree", "triangles", _r("local_clustering"))
 
 
 @query(_sql("SELECT CAST(sum(triangles) // 3 AS BIGINT) AS triangles, CAST(sum(degree * (degree - 1) // 2) AS BIGINT) AS triples, round(CASE WHEN sum(degree * (degree - 1) // 2) > 0 THEN sum(triangles) / sum(degree * (degree - 1) // 2) END, 9) AS transitivity FROM clus", "clus"))
 def global_transitivity(t: Tables) -> DataFrame:
-    d = graph.degrees(t.vertices(), t.edges())
-    return graph.transitivity(graph.clustering(d, graph.triangles(t.edges(), d))).select("triangles", "triples", _r("transitivity"))
+    v, e = t.graph()
+    d = graph.degrees(v, e)
+    return graph.transitivity(graph.clustering(d, graph.triangles(e, d))).select("triangles", "triples", _r("transitivity"))
 
 
 _LCC = "SELECT count(DISTINCT s) AS vertices, round(sum(d) / nullif(count(*) FILTER (d > 0), 0), 9) AS mean_distance, max(e) AS diameter, min(e) AS radius FROM (SELECT s, d, max(d) OVER (PARTITION BY s) AS e FROM sp JOIN comp ON s = id WHERE component = (SELECT component FROM lcc))"
@@ -155,7 +157,7 @@ _LCC = "SELECT count(DISTINCT s) AS vertices, round(sum(d) / nullif(count(*) FIL
 
 @query(_sql(_LCC, "sp", "comp", "lcc"))
 def lcc_distance_summary(t: Tables) -> DataFrame:
-    v, e = t.vertices(), t.edges()
+    v, e = t.graph()
     member = graph.largest_component(graph.components(v, e))
     return graph.distance_summary(member, graph.shortest_paths(v, e)).select("vertices", _r("mean_distance"), "diameter", "radius")
 
@@ -182,7 +184,7 @@ def modularity_given_partition(t: Tables) -> DataFrame:
     )
 )
 def graph_summary(t: Tables) -> DataFrame:
-    v, e = t.vertices(), t.edges()
+    v, e = t.graph()
     member = graph.largest_component(graph.components(v, e))
     d = graph.degrees(v, e)
     clustered = graph.clustering(d, graph.triangles(e, d))
@@ -192,7 +194,7 @@ def graph_summary(t: Tables) -> DataFrame:
 
 @query()
 def louvain_modules(t: Tables) -> DataFrame:
-    return louvain.louvain(t.vertices(), t.edges())
+    return louvain.louvain(*t.graph())
 
 
 @query(_sql("SELECT id, degree FROM degrees ORDER BY degree DESC, id LIMIT 30", "degrees"))

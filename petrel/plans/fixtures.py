@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrel.operators import graph
+from petrel.operators.checkpoints import checkpointed
 
 THRESHOLD = 700
 PREFIXES = ["IGHV", "TRBV", "TRAF", "HLA-DRB", "LINC", "MIR", "GENE", "CDK", "RPS", "MT-ND", "LOC", "RPS4Y", "XYZP", "ABC-AS", "IGKC", "CD"]
@@ -35,6 +36,10 @@ class Tables:
     def edges(self, threshold: int = THRESHOLD) -> DataFrame:
         return graph.simplified(graph.thresholded(self.links(), threshold))
 
+    def graph(self) -> tuple[DataFrame, DataFrame]:
+        """Vertices and edges for plans that read the edges more than once: derived in one job, then read back."""
+        return self.vertices(), checkpointed(self.edges())
+
     def genes(self) -> DataFrame:
         flags = self.read("lineitem").groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("r"), F.count_if(F.col("l_returnflag") == "A").alias("a"), F.count(F.lit(1)).alias("n"))
         s = self.read("supplier").join(flags, F.col("s_suppkey") == F.col("l_suppkey"), "left")
