@@ -35,9 +35,12 @@ def hypergeometric_tail(x: Column, successes: Column, population: Column, draws:
     return F.when(x <= draws + successes - population, F.lit(1.0)).when(x > top, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)))
 
 
-def benjamini_hochberg(p: Column, partition: list[str], ties: list[Column]) -> Column:
-    """Adjusted p-values within each partition of tests; null p-values are not tests."""
-    tests = F.count(p).over(W.partitionBy(*partition))
+def benjamini_hochberg(p: Column, partition: list[str], ties: list[Column], tests: Column | None = None) -> Column:
+    """Adjusted p-values within each partition of tests; null p-values are not tests.
+
+    ``tests`` is their number where tests of p = 1 are not among the rows; those change no other's rank.
+    """
+    tests = F.count(p).over(W.partitionBy(*partition)) if tests is None else tests
     rank = F.rank().over(W.partitionBy(*partition).orderBy(p.asc_nulls_last()))
     # equal p-values take the greatest rank among them
     same = F.count(p).over(W.partitionBy(*partition, p))

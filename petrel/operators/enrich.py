@@ -52,15 +52,15 @@ def enriched(terms: DataFrame, queries: DataFrame, background: DataFrame, names:
     sizes = members.groupBy(*by, *term).agg(F.count(F.lit(1)).alias("number_of_genes_in_background")).where(F.col("number_of_genes_in_background").between(least_term, most_term))
     drawn = query.groupBy("query_name").agg(F.count(F.lit(1)).alias("query_size")).where("query_size >= 2")
     hits = query.join(term_map, "id").groupBy("query_name", *term).agg(F.count(F.lit(1)).alias("number_of_genes"), F.sort_array(F.collect_list("id")).alias("ids"))
-    if per_query:
-        tests = drawn.join(population, "query_name").join(sizes, "query_name")
-    else:
-        # every query is tested on every term: the stated queries against the terms, which are few and counted
-        tests = drawn.join(F.broadcast(population)).crossJoin(sizes)
-    tests = tests.where(F.col("background_size") >= least_background).join(hits, ["query_name", *term], "left").withColumn("number_of_genes", F.coalesce("number_of_genes", F.lit(0)))
+    # a term that a query doesn't hit has p = 1: it counts as a test and needs no row, so queries are never crossed with terms
+    n_tests = sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("n_tests"))
+    tests = hits.join(drawn, "query_name").join(sizes, [*by, *term])
+    tests = tests.join(population, by).join(n_tests, by) if by else tests.join(F.broadcast(population)).join(F.broadcast(n_tests))  # one row each
+    tests = tests.where(F.col("background_size") >= least_background)
     p = hypergeometric_tail(F.col("number_of_genes"), F.col("number_of_genes_in_background"), F.col("background_size"), F.col("query_size"))
     tested = tests.withColumn("pvalue", p)
-    out = tested.withColumn("fdr", benjamini_hochberg(F.col("pvalue"), ["query_name"], [F.col(c) for c in term])).where(F.col("number_of_genes") >= least_hits)
+    adjusted = benjamini_hochberg(F.col("pvalue"), ["query_name"], [F.col(c) for c in term], F.col("n_tests"))
+    out = tested.withColumn("fdr", adjusted).where(F.col("number_of_genes") >= least_hits).drop("n_tests")
     if names is not None:
         listed = out.select("query_name", *term, F.explode("ids").alias("id")).join(names.select("id", "gene"), "id", "left").groupBy("query_name", *term).agg(F.array_join(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("gene", "id").alias("g")))), lambda x: x["g"])), ";").alias("preferred_names"))
         out = out.join(listed, ["query_name", *term])
