@@ -154,6 +154,7 @@ def mapped(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None],
         for b in batches:
             if (out := f(b)) is not None:
                 yield out
+        pa.default_memory_pool().release_unused()  # workers are used again; the next stage needs it
 
     shipped(df.sparkSession)
     return df.mapInArrow(run, schema)
