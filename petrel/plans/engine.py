@@ -14,6 +14,7 @@ import petrel
 from petrel.functions import columns as C
 from petrel.operators import enrich, evidence, graph, louvain, mapping, report, score
 from petrel.operators.checkpoints import checkpointed
+from petrel.plans import sheets as forms
 from petrel.sources import contract, labels, rules, sinks
 from petrel.sources.resources import Resources
 
@@ -92,9 +93,15 @@ def module_labels(members: DataFrame, found: DataFrame) -> DataFrame:
     return by_set.select("module", "module_size", "marker_summary", "evidence", "marker_label", "term_label").join(best.select("module", "final_label", "score", "confidence"), "module").join(themes, "module")
 
 
-def run(genes: DataFrame, res: Resources, cfg: Config = Config()) -> Result:
-    """genes: input_row, gene, logFC, pvalue, valid under the contract."""
+def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: DataFrame | None = None) -> Result:
+    """genes: input_row, gene, logFC, pvalue, valid under the contract; approved: symbol, approved, if symbols are to be normalised."""
     spark = genes.sparkSession
+    given = genes
+    if approved is not None:
+        genes = mapping.normalised_symbols(genes, approved)
+    else:
+        genes = genes.withColumns({"input_gene": F.col("gene"), "changed": F.lit(False)})
+    genes = checkpointed(genes)
     initial, fixes, final, selected = mapped_genes(genes, res)
     if selected.count() < 2:
         raise ValueError("fewer than two genes were mapped to proteins")
@@ -102,12 +109,12 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config()) -> Result:
     nodes = net["nodes"]
     t: dict[str, DataFrame] = {
         "Mapping summary": mapping.counters(final), "Collisions": mapping.collision_audit(final), "Alias corrections": fixes, "Unmapped genes": mapping.unmapped_genes(final),
-        "Gene status": mapping.gene_status(genes.withColumn("input_gene", F.col("gene")), initial, fixes, final), "Network summary": net["summary"].select("metric", "value"),
+        "Gene status": mapping.gene_status(genes, initial, fixes, final), "Symbol normalisation": genes.select("input_gene", "gene", "changed"), "Session info": forms.session_info(spark), "Network summary": net["summary"].select("metric", "value"),
         "Modules": report.module_summary(nodes).orderBy(F.desc("module_size"), "community"), "Links": mapping.network_links(selected, res.threshold),
     }
     members = nodes.select(F.col("community").alias("module"), "gene")
     genes_by = evidence.module_genes(members)
-    none = spark.createDataFrame([], "module int, category string, term string, description string, fdr double, preferred_names string")
+    none = spark.createDataFrame([], "module int, category string, term string, description string, pvalue double, fdr double, preferred_names string")
     found = none
     if cfg.enrichment and res.terms is not None:
         rows = enrichments(nodes, selected, res.terms, cfg)
@@ -121,11 +128,11 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config()) -> Result:
     if cfg.rulebook:
         t["Rule evidence"] = evidence.rule_evidence(genes_by, terms, rules.frame(spark, list(cfg.rulebook)))
     entity = C.entity_class(F.col("gene"))
-    full = nodes.withColumn("entity_class", entity).withColumn("eligibility", C.eligibility(F.col("entity_class"))).join(decided.select(F.col("module").alias("community"), "interpretation_class", "priority_eligible", "conflict_detected", F.col("primary_interpretation").alias("biological_context")), "community")
+    full = nodes.withColumn("entity_class", entity).withColumn("eligibility", C.eligibility(F.col("entity_class"))).join(decided.select(F.col("module").alias("community"), F.col("confidence").alias("module_confidence"), "interpretation_class", "priority_eligible", "conflict_detected", F.col("primary_interpretation").alias("biological_context")), "community")
     full = checkpointed(full.withColumn("warning", report.warning(F.lit("no_warning"), F.col("eligibility"), F.col("conflict_detected"))))
     best = checkpointed(report.final_priorities(full))
     n = net["vertices"].count()
-    counts = {"input_rows": genes.count(), "mapped_proteins": selected.count(), "network_nodes": n, "network_edges": net["edges"].count(), "final_priority_candidates": best.count()}
+    counts = {"input_rows": given.count(), "mapped_proteins": selected.count(), "network_nodes": n, "network_edges": net["edges"].count(), "final_priority_candidates": best.count()}
     one = lambda v: spark.range(1).select(F.lit(float(v)).alias("n"))
     t |= {
         "Node metrics": full, "Final priorities": best, "Module priorities": report.module_priorities(decided, terms, n), "Candidate evidence": report.candidate_evidence(full, best, cfg.top_n),
@@ -151,7 +158,7 @@ def publish(result: Result, target: str, case: str, twins: bool = False) -> str:
 
     def write(staging: str) -> None:
         sheets = {k: v for k, v in tables.items() if k not in ("vertices", "edges")}
-        sinks.write_workbook(f"{staging}/analytical.xlsx", {k: sheets[k] for k in ANALYTICAL})
+        sinks.write_workbook(f"{staging}/analytical.xlsx", forms.shaped(tables))
         sinks.write_workbook(f"{staging}/technical.xlsx", {k: v for k, v in sheets.items() if k not in ANALYTICAL})
         nodes = tables["Node metrics"]
         sinks.write_graphml(f"{staging}/network.graphml", nodes.withColumn("pvalue", sinks.exported_pvalue(F.col("pvalue"))), tables["edges"])

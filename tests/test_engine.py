@@ -11,7 +11,7 @@ import zipfile
 import pytest
 
 from petrel.operators import audit, graph, louvain
-from petrel.plans import engine
+from petrel.plans import engine, sheets
 from petrel.sources import contract, resources, rules, sinks
 
 GENES = ["AURKA", "CCNB1", "TOP2A", "CDC20", "BIRC5", "CDK1", "PTPRC", "TYROBP", "HLA-DRA", "CD74", "C1QA", "C1QB"]
@@ -97,7 +97,9 @@ def test_publication(result, tmp_path):
     with open(f"{folder}/manifest.json") as f:
         assert json.load(f)["counts"]["network_edges"] == 31
     assert {k: v for k, v in audit.publication(folder) if v != "PASS"} == {}
-    assert sinks.read_workbook(f"{folder}/analytical.xlsx")["Executive summary"][1][1] == "input_rows"
+    book = sinks.read_workbook(f"{folder}/analytical.xlsx")
+    assert {k: v[0] for k, v in book.items()} == sheets.COLUMNS and list(book) == list(sheets.COLUMNS)
+    assert book["Executive summary"][1][:2] == ["input_rows", 13] and book["Final priorities"][1][15].startswith("Network rank 1 ")
     assert "cell_cycle_mitotic(" in str(result.tables["Module labels"].collect())
     with open(f"{folder}/network_links.txt", "a") as f:
         f.write("x")
@@ -195,3 +197,13 @@ def test_rulebook_is_checked(spark):
             rules.checked([rules.EXAMPLE[0] | change])
     with pytest.raises(ValueError):
         rules.checked(rules.EXAMPLE * 2)
+
+
+def test_symbols_are_normalised(spark, cache, genes):
+    rows, _ = contract.read_genes(spark, genes)
+    table = spark.createDataFrame([("CDKALIAS", "CDK1"), ("CDKALIAS", "ZZZ"), ("AURKA", None)], "symbol string, approved string")
+    out = engine.run(rows, resources.Resources.open(spark, cache, enrichment=False), engine.Config(enrichment=False), approved=table)
+    assert [tuple(r) for r in out.tables["Symbol normalisation"].where("changed").collect()] == [("CDKALIAS", "CDK1", True)]
+    assert out.counts["mapped_proteins"] == 12 and out.tables["Alias corrections"].count() == 0
+    assert out.tables["Module annotations"].where("interpretation_class <> 'unresolved'").count() == 0
+    assert out.tables["Final priorities"].count() == 0
