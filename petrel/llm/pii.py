@@ -5,7 +5,8 @@ Corpus co-occurrence then estimates how strongly a term reveals one: for each en
 and each term t in its contexts, ``p(e|t) = joint / count(t)`` and
 ``bits = log2(p(t|e) / p(t))``, with count(t) over the whole corpus. A term that stands
 near one entity in enough distinct contexts and exceeds the disclosure thresholds is
-generalised (``term``) or, when it all but names the entity, removed (``name``).
+generalised (``term``) or, when it all but names the entity, removed (``name``), at every
+place of the corpus outside the entities, whether the entity is near or not.
 
 Null texts are empty. Null and repeated ids are rows like others: one row out for each
 row in. Contexts are counted per occurrence; copies of a context count once towards
@@ -30,10 +31,13 @@ BASE = 4
 CONTEXT, LEAST_BYTES = 6, 4
 #: Distinct contexts, p(e|t) and bits from which a term is generalised, and p(e|t) from which it is removed.
 CONTEXTS, POSTERIOR, BITS, NAMING = 3, 0.5, 6.0, 0.9
+#: Disclosing terms, of twelve bytes each, up to which they are broadcast; beyond, words meet them by a shuffle.
+BROADCAST_TERMS = 2_000_000
 
 SPANS = "array<struct<start:int,rank:int,end:int>>"
 _SPAN = pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())])
-_NEAR = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+_NEAR = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64())])
+_WORD = pa.struct([("term", pa.int64()), *_SPAN])
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -85,34 +89,39 @@ def _hash(x: str) -> int:
     return int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _near(text: str, spans: list[tuple[int, int, int]], start: np.ndarray, end: np.ndarray, term: np.ndarray, usable: np.ndarray, raw: np.ndarray) -> list[dict]:
-    """The usable words in the contexts of the spans; start and end are bytes of the text's raw."""
+def _outside(raw: np.ndarray, start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(first code point, end, outside all spans) of a text's words, whose start and end are bytes of raw; the words of each span."""
     chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # code points before a byte
     a, b = chars[start], chars[end]
-    covered = np.zeros(len(a), dtype=bool)
+    outside = np.ones(len(a), dtype=bool)
     places = []
     for s, _, e in spans:
         i, j = int(np.searchsorted(b, s, side="right")), int(np.searchsorted(a, e, side="left"))
-        covered[i:j] = True
+        outside[i:j] = False
         places.append((i, j))
+    return a, b, outside, places
+
+
+def _near(text: str, spans: list[tuple[int, int, int]], places: list[tuple[int, int]], outside: np.ndarray, term: np.ndarray, usable: np.ndarray) -> list[dict]:
+    """The usable words in the contexts of the spans."""
     out = []
     for (i, j), (s, _, e) in zip(places, spans):
-        k = np.concatenate([np.arange(max(0, i - CONTEXT), i), np.arange(j, min(len(a), j + CONTEXT))])
-        context = int(term[k[~covered[k]]].sum())
-        k = k[~covered[k] & usable[k]]
+        k = np.concatenate([np.arange(max(0, i - CONTEXT), i), np.arange(j, min(len(term), j + CONTEXT))])
+        k = k[outside[k]]
+        context = int(term[k].sum())
+        k = k[usable[k]]
         if len(k):
             entity = _hash(text[s:e].lower())
-            out += [{"entity": entity, "term": int(term[x]), "context": context, "start": int(a[x]), "end": int(b[x])} for x in k]
+            out += [{"entity": entity, "term": int(term[x]), "context": context} for x in k]
     return out
 
 
-def _observed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """One row for each text with its entities and the terms near them, and rows of term counts by bucket of the hash."""
-    kind = dict(docs.dtypes)[id_col]
+def _observed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
+    """One row for each text with the terms near its entities, and rows of term counts by bucket of the hash."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = batch.column(1)
-        all_spans, all_near, all_words, counted = [], [], [], []
+        column = batch.column(0)
+        all_near, all_words, counted = [], [], []
         for i, j, raw, bounds in sliced(column):
             words = Words(raw, bounds, PLAIN)
             digits = np.concatenate([[0], np.cumsum((raw >= 0x30) & (raw <= 0x39))])
@@ -123,11 +132,11 @@ def _observed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
             for d in range(i, j):
                 text = column[d].as_py() or ""
                 spans = entities(text)
-                all_spans.append([{"start": s, "rank": k, "end": e} for s, k, e in spans])
                 if spans:
                     x, y = words.first[d - i], words.first[d - i + 1]
                     at = bounds[d - i]
-                    all_near.append(_near(text, spans, words.start[x:y] - at, words.end[x:y] - at, signed[x:y], usable[x:y], raw[at : bounds[d - i + 1]]))
+                    _, _, outside, places = _outside(raw[at : bounds[d - i + 1]], words.start[x:y] - at, words.end[x:y] - at, spans)
+                    all_near.append(_near(text, spans, places, outside, signed[x:y], usable[x:y]))
                 else:
                     all_near.append([])
         n = len(column)
@@ -137,22 +146,57 @@ def _observed(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
         terms, counts, cuts = terms[order], counts[order].astype(np.int32), np.searchsorted(bucket[order], np.arange(buckets + 1))
         full = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
         m = len(full)
-        none = lambda t: pa.nulls(m, t)
         return pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([batch.column(0), none(batch.column(0).type)]),
-                pa.array([*all_spans, *[None] * m], pa.list_(_SPAN)),
                 pa.array([*all_near, *[None] * m], pa.list_(_NEAR)),
                 pa.array([*[None] * n, *full], pa.int32()),
                 pa.array([*[None] * n, *[terms[cuts[k] : cuts[k + 1]].tobytes() for k in full]], pa.binary()),
                 pa.array([*[None] * n, *[counts[cuts[k] : cuts[k + 1]].tobytes() for k in full]], pa.binary()),
                 pa.array([*all_words, *[None] * m], pa.int64()),
             ],
-            [id_col, "spans", "near", "bucket", "terms", "counts", "n"],
+            ["near", "bucket", "terms", "counts", "n"],
         )
 
+    src = docs.select(docs[text_col].cast("string").alias("text"))
+    return mapped(src, run, "near array<struct<entity:long,term:long,context:long>>, bucket int, terms binary, counts binary, n long")
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, told: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
+    """(id, base, words) of each text: its entities, and the words outside them that are among the told terms.
+
+    ``told`` are sorted term hashes and their ranks. Without it, all words outside the entities, of rank -1.
+    """
+    kind = dict(docs.dtypes)[id_col]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = batch.column(1)
+        all_spans, all_words = [], []
+        for i, j, raw, bounds in sliced(column):
+            words = Words(raw, bounds, PLAIN)
+            words.forget()
+            signed = words.hash.view(np.int64)
+            rank = np.full(len(signed), -1, dtype=np.int32)
+            hit = np.full(len(signed), told is None)
+            if told is not None and len(told[0]):
+                at = np.minimum(np.searchsorted(told[0], signed), len(told[0]) - 1)
+                hit = told[0][at] == signed
+                rank[hit] = told[1][at[hit]]
+            hits = np.concatenate([[0], np.cumsum(hit)])[words.first]
+            for d in range(i, j):
+                spans = entities(column[d].as_py() or "")
+                all_spans.append([{"start": s, "rank": k, "end": e} for s, k, e in spans])
+                if hits[d - i] < hits[d - i + 1]:
+                    x, y = words.first[d - i], words.first[d - i + 1]
+                    at = bounds[d - i]
+                    a, b, outside, _ = _outside(raw[at : bounds[d - i + 1]], words.start[x:y] - at, words.end[x:y] - at, spans)
+                    k = np.flatnonzero(hit[x:y] & outside)
+                    all_words.append([{"term": t, "start": s, "rank": r, "end": e} for t, s, r, e in zip(signed[x:y][k].tolist(), a[k].tolist(), rank[x:y][k].tolist(), b[k].tolist())])
+                else:
+                    all_words.append([])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(all_spans, pa.list_(_SPAN)), pa.array(all_words, pa.list_(_WORD))], [id_col, "base", "words"])
+
     src = docs.select(id_col, docs[text_col].cast("string").alias("text"))
-    return mapped(src, run, f"`{id_col}` {kind}, spans {SPANS}, near array<struct<entity:long,term:long,context:long,start:int,end:int>>, bucket int, terms binary, counts binary, n long")
+    return mapped(src, run, f"`{id_col}` {kind}, base {SPANS}, words array<struct<term:long,start:int,rank:int,end:int>>")
 
 
 def _totals(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -182,15 +226,23 @@ def disclosures(observed: DataFrame, buckets: int, contexts: int = CONTEXTS) ->
     return total.join(spread, "entity").join(F.broadcast(all_words)).select("entity", "term", "joint", "total", (F.col("joint") / F.col("total")).alias("posterior"), F.log2((F.col("joint") / F.col("around")) / (F.col("total") / F.col("words"))).alias("bits"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contexts: int = CONTEXTS, posterior: float = POSTERIOR, bits: float = BITS, naming: float = NAMING) -> DataFrame:
-    """(id, base, spans): sorted spans of the entities, and those with the terms that disclose one."""
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contexts: int = CONTEXTS, posterior: float = POSTERIOR, bits: float = BITS, naming: float = NAMING, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+    """(id, base, spans): sorted spans of the entities, and those with every occurrence of the terms that disclose one."""
     buckets = 1 << max(4, (2 * partitions(docs.sparkSession) - 1).bit_length())
-    observed = checkpointed(_observed(docs, id_col, text_col, buckets).withColumn("row", F.monotonically_increasing_id()))
-    told = disclosures(observed, buckets, contexts).where((F.col("posterior") >= posterior) & (F.col("bits") >= bits)).select("entity", "term", F.when(F.col("posterior") >= naming, 5).otherwise(4).alias("rank"))
-    near = observed.where("near is not null").select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
-    extra = near.join(told, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("rank").alias("rank")).groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "rank", "end")).alias("extra"))
-    rows = observed.where("spans is not null").select("row", id_col, "spans")
-    return rows.join(extra, F.col("row") == F.col("r"), "left").select(id_col, F.col("spans").alias("base"), F.sort_array(F.concat("spans", F.coalesce("extra", F.array().cast(SPANS)))).cast(SPANS).alias("spans"))
+    observed = checkpointed(_observed(docs, text_col, buckets))
+    told = disclosures(observed, buckets, contexts).where((F.col("posterior") >= posterior) & (F.col("bits") >= bits))
+    told = checkpointed(told.groupBy("term").agg(F.max(F.when(F.col("posterior") >= naming, 5).otherwise(4)).alias("rank")))
+    if told.count() <= broadcast_terms:
+        known = told.sort("term").toArrow()
+        out = _marked(docs, id_col, text_col, (known.column("term").to_numpy(), known.column("rank").to_numpy()))
+        extra = F.transform("words", lambda w: F.struct(w["start"], w["rank"], w["end"]))
+    else:
+        rows = checkpointed(_marked(docs, id_col, text_col, None).withColumn("row", F.monotonically_increasing_id()))
+        words = rows.select("row", F.explode("words").alias("x")).select("row", "x.term", "x.start", "x.end")
+        found = words.join(told, "term").groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("start", "rank", "end")).alias("extra"))
+        out = rows.drop("words").join(found, F.col("row") == F.col("r"), "left")
+        extra = F.coalesce("extra", F.array().cast(SPANS))
+    return out.select(id_col, "base", F.sort_array(F.concat("base", extra.cast(SPANS))).cast(SPANS).alias("spans"))
 
 
 def sanitised(text: Column, spans: Column) -> Column:

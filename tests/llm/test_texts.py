@@ -147,6 +147,22 @@ def test_terms_that_disclose(spark):
     assert "[EMAIL]" in got and "zanzibar" not in got
 
 
+@pytest.mark.parametrize("broadcast_terms", [pii.BROADCAST_TERMS, 0])
+def test_terms_that_disclose_go_everywhere(spark, broadcast_terms):
+    """Without the entity, far from it, and in letters of other size; inside an entity its own span stands."""
+    rng = random.Random(6)
+    rows = [(i, f"{data.prose(rng, 20)} zanzibar jo@corp.example {data.prose(rng, 20)}") for i in range(12)]
+    rows += [(50, f"é {data.prose(rng, 20)} Zanzibar, {data.prose(rng, 20)} zanzibar"), (51, f"zanzibar {data.prose(rng, 20)} jo@corp.example"), (52, "to zanzibar@corp.example"), (53, "zanzibari")]
+    rows += [(100 + i, data.prose(rng, 40)) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["spans"] for r in pii.find(docs, broadcast_terms=broadcast_terms).collect()}
+    text = dict(rows)
+    marked = {i: [(text[i][s["start"] : s["end"]], s["rank"]) for s in spans] for i, spans in out.items()}
+    assert len(out) == len(rows) and marked[0] == [("zanzibar", 4), ("jo@corp.example", 0)]
+    assert marked[50] == [("Zanzibar", 4), ("zanzibar", 4)] and marked[51] == [("zanzibar", 4), ("jo@corp.example", 0)]
+    assert marked[52] == [("zanzibar@corp.example", 0)] and marked[53] == [] and not any(v for i, v in marked.items() if i >= 100)
+
+
 def plain_codec():
     return bpe.Codec.get(*bpe.vocabulary())
 
