@@ -1,11 +1,12 @@
-"""Operator 4: quality rules with adaptive thresholds.
+"""Operator 4: quality rules with fixed cutoffs that a group's own spread can loosen.
 
 Each text is measured once. A mergeable quantile sketch of every measure is kept for
 each language and source: a table of counts by logarithmic bucket (32 buckets for each
 power of two, so a quantile is right to about 3 %). Sketches merge by adding counts;
 they depend neither on the order nor on the partitions of the rows. Thresholds are
-Tukey fences over the sketches' quartiles and replace fixed cutoffs; a join applies
-them to the rows.
+Tukey fences over the sketches' quartiles where these reach past the fixed cutoffs of
+``MEASURES``, else the cutoffs: a fence never tightens one. A join applies them to the
+rows. The README has figures of how seldom a fence decides.
 
 Null texts are empty (no word: they fail the base rules). Null languages and sources
 form groups of their own. A group with too few rows takes the thresholds of its
