@@ -3,7 +3,9 @@
 Formats with a checkable shape (e-mail, IP, card, phone) are the protected entities.
 Corpus co-occurrence then estimates how strongly a term reveals one: for each entity e
 and each term t in its contexts, ``p(e|t) = joint / count(t)`` and
-``bits = log2(p(t|e) / p(t))``, with count(t) over the whole corpus. A term that stands
+``bits = log2(p(t|e) / p(t))``, with count(t) over the whole corpus. Every word outside
+the entities counts and may be a term, short ones and those with digits too; common words
+fail by p(e|t) and bits. A term that stands
 near one entity in enough distinct contexts and exceeds the disclosure thresholds is
 generalised (``term``) or, when it all but names the entity, removed (``name``), at every
 place of the corpus outside the entities, whether the entity is near or not.
@@ -27,8 +29,8 @@ from petrel.llm.common import PLAIN, Words, checkpointed, mapped, partitions, sl
 
 KINDS = ["email", "ip", "card", "phone", "term", "name"]
 BASE = 4
-#: Words on either side of an entity that form its context; least bytes of a term.
-CONTEXT, LEAST_BYTES = 6, 4
+#: Words on either side of an entity that form its context.
+CONTEXT = 6
 #: Distinct contexts, p(e|t) and bits from which a term is generalised, and p(e|t) from which it is removed.
 CONTEXTS, POSTERIOR, BITS, NAMING = 3, 0.5, 6.0, 0.9
 #: Disclosing terms, of twelve bytes each, up to which they are broadcast; beyond, words meet them by a shuffle.
@@ -102,15 +104,14 @@ def _outside(raw: np.ndarray, start: np.ndarray, end: np.ndarray, spans: list[tu
     return a, b, outside, places
 
 
-def _near(text: str, spans: list[tuple[int, int, int]], places: list[tuple[int, int]], outside: np.ndarray, term: np.ndarray, usable: np.ndarray) -> list[dict]:
-    """The usable words in the contexts of the spans."""
+def _near(text: str, spans: list[tuple[int, int, int]], places: list[tuple[int, int]], outside: np.ndarray, term: np.ndarray) -> list[dict]:
+    """The words in the contexts of the spans."""
     out = []
     for (i, j), (s, _, e) in zip(places, spans):
         k = np.concatenate([np.arange(max(0, i - CONTEXT), i), np.arange(j, min(len(term), j + CONTEXT))])
         k = k[outside[k]]
-        context = int(term[k].sum())
-        k = k[usable[k]]
         if len(k):
+            context = int(term[k].sum())
             entity = _hash(text[s:e].lower())
             out += [{"entity": entity, "term": int(term[x]), "context": context} for x in k]
     return out
@@ -124,11 +125,8 @@ def _observed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
         all_near, all_words, counted = [], [], []
         for i, j, raw, bounds in sliced(column):
             words = Words(raw, bounds, PLAIN)
-            digits = np.concatenate([[0], np.cumsum((raw >= 0x30) & (raw <= 0x39))])
-            usable = (words.end - words.start >= LEAST_BYTES) & (digits[words.end] == digits[words.start])
             signed = words.hash.view(np.int64)
-            counted.append(signed[usable])
-            all_words += np.diff(words.first).tolist()
+            free = np.ones(len(signed), dtype=bool)
             for d in range(i, j):
                 text = column[d].as_py() or ""
                 spans = entities(text)
@@ -136,9 +134,12 @@ def _observed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
                     x, y = words.first[d - i], words.first[d - i + 1]
                     at = bounds[d - i]
                     _, _, outside, places = _outside(raw[at : bounds[d - i + 1]], words.start[x:y] - at, words.end[x:y] - at, spans)
-                    all_near.append(_near(text, spans, places, outside, signed[x:y], usable[x:y]))
+                    all_near.append(_near(text, spans, places, outside, signed[x:y]))
+                    free[x:y] = outside
                 else:
                     all_near.append([])
+            counted.append(signed[free])
+            all_words += np.diff(np.concatenate([[0], np.cumsum(free)])[words.first]).tolist()
         n = len(column)
         terms, counts = np.unique(np.concatenate(counted), return_counts=True) if counted else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         bucket = terms & (buckets - 1)

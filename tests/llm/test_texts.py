@@ -163,6 +163,19 @@ def test_terms_that_disclose_go_everywhere(spark, broadcast_terms):
     assert marked[52] == [("zanzibar@corp.example", 0)] and marked[53] == [] and not any(v for i, v in marked.items() if i >= 100)
 
 
+def test_handles_numbers_and_short_names_disclose(spark):
+    """Words with digits and short ones are terms; a common short word beside each entity is not; words inside entities aren't counted."""
+    rng = random.Random(8)
+    rows = [(i, f"{data.prose(rng, 20)} jdoe77 K4471 Bob a jdoe77@corp.example {data.prose(rng, 20)}") for i in range(12)]
+    rows += [(50, f"{data.prose(rng, 20)} jdoe77 and bob"), (51, "k4471 k4472 bo")]
+    rows += [(100 + i, f"{data.prose(rng, 20)} a {data.prose(rng, 20)}") for i in range(1200)]
+    out = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    marked = {i: [(text[i][s["start"] : s["end"]], s["rank"]) for s in spans] for i, spans in out.items()}
+    assert marked[0] == [("jdoe77", 5), ("K4471", 5), ("Bob", 5), ("jdoe77@corp.example", 0)]
+    assert marked[50] == [("jdoe77", 5), ("bob", 5)] and marked[51] == [("k4471", 5)] and not any(v for i, v in marked.items() if i >= 100)
+
+
 def plain_codec():
     return bpe.Codec.get(*bpe.vocabulary())
 
