@@ -1,9 +1,11 @@
-"""Operator 6: n-gram Jaccard join by a MinHash LSH forest with exact verification.
-
-Rows of equal shingle sets become one node; copies are never paired. A forest of TREES
-prefix tries holds the nodes' signatures, DEPTH values a tree. Matched prefixes start at
-full depth and are shortened until a pair at the threshold meets in some tree with the
-target recall. Nodes that share a prefix are compared by their whole signatures (a byte a
+"""Operator 6: n-gram Jaccard join by MinHash bands with exact verification.
+
+Rows of equal shingle sets become one node; copies are never paired. Signatures are TREES
+trees of DEPTH values. Each tree gives one band: its longest prefix by which a pair at the
+threshold meets in some tree with the target recall, a closed formula of these numbers
+(4 values here). This is the last level of an LSH forest that shortens to that recall, and
+as equal prefixes have equal shorter ones, its candidates are all of the forest's; no trie
+is built. Nodes that share a prefix are compared by their whole signatures (a byte a
 value); those that cannot be ruled out join a candidate family. Families then get their
 shingle sets back, and every pair inside is verified exactly, by population counts over
 bit sets. A family or prefix of more than BLOCK nodes is split into blocks, and each pair
