@@ -27,9 +27,12 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document of least id; of rows repeated in full one."""
-    linked = jaccard.near_duplicates(docs)
-    first = linked.where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
+    # rows that share an id may differ in text: each pair has a key, and a null id none
+    keyed = docs.select(*COLUMNS, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")).alias("key__"))
+    linked = jaccard.near_duplicates(keyed, id_col="key__").where("key__ is not null").select("key__", "class_id").distinct()
+    ids = keyed.where("key__ is not null").select("key__", "doc_id").distinct()
+    first = linked.join(ids, "key__").groupBy("class_id").agg(F.min(F.struct("doc_id", "key__")).alias("first")).select("first.key__")
+    kept = keyed.join(first, "key__", "left_semi")
     once = kept.withColumn("copy__", F.row_number().over(W.partitionBy("doc_id", "text").orderBy("lang", "source", "n_chars"))).where("copy__ = 1").select(*COLUMNS)
     return once.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 

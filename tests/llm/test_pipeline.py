@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,16 @@ def test_near_duplicates_keep_one_of_each_class(spark, folder):
     assert len([r for r in kept if r["doc_id"] is None]) == len([i for i, _ in rows if i is None])
 
 
+def test_near_copies_that_share_an_id_go(spark, folder):
+    """Of a repeated id only the row goes that is a near copy, be it of another document or of a row of the same id."""
+    rng = random.Random(4)
+    a, b, c, d = (data.prose(rng, 80) for _ in range(4))
+    rows = [(3, a), (9, a + " tail"), (9, b), (7, c), (7, c + " tail"), (7, d), (7, d), (8, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s1", len(t or "")) for i, t in rows], data.SCHEMA)
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.remove_near_duplicates(spark, docs, folder).collect()), key=str)
+    assert len(kept) == 6 and {(3, a), (9, b), (7, d), (8, None), (8, "")} < set(kept) and ((7, c) in kept) != ((7, c + " tail") in kept)
+
+
 def test_leaks_go(spark, folder):
     rows = [(i, t) for i, t, *_ in data.rows()]
     leaks = {d for d, *_ in brute.leaks(rows, [(1, data.rows()[11][1]), (2, None)])}
