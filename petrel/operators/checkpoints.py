@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
+    """A reliable checkpoint in the folder that the session's spark.checkpoint.dir names.
+
+    A local master, as in tests, gets a temporary folder where none is set. A cluster must name one that its
+    executors share: a folder of the driver's would lose data, so without one this raises.
+    """
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="checkpoints"))
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
     return df.checkpoint()
