@@ -1,14 +1,19 @@
-"""Shared pieces: vectorised word hashing over Arrow batches, and checkpoints.
+"""Shared pieces: vectorised word hashing over Arrow batches, sorted groups, and checkpoints.
 
 Texts reach Python as Arrow batches. Words are found and hashed with numpy over the
 concatenated UTF-8 bytes of a slice of the batch, so no Python loop runs per word.
 Every separator used here is an ASCII byte, which UTF-8 never uses inside another
 character, so byte positions split exactly where code points do.
+
+A word's hash takes its bytes eight at a time through a bijective mixer, and a window's
+hash joins the hashes of runs of 1, 2, 4, ... words in the same way: neither is a sum, so
+no arrangement of letters or of words cancels out. They find candidates; operators that
+remove, link or report compare the words themselves or a cryptographic digest of them.
 """
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,49 +21,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from petrel.operators import checkpoints
 from petrel.operators.shipping import shipped
 
 #: Bytes of text that one numpy pass takes; a longer text is a pass of its own.
 PASS_BYTES = 1 << 20
+#: Bytes from which a word is hashed by itself.
+LONG_WORD = 256
 
-_BYTE_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_WORD_BASE = np.uint64(0xD6E8FEB86659FD93 | 1)
-
-
-def _inverse(odd: np.uint64) -> np.uint64:
-    return np.uint64(pow(int(odd), -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-class _Powers:
-    """Powers of a base and of its inverse modulo 2**64, grown when needed."""
-
-    def __init__(self, base: np.uint64) -> None:
-        self.base, self.up, self.down = base, _powers(base, 1024), _powers(_inverse(base), 1024)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = max(n, 2 * len(self.up))
-            self.up, self.down = _powers(self.base, size), _powers(_inverse(self.base), size)
-        return self.up[:n], self.down[:n]
-
-
-_BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+_U = np.uint64
+_WORD_SEED, _JOIN_SEED, _STEP = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xD6E8FEB86659FD93)
+#: The first k of eight little-endian bytes.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser: every input bit reaches every output bit."""
-    h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> _U(30))
+    h = h * _U(0xBF58476D1CE4E5B9)
+    h = h ^ (h >> _U(27))
+    h = h * _U(0x94D049BB133111EB)
+    return h ^ (h >> _U(31))
+
+
+def joined_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of the hashes of two runs of words that of the run of both; order matters."""
+    return mix((a * _STEP) ^ (b + _JOIN_SEED))
 
 
 def _table(separators: list[tuple[int, int]], lower: bool) -> np.ndarray:
@@ -84,49 +72,69 @@ class Words:
     def __init__(self, raw: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> None:
         self.raw, self.bounds = raw, bounds
         n = len(raw)
-        low = table[raw]
+        self._low = np.zeros(n + 8, dtype=np.uint8)  # eight bytes may be read from any place
+        self._low[:n] = table[raw]
         inside = np.zeros(n + 2, dtype=bool)
-        inside[1:-1] = low != 0
+        inside[1:-1] = self._low[:n] != 0
         # a word ends where its text ends
-        edge = inside[1:] != inside[:-1]
-        flips = np.flatnonzero(edge)
+        flips = np.flatnonzero(inside[1:] != inside[:-1])
         inner = bounds[1:-1]
         inner = np.unique(inner[(inner > 0) & (inner < n)])
         inner = inner[inside[inner] & inside[inner + 1]]
         if len(inner):
             flips = np.sort(np.concatenate([flips, inner, inner]))
         self.start, self.end = flips[0::2], flips[1::2]
-        up, down = _BYTES.get(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-        self._sums, self._down = sums, down
-        self.hash = self._of(self.start, self.end)
+        self.hash = self._hashes()
         self.doc = np.searchsorted(bounds, self.start, side="right") - 1
         self.first = np.searchsorted(self.start, bounds, side="left")  # words first[d]:first[d+1] are row d's
 
     def forget(self) -> None:
-        """Drop what only prefixes() needs: eight bytes for each of the text's."""
-        self._sums = None
-
-    def _of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self._sums[end] - self._sums[start]) * self._down[start])
+        """Drop what only prefixes() and joined() need: a byte for each of the text's."""
+        self._low = None
+
+    def _eight(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The first ``size`` (8 at most) bytes from each place."""
+        view = np.ndarray(len(self._low) - 7, dtype="<u8", buffer=self._low.data, strides=(1,))
+        return view[at] & _FIRST[np.minimum(size, 8)]
+
+    def _hashes(self) -> np.ndarray:
+        size = self.end - self.start
+        h = mix(self._eight(self.start, size) ^ (size.astype(np.uint64) * _WORD_SEED))
+        left, k = np.flatnonzero(size > 8), 8
+        while len(left) and k < LONG_WORD:
+            h[left] = joined_hash(h[left], self._eight(self.start[left] + k, size[left] - k))
+            k += 8
+            left = left[size[left] > k]
+        for i in left.tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(self._low[self.start[i] : self.end[i]].tobytes(), digest_size=8).digest(), "little")
+        return h
 
     def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(word, hash) of the first n bytes of each word that has more."""
+        """(word, hash) of the first n (8 at most) bytes of each word that has more."""
         at = np.flatnonzero(self.end - self.start > n)
-        return at, mix(self._of(self.start[at], self.start[at] + n) ^ np.uint64(n))
+        return at, mix(self._eight(self.start[at], np.full(len(at), n)) ^ _U(n) ^ _JOIN_SEED)
 
     def windows(self, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(start word, hash) of each window of n consecutive words of one text."""
-        m = len(self.hash)
-        if m < n:
+        m = len(self.hash) - n + 1
+        if m < 1:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-        up, down = _WORDS.get(m + 1)
-        h = self.hash if not salt else mix(self.hash ^ np.uint64(salt))
-        sums = np.zeros(m + 1, dtype=np.uint64)
-        np.cumsum(h * up[:m], out=sums[1:])
-        at = np.flatnonzero(self.doc[n - 1 :] == self.doc[: m - n + 1])
-        return at, mix((sums[at + n] - sums[at]) * down[at])
+        run, size, done, out = mix(self.hash ^ _U(salt)) if salt else self.hash, 1, 0, None
+        while size <= n:
+            if n & size:
+                part = run[done : done + m]
+                out = mix(part ^ _U(n)) if out is None else joined_hash(out, part)
+                done += size
+            if 2 * size <= n:
+                run = joined_hash(run[:-size], run[size:])
+            size *= 2
+        at = np.flatnonzero(self.doc[n - 1 :] == self.doc[:m])
+        return at, out[at]
+
+    def joined(self, row: int) -> bytes:
+        """A row's words, as they are compared, joined by one space."""
+        data = self._low[self.bounds[row] : self.bounds[row + 1]].tobytes()
+        return b" ".join([x for x in data.split(b"\0") if x])
 
 
 def sliced(text: pa.Array, size: int = PASS_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -160,16 +168,36 @@ def mapped(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None],
     return df.mapInArrow(run, schema)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
+def by_group(df: DataFrame, key: str, f: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Apply a function to all rows of each value of an integer column, a run of whole groups at a time.
 
-    The setting is read from the session; only where it is unset (tests) a temporary folder is set.
+    Rows are dealt and sorted by the key and read as a stream: a worker holds one batch and the group that goes
+    on after it, not its partition. Groups must be bounded by their maker.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="checkpoints"))
-    return df.checkpoint()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = b.column(key).to_numpy()
+            last = int(np.searchsorted(keys, keys[-1]))  # where the batch's last group begins
+            if held and held[-1].column(key)[0].as_py() != keys[0]:
+                yield from f(pa.Table.from_batches(held)).to_batches()
+                held = []
+            if last:
+                yield from f(pa.Table.from_batches([*held, b.slice(0, last)])).to_batches()
+                held = []
+            held.append(b.slice(last))
+        if held:
+            yield from f(pa.Table.from_batches(held)).to_batches()
+        pa.default_memory_pool().release_unused()
+
+    shipped(df.sparkSession)
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+
+
+checkpointed = checkpoints.checkpointed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
