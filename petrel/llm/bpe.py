@@ -2,12 +2,16 @@
 
 A text's encoding is an element of a monoid: ``join(encode(a), encode(b)) == encode(a + b)``.
 A text longer than a leaf is halved recursively, each half is encoded by itself, and
-neighbours are joined by re-encoding a window around the boundary. The window grows
-until a piece boundary is found in it that the right half has too; from there on both
-agree, since where the pattern's next match ends depends only on the text from its
-start on. What lies before the window is final when it ends two characters or more
-before the boundary, as no alternative of the pattern looks further ahead. Decoding
-concatenates the bytes of both halves up the same tree.
+neighbours are joined by re-encoding a window around the boundary. Both ends of the window
+grow, from cut to cut, until both halves have a token boundary there. A cut is a place
+between an ASCII letter or digit and a space. No alternative of the pattern goes on from
+the one to the other, and none looks past a letter or digit further than at the next
+character, so a match ends at a cut in every scan, of a half, of the window or of the
+whole. Tokens outside the window are final. All ids come from the library's own encoder;
+no other engine's character tables take part. Where a half has no cut its end is the
+window's. Decoding concatenates the bytes of both halves up the same tree.
+
+The pattern is a parameter; it must have the property above, as those of this family do.
 
 Nulls are empty texts; an empty text has no ids, and its digests are those of empty
 input. Repeated rows and ids give repeated results; no row is dropped.
@@ -20,13 +24,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from petrel.llm.common import mapped, table
 
-#: Code points of a leaf, and of the first window at a boundary.
-LEAF, WINDOW = 1 << 14, 64
+#: Code points (in decoding: ids) of a leaf.
+LEAF = 128
+_SOLID = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class Codec:
@@ -40,7 +44,6 @@ class Codec:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(pattern)
         self.width = [0] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.width[rank] = len(token)
@@ -52,70 +55,59 @@ class Codec:
             cls._loaded[path, pattern] = cls(path, pattern)
         return cls._loaded[path, pattern]
 
-    def encode(self, text: str, leaf: int = LEAF, window: int = WINDOW) -> list[int]:
-        if len(text) <= max(leaf, 4):
-            return self.encoding.encode_ordinary(text)
-        half = len(text) // 2
-        a, b = text[:half], text[half:]
-        return self.join(a, self.encode(a, leaf, window), b, self.encode(b, leaf, window), window)
+    def encode(self, text: str, leaf: int = LEAF) -> list[int]:
+        return self._tree(text, 0, len(text), max(leaf, 1))
+
+    def _tree(self, text: str, lo: int, hi: int, leaf: int) -> list[int]:
+        if hi - lo <= leaf:
+            return self.encoding.encode_ordinary(text[lo:hi])
+        mid = (lo + hi) // 2
+        return self.join(text, lo, mid, hi, self._tree(text, lo, mid, leaf), self._tree(text, mid, hi, leaf))
 
-    def join(self, a: str, left: list[int], b: str, right: list[int], window: int = WINDOW) -> list[int]:
-        """Ids of a + b from those of a and of b."""
-        if not a or not b:
+    def join(self, text: str, lo: int, mid: int, hi: int, left: list[int], right: list[int]) -> list[int]:
+        """Ids of text[lo:hi] from those of text[lo:mid] and of text[mid:hi]."""
+        if not left or not right or (text[mid] == " " and text[mid - 1] in _SOLID):
             return left + right
-        w = window
-        while True:
-            tail, head = a[-w:], b[:w]
-            whole = w >= len(a) and w >= len(b)
-            # the piece boundary of a at or before its window's start is unknown, so the first pieces found
-            # there may be wrong until they fall in step with a's own: a start is safe after a whole piece
-            # that any scan would cut at, and the whole of a always is.
-            start = 0 if w >= len(a) else self._safe_start(tail)
-            if start is None:
-                w *= 2
-                continue
-            base = len(a) - len(tail) + start  # scanning a + b from base equals scanning it from 0
-            joint = tail[start:] + head
-            own = {m.end() for m in self.pattern.finditer(head) if w >= len(b) or m.end() <= len(head) - 4} | {0}
-            edge = len(tail) - start
-            cut, pieces = None, []
-            for m in self.pattern.finditer(joint):
-                pieces.append(m[0])
-                e = m.end()
-                if e >= edge and (w >= len(b) or e <= len(joint) - 4) and (e - edge) in own:
-                    cut = e - edge
-                    break
-            if cut is None and not whole:
-                w *= 2
-                continue
-            if cut is None:
-                return self.encoding.encode_ordinary(a + b)
-            # piece by piece: the window as a text of its own could end in other pieces
-            between = [i for p in pieces for i in self.encoding.encode_ordinary(p)]
-            return self._drop_back(left, len(a[base:].encode())) + between + self._drop_front(right, len(b[:cut].encode()))
-
-    def _safe_start(self, tail: str) -> int | None:
-        """A place in the tail where every scan of the text has a piece boundary, or None.
-
-        Between a letter or number and following white space a match always ends: no alternative spans from
-        the one to the other. It must lie two characters or more before the tail's end, which keeps it final.
-        """
-        m = _CUT.search(tail, 0, max(0, len(tail) - 2))
-        return m.start() + 1 if m else None
-
-    def _drop_back(self, ids: list[int], n: int) -> list[int]:
-        k = len(ids)
+        x, y = mid, mid
+        i = j = None
+        while i is None:
+            x = self._cut_before(text, lo, x)
+            i = self._from_end(left, len(text[x:mid].encode()))
+        while j is None:
+            y = self._cut_after(text, y + 1, hi)
+            j = self._from_start(right, len(text[mid:y].encode()))
+        return left[:i] + self.encoding.encode_ordinary(text[x:y]) + right[j:]
+
+    @staticmethod
+    def _cut_before(text: str, lo: int, at: int) -> int:
+        """The last cut in text[lo:at], or lo."""
+        p = text.rfind(" ", lo + 1, at)
+        while p > lo and text[p - 1] not in _SOLID:
+            p = text.rfind(" ", lo + 1, p)
+        return max(p, lo)
+
+    @staticmethod
+    def _cut_after(text: str, at: int, hi: int) -> int:
+        """The first cut in text[at:hi], or hi."""
+        p = text.find(" ", at, hi)
+        while p >= 0 and text[p - 1] not in _SOLID:
+            p = text.find(" ", p + 1, hi)
+        return p if p >= 0 else hi
+
+    def _from_end(self, ids: list[int], n: int) -> int | None:
+        """How many ids come before the last n bytes, or None if a token spans their start."""
+        k, width = len(ids), self.width
         while n > 0:
             k -= 1
-            n -= self.width[ids[k]]
-        return ids[:k]
+            n -= width[ids[k]]
+        return None if n else k
 
-    def _drop_front(self, ids: list[int], n: int) -> list[int]:
-        k = 0
+    def _from_start(self, ids: list[int], n: int) -> int | None:
+        k, width = 0, self.width
         while n > 0:
-            n -= self.width[ids[k]]
+            n -= width[ids[k]]
             k += 1
-        return ids[k:]
+        return None if n else k
 
     def decode(self, ids: list[int], leaf: int = LEAF) -> bytes:
         if len(ids) <= max(leaf, 1):
@@ -124,16 +116,13 @@ class Codec:
         return self.decode(ids[:half], leaf) + self.decode(ids[half:], leaf)
 
 
-_CUT = regex.compile(r"[\p{L}\p{N}](?=\s)")
-
-
-def encode_texts(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", leaf: int = LEAF) -> DataFrame:
     """``keep`` columns, n_tokens and ids array<int> of each whole text; one row for each input row."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         codec = Codec.get(path, pattern)
         # numbers, not Python lists of them, wait for the batch's end
-        ids = [np.array(codec.encode(x.as_py() or "", leaf, window), dtype=np.int32) for x in b.column(len(keep))]
+        ids = [np.array(codec.encode(x.as_py() or "", leaf), dtype=np.int32) for x in b.column(len(keep))]
         size = np.array([len(x) for x in ids], dtype=np.int64)
         bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
@@ -156,7 +145,7 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     return mapped(src, run, f"{id_col} {dict(src.dtypes)[id_col]}, bytes binary")
 
 
-def encode_digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
+def encode_digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", leaf: int = LEAF) -> DataFrame:
     """Encode and decode in one pass over a batch; only counts and digests leave it.
 
     Returns ``keep`` columns, n_tokens, ids_sha256 and decoded_sha256.
@@ -166,7 +155,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ..
         codec = Codec.get(path, pattern)
         n, ids_hex, out_hex = [], [], []
         for x in b.column(len(keep)):
-            ids = codec.encode(x.as_py() or "", leaf, window)
+            ids = codec.encode(x.as_py() or "", leaf)
             text = codec.text
             n.append(len(ids))
             ids_hex.append(hashlib.sha256(",".join([text[i] for i in ids]).encode()).hexdigest())

@@ -180,21 +180,31 @@ def plain_codec():
     return bpe.Codec.get(*bpe.vocabulary())
 
 
-def test_bpe_equals_whole_text_encoding():
+@pytest.mark.parametrize("leaf", [1, 2, 5, 16, bpe.LEAF, 1 << 14])
+def test_bpe_equals_whole_text_encoding(leaf):
+    """Letters and digits of the newest blocks, controls, every kind of space and mark, at every leaf."""
     codec, rng = plain_codec(), random.Random(4)
     texts = [r[1] or "" for r in data.rows()]
-    alphabet = ["a", "Ab", " ", "  ", "\n", "1", "'re", "'", "é", "中文", "😀", " ", "--", "word", "\t", "ing", ".", "'s"]
+    alphabet = ["a", "Ab", " ", "  ", "\n", "1", "'re", "'", "é", "中文", "😀", "\u00a0", "\u2003", "\u3000", "\x85", "\x1c", "\r\n", "--", "word", "\t", "ing", ".", "'s", "'ll", " x", "\0", "\x7f", "\u180e", "\u200b", "\ufeff", "e\u0301", "\U000323b0", "\U00031350", "\U0001e030", "\U00010d40", "\u1c89", "\ua7da", "\u0378", "Ⅷ", "٣", "²", "\U0010ffff", "\ue000"]
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(400))) for _ in range(150)]
+    texts += ["".join(rng.choice(["\U000323b0", "中", "1", "\u0378", "é"]) for _ in range(700)), " " * 700, "x" * 700, ("q\u00a0" * 300), ("ab  " * 200)]
     for t in texts:
         ids = codec.encoding.encode_ordinary(t)
-        for leaf, window in ((4, 1), (16, 2), (64, 8), (1 << 14, 64)):
-            assert codec.encode(t, leaf, window) == ids, (leaf, window, t[:80])
-        assert codec.decode(ids, 5) == t.encode()
+        assert codec.encode(t, leaf) == ids, t[:80]
+        assert codec.decode(ids, leaf) == t.encode()
+
+
+def test_bpe_joins_at_every_place():
+    codec = plain_codec()
+    for t in ("it's  a test\n\n of 12ab, 'll we'll \u00a0x é\U000323b0 b", "don't", "a b", "a  b", "\n a1 "):
+        for k in range(len(t) + 1):
+            a, b = codec.encoding.encode_ordinary(t[:k]), codec.encoding.encode_ordinary(t[k:])
+            assert codec.join(t, 0, k, len(t), a, b) == codec.encoding.encode_ordinary(t), (t, k)
 
 
 def test_bpe_frames(spark):
     path, pattern = bpe.vocabulary()
-    enc = bpe.encode_texts(data.docs(spark), path, pattern, leaf=64, window=4)
+    enc = bpe.encode_texts(data.docs(spark), path, pattern, leaf=5)
     codec = plain_codec()
     want = Counter((r[0], tuple(codec.encoding.encode_ordinary(r[1] or ""))) for r in data.rows())
     assert Counter((r["doc_id"], tuple(r["ids"])) for r in enc.collect()) == want
