@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the session's spark.checkpoint.dir names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session's spark.checkpoint.dir names.
 
     A local master, as in tests, gets a temporary folder where none is set. A cluster must name one that its
     executors share: a folder of the driver's would lose data, so without one this raises.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", "")
-        if not folder and not sc.master.split("[")[0] == "local":
+    folder = spark.conf.get("spark.checkpoint.dir", "") or getattr(sc, "_petrel_folder", "")
+    if not folder:
+        if sc.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = sc._petrel_folder = tempfile.mkdtemp(prefix="checkpoints")
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
