@@ -29,19 +29,22 @@ o AS (SELECT conv_id, count(*) AS n_turns,
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(f - n_turns AS BIGINT) AS formatted_chars FROM o
 """
 
-_HI = [m for m in quality.MEASURES]
-_LO = [m for m, (_, lo) in quality.MEASURES.items() if lo is not None]
+_FENCES = quality.FENCES
+_LO = [m for m, f in _FENCES.items() if f.below]
 
 
 def _fences(level: int, keys: list[str]) -> str:
     by = "".join(f"{k}, " for k in keys)
     part = f"PARTITION BY {by}measure" if keys else "PARTITION BY measure"
     names = "".join(f"{k} AS {k}_{level}, " for k in keys)
-    wide = ", ".join(f"greatest(max(q3) FILTER (measure = '{m}') + {quality.REACH} * greatest(max(q3 - q1) FILTER (measure = '{m}'), 1), {hi}) AS {m}_hi_{level}" for m, (hi, _) in quality.MEASURES.items())
-    low = "".join(f", least(max(q1) FILTER (measure = '{m}') - {quality.REACH} * greatest(max(q3 - q1) FILTER (measure = '{m}'), 1), {quality.MEASURES[m][1]}) AS {m}_lo_{level}" for m in _LO)
-    quart = lambda q: f"min((bucket % 64) << (bucket // 64)) FILTER (cum >= {q} * total)"
+    at = sorted({0.5, *(q for f in _FENCES.values() for q in (f.middle, f.high))})
+    of = lambda m, q: f"max(q{round(100 * q)}) FILTER (measure = '{m}')"
+    spread = lambda m, f: f"greatest({of(m, f.high)} - {of(m, f.middle)}, {f.event * f.scale} // greatest({of(f.whole, 0.5)}, 1), 1)"
+    wide = ", ".join(f"{of(m, f.high)} + {f.reach} * {spread(m, f)} AS {m}_hi_{level}" for m, f in _FENCES.items())
+    low = "".join(f", {of(m, _FENCES[m].middle)} - {_FENCES[m].reach} * {spread(m, _FENCES[m])} AS {m}_lo_{level}" for m in _LO)
+    quantile = lambda q: f"min((bucket % 64) << (bucket // 64)) FILTER (cum * 100 >= total * {round(100 * q)}) AS q{round(100 * q)}"
     group = f"GROUP BY {', '.join(map(str, range(1, len(keys) + 1)))}" if keys else ""
-    inner = f"SELECT {by}measure, max(total) AS total, {quart(0.25)} AS q1, {quart(0.75)} AS q3 FROM (SELECT {by}measure, bucket, sum(n) OVER ({part} ORDER BY bucket) AS cum, sum(n) OVER ({part}) AS total FROM (SELECT {by}measure, bucket, count(*) AS n FROM b GROUP BY ALL)) GROUP BY ALL"
+    inner = f"SELECT {by}measure, max(total) AS total, {', '.join(map(quantile, at))} FROM (SELECT {by}measure, bucket, sum(n) OVER ({part} ORDER BY bucket) AS cum, sum(n) OVER ({part}) AS total FROM (SELECT {by}measure, bucket, count(*) AS n FROM b GROUP BY ALL)) GROUP BY ALL"
     return f"f{level} AS (SELECT {names}max(total) AS rows_{level}, {wide}{low} FROM ({inner}) {group})"
 
 
@@ -49,21 +52,19 @@ def _picked(c: str) -> str:
     return f"CASE WHEN rows_2 >= {quality.LEAST_ROWS} THEN {c}_2 WHEN rows_1 >= {quality.LEAST_ROWS} THEN {c}_1 ELSE {c}_0 END"
 
 
-_SHARES = {"symbol_share": ("n_symbols", "word_chars", 10000), "dup_line_share": ("n_dup_lines", "n_lines", 10000), "repeat_share": ("n_repeat_words", "n_words", 10000), "word_len": ("word_chars", "n_words", 100)}
-
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, {_SPACED} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
 g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS h FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
 c AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS k FROM (SELECT r, i, count(*) OVER (PARTITION BY r, h) AS c FROM g) WHERE c > 1) GROUP BY r),
 m AS MATERIALIZED (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM d LEFT JOIN c USING (r)),
-s AS MATERIALIZED (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed, {", ".join(f"CASE WHEN {w} > 0 THEN {p} * {k} // {w} ELSE 0 END AS {c}" for c, (p, w, k) in _SHARES.items())} FROM m),
-u AS (SELECT lang, source, unnest([{", ".join(f"'{c}'" for c in _SHARES)}]) AS measure, unnest([{", ".join(_SHARES)}]) AS v FROM s WHERE NOT base_failed),
+s AS MATERIALIZED (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed, {", ".join(f"CASE WHEN {f.whole} > 0 THEN {f.part} * {f.scale} // {f.whole} ELSE 0 END AS {m}" for m, f in _FENCES.items())} FROM m),
+u AS (SELECT lang, source, unnest([{", ".join(f"'{m}'" for m in quality.MEASURES)}]) AS measure, unnest([{", ".join(quality.MEASURES)}]) AS v FROM s WHERE NOT base_failed),
 b AS MATERIALIZED (SELECT lang, source, measure, e * 64 + (v >> e) AS bucket FROM (SELECT *, greatest(0, length(bin(v)) - 6) AS e FROM u)),
 {_fences(2, ["lang", "source"])},
 {_fences(1, ["lang"])},
 {_fences(0, [])},
-t AS (SELECT lang_2, source_2, {", ".join(f"{_picked(f'{m}_hi')} AS {m}_hi" for m in _HI)}, {", ".join(f"{_picked(f'{m}_lo')} AS {m}_lo" for m in _LO)} FROM f2 LEFT JOIN f1 ON lang_2 IS NOT DISTINCT FROM lang_1 CROSS JOIN f0)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({" AND ".join([*(f"{m} <= {m}_hi" for m in _HI), *(f"{m} >= {m}_lo" for m in _LO)])}, true) AS kept
+t AS (SELECT lang_2, source_2, {", ".join(f"{_picked(f'{m}_hi')} AS {m}_hi" for m in _FENCES)}, {", ".join(f"{_picked(f'{m}_lo')} AS {m}_lo" for m in _LO)} FROM f2 LEFT JOIN f1 ON lang_2 IS NOT DISTINCT FROM lang_1 CROSS JOIN f0)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({" AND ".join([*(f"{m} <= {m}_hi" for m in _FENCES), *(f"{m} >= {m}_lo" for m in _LO)])}, true) AS kept
 FROM s LEFT JOIN t ON lang IS NOT DISTINCT FROM lang_2 AND source IS NOT DISTINCT FROM source_2
 """
 

@@ -1,20 +1,23 @@
-"""Operator 4: quality rules with fixed cutoffs that a group's own spread can loosen.
+"""Operator 4: quality rules whose thresholds are learned for each language and source.
 
 Each text is measured once. A mergeable quantile sketch of every measure is kept for
 each language and source: a table of counts by logarithmic bucket (32 buckets for each
 power of two, so a quantile is right to about 3 %). Sketches merge by adding counts;
-they depend neither on the order nor on the partitions of the rows. Thresholds are
-Tukey fences over the sketches' quartiles where these reach past the fixed cutoffs of
-``MEASURES``, else the cutoffs: a fence never tightens one. A join applies them to the
-rows. The README has figures of how seldom a fence decides.
+they depend neither on the order nor on the partitions of the rows. The fence of a
+measure lies some spreads beyond a quantile of its group, the spread being the distance
+between two quantiles, or, where the usual texts are all alike, what one event more (a
+symbol, a line, a window, a hundredth of a character) makes in a text of the group's
+median size. No fixed cutoff takes part. A join applies the fences to the rows.
 
 Null texts are empty (no word: they fail the base rules). Null languages and sources
-form groups of their own. A group with too few rows takes the thresholds of its
-language, else those of all rows. Empty tables give an empty result.
+form groups of their own. A group with too few rows takes the fences of its language,
+else those of all rows. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,10 +27,38 @@ from petrel.llm.common import SPACED, Words, checkpointed, mapped, sliced, table
 
 #: Base rules: least words; most percent of words in repeated 5-word windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: Rows from which a group has thresholds of its own; fences reach so many quartile ranges out.
-LEAST_ROWS, REACH = 50, 6
-#: measure: (least upper fence, most lower fence), in ten-thousandths, or hundredths of a code point for word_len.
-MEASURES = {"symbol_share": (400, None), "dup_line_share": (5000, None), "repeat_share": (2000, None), "word_len": (1400, 250)}
+#: Rows from which a group has fences of its own.
+LEAST_ROWS = 50
+
+
+@dataclass(frozen=True)
+class Fence:
+    """``part`` of ``whole``, in units of 1 / ``scale``; rejected beyond the quantile ``high`` by ``reach`` spreads.
+
+    The spread is the distance from the quantile ``middle`` to ``high``, or what ``event`` parts more make in a
+    text of median size. ``below``: also rejected as far beneath ``middle``.
+    """
+
+    part: str
+    whole: str
+    scale: int
+    event: int
+    middle: float
+    high: float
+    reach: int
+    below: bool = False
+
+
+#: Shares are mostly zero, with a tail: that of symbols is made by other texts, which quartiles don't see; those of
+#: repeats are usual at times, so their fences start far up.
+FENCES = {
+    "symbol_share": Fence("n_symbols", "word_chars", 10_000, 1, 0.25, 0.75, 6),
+    "dup_line_share": Fence("n_dup_lines", "n_lines", 10_000, 1, 0.5, 0.99, 2),
+    "repeat_share": Fence("n_repeat_words", "n_words", 10_000, 5, 0.5, 0.99, 2),
+    "word_len": Fence("word_chars", "n_words", 100, 1, 0.25, 0.75, 8, True),
+}
+SIZES = ["n_words", "n_lines", "word_chars"]
+MEASURES = [*FENCES, *SIZES]
 
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
@@ -93,7 +124,7 @@ def _share(part: str, whole: str, scale: int) -> Column:
 
 
 def with_measures(counts: DataFrame) -> DataFrame:
-    return counts.withColumns({"symbol_share": _share("n_symbols", "word_chars", 10_000), "dup_line_share": _share("n_dup_lines", "n_lines", 10_000), "repeat_share": _share("n_repeat_words", "n_words", 10_000), "word_len": _share("word_chars", "n_words", 100)})
+    return counts.withColumns({m: _share(f.part, f.whole, f.scale) for m, f in FENCES.items()})
 
 
 def bucket_of(value: Column) -> Column:
@@ -118,13 +149,13 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, keys: list[str], at: dict[str, float]) -> DataFrame:
-    """(keys, measure, total, one column for each name of ``at``)."""
+    """(keys, measure, total, one column for each name of ``at``); quantiles are whole hundredths."""
     # a sketch has a few hundred buckets at most, whatever it has counted
     listed = sketches.groupBy(*keys, "measure").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("sketch__"))
 
     def upto(q: float) -> Column:
         start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("bucket"))
-        step = lambda a, x: F.when((a["bucket"] >= 0), a).otherwise(F.struct((a["n"] + x["n"]).alias("n"), F.when(a["n"] + x["n"] >= q * F.col("total"), x["bucket"]).otherwise(F.lit(-1)).alias("bucket")))
+        step = lambda a, x: F.when((a["bucket"] >= 0), a).otherwise(F.struct((a["n"] + x["n"]).alias("n"), F.when((a["n"] + x["n"]) * 100 >= F.col("total") * round(100 * q), x["bucket"]).otherwise(F.lit(-1)).alias("bucket")))
         return F.aggregate("sketch__", start, step, lambda a: a["bucket"])
 
     out = listed
@@ -133,22 +164,25 @@ def quantiles(sketches: DataFrame, keys: list[str], at: dict[str, float]) -> Dat
     return out.drop("sketch__", "at__")
 
 
-def thresholds(sketches: DataFrame, least_rows: int = LEAST_ROWS, reach: int = REACH) -> DataFrame:
-    """One row for each language and source: <measure>_hi and <measure>_lo (null: no fence)."""
-    fences = []
+def thresholds(sketches: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """One row for each language and source: <measure>_hi and, for measures with a lower fence, <measure>_lo."""
+    at = {f"q{round(100 * q)}": q for q in sorted({0.5, *(q for f in FENCES.values() for q in (f.middle, f.high))})}
+    levels = []
     for keys in (["lang", "source"], ["lang"], []):
-        q = quantiles(merged(sketches, keys), keys, {"q1": 0.25, "q3": 0.75})
+        q = quantiles(merged(sketches, keys), keys, at)
         wide = [F.max("total").alias(f"rows_{len(keys)}")]
-        for m, (hi, lo) in MEASURES.items():
+        for m, f in FENCES.items():
             of = lambda c, m=m: F.max(F.when(F.col("measure") == m, F.col(c)))
-            spread = F.greatest(of("q3") - of("q1"), F.lit(1))
-            wide.append(F.greatest(of("q3") + reach * spread, F.lit(hi)).alias(f"{m}_hi_{len(keys)}"))
-            if lo is not None:
-                wide.append(F.least(of("q1") - reach * spread, F.lit(lo)).alias(f"{m}_lo_{len(keys)}"))
-        fences.append(q.groupBy(*(F.col(k).alias(f"{k}_{len(keys)}") for k in keys)).agg(*wide))
-    fine, by_lang, everything = fences
+            high, middle = of(f"q{round(100 * f.high)}"), of(f"q{round(100 * f.middle)}")
+            step = F.floor(F.lit(f.event * f.scale) / F.greatest(of("q50", f.whole), F.lit(1)))
+            spread = F.greatest(high - middle, step, F.lit(1))
+            wide.append((high + f.reach * spread).alias(f"{m}_hi_{len(keys)}"))
+            if f.below:
+                wide.append((middle - f.reach * spread).alias(f"{m}_lo_{len(keys)}"))
+        levels.append(q.groupBy(*(F.col(k).alias(f"{k}_{len(keys)}") for k in keys)).agg(*wide))
+    fine, by_lang, everything = levels
     both = fine.join(by_lang, F.col("lang_2").eqNullSafe(F.col("lang_1")), "left").join(F.broadcast(everything))
-    names = [f"{m}_hi" for m in MEASURES] + [f"{m}_lo" for m, (_, lo) in MEASURES.items() if lo is not None]
+    names = [f"{m}_hi" for m in FENCES] + [f"{m}_lo" for m, f in FENCES.items() if f.below]
     pick = lambda c: F.when(F.col("rows_2") >= least_rows, F.col(f"{c}_2")).when(F.col("rows_1") >= least_rows, F.col(f"{c}_1")).otherwise(F.col(f"{c}_0"))
     return both.select(F.col("lang_2").alias("t_lang"), F.col("source_2").alias("t_source"), *(pick(c).alias(c) for c in names))
 
@@ -157,20 +191,20 @@ def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """Adds base_failed and kept. A hot source is a skewed key of the join only if the limits are too many to broadcast."""
     out = rows.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left").drop("t_lang", "t_source")
     passes = F.lit(True)
-    for m, (_, lo) in MEASURES.items():
+    for m, f in FENCES.items():
         passes &= F.col(m) <= F.col(f"{m}_hi")
-        if lo is not None:
+        if f.below:
             passes &= F.col(m) >= F.col(f"{m}_lo")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(passes, F.lit(True)))
 
 
-def quality(docs: DataFrame, least_rows: int = LEAST_ROWS, reach: int = REACH, **columns: str) -> DataFrame:
+def quality(docs: DataFrame, least_rows: int = LEAST_ROWS, **columns: str) -> DataFrame:
     """(id, lang, source, counts, measures, base_failed, kept) of every row."""
     rows = with_measures(checkpointed(measured(docs, **columns)))
     # rows that fail the base rules don't shape what is usual
     usual = rows.where(f"n_words >= {LEAST_WORDS} and 100 * n_repeat_words <= {MOST_REPEATED} * n_words")
-    return judged(rows, thresholds(sketch(usual, ["lang", "source"], list(MEASURES)), least_rows, reach))
+    return judged(rows, thresholds(sketch(usual, ["lang", "source"], MEASURES), least_rows))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
