@@ -68,7 +68,7 @@ def quality(text):
 
 def secrets(text):
     t = text or ""
-    out = [(m.start(), 0, "assign", m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 6]
+    out = [(m.start(), 0, "assign", m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.ASCII) if len(m[2]) >= 6]
     out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
     return sorted(out + [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24])
 
@@ -124,13 +124,14 @@ def near(rows, least=Fraction(4, 5)):
 
 
 def leaks(docs, items, least=Fraction(4, 5)):
-    held, wanted = defaultdict(set), defaultdict(set)
-    for i, t in docs:
-        w = plain(t)
-        if i is not None:
-            held[i] |= {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    wanted = defaultdict(set)
     for i, t in items:
+        if i is not None:
+            wanted[i] |= shingles(t)
+    lengths = {len(g) for s in wanted.values() for g in s}
+    held = defaultdict(set)
+    for i, t in docs:
         w = plain(t)
         if i is not None:
-            wanted[i] |= {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+            held[i] |= {tuple(w[k : k + n]) for n in lengths for k in range(len(w) - n + 1)}
     return {(d, i, len(s & h), len(s)) for d, h in held.items() for i, s in wanted.items() if s and Fraction(len(s & h), len(s)) >= least}

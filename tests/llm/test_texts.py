@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
@@ -86,6 +87,20 @@ def test_quality_thresholds_follow_the_group(spark):
     assert not kept[0] and all(kept[i] for i in range(1, 160))
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are not here")
+def test_quality_verdicts_are_no_fixed_cutoffs(spark):
+    """Fences differ by group, and no single cutoff of a measure parts the texts that it alone rejects from the kept ones."""
+    out = quality.quality(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("not base_failed").toPandas()
+    fails = {}
+    for m in quality.FENCES:
+        assert out[f"{m}_hi"].nunique() > 1
+        fails[m] = out[m] > out[f"{m}_hi"]
+    alone = {m: out[x & ~sum((y for n, y in fails.items() if n != m), start=x & False).astype(bool)][m] for m, x in fails.items()}
+    kept = out[out["kept"]]
+    assert any(len(x) and x.min() <= kept[m].max() for m, x in alone.items())
+    assert 0.85 < out["kept"].mean() < 0.99
+
+
 def test_secrets(spark):
     paths = secrets.versions(data.docs(spark))
     found = secrets.findings(paths, secrets.scan_unseen(paths)).collect()
@@ -97,17 +112,30 @@ def test_secrets(spark):
     assert secrets.findings(none, secrets.scan_unseen(none)).count() == 0
 
 
-def test_secret_ledger_scans_unseen_pairs_only(spark):
-    first = secrets.versions(spark.createDataFrame([(1, "token=abcdefgh"), (2, "clean")], "doc_id long, text string"))
-    ledger = secrets.scan_unseen(first)
-    both = secrets.versions(spark.createDataFrame([(1, "token=abcdefgh"), (1, "token=abcdefgh v2"), (3, "clean")], "doc_id long, text string"))
-    more = secrets.scan_unseen(both, ledger)
-    assert more.count() == 1
-    newer = (secrets.Rule("assign", 2, "abc", 0),)
-    again = secrets.scan_unseen(both, ledger.unionByName(more), newer)
-    assert {tuple(r["scanned"]) for r in again.collect()} == {("assign@2",)} and again.count() == 3
-    spans = {r["path"]: len(r["spans"]) for r in secrets.findings(both, ledger.unionByName(more)).collect()}
-    assert spans == {1: 1, 3: 0}
+def test_secret_ledger_is_loaded_and_extended(spark, tmp_path):
+    """Three runs on one table: versions of a path, blobs seen before, a rule's new version, a run that is repeated."""
+    store = str(tmp_path / "ledger")
+    paths = lambda rows: secrets.versions(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert secrets.load(spark, store).count() == 0
+    first = secrets.scan(paths([(1, "token=abcdefgh"), (2, "clean"), (4, "clean")]), store)
+    assert {r["path"]: len(r["spans"]) for r in first.collect()} == {1: 1, 2: 0, 4: 0} and secrets.load(spark, store).count() == 2
+    both = paths([(1, "token=abcdefgh"), (1, "token=abcdefgh v2"), (3, "clean")])
+    assert secrets.scan_unseen(both, secrets.load(spark, store)).count() == 1
+    second = secrets.scan(both, store)
+    assert sorted((r["path"], len(r["spans"])) for r in second.collect()) == [(1, 1), (1, 1), (3, 0)] and secrets.load(spark, store).count() == 3
+    newer = (secrets.Rule("assign", 2, "abc", 0), *secrets.RULES[1:])
+    assert {tuple(r["scanned"]) for r in secrets.scan_unseen(both, secrets.load(spark, store), newer).collect()} == {("assign@2",)}
+    secrets.scan(both, store, newer)
+    assert secrets.load(spark, store).count() == 6 and secrets.scan_unseen(both, secrets.load(spark, store), newer).count() == 0
+    secrets.load(spark, store).limit(2).write.mode("append").parquet(store)  # as if an append had been repeated
+    assert sorted((r["path"], len(r["spans"])) for r in secrets.findings(both, secrets.load(spark, store)).collect()) == [(1, 2), (1, 2), (3, 0)]
+
+
+def test_secret_letters_are_ascii():
+    scan = secrets.scanner(secrets.RULES)
+    every = {r.key for r in secrets.RULES}
+    for t in ("\u017fecret=abcdefgh", "secret \u017fecret=abcdefgh", "to\u212aen=abcdefgh token", "SeCrEt=abcdefgh \u017fecret=abcdefgh", "İ token=abcdefgh"):
+        assert sorted((s["start"], s["rank"], s["end"]) for s in scan(t, every)) == [(a, k, b) for a, k, _, b in brute.secrets(t)], t
 
 
 def test_personal_data(spark):
