@@ -7,7 +7,7 @@ and each term t in its contexts, ``p(e|t) = joint / count(t)`` and
 the entities counts and may be a term, short ones and those with digits too; common words
 fail by p(e|t) and bits. A term that stands
 near one entity in enough distinct contexts and exceeds the disclosure thresholds is
-generalised (``term``) or, when it all but names the entity, removed (``name``), at every
+generalised (``term``) to a broader class or, when it all but names the entity, removed (``name``), at every
 place of the corpus outside the entities, whether the entity is near or not.
 
 Null texts are empty. Null and repeated ids are rows like others: one row out for each
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from petrel.llm.common import PLAIN, Words, checkpointed, mapped, partitions, sliced, table
+from petrel.llm.common import PLAIN, Words, checkpointed, mapped, sliced, table
 
 KINDS = ["email", "ip", "card", "phone", "term", "name"]
 BASE = 4
@@ -117,14 +117,15 @@ def _near(text: str, spans: list[tuple[int, int, int]], places: list[tuple[int,
     return out
 
 
-def _observed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
-    """One row for each text with the terms near its entities, and rows of term counts by bucket of the hash."""
+def _observed(docs: DataFrame, text_col: str) -> DataFrame:
+    """One row for each text with the terms near its entities and its number of words, and one for each batch with its words' counts."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(0)
         all_near, all_words, counted = [], [], []
         for i, j, raw, bounds in sliced(column):
             words = Words(raw, bounds, PLAIN)
+            words.forget()
             signed = words.hash.view(np.int64)
             free = np.ones(len(signed), dtype=bool)
             for d in range(i, j):
@@ -138,28 +139,19 @@ def _observed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
                     free[x:y] = outside
                 else:
                     all_near.append([])
-            counted.append(signed[free])
+            counted.append(np.unique(signed[free], return_counts=True))
             all_words += np.diff(np.concatenate([[0], np.cumsum(free)])[words.first]).tolist()
-        n = len(column)
-        terms, counts = np.unique(np.concatenate(counted), return_counts=True) if counted else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        bucket = terms & (buckets - 1)
-        order = np.argsort(bucket, kind="stable")
-        terms, counts, cuts = terms[order], counts[order].astype(np.int32), np.searchsorted(bucket[order], np.arange(buckets + 1))
-        full = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
-        m = len(full)
+        terms, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *(x for x, _ in counted)]), return_inverse=True)
+        counts = np.bincount(inverse, weights=np.concatenate([np.zeros(0, np.int64), *(n for _, n in counted)]), minlength=len(terms)).astype(np.int64)
+        rows, ends = len(column), np.zeros(len(column) + 2, dtype=np.int32)
+        ends[-1] = len(terms)
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([*all_near, *[None] * m], pa.list_(_NEAR)),
-                pa.array([*[None] * n, *full], pa.int32()),
-                pa.array([*[None] * n, *[terms[cuts[k] : cuts[k + 1]].tobytes() for k in full]], pa.binary()),
-                pa.array([*[None] * n, *[counts[cuts[k] : cuts[k + 1]].tobytes() for k in full]], pa.binary()),
-                pa.array([*all_words, *[None] * m], pa.int64()),
-            ],
-            ["near", "bucket", "terms", "counts", "n"],
-        )
+            [pa.array([*all_near, None], pa.list_(_NEAR)), pa.ListArray.from_arrays(pa.array(ends), pa.array(terms)), pa.ListArray.from_arrays(pa.array(ends), pa.array(counts)), pa.array([*all_words, None], pa.int64())],
+            ["near", "terms", "counts", "n"],
+        ) if rows else None
 
     src = docs.select(docs[text_col].cast("string").alias("text"))
-    return mapped(src, run, "near array<struct<entity:long,term:long,context:long>>, bucket int, terms binary, counts binary, n long")
+    return mapped(src, run, "near array<struct<entity:long,term:long,context:long>>, terms array<long>, counts array<long>, n long")
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, told: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
@@ -200,38 +192,25 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, told: tuple[np.ndarray,
     return mapped(src, run, f"`{id_col}` {kind}, base {SPANS}, words array<struct<term:long,start:int,rank:int,end:int>>")
 
 
-def _totals(left: pa.Table, right: pa.Table) -> pa.Table:
-    """left: count rows of a bucket; right: its (entity, term, ...) rows. Adds each term's count over the corpus."""
-    terms = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_py(), np.int64) for x in left.column("terms"))])
-    counts = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_py(), np.int32) for x in left.column("counts"))])
-    wanted = right.column("term").to_numpy()
-    keys = np.unique(wanted)
-    at = np.searchsorted(keys, terms)
-    hit = at < len(keys)
-    hit[hit] = keys[at[hit]] == terms[hit]
-    total = np.bincount(at[hit], weights=counts[hit], minlength=len(keys)).astype(np.int64)
-    return pa.table({"entity": right.column("entity"), "term": right.column("term"), "joint": right.column("joint"), "total": pa.array(total[np.searchsorted(keys, wanted)] if len(keys) else np.zeros(0, np.int64))})
-
-
-def disclosures(observed: DataFrame, buckets: int, contexts: int = CONTEXTS) -> DataFrame:
+def disclosures(observed: DataFrame, contexts: int = CONTEXTS, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """(entity, term, joint, total, posterior, bits) of the pairs that stand together in enough distinct contexts."""
     pairs = observed.where("near is not null").select(F.explode("near").alias("x")).select("x.*")
-    at = F.col("term").bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int").alias("bucket")
     # contexts are counted from one row for each, so a hot pair is one row a context and map task
     joint = pairs.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("c")).groupBy("entity", "term").agg(F.sum("c").alias("joint"), F.count(F.lit(1)).alias("contexts"))
     spread = joint.groupBy("entity").agg(F.sum("joint").alias("around"))
-    enough = joint.where(F.col("contexts") >= contexts).select("entity", "term", "joint", at)
-    counts = observed.where("bucket is not null").select("bucket", "terms", "counts")
-    total = counts.groupBy("bucket").cogroup(enough.groupBy("bucket")).applyInArrow(_totals, "entity long, term long, joint long, total long")
+    enough = checkpointed(joint.where(F.col("contexts") >= contexts).join(spread, "entity").select("entity", "term", "joint", "around"))
+    # of all words' counts only those of these terms leave their task
+    wanted = checkpointed(enough.select("term").distinct())
+    counts = observed.where("size(terms) > 0").select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.counts").alias("n"))
+    total = counts.join(F.broadcast(wanted) if wanted.count() <= broadcast_terms else wanted, "term").groupBy("term").agg(F.sum("n").alias("total"))
     all_words = observed.agg(F.sum("n").alias("words"))
-    return total.join(spread, "entity").join(F.broadcast(all_words)).select("entity", "term", "joint", "total", (F.col("joint") / F.col("total")).alias("posterior"), F.log2((F.col("joint") / F.col("around")) / (F.col("total") / F.col("words"))).alias("bits"))
+    return enough.join(total, "term").join(F.broadcast(all_words)).select("entity", "term", "joint", "total", (F.col("joint") / F.col("total")).alias("posterior"), F.log2((F.col("joint") / F.col("around")) / (F.col("total") / F.col("words"))).alias("bits"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contexts: int = CONTEXTS, posterior: float = POSTERIOR, bits: float = BITS, naming: float = NAMING, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """(id, base, spans): sorted spans of the entities, and those with every occurrence of the terms that disclose one."""
-    buckets = 1 << max(4, (2 * partitions(docs.sparkSession) - 1).bit_length())
-    observed = checkpointed(_observed(docs, text_col, buckets))
-    told = disclosures(observed, buckets, contexts).where((F.col("posterior") >= posterior) & (F.col("bits") >= bits))
+    observed = checkpointed(_observed(docs, text_col))
+    told = disclosures(observed, contexts, broadcast_terms).where((F.col("posterior") >= posterior) & (F.col("bits") >= bits))
     told = checkpointed(told.groupBy("term").agg(F.max(F.when(F.col("posterior") >= naming, 5).otherwise(4)).alias("rank")))
     if told.count() <= broadcast_terms:
         known = told.sort("term").toArrow()
@@ -246,18 +225,26 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contex
     return out.select(id_col, "base", F.sort_array(F.concat("base", extra.cast(SPANS))).cast(SPANS).alias("spans"))
 
 
+def _broader(term: Column) -> Column:
+    """The class that stands for a generalised term: of numbers, of codes with digits, of capitalised or of other words."""
+    digits, digit, capital = term.rlike("^[0-9]+$"), term.rlike("[0-9]"), term.rlike(r"^\p{Lu}")
+    return F.when(digits, "[NUMBER]").when(digit, "[CODE]").when(capital, "[PROPER NOUN]").otherwise("[WORD]")
+
+
 def sanitised(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets, or by nothing if it is to be removed.
+    """The text with each entity replaced by its kind in brackets, a generalised term by the broader class that its
+    letters show, and a term that is to be removed by nothing.
 
     Where spans overlap, the earlier (then the longer-ranked) stands; what it covers goes with it.
     """
-    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS[:-1]), F.lit(""))
+    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS[:BASE]), F.lit(None).cast("string"), F.lit(""))
     start = F.struct(F.lit(0).alias("done"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
         fits = s["start"] >= acc["done"]
         between = F.substring(text, acc["done"] + 1, s["start"] - acc["done"])
-        return F.struct(F.when(fits, s["end"]).otherwise(F.greatest(acc["done"], s["end"])).alias("done"), F.when(fits, F.concat(acc["parts"], F.array(between, F.element_at(names, s["rank"] + 1)))).otherwise(acc["parts"]).alias("parts"))
+        instead = F.coalesce(F.element_at(names, s["rank"] + 1), _broader(F.substring(text, s["start"] + 1, s["end"] - s["start"])))
+        return F.struct(F.when(fits, s["end"]).otherwise(F.greatest(acc["done"], s["end"])).alias("done"), F.when(fits, F.concat(acc["parts"], F.array(between, instead))).otherwise(acc["parts"]).alias("parts"))
 
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["done"] + 1, F.length(text)))))
 
