@@ -103,5 +103,5 @@ def test_queries_run_with_stable_columns(spark, name):
 
 
 def test_sanitised_overlaps(spark):
-    df = spark.createDataFrame([("abcdefgh", [(0, 0, 3), (2, 4, 5), (6, 5, 8)]), ("x", [])], f"t string, s {pii.SPANS}")
-    assert [r[0] for r in df.select(pii.sanitised(F.col("t"), F.col("s"))).collect()] == ["[EMAIL]f", "x"]
+    df = spark.createDataFrame([("abcdefgh", [(0, 0, 3), (2, 4, 5), (6, 5, 8)]), ("x", []), ("Zoë k4 75011 zoë", [(0, 4, 3), (4, 4, 6), (7, 4, 12), (13, 4, 16)])], f"t string, s {pii.SPANS}")
+    assert [r[0] for r in df.select(pii.sanitised(F.col("t"), F.col("s"))).collect()] == ["[EMAIL]f", "x", "[PROPER NOUN] [CODE] [NUMBER] [WORD]"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,6 +204,36 @@ def test_handles_numbers_and_short_names_disclose(spark):
     assert marked[50] == [("jdoe77", 5), ("bob", 5)] and marked[51] == [("k4471", 5)] and not any(v for i, v in marked.items() if i >= 100)
 
 
+def test_disclosures_are_the_corpus_counts(spark):
+    """joint, total, p and bits against counts by hand, with words that only their letters' order tells apart."""
+    import math
+
+    from tests.llm.test_common import thue_morse
+
+    rng = random.Random(5)
+    a, b = thue_morse(1024)
+    rows = [f"{data.prose(rng, 9)} {w} {rng.choice(['ann@x.example', 'bob@x.example'])} {data.prose(rng, 9)}" for w in ["jo77", "jo77", a, b, a, "the"] * 8] + [f"the {a} {data.prose(rng, 30)}" for _ in range(60)] + [None, ""]
+    got = {(r["entity"], r["term"]): r for r in pii.disclosures(pii._observed(spark.createDataFrame([(x,) for x in rows], "text string"), "text"), contexts=2).collect()}
+    joint, contexts, total, around = Counter(), defaultdict(set), Counter(), Counter()
+    for t in rows:
+        t = t or ""
+        spans = pii.entities(t)
+        if not spans:
+            total.update(brute.plain(t))
+        for s, _, e in spans:
+            left, right = brute.plain(t[:s]), brute.plain(t[e:])
+            total.update(left + right)
+            near = left[-pii.CONTEXT :] + right[: pii.CONTEXT]
+            joint.update((t[s:e], w) for w in near)
+            for w in near:
+                contexts[t[s:e], w].add(tuple(near))
+    for (e, _), n in joint.items():
+        around[e] += n
+    words = sum(total.values())
+    want = Counter((n, total[w], round(n / total[w], 9), round(math.log2(n / around[e] / (total[w] / words)), 9)) for (e, w), n in joint.items() if len(contexts[e, w]) >= 2)
+    assert Counter((r["joint"], r["total"], round(r["posterior"], 9), round(r["bits"], 9)) for r in got.values()) == want
+
+
 def plain_codec():
     return bpe.Codec.get(*bpe.vocabulary())
 
