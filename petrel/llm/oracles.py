@@ -91,12 +91,12 @@ JACCARD = rf"""
 WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_PLAIN} AS w FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT r, doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE ['<' || array_to_string(w, ' ') || '>'] END) AS g FROM d WHERE len(w) > 0 AND doc_id IS NOT NULL),
 n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
-e AS MATERIALIZED (SELECT a, b, same FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY 1, 2) JOIN n na ON na.r = a JOIN n nb ON nb.r = b, LATERAL (SELECT c = na.n AND c = nb.n AS same) WHERE c * 1800 >= 800 * (na.n + nb.n)),
+e AS MATERIALIZED (SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY 1, 2) JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE c * 1800 >= 800 * (na.n + nb.n)),
 reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
 cls AS (SELECT a AS r, min(doc_id) AS class_id FROM reach JOIN d ON d.r = reach.b GROUP BY 1),
-sets AS (SELECT d.r, least(d.doc_id, min(o.doc_id)) AS set_id FROM d LEFT JOIN e ON e.a = d.r AND e.same LEFT JOIN d o ON o.r = e.b GROUP BY d.r, d.doc_id),
+same AS (SELECT r, CASE WHEN len(w) > 0 AND doc_id IS NOT NULL THEN min(doc_id) OVER (PARTITION BY w) ELSE doc_id END AS same_id FROM d),
 k AS (SELECT a AS r, count(*) AS n_links FROM e GROUP BY 1)
-SELECT doc_id, class_id, set_id, coalesce(n_links, 0) AS n_links FROM d JOIN cls USING (r) JOIN sets USING (r) LEFT JOIN k USING (r)
+SELECT doc_id, class_id, same_id, coalesce(n_links, 0) AS n_links FROM d JOIN cls USING (r) JOIN same USING (r) LEFT JOIN k USING (r)
 """
 
 ORACLES = {
