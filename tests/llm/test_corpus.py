@@ -60,7 +60,7 @@ def test_levels_double_until_nothing_survives(spark):
 
 @pytest.mark.parametrize("rows", [PAIRS, hot(1), hot(2)], ids=["awkward", "hot1", "hot2"])
 def test_jaccard(spark, rows, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 8)  # so that families are split
+    monkeypatch.setattr(jaccard, "BLOCK", 8)  # so that subtrees and families are split
     got = jaccard.near_duplicates(frame(spark, rows))
     have = Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in got.collect())
     assert have == Counter((i, *x) for (i, _), x in zip(rows, brute.near(rows)))
@@ -75,13 +75,54 @@ def test_jaccard_without_broadcast_and_on_nothing(spark):
 
 
 def test_prefixes_are_shortened_to_the_recall():
-    assert jaccard.prefix_depth(0.8, 0.5) == jaccard.DEPTH
+    assert jaccard.least_depth(0.8, 0.5) == jaccard.DEPTH
     for recall in (0.9, 0.999, 0.99999):
-        d = jaccard.prefix_depth(0.8, recall)
+        d = jaccard.least_depth(0.8, recall)
         assert 1 - (1 - 0.8**d) ** jaccard.TREES >= recall
         assert d == jaccard.DEPTH or 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES < recall
 
 
+def test_recall_by_band_of_similarity(spark):
+    """All links of some thousand pairs between 0.8 and 1, most of them near the threshold; close copies meet deeper than distant ones."""
+    rng = random.Random(12)
+    rows, pairs = [], []
+    for k in range(900):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 160))]
+        other = w[:]
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            other[rng.randrange(len(w))] = "edited"
+        cut = rng.randrange(0, max(1, len(w) // 6))
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(other[cut:]))]
+        a, b = brute.shingles(rows[-2][1]), brute.shingles(rows[-1][1])
+        pairs.append(len(a & b) / len(a | b))
+    got = {r["doc_id"]: r for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    bands, depths = defaultdict(list), defaultdict(list)
+    for k, x in enumerate(pairs):
+        if x >= 0.8:
+            bands[int(x * 20 + 1e-9)].append(got[2 * k]["n_links"] == 1 and got[2 * k]["class_id"] == got[2 * k + 1]["class_id"])
+            if x < 1:  # equal texts are one node
+                depths[x > 0.9].append(got[2 * k]["depth"])
+        else:
+            assert got[2 * k]["n_links"] == 0
+    assert all(len(v) >= 20 for k, v in bands.items() if k < 20) and sum(map(len, bands.values())) > 300
+    assert {k: sum(v) / len(v) for k, v in bands.items()} == dict.fromkeys(bands, 1.0)
+    assert sum(depths[True]) / len(depths[True]) > sum(depths[False]) / len(depths[False])
+
+
+def test_links_compare_words(spark):
+    """Long words and periodic texts whose letters' and words' sums agree: no hash decides a link."""
+    from tests.llm.test_common import thue_morse
+
+    rng = random.Random(2)
+    a, b = thue_morse(1024)
+    x, y = (" ".join(z) for z in thue_morse(2048))
+    rest = data.prose(rng, 3)
+    rows = list(enumerate([f"{a} {rest} {a}", f"{b} {rest} {b}", x, y, " ".join([a] * 40), " ".join([b] * 40), " ".join([a] * 41)]))
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    assert [got[i] for i, _ in rows] == brute.near(rows)
+    assert [len(x) for x in jaccard._numbered([b"a b a b a b a", b"", b"x", b"b a b a b"], 5)] == [2, 0, 0, 1]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 60)] + [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)] + [(5, 5)]
