@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from petrel.llm import decontaminate, quality, secrets
+from petrel.llm import decontaminate, quality, secrets, substrings
 
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _PLAIN = decontaminate._WORDS
 
+_REACH = f"(PARTITION BY r, run ORDER BY i ROWS BETWEEN CURRENT ROW AND {substrings.ANCHORS - 1} FOLLOWING)"
+
 SUBSTRINGS = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SPACED} AS w FROM documents),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_SPACED} AS w FROM documents),
 p AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13 AND doc_id IS NOT NULL),
 g AS MATERIALIZED (SELECT r, doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS h FROM p),
 f AS (SELECT h, min(doc_id) AS lo, max(doc_id) AS hi FROM g GROUP BY h),
 c AS (SELECT r, list(DISTINCT k) FILTER (gone) AS gone, bool_or(rep) AS rep FROM (SELECT r, unnest(range(i, i + 13)) AS k, lo < doc_id AS gone, lo <> hi AS rep FROM g JOIN f USING (h)) GROUP BY r),
-x AS (SELECT doc_id, w, coalesce(gone, []) AS gone, rep FROM d LEFT JOIN c USING (r)),
-y AS (SELECT doc_id, w, rep, len(gone) AS n_removed, CASE WHEN len(gone) = 0 THEN w ELSE list_transform(list_filter(list_transform(w, lambda v, i: {{'v': v, 'out': list_contains(gone, i)}}), lambda s: NOT s.out), lambda s: s.v) END AS kept FROM x)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256, CASE WHEN rep THEN 13 ELSE 0 END AS longest FROM y
+s AS (SELECT r, doc_id, i, substr(h, 1, 16) AS h, i - row_number() OVER (PARTITION BY r ORDER BY i) AS run FROM g JOIN f USING (h) WHERE lo <> hi),
+m AS (SELECT *, min(h) OVER {_REACH} AS least, count(*) OVER {_REACH} AS reach, count(*) OVER (PARTITION BY r, run) AS size, min(h) OVER (PARTITION BY r, run) AS whole, max(i) OVER (PARTITION BY r, run) AS run_end FROM s),
+a AS (SELECT r, doc_id, i, run_end FROM (SELECT *, max(CASE WHEN reach = {substrings.ANCHORS} THEN least END) OVER (PARTITION BY r, run ORDER BY i ROWS BETWEEN {substrings.ANCHORS - 1} PRECEDING AND CURRENT ROW) AS seen FROM m) WHERE h = CASE WHEN size < {substrings.ANCHORS} THEN whole ELSE seen END),
+l AS MATERIALIZED (SELECT r, a.doc_id, n, md5(array_to_string(w[i:i + n - 1], ' ')) AS h FROM a JOIN d USING (r), (SELECT 13 * (1 << k) AS n FROM range(1, 20) t(k)) WHERE i + n - 13 <= run_end),
+longest AS (SELECT r, max(n) AS n FROM l JOIN (SELECT n, h FROM l GROUP BY n, h HAVING min(doc_id) <> max(doc_id)) USING (n, h) GROUP BY r),
+x AS (SELECT r, doc_id, w, coalesce(gone, []) AS gone, rep FROM d LEFT JOIN c USING (r)),
+y AS (SELECT r, doc_id, w, rep, len(gone) AS n_removed, CASE WHEN len(gone) = 0 THEN w ELSE list_transform(list_filter(list_transform(w, lambda v, i: {{'v': v, 'out': list_contains(gone, i)}}), lambda s: NOT s.out), lambda s: s.v) END AS kept FROM x)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256, CAST(coalesce(n, CASE WHEN rep THEN 13 ELSE 0 END) AS INTEGER) AS longest FROM y LEFT JOIN longest USING (r)
 """
 
 _ESCAPED = "replace(replace(coalesce({x}, ''), '&', '&amp;'), '<', '&lt;')"
