@@ -44,7 +44,8 @@ def test_substrings(spark, window):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_substrings_of_hot_groups(spark, seed):
+def test_substrings_of_hot_groups(spark, seed, monkeypatch):
+    monkeypatch.setattr(substrings, "GROUP_BYTES", 4000)  # so that there are some dozen groups
     rows = hot(seed)
     got = substrings.deduplicated(frame(spark, rows).repartition(5))
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got.collect()) == Counter(brute.deduplicated(rows))
@@ -52,10 +53,22 @@ def test_substrings_of_hot_groups(spark, seed):
 
 def test_levels_double_until_nothing_survives(spark):
     rng = random.Random(11)
-    shared = data.prose(rng, 70)
-    rows = [(1, shared), (2, "start " + shared + " end"), (3, data.prose(rng, 50)), (4, " ".join(shared.split()[:20]) + " other")]
-    got = {r["doc_id"]: r["longest"] for r in substrings.deduplicated(frame(spark, rows), longest=True).collect()}
-    assert got == {1: 52, 2: 52, 3: 0, 4: 13}
+    shared, passage = data.prose(rng, 160), data.prose(rng, 900)
+    rows = [(1, shared), (2, "start " + shared + " end"), (3, data.prose(rng, 50)), (4, " ".join(shared.split()[:20]) + " other"), (5, passage), (6, passage), (7, f"{data.prose(rng, 3)} {passage}")]
+    got = {r["doc_id"]: r["longest"] for r in substrings.deduplicated(frame(spark, rows)).collect()}
+    assert got == {1: 104, 2: 104, 3: 0, 4: 13, 5: 832, 6: 832, 7: 832}
+
+
+def test_removal_compares_words(spark):
+    """Words, and arrangements of words, whose letters' sums agree are kept apart."""
+    from tests.llm.test_common import thue_morse
+
+    rng = random.Random(3)
+    shared = data.prose(rng, 12)
+    rows = [(1, f"{shared} {thue_morse(1024)[0]}"), (2, f"{shared} {thue_morse(1024)[1]}"), (3, " ".join(thue_morse(2048)[0])), (4, " ".join(thue_morse(2048)[1]))]
+    for window in (13, 40):
+        got = substrings.deduplicated(frame(spark, rows), window=window)
+        assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got.collect()) == Counter(brute.deduplicated(rows, window))
 
 
 @pytest.mark.parametrize("rows", [PAIRS, hot(1), hot(2)], ids=["awkward", "hot1", "hot2"])
