@@ -38,6 +38,15 @@ def test_stages_keep_the_columns(spark, folder, tmp_path):
     assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
 
 
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_empty_tables_and_clashing_columns(spark, folder, stage):
+    name, run = corpus_pipeline.STAGES[stage]
+    assert run(spark, data.empty(spark), folder).count() == 0
+    plain, clashing = (run(spark, data.docs(spark, extra=extra), folder) for extra in (False, True))
+    assert clashing.dtypes == plain.dtypes
+    assert sorted(map(str, clashing.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_near_duplicates_keep_one_of_each_class(spark, folder):
     rows = [(i, t) for i, t, *_ in data.rows()]
     classes = brute.near(rows)
