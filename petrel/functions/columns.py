@@ -109,6 +109,23 @@ def significant(x: Column, digits: int) -> Column:
     return F.when(x == 0, x).otherwise(F.rint(x * scale) / scale)
 
 
+def direction(median: Column) -> Column:
+    # Directions of a module's median change.
+    up, down = finite(median) & (median > 0), finite(median) & (median < 0)
+    return F.when(up, F.lit("predominantly_upregulated")).when(down, F.lit("predominantly_downregulated")).otherwise(F.lit("mixed_or_not_available"))
+
+
+def truth(text: Column) -> Column:
+    """True, false or null of a text that says so."""
+    plain = F.lower(trimmed(text))
+    return F.when(plain.isin("1", "true", "t", "yes", "y"), F.lit(True)).when(plain.isin("0", "false", "f", "no", "n"), F.lit(False))
+
+
+def pair_key(a: Column, b: Column, sep: str = "|") -> Column:
+    """One key for a pair, whichever comes first."""
+    return F.array_join(F.array_sort(F.array(a, b)), sep)
+
+
 def humanised(label: Column) -> Column:
     named = F.when(label.isNull() | (label == ""), F.lit("unassigned_module")).otherwise(label)
     return F.replace(F.regexp_replace(named, "_module$", ""), F.lit("_"), F.lit(" "))

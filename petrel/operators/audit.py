@@ -86,6 +86,40 @@ def repeated_tables(tables: dict[str, DataFrame]) -> list[tuple[str, str]]:
     return out
 
 
+def severities(findings: DataFrame, levels: tuple[str, ...] = ("FAIL", "REVIEW", "INFO", "PASS")) -> DataFrame:
+    """(status, n) of every level, also of those without findings."""
+    one = findings.agg(*(F.count_if(F.col("status") == x).alias(x) for x in levels))
+    return one.select(F.explode(F.array(*(F.struct(F.lit(x).alias("status"), F.col(x).alias("n")) for x in levels))).alias("r")).select("r.*")
+
+
+def inventory(tables: dict[str, DataFrame]) -> list[tuple[str, int, int, int]]:
+    """(table, rows, columns, header names that repeat once case and signs are gone)."""
+    out = []
+    for name, df in tables.items():
+        plain = [re.sub(r"[^a-z0-9]", "", c.lower()) for c in df.columns]
+        out.append((name, df.count(), len(plain), len(plain) - len(set(plain))))
+    return out
+
+
+def tags(text: DataFrame, tag: str, column: str = "value") -> DataFrame:
+    """(n): how often an XML element of that name opens in lines of text."""
+    return text.agg(F.sum(F.regexp_count(column, F.lit(f"<{tag}[ />]"))).alias("n"))
+
+
+def captured(files: DataFrame) -> DataFrame:
+    """(path, size, lines, md5, repeated) of binary files (path, content), and whether another has the same content."""
+    lines = F.length("content") - F.length(F.replace(F.decode("content", "ISO-8859-1"), F.lit("\n"), F.lit("")))
+    rows = files.select("path", F.length("content").cast("long").alias("size"), lines.cast("long").alias("lines"), F.md5("content").alias("md5"))
+    twice = rows.groupBy("md5").agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    return rows.join(twice, "md5").select("path", "size", "lines", "md5", "repeated")
+
+
+def log_state(lines: DataFrame) -> DataFrame:
+    """(last_line, errors, completed) of a run's log; lines: line_no, value."""
+    error, done = F.col("value").rlike("(?i)^error|execution halted|traceback"), F.col("value").rlike("(?i)completed|finished")
+    return lines.agg(F.max_by("value", "line_no").alias("last_line"), F.count_if(error).alias("errors"), (F.max(F.when(done, F.col("line_no"))) > F.coalesce(F.max(F.when(error, F.col("line_no"))), F.lit(-1))).alias("completed"))
+
+
 def run_log(lines: DataFrame) -> DataFrame:
     """(mapped, total, nodes, edges, components) by the last lines that tell them; lines: line_no, value."""
     last = lambda pattern, k: F.max_by(F.regexp_extract("value", pattern, k), F.when(F.col("value").rlike(pattern), F.col("line_no"))).try_cast("long")

@@ -56,5 +56,18 @@ def table_digest(df: DataFrame, order: list[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row).alias("digest"))
 
 
+def ordered_digest(df: DataFrame, order: list[str]) -> DataFrame:
+    """The MD5 of a table's cells in row order. A report table's rows meet in one task; corpora have ``table_digest``."""
+    line = F.concat_ws(",", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns))
+    rows = df.agg(F.sort_array(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in order), line.alias("line__")))).alias("r"))
+    return rows.select(F.md5(F.array_join(F.transform("r", lambda x: x["line__"]), "\n")).alias("digest"))
+
+
+def scope(expected: dict[str, DataFrame], observed: dict[str, DataFrame]) -> list[tuple[str, str]]:
+    """(sheet, status) of every expected sheet: identical, different or missing; and of those beyond them: extra."""
+    out = [(k, "missing" if k not in observed else "identical" if identical(df, observed[k]) else "different") for k, df in expected.items()]
+    return out + [(k, "extra") for k in observed if k not in expected]
+
+
 def identical(expected: DataFrame, observed: DataFrame) -> bool:
     return expected.columns == observed.columns and expected.exceptAll(observed).isEmpty() and observed.exceptAll(expected).isEmpty()

@@ -221,6 +221,21 @@ def label_confidence(score: Column, marker: Column, term: Column, fdr: Column, a
     )
 
 
+def assigned(label: Column) -> Column:
+    return F.coalesce((label != "") & (label != "unassigned_module"), F.lit(False))
+
+
+def label_source(marker: Column, term: Column, fdr: Column) -> Column:
+    # Where a label comes from.
+    by_marker, by_term = F.coalesce(marker > 0, F.lit(False)), F.coalesce((term > 0) & (fdr <= 0.05), F.lit(False))
+    return F.when(by_marker & by_term, F.lit("curated_marker_overlap_plus_specific_STRING_enrichment")).when(by_term, F.lit("specific_STRING_enrichment_only")).when(by_marker, F.lit("curated_marker_overlap_only")).otherwise(F.lit("not_assigned"))
+
+
+def pattern_hits(text: Column, patterns: Column) -> Column:
+    """How many of the patterns hit the lower-case text."""
+    return F.size(F.filter(patterns, lambda p: F.rlike(F.lower(F.coalesce(text, F.lit(""))), p)))
+
+
 def label_rules(modules: DataFrame, rules: DataFrame) -> DataFrame:
     """The best label rule of each module.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from petrel.functions.columns import mapping_status, symbol_category, symbol_class, trimmed
+from petrel.functions.columns import mapping_status, only_finite, symbol_category, symbol_class, trimmed
 
 #: Fixed value: identifiers of the supported species.
 SPECIES = "^9606\\."
@@ -37,12 +37,19 @@ def mapped(genes: DataFrame, names: DataFrame, gene_col: str = "gene", keep_unma
     return genes.join(names.withColumnRenamed("name", "name__"), F.upper(trimmed(F.col(gene_col))) == F.col("name__"), "left" if keep_unmapped else "inner").drop("name__")
 
 
-def alias_corrections(unmapped: DataFrame, proteins: DataFrame, aliases: DataFrame, species: str = SPECIES) -> DataFrame:
-    """(original_gene, protein_id, corrected_gene) of unmapped genes whose alias names one protein."""
+def alias_corrections(unmapped: DataFrame, proteins: DataFrame, aliases: DataFrame, species: str = SPECIES, approved: DataFrame | None = None) -> DataFrame:
+    """(original_gene, protein_id, corrected_gene) of unmapped genes whose alias names one protein.
+
+    approved (symbol, approved): the corrected gene is the approved form of the protein's name, where there is one.
+    """
     genes = unmapped.select(F.col("gene").alias("original_gene"), F.upper(trimmed(F.col("gene"))).alias("key")).distinct()
     alias = aliases.select(F.upper(trimmed(F.col("alias"))).alias("key"), "protein_id").where(F.col("protein_id").rlike(species))
     hits = genes.join(alias, "key").groupBy("original_gene").agg(F.min("protein_id").alias("protein_id"), F.max("protein_id").alias("other")).where("protein_id = other").drop("other")
-    return hits.join(proteins.select("protein_id", F.col("name").alias("corrected_gene")), "protein_id", "left").select("original_gene", "protein_id", "corrected_gene")
+    named = hits.join(proteins.select("protein_id", F.col("name").alias("corrected_gene")), "protein_id", "left")
+    if approved is not None:
+        lookup = first_match(approved.select(F.col("symbol").alias("s__"), F.col("approved").alias("a__")), ["s__"], ["a__"])
+        named = named.join(lookup, F.col("corrected_gene") == F.col("s__"), "left").withColumn("corrected_gene", F.coalesce("a__", "corrected_gene"))
+    return named.select("original_gene", "protein_id", "corrected_gene")
 
 
 def corrected(genes: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -61,6 +68,29 @@ def resolved(rows: DataFrame, species: str = SPECIES) -> DataFrame:
     return _ranked(rows, species).where("choice = 1").drop("choice", "candidates")
 
 
+def annotation(rows: DataFrame) -> DataFrame:
+    """(protein_id, gene, pvalue, logFC): of the rows of a protein the gene of least p-value, the least p and the mean change, of finite numbers."""
+    p, change = only_finite(F.col("pvalue")), only_finite(F.col("logFC"))
+    return rows.where("protein_id is not null").groupBy("protein_id").agg(F.min_by("gene", F.struct(F.col("pvalue").isNull(), "pvalue", "input_row")).alias("gene"), F.min(p).alias("pvalue"), F.avg(change).alias("logFC"))
+
+
+#: How several rows of a protein become one.
+POLICY = "minimum_pvalue_then_maximum_abs_logFC_then_input_row"
+
+
+def summary(initial: DataFrame, final: DataFrame, contract: list[tuple[str, str]] | None = None, species: str = SPECIES) -> DataFrame:
+    """(position, metric, value): eleven rows of the mapping, then those of the input contract. initial, final: mapped rows."""
+    one = counters(initial).select(*(F.col(c).alias(f"i_{c}") for c in ("total", "mapped", "unmapped", "percent"))).join(F.broadcast(counters(final))).join(F.broadcast(collision_counts(final, species)))
+    one = one.join(F.broadcast(resolved(final, species).agg(F.count(F.lit(1)).alias("nodes"))))
+    # The metrics' names.
+    rows = {
+        "input_rows": "i_total", "initial_mapped": "i_mapped", "initial_unmapped": "i_unmapped", "initial_mapped_percent": "i_percent", "final_mapped": "mapped", "final_unmapped": "unmapped", "final_mapped_percent": "percent",
+        "STRING_mapping_collision_proteins": "proteins", "STRING_mapping_collision_rows_dropped": "dropped", "STRING_mapping_collision_policy": None, "nodes_in_network": "nodes",
+    }
+    listed = [(m, F.col(c).cast("string") if c else F.lit(POLICY)) for m, c in rows.items()] + [(m, F.lit(v)) for m, v in contract or []]
+    return one.select(F.explode(F.array(*(F.struct(F.lit(i).alias("position"), F.lit(m).alias("metric"), v.alias("value")) for i, (m, v) in enumerate(listed)))).alias("r")).select("r.*")
+
+
 def collision_audit(rows: DataFrame, species: str = SPECIES) -> DataFrame:
     """All rows of proteins that several rows map to, and which one was selected."""
     return _ranked(rows, species).where("candidates > 1").withColumn("selected", F.col("choice") == 1).drop("choice")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from petrel.functions.columns import rounded
+from petrel.functions.columns import direction, rounded
 
 FINAL, MODULES, TERMS = 10, 5, 3
 
@@ -83,6 +83,45 @@ def executive_summary(counts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+#: Items of the executive summary in order.
+SUMMARY = [
+    "input_rows", "mapped_proteins", "unmapped_input_rows", "mapping_rate_percent", "network_nodes", "network_edges", "connected_components", "largest_component_nodes", "largest_component_fraction",
+    "louvain_modules", "priority_eligible_modules", "technical_or_covariate_modules", "mixed_biological_modules", "unresolved_modules", "final_priority_candidates", "run_configuration",
+]
+
+
+def summary_rows(mapping: DataFrame, network: DataFrame, decisions: DataFrame, final: DataFrame, configuration: str) -> DataFrame:
+    """(position, item, value) of the sixteen items as text.
+
+    mapping and network are long tables (metric, value); decisions has a row for each module, final for each priority.
+    """
+    of = lambda df, name, out: df.agg(F.max(F.when(F.col("metric") == name, F.col("value").cast("string"))).alias(out))
+    biological, mixed = F.col("interpretation_class") == "biological", F.col("interpretation_class") == "mixed_biological"
+    one = mapping.agg(*(F.max(F.when(F.col("metric") == m, F.col("value").cast("string"))).alias(m) for m in ("input_rows", "final_mapped", "nodes_in_network", "final_unmapped", "final_mapped_percent")))
+    net = ["nodes", "edges", "components", "largest_component_nodes", "largest_component_fraction"]
+    one = one.join(F.broadcast(network.agg(*(F.max(F.when(F.col("metric") == m, F.col("value").cast("string"))).alias(f"n_{m}") for m in net))))
+    one = one.join(F.broadcast(decisions.agg(F.count(F.lit(1)).alias("modules"), F.count_if(biological & F.col("priority_eligible")).alias("eligible"), F.count_if(F.col("interpretation_class") == "technical_or_covariate").alias("technical"), F.count_if(mixed).alias("mixed"), F.count_if(F.col("interpretation_class") == "unresolved").alias("open"))))
+    one = one.join(F.broadcast(final.agg(F.count(F.lit(1)).alias("final"))))
+    values = ["input_rows", "nodes_in_network", "final_unmapped", "final_mapped_percent", *(f"n_{m}" for m in net), "modules", "eligible", "technical", "mixed", "open", "final"]
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(k).alias("item"), F.col(v).cast("string").alias("value")) for i, (k, v) in enumerate(zip(SUMMARY, values))]
+    return one.select(F.explode(F.array(*rows, F.struct(F.lit(len(values)).alias("position"), F.lit(SUMMARY[-1]).alias("item"), F.lit(configuration).alias("value")))).alias("r")).select("r.*")
+
+
+def readable_modules(modules: DataFrame, enrichment: DataFrame) -> DataFrame:
+    """Modules with rank, direction of change and a sentence on their database evidence.
+
+    modules: community, module_size, median_logFC; enrichment: community, top_raw_terms, top_interpretable_terms, best_interpretable_fdr.
+    """
+    rows = modules.join(enrichment, "community", "left").withColumn("module_rank", F.rank().over(W.orderBy(F.desc("module_size"))))
+    said = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    text = (
+        F.when(said("top_interpretable_terms"), F.concat(F.lit("Specific STRING/database enrichment terms used for interpretation: "), "top_interpretable_terms", F.lit("; best FDR="), F.coalesce(F.col("best_interpretable_fdr").cast("string"), F.lit("NA")), F.lit(".")))
+        .when(said("top_raw_terms"), F.concat(F.lit("Only generic/secondary enrichment terms were available for this module in the main filter; raw top terms retained for audit: "), "top_raw_terms", F.lit(".")))
+        .otherwise(F.lit("No local STRING enrichment evidence available for this module."))
+    )
+    return rows.withColumns({"dominant_expression_direction": direction(F.col("median_logFC")), "database_evidence_summary": text})
+
+
 def module_summary(nodes: DataFrame) -> DataFrame:
     """One row for each community: size, expression, best candidate and gene lists."""
     from petrel.functions.columns import only_finite, top_list

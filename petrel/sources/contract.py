@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrel.functions.columns import as_number, finite, trimmed
@@ -33,8 +33,10 @@ class Contract:
     input_rows: int = 0
     zero_pvalue_rows: int = 0
     rules: dict[str, str] = field(default_factory=lambda: {
-        "schema_version": SCHEMA_VERSION, "gene_identifier": "gene symbol", "logFC_scale": "log2", "pvalue_type": "raw", "pvalue_range": "[0, 1]",
-        "missing_value_policy": "error", "duplicate_gene_policy": "error", "positional_column_fallback": "FALSE",
+        # What the contract says of an input.
+        "contract_schema_version": SCHEMA_VERSION, "gene_identifier": "HGNC_gene_symbol", "logFC_scale": "log2_fold_change", "contrast_numerator": "tumor_specimen", "contrast_denominator": "reference_condition",
+        "positive_logFC_interpretation": "higher_expression_in_tumor_specimen_relative_to_reference", "pvalue_type": "raw_differential_expression_p_value", "pvalue_range": "closed_interval_0_to_1",
+        "missing_value_policy": "error", "duplicate_gene_policy": "error_before_HGNC_normalization", "positional_column_fallback": "FALSE",
     })
 
     def rows(self) -> list[tuple[str, str]]:
@@ -51,6 +53,13 @@ def separator(first_line: str) -> str:
     return SEPARATORS[counts.index(max(counts))]
 
 
+def separator_of(line: Column) -> Column:
+    """The same of a column of header lines; null without any."""
+    n = lambda s: F.length(line) - F.length(F.replace(line, F.lit(s), F.lit("")))
+    most = F.greatest(*map(n, SEPARATORS))
+    return F.when(most > 0, F.coalesce(*(F.when(n(s) == most, F.lit(s)) for s in SEPARATORS)))
+
+
 def cleaned(name: str) -> str:
     return re.sub(r"[^a-z0-9]+", "", name.lstrip("﻿").lower())
 
@@ -153,6 +162,40 @@ def case_id(name: str) -> str:
     return name
 
 
+def is_case_id(name: Column) -> Column:
+    """Whether a column's texts are case names."""
+    device = F.lower(F.substring_index(name, ".", 1)).isin(*sorted(RESERVED))
+    return name.rlike(f"^(?:{CASE_NAME.pattern})$") & ~name.endswith(".") & ~device
+
+
+def case_of(path: Column) -> Column:
+    """The case name that a path suggests: its last part without extension, other characters replaced."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_extract(path, r"([^/\\]*)$", 1), r"\.[^.]*$", ""), "[^A-Za-z0-9._-]", "_")
+
+
+def output_folder(root: str, case: str, legacy: bool = False) -> str:
+    """The case's folder below a root: the root itself if it has the case's name; ``legacy``: a variant of it below a results folder."""
+    plain = re.sub(r"/+$", "", root.replace("\\", "/"))
+    parent, _, base = plain.rpartition("/")
+    if base == case:
+        return root
+    # Names of results folders, the third misspelt in old runs.
+    if legacy and base.startswith(f"{case}_") and parent.rpartition("/")[2] in ("results", "result", "reults"):
+        return f"{parent}/{case}"
+    return f"{plain}/{case}"
+
+
+def check_parameters(threshold: object, top_n: object, enrichment: object) -> None:
+    """Raise for the first parameter that is none."""
+    whole = lambda x: isinstance(x, int) and not isinstance(x, bool)
+    if not whole(threshold) or not 1 <= threshold <= 1000:
+        raise ContractError("the score threshold is a whole number from 1 to 1000")
+    if not whole(top_n) or top_n < 1:
+        raise ContractError("top_n is a whole number, 1 or more")
+    if not isinstance(enrichment, bool):
+        raise ContractError("enrichment is on or off")
+
+
 def case_from_path(path: str) -> str:
     base = re.sub(r"\.[^.]*$", "", re.split(r"[/\\]", path)[-1])
     return case_id(re.sub(r"[^A-Za-z0-9._-]", "_", base))

@@ -60,6 +60,14 @@ def provenance(rules: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return out.select("rule_id", F.coalesce("evidence_level", F.lit("unreviewed")).alias("evidence_level"), refs.alias("references"), F.size(F.filter(F.split(refs, ";"), lambda x: F.trim(x) != "")).alias("reference_count"))
 
 
+def with_provenance(evidence: DataFrame, known: DataFrame) -> DataFrame:
+    """Rule evidence with what is known of each rule; a rule of which nothing is known is an error."""
+    columns = [c for c in known.columns if c != "rule_id"]
+    out = evidence.join(known.withColumn("known__", F.lit(True)), "rule_id", "left")
+    sure = F.when(F.col("known__").isNull(), F.raise_error(F.concat(F.lit("no provenance of rule "), F.col("rule_id")))).otherwise(F.col("rule_id"))
+    return out.select(sure.cast("string").alias("rule_id"), *(c for c in evidence.columns if c != "rule_id"), *columns)
+
+
 def marker_sets(spark: SparkSession, sets: dict[str, list[str]]) -> DataFrame:
     """(set_name, position, gene)."""
     rows = [(name, i, g.strip().upper()) for i, (name, genes) in enumerate(sets.items()) for g in dict.fromkeys(genes)]
