@@ -499,12 +499,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from petrel.plans import catalog_evidence, catalog_tables  # noqa: F401  register the rest
+    from petrel.plans import catalog_evidence, catalog_files, catalog_tables  # noqa: F401  register the rest
 
     return dict(_QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    from petrel.plans import catalog_evidence, catalog_tables  # noqa: F401
+    from petrel.plans import catalog_evidence, catalog_files, catalog_tables  # noqa: F401
 
     return dict(_SQL)

@@ -72,9 +72,9 @@ def lineage_conflicts(t: Tables) -> DataFrame:
     return evidence.lineage_conflicts(_evidence(t))
 
 
-@query(_sql("SELECT module, axis, rule_id FROM (SELECT *, row_number() OVER (PARTITION BY module, axis ORDER BY place) AS k2 FROM picked WHERE place > 1 AND round(sc, 9) >= 0.4) WHERE k2 <= 3", "picked"))
+@query(_sql("SELECT module, axis, rule_id FROM (SELECT *, row_number() OVER (PARTITION BY module, axis ORDER BY place) AS k2 FROM picked WHERE place > 1 AND round(sc, 9) >= 0.2) WHERE k2 <= 3", "picked"))
 def secondary_evidence(t: Tables) -> DataFrame:
-    return evidence.secondary(_evidence(t)).select("module", "axis", "rule_id")
+    return evidence.secondary(_evidence(t), least=0.2).select("module", "axis", "rule_id")
 
 
 @query(_sql("SELECT module, CASE WHEN b >= 0.72 AND mk AND tm THEN 'high' WHEN b >= 0.5 AND (mk OR tm) THEN 'moderate' WHEN b >= 0.35 THEN 'low' ELSE 'unresolved' END AS confidence FROM (SELECT module, max(round(sc, 9)) AS b, bool_or(p >= 2) AS mk, bool_or(t >= 1) AS tm FROM picked WHERE place = 1 GROUP BY 1)", "picked"))

@@ -25,12 +25,12 @@ class Config:
     fdr: float = 0.05
     enrichment: bool = True
     rulebook: tuple = ()
+    contract: tuple = ()
     major_modules: int = 5
     least_module: int = 5
 
     def __post_init__(self) -> None:
-        if self.top_n < 1:
-            raise ValueError("top_n is 1 or more")
+        contract.check_parameters(400, self.top_n, self.enrichment)
 
 
 @dataclass
@@ -70,14 +70,21 @@ def network(selected: DataFrame, res: Resources) -> dict[str, DataFrame]:
     return {"vertices": vertices, "edges": edges, "nodes": scored, "summary": checkpointed(summary), "histogram": graph.degree_histogram(degree)}
 
 
-def enrichments(nodes: DataFrame, selected: DataFrame, terms: DataFrame, cfg: Config) -> DataFrame:
-    """Terms of all nodes against the annotated species, and of the top nodes and each major module against the mapped genes."""
-    names = selected.select(F.col("protein_id").alias("id"), "gene")
-    everything = enrich.enriched(terms, nodes.select(F.lit("all_nodes").alias("query_name"), "id"), terms.select("id").distinct(), names)
+def query_sets(nodes: DataFrame, cfg: Config) -> DataFrame:
+    """(query_name, id): all nodes, the top candidates, and each major module."""
+    everything = nodes.select(F.lit("all_nodes").alias("query_name"), "id")
     top = nodes.where(F.col("candidate_rank") <= cfg.top_n).select(F.lit("top_candidates").alias("query_name"), "id")
     big = nodes.groupBy("community").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cfg.least_module).orderBy(F.desc("n"), "community").limit(cfg.major_modules)
     modules = nodes.join(F.broadcast(big.select("community")), "community").select(F.concat(F.lit("module_"), F.col("community").cast("string")).alias("query_name"), "id")
-    return checkpointed(everything.unionByName(enrich.enriched(terms, top.union(modules), names.select("id"), names)))
+    return everything.union(top).union(modules)
+
+
+def enrichments(nodes: DataFrame, selected: DataFrame, terms: DataFrame, cfg: Config) -> DataFrame:
+    """Terms of all nodes against the annotated species, and of the top nodes and each major module against the mapped genes."""
+    names = selected.select(F.col("protein_id").alias("id"), "gene")
+    sets = query_sets(nodes, cfg)
+    everything = enrich.enriched(terms, sets.where("query_name = 'all_nodes'"), terms.select("id").distinct(), names)
+    return checkpointed(everything.unionByName(enrich.enriched(terms, sets.where("query_name <> 'all_nodes'"), names.select("id"), names)))
 
 
 def module_labels(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -108,7 +115,7 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: Data
     net = network(selected, res)
     nodes = net["nodes"]
     t: dict[str, DataFrame] = {
-        "Mapping summary": mapping.counters(final), "Collisions": mapping.collision_audit(final), "Alias corrections": fixes, "Unmapped genes": mapping.unmapped_genes(final),
+        "Mapping summary": mapping.summary(initial, final, list(cfg.contract)).orderBy("position").select("metric", "value"), "Collisions": mapping.collision_audit(final), "Alias corrections": fixes, "Unmapped genes": mapping.unmapped_genes(final),
         "Gene status": mapping.gene_status(genes, initial, fixes, final), "Symbol normalisation": genes.select("input_gene", "gene", "changed"), "Session info": forms.session_info(spark), "Network summary": net["summary"].select("metric", "value"),
         "Modules": report.module_summary(nodes).orderBy(F.desc("module_size"), "community"), "Links": mapping.network_links(selected, res.threshold),
     }
@@ -196,9 +203,9 @@ def main(argv: list[str] | None = None) -> int:
 
         with open(a.rules, encoding="utf-8") as f:
             book = tuple(rules.checked(json.load(f)))
-    genes, _ = contract.read_genes(spark, a.input)
+    genes, agreed = contract.read_genes(spark, a.input)
     res = Resources.open(spark, a.resources, a.threshold, not a.no_enrichment)
-    result = run(genes, res, Config(top_n=a.top_n, enrichment=not a.no_enrichment, rulebook=book))
+    result = run(genes, res, Config(top_n=a.top_n, enrichment=not a.no_enrichment, rulebook=book, contract=tuple(agreed.rows())))
     print(publish(result, a.output, a.case or contract.case_from_path(a.input)))
     return 0
 

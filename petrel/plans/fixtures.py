@@ -73,8 +73,8 @@ class Tables:
         return self.read("part").select(F.col("p_partkey").alias("id"))
 
     def term_queries(self) -> DataFrame:
-        """Parts sold fifty at a time, by line number."""
-        return self.read("lineitem").where("l_quantity = 50").select(F.concat(F.lit("line_"), F.col("l_linenumber").cast("string")).alias("query_name"), F.col("l_partkey").alias("id")).distinct()
+        """Parts by the quantity that a line sold of them."""
+        return self.read("lineitem").select(F.concat(F.lit("quantity_"), F.col("l_quantity").cast("int").cast("string")).alias("query_name"), F.col("l_partkey").alias("id")).distinct()
 
     def proteins(self) -> DataFrame:
         return self.read("supplier").select(F.concat(F.lit("9606."), F.col("s_suppkey").cast("string")).alias("protein_id"), F.col("s_name").alias("name"))
@@ -121,7 +121,7 @@ SQL: dict[str, tuple[str, list[str]]] = {
         [],
     ),
     "background": ("SELECT p_partkey AS id FROM part", []),
-    "term_queries": ("SELECT DISTINCT 'line_' || l_linenumber AS query_name, l_partkey AS id FROM lineitem WHERE l_quantity = 50", []),
+    "term_queries": ("SELECT DISTINCT 'quantity_' || CAST(l_quantity AS INTEGER) AS query_name, l_partkey AS id FROM lineitem", []),
     "proteins": ("SELECT '9606.' || s_suppkey AS protein_id, s_name AS name FROM supplier", []),
     "aliases": ("SELECT '9606.' || s_suppkey AS protein_id, 'SUP' || s_suppkey AS alias FROM supplier UNION ALL SELECT '9606.' || s_suppkey, 'nation' || s_nationkey FROM supplier", []),
     "gene_rows": ("SELECT input_row, CASE id % 4 WHEN 0 THEN ' sup' || (id + 1) WHEN 1 THEN gene WHEN 2 THEN 'nation' || module ELSE 'Supplier#' || lpad(CAST(id - 2 AS VARCHAR), 9, '0') END AS gene, logFC, pvalue FROM genes", ["genes"]),
