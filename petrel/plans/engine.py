@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import os
-import platform
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import petrel
 from petrel.functions import columns as C
-from petrel.operators import enrich, evidence, graph, louvain, mapping, report, score
+from petrel.operators import canonical, enrich, evidence, graph, louvain, mapping, provenance, report, score
 from petrel.operators.checkpoints import checkpointed
 from petrel.plans import sheets as forms
 from petrel.sources import contract, labels, rules, sinks
@@ -100,6 +99,38 @@ def module_labels(members: DataFrame, found: DataFrame) -> DataFrame:
     return by_set.select("module", "module_size", "marker_summary", "evidence", "marker_label", "term_label").join(best.select("module", "final_label", "score", "confidence"), "module").join(themes, "module")
 
 
+def module_table(decided: DataFrame) -> DataFrame:
+    """Decisions on modules under their canonical names; what a decision doesn't tell is not_available."""
+    known = {
+        "interpretation_class": F.col("interpretation_class"), "primary_interpretation": F.col("primary_interpretation"), "secondary_themes": F.col("secondary_interpretations"), "confidence": F.col("confidence"),
+        "priority_eligible": F.col("priority_eligible"), "term_supporting_genes": F.col("term_supporting_genes"), "best_supporting_fdr": F.col("best_fdr"), "conflict_detected": F.col("conflict_detected"), "warning": F.lit("no_warning"),
+        "interpretation_scope": F.lit("module"), "evidence_rationale": F.concat(F.lit("Class "), "interpretation_class", F.lit(" with confidence "), "confidence", F.lit(".")),
+    }
+    key = F.col("module").alias("community_louvain")
+    return decided.select(key, F.col("module").cast("string").alias("module_id"), "module_size", *(known.get(f, F.lit("not_available")).alias(f) for f in canonical.MODULE_FIELDS))
+
+
+def node_table(full: DataFrame, modules: DataFrame) -> DataFrame:
+    """Nodes under their canonical names with the fields of their modules; components are numbered from 1 on."""
+    full = full.withColumn("component", F.dense_rank().over(W.orderBy("component")))
+    named = {"STRING_id": "id", "community_louvain": "community", "candidate_eligibility": "eligibility"}
+    return canonical.with_module_fields(full.select(*(F.col(named.get(c, c)).alias(c) for c in ["STRING_id", "gene", *canonical.MEASURES])), modules).select(*canonical.NODE_FIELDS)
+
+
+def canonical_result(result: Result, folder: str, manifest: dict) -> dict:
+    """The result's ten sections, checked."""
+    t = result.tables
+    out = {
+        "schema_versions": canonical.SCHEMAS, "output_dir": folder,
+        "network": {"graph": t["edges"], "node_annotations": t["Node annotations"], "module_annotations": t["Module annotations"], "graph_summary": t["Network summary"]},
+        "biological_evidence": {"significant_module_terms": t["Significant terms"], "validation": t["Validation"]},
+        "priorities": {"proteins": t["Final priorities"], "modules": t["Module priorities"], "candidate_evidence": t["Candidate evidence"]},
+        "reports": {"analytical": forms.COLUMNS, "technical": forms.TECHNICAL}, "mapping": t["Mapping summary"], "files": manifest["outputs"], "compatibility": canonical.DEPRECATED, "provenance": manifest,
+    }
+    evidence.require_passed(canonical.result_checks(t["edges"].sparkSession, out), "result")
+    return out
+
+
 def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: DataFrame | None = None) -> Result:
     """genes: input_row, gene, logFC, pvalue, valid under the contract; approved: symbol, approved, if symbols are to be normalised."""
     spark = genes.sparkSession
@@ -139,11 +170,27 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: Data
     full = checkpointed(full.withColumn("warning", report.warning(F.lit("no_warning"), F.col("eligibility"), F.col("conflict_detected"))))
     best = checkpointed(report.final_priorities(full))
     n = net["vertices"].count()
-    counts = {"input_rows": given.count(), "mapped_proteins": selected.count(), "network_nodes": n, "network_edges": net["edges"].count(), "final_priority_candidates": best.count()}
-    one = lambda v: spark.range(1).select(F.lit(float(v)).alias("n"))
+    mapped_summary, config = mapping.summary(initial, final), f"threshold={res.threshold}; top_n={cfg.top_n}; enrichment={cfg.enrichment}; fdr={cfg.fdr}"
+    canonical_modules = module_table(decided)
+    canonical_nodes = checkpointed(node_table(full, canonical_modules))
+    reported = report.candidate_evidence(full, best, cfg.top_n).select(F.col("id").alias("STRING_id"), "priority_status")
+    ranks = full.select(F.col("id").alias("STRING_id"), F.col("candidate_rank").alias("network_candidate_rank"), "degree_rank", "betweenness_rank", "stress_rank", *score.COMPONENTS)
+    attributes = checkpointed(canonical.graph_attributes(canonical_nodes.join(ranks, "STRING_id"), best.select(F.col("id").alias("STRING_id")), reported))
+    evidence.require_passed(canonical.graph_checks(attributes), "graph attributes")
+    texts = enrich.collapsed(found, "module").select(F.col("module").alias("community"), "top_raw_terms", "top_interpretable_terms", "best_interpretable_fdr")
+    readable = report.readable_modules(report.module_summary(nodes), texts)
+    by_kind = {"Module": F.col("query_name").startswith("module_"), "Network": F.col("query_name") == "all_nodes", "Candidate": F.col("query_name") == "top_candidates"}
+    if "Enrichment" in t:
+        for kind, mine in by_kind.items():
+            t |= {f"{kind} enrichment": t["Enrichment"].where(mine), f"Top {kind.lower()} enrichment": enrich.selected(t["Enrichment"].where(mine), ["query_name"], 10 if kind == "Module" else 25)}
+    t |= {
+        "Genes used": selected, "Readable modules": readable.orderBy("module_rank", "community"), "Major modules": readable.orderBy(F.desc("module_size"), "community").limit(cfg.major_modules),
+        "Node annotations": canonical_nodes, "Graph attributes": attributes,
+    }
+    counts = {"input_rows": given.count(), "top_n": cfg.top_n, "mapped_proteins": selected.count(), "network_nodes": n, "network_edges": net["edges"].count(), "final_priority_candidates": best.count()}
     t |= {
         "Node metrics": full, "Final priorities": best, "Module priorities": report.module_priorities(decided, terms, n), "Candidate evidence": report.candidate_evidence(full, best, cfg.top_n),
-        "Network overview": report.network_overview(net["summary"], full, net["histogram"]), "Executive summary": report.executive_summary({k: one(v) for k, v in counts.items()}),
+        "Network overview": report.network_overview(net["summary"], full, net["histogram"]), "Executive summary": report.summary_rows(mapped_summary, net["summary"].select("metric", "value"), decided, best, config),
     }
     checks = evidence.validation(decided, members)
     evidence.require_passed(checks, "module annotations")
@@ -164,19 +211,23 @@ def publish(result: Result, target: str, case: str, twins: bool = False) -> str:
     folder = os.path.join(target, case)
 
     def write(staging: str) -> None:
-        sheets = {k: v for k, v in tables.items() if k not in ("vertices", "edges")}
+        sheets = {k: v for k, v in tables.items() if k not in ("vertices", "edges", "Graph attributes")}
         sinks.write_workbook(f"{staging}/analytical.xlsx", forms.shaped(tables))
-        sinks.write_workbook(f"{staging}/technical.xlsx", {k: v for k, v in sheets.items() if k not in ANALYTICAL})
-        nodes = tables["Node metrics"]
-        sinks.write_graphml(f"{staging}/network.graphml", nodes.withColumn("pvalue", sinks.exported_pvalue(F.col("pvalue"))), tables["edges"])
+        sinks.write_workbook(f"{staging}/technical.xlsx", forms.technical(tables))
+        vertices = canonical.matched(tables["vertices"].select(F.col("id").alias("STRING_id")), tables["Graph attributes"])
+        sinks.write_graphml(f"{staging}/network.graphml", vertices.withColumn("id", F.col("STRING_id")), tables["edges"])
         links = tables["Links"].collect()
         with open(f"{staging}/network_links.txt", "w", encoding="utf-8") as f:
             f.writelines(f"{r['name']}\t{r['url']}\n" for r in links)
         if twins:
             sinks.parquet_twins(f"{staging}/tables", sheets)
         files = sorted(x for x in os.listdir(staging) if os.path.isfile(f"{staging}/{x}"))
-        stamp = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-        sinks.write_manifest(f"{staging}/manifest.json", {"schema_version": "1.0.0", "engine_version": petrel.__version__, "created_utc": stamp, "case": case, "python": platform.python_version(), "counts": result.counts, "files": [{"name": x, "size": os.path.getsize(f"{staging}/{x}"), "sha256": sinks.sha256(f"{staging}/{x}")} for x in files]})
+        roles = {"analytical_report": "analytical.xlsx", "technical_report": "technical.xlsx", "string_links": "network_links.txt", "graphml": "network.graphml"}
+        outputs = provenance.file_metadata({role: f"{staging}/{name}" for role, name in roles.items()})
+        root = os.path.dirname(os.path.dirname(os.path.abspath(petrel.__file__)))
+        manifest = provenance.build("petrel", petrel.__version__, root, case, {"top_n": result.counts.get("top_n", 0)}, result.counts, outputs)
+        canonical_result(result, folder, manifest)
+        provenance.write(f"{staging}/manifest.json", manifest | {"schema_version": "1.0.0", "counts": result.counts, "files": [{"name": x, "size": os.path.getsize(f"{staging}/{x}"), "sha256": sinks.sha256(f"{staging}/{x}")} for x in files]})
         sinks.write_checksums(f"{staging}/checksums.sha256", [f"{staging}/{x}" for x in [*files, "manifest.json"]])
 
     sinks.published(folder, write)

@@ -10,7 +10,7 @@ import zipfile
 
 import pytest
 
-from petrel.operators import audit, graph, louvain
+from petrel.operators import audit, graph, louvain, provenance
 from petrel.plans import engine, sheets
 from petrel.sources import contract, resources, rules, sinks
 
@@ -93,13 +93,19 @@ def test_publication(result, tmp_path):
     nodes, edges = sinks.read_graphml(f"{folder}/network.graphml")
     assert len(nodes) == 12 and len(edges) == 31 and float(nodes[IDS[5]]["pvalue"]) == 1e-8
     with zipfile.ZipFile(f"{folder}/technical.xlsx") as z:
-        assert z.testzip() is None and b"Node metrics" in z.read("xl/workbook.xml")
+        assert z.testzip() is None
+    assert list(sinks.read_workbook(f"{folder}/technical.xlsx")) == list(sheets.TECHNICAL)
+    assert list(nodes[IDS[0]])[:3] == ["STRING_id", "gene", "annotation_schema_version"] and nodes[IDS[0]]["cytoscape_priority_class"]
     with open(f"{folder}/manifest.json") as f:
-        assert json.load(f)["counts"]["network_edges"] == 31
+        manifest = json.load(f)
+    assert manifest["counts"]["network_edges"] == 31 and set(provenance.SECTIONS) <= set(manifest)
+    assert {k: v for k, v in provenance.checks(manifest, folder) if v != "PASS"} == {} and len(provenance.checks(manifest, folder)) == 16
+    broken = manifest | {"input": {"case_id": "x", "case_id_source": "guessed", "file": "/home/x"}}
+    assert {k for k, v in provenance.checks(broken, folder) if v == "FAIL"} == {"no_absolute_paths", "input_file_name_privacy_is_valid", "case_id_privacy_is_valid"}
     assert {k: v for k, v in audit.publication(folder) if v != "PASS"} == {}
     book = sinks.read_workbook(f"{folder}/analytical.xlsx")
     assert {k: v[0] for k, v in book.items()} == sheets.COLUMNS and list(book) == list(sheets.COLUMNS)
-    assert book["Executive summary"][1][:2] == ["input_rows", 13] and book["Final priorities"][1][15].startswith("Network rank 1 ")
+    assert book["Executive summary"][1][:2] == ["input_rows", "13"] and len(book["Executive summary"]) == 17 and book["Final priorities"][1][15].startswith("Network rank 1 ")
     assert "cell_cycle_mitotic(" in str(result.tables["Module labels"].collect())
     with open(f"{folder}/network_links.txt", "a") as f:
         f.write("x")
