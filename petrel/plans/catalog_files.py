@@ -9,6 +9,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from petrel.operators import provenance
 from petrel.operators.checkpoints import shared_folder
 from petrel.plans import sheets
 from petrel.plans.catalog import _MORE, _candidates, _sql, query
@@ -281,6 +282,62 @@ def staged_publication(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(out, "attempt string, found string")
 
 
+# ---------------------------------------------------------------- provenance
+
+
+def _outputs(t: Tables) -> tuple[str, list[dict]]:
+    d = _folder(t)
+    roles = {"analytical_report": "a.xlsx", "technical_report": "t.xlsx", "string_links": "l.txt", "graphml": "n.graphml"}
+    names = [r["r_name"] for r in t.read("region").orderBy("r_regionkey").collect()]
+    return d, provenance.file_metadata({role: _lines(f"{d}/{f}", [n]) for (role, f), n in zip(roles.items(), names)})
+
+
+@query("SELECT role, name, '1.0.0' AS schema_version, CAST(length(r_name) + 1 AS BIGINT) AS size, sha256(r_name || chr(10)) AS sha256 FROM (VALUES (0, 'analytical_report', 'a.xlsx'), (1, 'technical_report', 't.xlsx'), (2, 'string_links', 'l.txt'), (3, 'graphml', 'n.graphml')) v(k, role, name) JOIN region ON r_regionkey = k")
+def output_file_metadata(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame([tuple(x[c] for c in ("role", "name", "schema_version", "size", "sha256")) for x in _outputs(t)[1]], "role string, name string, schema_version string, size long, sha256 string")
+
+
+@query("SELECT role, true AS available, true AS sized FROM (VALUES ('protein_info'), ('protein_aliases'), ('protein_links'), ('enrichment_terms')) v(role)")
+def resource_sizes(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame([(x["role"], x["available"], x["size"] > 0) for x in provenance.resource_summary(_cache(t))], "role string, available boolean, sized boolean")
+
+
+_CHECKS = [
+    "manifest_sections_present", "manifest_schema_version_supported", "generated_at_is_utc", "software_version_is_semantic", "git_commit_is_valid", "schema_versions_are_pinned", "output_roles_are_unique", "output_names_are_base_names",
+    "outputs_exist", "output_sizes_agree", "output_digests_agree", "output_schema_versions_agree", "no_absolute_paths", "input_file_name_privacy_is_valid", "case_id_privacy_is_valid", "privacy_is_declared",
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{'FAIL' if c in ('output_digests_agree', 'no_absolute_paths') else 'PASS'}')" for c in _CHECKS) + ") v(check_id, status)")
+def provenance_checks(t: Tables) -> DataFrame:
+    """Of a folder in which a byte was changed, and a manifest that tells a path."""
+    d, outputs = _outputs(t)
+    manifest = provenance.build("petrel", "0.1.0", d, "A01", {"cache": "/home/x"}, {}, outputs)
+    with open(f"{d}/l.txt", "r+b") as f:
+        f.write(b"#")
+    return t.spark.createDataFrame(provenance.checks(manifest, d), "check_id string, status string")
+
+
+@query("SELECT * FROM (VALUES ('good', 'written'), ('broken', 'provenance: failed checks: privacy_is_declared')) v(manifest, outcome)")
+def provenance_written(t: Tables) -> DataFrame:
+    d, outputs = _outputs(t)
+    manifest = provenance.build("petrel", "0.1.0", d, "A01", {}, {}, outputs)
+
+    def wrote(name: str, content: dict) -> str:
+        provenance.write(f"{d}/{name}", content)
+        return "written" if os.path.isfile(f"{d}/{name}") else "lost"
+
+    rows = [("good", _outcome(lambda: wrote("manifest.json", manifest))), ("broken", _outcome(lambda: wrote("other.json", manifest | {"privacy": {}})))]
+    return t.spark.createDataFrame(rows, "manifest string, outcome string")
+
+
+@query("SELECT unnest(range(1, 22)) AS position, unnest([" + ", ".join(f"'{x}'" for x in sheets.TECHNICAL) + "]) AS sheet")
+def technical_sheet_order(t: Tables) -> DataFrame:
+    book = f"{_folder(t)}/technical.xlsx"
+    sinks.write_workbook(book, sheets.technical({"Node metrics": t.read("nation"), "Gene status": t.read("region")}))
+    return t.spark.createDataFrame([(i + 1, s) for i, s in enumerate(sinks.read_workbook(book))], "position long, sheet string")
+
+
 # ---------------------------------------------------------------- enrichment of a run
 
 #: Of the 25 modules the five largest, the first 30 candidates, and all nodes, each a query set over the parts' terms.

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 
 # Marker sets, in order.
 MARKERS = {
-    "antigen_presentation": "HLA-DRA HLA-DRB1 HLA-DRB5 HLA-DPA1 HLA-DPB1 HLA-DQA1 HLA-DQB1 HLA-DQB2 HLA-DOA CD74 B2M".split(),
-    "T_cell_cytotoxic": "CD3D CD3E CD3G CD2 CD4 CD8A CD8B GZMA GZMB GZMH GZMK PRF1 NKG7 IFNG TBX21 CTLA4 ICOS CD28".split(),
-    "myeloid_macrophage": "TYROBP CD163 TREM2 MRC1 FCGR1A FCGR2A FCGR3A FCGR3B LILRB1 LILRB2 LILRB4 SPI1 IRF8 AIF1 FOLR2 MARCO MS4A4A MS4A6A MS4A7".split(),
-    "chemokine_cytokine": "TNF CCL2 CCL3 CCL4 CCL5 CCL18 CCL19 CCL21 CCR1 CCR5 CXCL1 CXCL9 CXCL10 CXCL11 CXCL12 CXCL13 CXCL14 CXCR4".split(),
-    "complement_C1q": "C1QA C1QB C1QC C1R C1S C2 C3 C4A C4B SERPING1".split(),
-    "extracellular_matrix_stromal": "COL1A1 COL1A2 COL3A1 COL5A1 COL5A2 COL5A3 COL6A1 COL6A2 COL6A3 POSTN MMP2 MMP9 TIMP3 LAMA4 VWF PECAM1 CD34 PDGFRA SPARCL1 VCAM1 MGP".split(),
-    "cell_cycle_mitotic": "CDK1 TOP2A CDC20 CCNB1 AURKB BIRC5 MKI67 UBE2C KIF11 KIF2C KIFC1 PLK1 FOXM1 MCM2 MCM7 TYMS".split(),
-    "lipid_metabolic": "FABP4 LEP ADIPOQ LPL LIPE PLIN1 DGAT2 CIDEA CIDEC PCK1 MLXIPL AQP7".split(),
-    "interferon_response": "IDO1 GBP4 GBP5 CXCL9 CXCL10 CXCL11 EPSTI1 IFITM2 MX2 ZBP1 TRIM22 CASP1 CASP4".split(),
+    "antigen_presentation": ["HLA-DRA", "HLA-DRB1", "HLA-DRB5", "HLA-DPA1", "HLA-DPB1", "HLA-DQA1", "HLA-DQB1", "HLA-DQB2", "HLA-DOA", "CD74", "B2M"],
+    "T_cell_cytotoxic": ["CD3D", "CD3E", "CD3G", "CD2", "CD4", "CD8A", "CD8B", "GZMA", "GZMB", "GZMH", "GZMK", "PRF1", "NKG7", "IFNG", "TBX21", "CTLA4", "ICOS", "CD28"],
+    "myeloid_macrophage": ["TYROBP", "CD163", "TREM2", "MRC1", "FCGR1A", "FCGR2A", "FCGR3A", "FCGR3B", "LILRB1", "LILRB2", "LILRB4", "SPI1", "IRF8", "AIF1", "FOLR2", "MARCO", "MS4A4A", "MS4A6A", "MS4A7"],
+    "chemokine_cytokine": ["TNF", "CCL2", "CCL3", "CCL4", "CCL5", "CCL18", "CCL19", "CCL21", "CCR1", "CCR5", "CXCL1", "CXCL9", "CXCL10", "CXCL11", "CXCL12", "CXCL13", "CXCL14", "CXCR4"],
+    "complement_C1q": ["C1QA", "C1QB", "C1QC", "C1R", "C1S", "C2", "C3", "C4A", "C4B", "SERPING1"],
+    "extracellular_matrix_stromal": ["COL1A1", "COL1A2", "COL3A1", "COL5A1", "COL5A2", "COL5A3", "COL6A1", "COL6A2", "COL6A3", "POSTN", "MMP2", "MMP9", "TIMP3", "LAMA4", "VWF", "PECAM1", "CD34", "PDGFRA", "SPARCL1", "VCAM1", "MGP"],
+    "cell_cycle_mitotic": ["CDK1", "TOP2A", "CDC20", "CCNB1", "AURKB", "BIRC5", "MKI67", "UBE2C", "KIF11", "KIF2C", "KIFC1", "PLK1", "FOXM1", "MCM2", "MCM7", "TYMS"],
+    "lipid_metabolic": ["FABP4", "LEP", "ADIPOQ", "LPL", "LIPE", "PLIN1", "DGAT2", "CIDEA", "CIDEC", "PCK1", "MLXIPL", "AQP7"],
+    "interferon_response": ["IDO1", "GBP4", "GBP5", "CXCL9", "CXCL10", "CXCL11", "EPSTI1", "IFITM2", "MX2", "ZBP1", "TRIM22", "CASP1", "CASP4"],
 }
 
 # The label of each marker set.
@@ -47,22 +47,88 @@ TERM_LABELS = [
 ]
 
 
-def _rule(label: str, fallback: str, markers: str, core: str, required: str, theme: str) -> dict:
-    return {"label_id": label, "fallback_label": fallback, "marker_patterns": markers.split("|"), "core_term_patterns": core.split("|"), "required_specific_patterns": required.split("|"), "theme": theme}
-
-
-# Label rules, in order: label, fallback, marker sets, core terms, required terms, theme.
+# Label rules, in order.
 RULES = [
-    _rule("MHC_class_II_antigen_presentation_module", "immune_antigen_presentation_associated_module", "antigen_presentation", "antigen processing|antigen presentation|mhc|major histocompatibility|hla|peptide antigen|peptide presentation|class ii", "antigen|mhc|major histocompatibility|hla|peptide", "antigen presentation / MHC biology"),
-    _rule("chemokine_cytokine_signaling_module", "inflammatory_immune_signaling_module", "chemokine_cytokine|interferon_response", "chemokine|cytokine|interleukin|tnf|chemotaxis|leukocyte migration|response to chemokine|response to cytokine|cellular response to chemokine|cellular response to cytokine", "chemokine|cytokine|interleukin|tnf|chemotaxis", "chemokine/cytokine inflammatory signaling"),
-    _rule("C1q_complement_macrophage_module", "phagocytic_immune_cell_signaling_module", "complement_C1q|myeloid_macrophage", "complement activation|classical complement|c1q|macrophage activation|macrophage|fc receptor|phagocytosis|phagocytic", "complement|c1q|classical complement|macrophage|fc receptor", "C1q/complement/macrophage or Fc-receptor biology"),
-    _rule("myeloid_phagocytic_immune_signaling_module", "myeloid_innate_immune_signaling_module", "myeloid_macrophage", "myeloid|innate immune|neutrophil degranulation|immune receptor|phagocytic cup|phagocytosis|phagocytic|cdc42|actin dynamics|actin cytoskeleton|cytoskeleton organization", "myeloid|innate immune|neutrophil|phagocyt|cdc42|actin", "myeloid/phagocytic immune signaling; phagocytic actin/cytoskeleton remodeling"),
-    _rule("T_cell_adaptive_immune_module", "adaptive_immune_cell_module", "T_cell_cytotoxic", "t cell|adaptive immune|lymphocyte activation|cytotoxic|natural killer|granzyme|perforin|lymphocyte mediated", "t cell|adaptive immune|lymphocyte|cytotoxic|natural killer|granzyme|perforin", "T-cell/adaptive cytotoxic immunity"),
-    _rule("myeloid_leukocyte_signaling_module", "leukocyte_immune_signaling_module", "myeloid_macrophage", "myeloid|leukocyte activation|immune receptor|leukocyte mediated|hematopoietic|innate immune|immune effector", "myeloid|leukocyte|immune receptor|hematopoietic|innate immune", "myeloid/leukocyte immune signaling"),
-    _rule("stromal_ECM_remodeling_module", "stromal_matrix_associated_module", "extracellular_matrix_stromal", "extracellular matrix|ecm|collagen|matrix organization|stromal|focal adhesion|cell-substrate adhesion|cell adhesion", "extracellular matrix|ecm|collagen|matrix|stromal|adhesion", "stromal/extracellular-matrix remodeling"),
-    _rule("interferon_response_module", "antiviral_inflammatory_response_module", "interferon_response", "interferon|antiviral|response to virus|viral process|type i interferon", "interferon|antiviral|virus|viral", "interferon/antiviral response"),
-    _rule("cell_cycle_mitotic_module", "proliferation_associated_module", "cell_cycle_mitotic", "cell cycle|mitotic|mitosis|chromosome segregation|dna replication|spindle|cyclin", "cell cycle|mitotic|mitosis|chromosome|dna replication|spindle", "cell-cycle/mitotic proliferation"),
-    _rule("lipid_metabolic_module", "metabolic_lipid_associated_module", "lipid_metabolic", "lipid|fatty acid|cholesterol|lipoprotein|triglyceride", "lipid|fatty acid|cholesterol|lipoprotein|triglyceride", "lipid/fatty-acid metabolism"),
+    {
+        "label_id": "MHC_class_II_antigen_presentation_module",
+        "fallback_label": "immune_antigen_presentation_associated_module",
+        "marker_patterns": ["antigen_presentation"],
+        "core_term_patterns": ["antigen processing", "antigen presentation", "mhc", "major histocompatibility", "hla", "peptide antigen", "peptide presentation", "class ii"],
+        "required_specific_patterns": ["antigen", "mhc", "major histocompatibility", "hla", "peptide"],
+        "theme": "antigen presentation / MHC biology",
+    },
+    {
+        "label_id": "chemokine_cytokine_signaling_module",
+        "fallback_label": "inflammatory_immune_signaling_module",
+        "marker_patterns": ["chemokine_cytokine", "interferon_response"],
+        "core_term_patterns": ["chemokine", "cytokine", "interleukin", "tnf", "chemotaxis", "leukocyte migration", "response to chemokine", "response to cytokine", "cellular response to chemokine", "cellular response to cytokine"],
+        "required_specific_patterns": ["chemokine", "cytokine", "interleukin", "tnf", "chemotaxis"],
+        "theme": "chemokine/cytokine inflammatory signaling",
+    },
+    {
+        "label_id": "C1q_complement_macrophage_module",
+        "fallback_label": "phagocytic_immune_cell_signaling_module",
+        "marker_patterns": ["complement_C1q", "myeloid_macrophage"],
+        "core_term_patterns": ["complement activation", "classical complement", "c1q", "macrophage activation", "macrophage", "fc receptor", "phagocytosis", "phagocytic"],
+        "required_specific_patterns": ["complement", "c1q", "classical complement", "macrophage", "fc receptor"],
+        "theme": "C1q/complement/macrophage or Fc-receptor biology",
+    },
+    {
+        "label_id": "myeloid_phagocytic_immune_signaling_module",
+        "fallback_label": "myeloid_innate_immune_signaling_module",
+        "marker_patterns": ["myeloid_macrophage"],
+        "core_term_patterns": ["myeloid", "innate immune", "neutrophil degranulation", "immune receptor", "phagocytic cup", "phagocytosis", "phagocytic", "cdc42", "actin dynamics", "actin cytoskeleton", "cytoskeleton organization"],
+        "required_specific_patterns": ["myeloid", "innate immune", "neutrophil", "phagocyt", "cdc42", "actin"],
+        "theme": "myeloid/phagocytic immune signaling; phagocytic actin/cytoskeleton remodeling",
+    },
+    {
+        "label_id": "T_cell_adaptive_immune_module",
+        "fallback_label": "adaptive_immune_cell_module",
+        "marker_patterns": ["T_cell_cytotoxic"],
+        "core_term_patterns": ["t cell", "adaptive immune", "lymphocyte activation", "cytotoxic", "natural killer", "granzyme", "perforin", "lymphocyte mediated"],
+        "required_specific_patterns": ["t cell", "adaptive immune", "lymphocyte", "cytotoxic", "natural killer", "granzyme", "perforin"],
+        "theme": "T-cell/adaptive cytotoxic immunity",
+    },
+    {
+        "label_id": "myeloid_leukocyte_signaling_module",
+        "fallback_label": "leukocyte_immune_signaling_module",
+        "marker_patterns": ["myeloid_macrophage"],
+        "core_term_patterns": ["myeloid", "leukocyte activation", "immune receptor", "leukocyte mediated", "hematopoietic", "innate immune", "immune effector"],
+        "required_specific_patterns": ["myeloid", "leukocyte", "immune receptor", "hematopoietic", "innate immune"],
+        "theme": "myeloid/leukocyte immune signaling",
+    },
+    {
+        "label_id": "stromal_ECM_remodeling_module",
+        "fallback_label": "stromal_matrix_associated_module",
+        "marker_patterns": ["extracellular_matrix_stromal"],
+        "core_term_patterns": ["extracellular matrix", "ecm", "collagen", "matrix organization", "stromal", "focal adhesion", "cell-substrate adhesion", "cell adhesion"],
+        "required_specific_patterns": ["extracellular matrix", "ecm", "collagen", "matrix", "stromal", "adhesion"],
+        "theme": "stromal/extracellular-matrix remodeling",
+    },
+    {
+        "label_id": "interferon_response_module",
+        "fallback_label": "antiviral_inflammatory_response_module",
+        "marker_patterns": ["interferon_response"],
+        "core_term_patterns": ["interferon", "antiviral", "response to virus", "viral process", "type i interferon"],
+        "required_specific_patterns": ["interferon", "antiviral", "virus", "viral"],
+        "theme": "interferon/antiviral response",
+    },
+    {
+        "label_id": "cell_cycle_mitotic_module",
+        "fallback_label": "proliferation_associated_module",
+        "marker_patterns": ["cell_cycle_mitotic"],
+        "core_term_patterns": ["cell cycle", "mitotic", "mitosis", "chromosome segregation", "dna replication", "spindle", "cyclin"],
+        "required_specific_patterns": ["cell cycle", "mitotic", "mitosis", "chromosome", "dna replication", "spindle"],
+        "theme": "cell-cycle/mitotic proliferation",
+    },
+    {
+        "label_id": "lipid_metabolic_module",
+        "fallback_label": "metabolic_lipid_associated_module",
+        "marker_patterns": ["lipid_metabolic"],
+        "core_term_patterns": ["lipid", "fatty acid", "cholesterol", "lipoprotein", "triglyceride"],
+        "required_specific_patterns": ["lipid", "fatty acid", "cholesterol", "lipoprotein", "triglyceride"],
+        "theme": "lipid/fatty-acid metabolism",
+    },
 ]
 
 
