@@ -81,10 +81,12 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, sources: DataFrame | N
         raise ValueError(f"more than {ALL_PAIRS} vertices: name the sources")
     step = checkpointed(endpoints(edges).select(F.col("id").alias("a"), F.col("other").alias("b")))
     frontier = checkpointed((sources or vertices).select(F.col("id").alias("s"), F.col("id").alias("t"), F.lit(0).alias("d"), F.lit(1).cast("double").alias("sigma")))
-    reached = frontier
+    reached, before = frontier, frontier
     while True:
+        # a neighbour of the frontier lies in it, in the level before it, or is new
+        seen = frontier.union(before).select("s", "t")
         nxt = frontier.join(step, F.col("t") == F.col("a")).groupBy("s", F.col("b").alias("t")).agg((F.first("d") + 1).alias("d"), F.sum("sigma").alias("sigma"))
-        frontier = checkpointed(nxt.join(reached.select("s", "t"), ["s", "t"], "left_anti").select("s", "t", "d", "sigma"))
+        before, frontier = frontier, checkpointed(nxt.join(seen, ["s", "t"], "left_anti").select("s", "t", "d", "sigma"))
         if frontier.isEmpty():
             return reached
         reached = reached.union(frontier)

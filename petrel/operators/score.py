@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from petrel.functions.columns import finite, levels, rank_desc, with_minmax
+from petrel.functions.columns import finite, levels, with_minmax
+from petrel.functions.ranks import ONE_TASK, with_rank
+from petrel.operators.checkpoints import checkpointed
 
 COMPONENTS = {"degree_component": "degree", "betweenness_component": "betweenness", "log_stress_component": "stress_centrality", "abs_logFC_component": "abs_logFC", "statistical_component": "neg_log10_pvalue"}
 
@@ -36,10 +37,15 @@ def reconstructed(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("score_reconstructed", again).withColumn("score_error", F.abs(again - F.col("candidate_score")))
 
 
-def ranked(nodes: DataFrame) -> DataFrame:
-    """Adds the competition ranks and the dense candidate rank of the total order."""
-    total = W.orderBy(F.desc("candidate_score"), F.desc("degree"), F.desc("betweenness"), "gene", "id")
-    return nodes.withColumns({"degree_rank": rank_desc(F.col("degree")), "betweenness_rank": rank_desc(F.col("betweenness")), "stress_rank": rank_desc(F.col("stress_centrality")), "abs_logFC_rank": rank_desc(F.col("abs_logFC")), "statistical_rank": rank_desc(F.col("neg_log10_pvalue")), "candidate_rank": F.row_number().over(total)})
+def ranked(nodes: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """Adds the competition ranks and the dense candidate rank of the total order, in one task or by ranges of it."""
+    out = checkpointed(nodes)  # counted, then read again
+    n = out.count()
+    by = {"degree_rank": "degree", "betweenness_rank": "betweenness", "stress_rank": "stress_centrality", "abs_logFC_rank": "abs_logFC", "statistical_rank": "neg_log10_pvalue"}
+    for rank, column in by.items():
+        out = with_rank(out, rank, [F.col(column).desc_nulls_last()], one_task=one_task, count=n).withColumn(rank, F.when(F.col(column).isNotNull(), F.col(rank)))
+    total = [F.desc("candidate_score"), F.desc("degree"), F.desc("betweenness"), F.col("gene").asc(), F.col("id").asc()]
+    return with_rank(out, "candidate_rank", total, dense_order=True, one_task=one_task, count=n)
 
 
 def with_levels(nodes: DataFrame) -> DataFrame:

@@ -18,6 +18,18 @@ def values(spark, rows, schema, *columns):
     return [tuple(r) for r in spark.createDataFrame(rows, schema).select(*columns).collect()]
 
 
+def test_ranks_by_ranges_equal_those_of_one_window(spark):
+    import random
+
+    from petrel.operators import score
+
+    rng = random.Random(1)
+    rows = [(i, f"g{i % 7}", float(rng.randrange(9)), float(rng.randrange(30)), rng.choice([None, 1.0, 2.0, 5.0]), rng.random(), float(rng.randrange(5)), rng.randrange(4) / 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, gene string, degree double, betweenness double, stress_centrality double, abs_logFC double, neg_log10_pvalue double, candidate_score double")
+    one, many = (sorted(map(tuple, score.ranked(df, one_task=n).collect())) for n in (10_000, 10))
+    assert one == many and sorted(r[-1] for r in one) == list(range(1, 401))
+
+
 def test_numbers_and_names(spark):
     got = values(spark, [("1,5",), (" -2.0",), ("bad",), (None,)], "x string", C.as_number(F.col("x")))
     assert [g[0] for g in got] == [1.5, -2.0, None, None]
