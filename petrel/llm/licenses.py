@@ -116,8 +116,90 @@ NOTICES = [
     ("unlicense", "public domain", "this is free and unencumbered software released into the public domain"),
     ("cc0", "extent possible under law", "to the extent possible under law .{1,60}? has waived all copyright"),
     ("public-domain", "public domain", "(?:released|placed|dedicated|donated) (?:in|into|to) the public domain"),
+    ("mit", "without restriction", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell"),
+    ("mit", "permission notice", "the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software"),
+    ("mit", "copyright holders be liable", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("x11", "otherwise to promote", "except as contained in this notice the names? of .{1,60}? shall not be used in advertising or otherwise to promote the sale"),
+    ("isc", "disclaims all warranties", "the software is provided as is and (?:the author|isc|internet systems consortium) disclaims all warranties with regard to this software"),
+    ("bsd", "redistributions of source", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", "redistributions in binary", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd", "any express or implied warranties", "this software is provided by (?:the )?(?:copyright holders|regents|authors?)(?: and contributors)? as is and any express or implied warranties"),
+    ("bsd-4", "university of california", "this product includes software developed by the university of california berkeley and its contributors"),
+    ("apache-2", "unless required by applicable law", f"unless required by applicable law or agreed to in writing software distributed under the {_L} is distributed on an as is basis"),
+    ("apache-2", "specific language governing", f"see the {_L} for the specific language governing permissions and limitations under the {_L}"),
+    ("apache-2", "apache software foundation", f"licensed to the apache software foundation asf under one or more contributor {_L} agreements"),
+    ("apache-2", "grant of copyright", f"grant of copyright {_L} subject to the terms and conditions of this {_L} each contributor hereby grants"),
+    ("apache-1", "apache software foundation", "this product includes software developed by the apache software foundation"),
+    ("gpl-2", "at your option", f"either version 2 of the {_L} or at your option any later version"),
+    ("gpl-3", "at your option", f"either version 3 of the {_L} or at your option any later version"),
+    ("gpl-2", "version 2 of the", f"(?:under the terms of )?version 2 of the (?:gnu general public )?{_L} only"),
+    ("gpl", "along with this program", f"you should have received a copy of the gnu general public {_L} along with this program"),
+    ("gpl", "hope that it will be useful", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl", "verbatim copies", f"everyone is permitted to copy and distribute verbatim copies of this {_L} document but changing it is not allowed"),
+    ("gpl-2", "june 1991", f"gnu general public {_L} version 2 june 1991"),
+    ("gpl-3", "june 2007", f"gnu general public {_L} version 3 29 june 2007"),
+    ("gpl-classpath", "special exception", "as a special exception the copyright holders of this (?:library|program) give you permission to link"),
+    ("lgpl-2.1", "february 1999", f"gnu lesser general public {_L} version 2 1 february 1999"),
+    ("lgpl", "along with this library", f"you should have received a copy of the gnu (?:lesser|library) general public {_L} along with this library"),
+    ("agpl-3", "november 2007", f"gnu affero general public {_L} version 3 19 november 2007"),
+    ("agpl", "affero", f"you should have received a copy of the gnu affero general public {_L}"),
+    ("fdl", "free documentation", f"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation {_L}"),
+    ("mpl-2", "the mpl was not distributed", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1", "contents of this file", f"the contents of this file are subject to the mozilla public {_L} version 1 [01]"),
+    ("cddl-1", "development and distribution", f"the contents of this file are subject to the terms of the common development and distribution {_L}"),
+    ("cpl-1", "common public", f"(?:the )?common public {_L}(?: v(?:ersion )?1 0)?"),
+    ("ipl-1", "ibm public", f"ibm public {_L}(?: version 1 0)?"),
+    ("npl-1", "netscape public", f"netscape public {_L}(?: version 1 [01])?"),
+    ("artistic-1", "intent of this document", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-1", "perl itself", "under the same terms as perl itself"),
+    ("artistic-1", "artistic", f"either the gnu general public {_L} .{{1,40}}? or the artistic {_L}"),
+    ("boost-1", "person or organization", f"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this {_L}"),
+    ("zlib", "altered source versions", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "origin of this software", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("unlicense", "anyone is free to copy", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("postgresql", "without a written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("python-2", "available to licensee", "psf is making python .{0,20}?available to licensee on an as is basis"),
+    ("ofl", "font software", "this font software is licensed under the sil open font"),
+    ("ofl", "reserved font name", "with reserved font names? [^ ]{1,40}"),
+    ("ms-pl", "if you use the software you accept", f"if you use the software you accept this {_L}"),
+    ("busl", "change date", f"change date .{{1,60}}? change {_L}"),
+    ("busl", "non production use", "(?:make|making) non production use of the licensed work"),
+    ("sspl", "to third parties as a service", "making the functionality of the program or modified version available to third parties as a service"),
+    ("elastic-2", "hosted or managed service", "you may not provide the software to third parties as a hosted or managed service"),
+    ("odbl", "open database", f"made available under the open database {_L}"),
+    ("cc", "creative commons", f"this work is licensed under (?:a|the) creative commons"),
+    ("cc-by", "appropriate credit", f"you must give appropriate credit provide a link to the {_L} and indicate if changes were made"),
+    ("cc-by-nc", "commercial purposes", "you may not use the material for commercial purposes"),
+    ("cc-by-sa", "distribute your contributions", f"you must distribute your contributions under the same {_L} as the original"),
+    ("cc-by-nd", "distribute the modified material", "you may not distribute the modified material"),
+    ("cc0", "associated a work with this deed", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc0", "no rights reserved", "no rights reserved"),
+    ("beerware", "beer", f"(?:the )?beer ?ware {_L}|buy me a beer in return"),
+    ("json", "good not evil", "the software shall be used for good not evil"),
+    ("openssl", "openssl project", "this product includes software developed by the openssl project"),
+    ("ijg", "independent jpeg group", "this software is based in part on the work of the independent jpeg group"),
+    ("w3c", "obtaining using and or copying", "by obtaining using and or copying this work you the licensee agree"),
+    ("afl", "academic free", f"academic free {_L}(?: version [123] [01])?"),
+    ("osl", "open software licen", f"open software {_L}(?: version [123] [01])?"),
+    ("qpl", "q public", f"(?:the )?q public {_L}"),
+    ("ncsa", "university of illinois", f"university of illinois(?: ncsa)? open source {_L}"),
+    ("php-3", "php licen", f"php {_L}(?: version)? 3(?: 0[01]?)?"),
+    ("ruby", "ruby", f"(?:same terms as ruby|ruby {_L})"),
+    ("vim", "vim licen", f"vim {_L}"),
+    ("cecill", "cecill", f"cecill(?: [abc])?(?: {_L})?(?: (?:version |v )?[12](?: [01])?)?"),
+    ("upl", "universal permissive", f"universal permissive {_L}(?: v 1 0)?"),
+    ("blue-oak", "blue oak", f"blue oak model {_L}"),
+    ("polyform", "polyform", "polyform (?:noncommercial|small business|free trial|perimeter|shield|strict)"),
+    ("commons-clause", "commons clause", f"commons clause {_L} condition|subject to the commons clause"),
+    ("rail", "responsible ai", f"(?:open )?responsible ai {_L}s?"),
+    ("community", "community licen", f"community {_L} agreement"),
     ("proprietary", "all rights reserved", "all rights reserved"),
     ("proprietary", "confidential", "confidential and proprietary"),
+    ("proprietary", "may be reproduced", "no part of this (?:publication|document|work|book) may be reproduced"),
+    ("proprietary", "unauthori", "unauthori[sz]ed (?:copying|reproduction|distribution|use) .{0,60}?is (?:strictly )?prohibited"),
+    ("proprietary", "internal use only", "for internal use only"),
+    ("proprietary", "evaluation purposes", "for evaluation purposes only"),
+    ("proprietary", "end user licen", f"end user {_L} agreement"),
 ]
 
 #: label: words of the license's usual address
