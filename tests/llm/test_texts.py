@@ -42,6 +42,41 @@ def test_license_suppression(spark):
     assert not any(a != b and a[0] <= b[0] and b[1] <= a[1] and a[2] <= b[2] for a in spans for b in spans)
 
 
+def test_license_notices_are_found(spark):
+    """Sentences of well-known texts, each with its label; and that suppression agrees with comparing all pairs."""
+    texts = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": "mit",
+        "Redistributions of source code must retain the above copyright notice.": "bsd",
+        "either version 3 of the License, or (at your option) any later version.": "gpl-3",
+        "You should have received a copy of the GNU General Public Licence along with this program": "gpl",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS": "apache-2",
+        "This library is distributed under the same terms as Perl itself.": "artistic-1",
+        "You may not use the material for commercial purposes": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.": "zlib",
+        "subject to the Commons Clause": "commons-clause",
+        "Unauthorised copying of this file, via any medium, is strictly prohibited": "proprietary",
+    }
+    ruleset = licenses.rules()
+    rows = list(enumerate([*texts, *(r[1] or "" for r in data.rows())]))
+    got = {r["doc_id"]: r["detections"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (i, _), label in zip(rows, texts.values()):
+        assert label in {ruleset[h["rule"]].label for h in got[i]}, label
+    import re
+
+    for i, text in rows:
+        words = brute.plain(text)
+        norm = " " + " ".join(words) + " "
+        spans = []
+        for k, r in enumerate(ruleset):
+            if r.keyword in norm:
+                for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", norm):
+                    first = norm[: m.start()].count(" ") - 1
+                    spans.append((first, first + m[0].count(" "), r.priority, k))
+        stands = lambda h: h[2] == 0 or not any(o != h and o[0] <= h[0] and h[1] <= o[1] and (o[2] < h[2] or o[2] == h[2] and ((o[0], o[1]) != (h[0], h[1]) or o[3] < h[3])) for o in spans)  # noqa: B023, E731
+        assert {(h["start"], h["last"], h["priority"], h["rule"]) for h in got[i]} == {h for h in spans if stands(h)}, text[:80]
+
+
 def test_every_license_rule_has_its_keyword():
     """A rule that matches some text must find its keyword in it, or the prefilter would drop a detection."""
     import re
@@ -290,6 +325,58 @@ def test_toxicity_learns_and_scores_every_row(spark):
     assert again == got  # held-out labels are never read
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_isotonic_is_the_max_min_of_means(seed):
+    import numpy as np
+
+    from petrel.llm.boost import Isotonic
+
+    rng = np.random.default_rng(seed)
+    score, label, weight = rng.integers(0, 12, 60) / 3, rng.integers(0, 2, 60), rng.uniform(0.5, 2, 60)
+    fit = Isotonic.fit(score, label, weight)
+    values = np.unique(score)
+    mean = lambda a, b: np.average(label[(score >= a) & (score <= b)], weights=weight[(score >= a) & (score <= b)])
+    want = [max(min(mean(a, b) for b in values if b >= v) for a in values if a <= v) for v in values]
+    pool = np.array(want)
+    for level in np.unique(np.round(pool, 12)):
+        inside = (score >= values[np.isclose(pool, level)].min()) & (score <= values[np.isclose(pool, level)].max())
+        assert np.isclose(fit(np.array([np.average(score[inside], weights=weight[inside])]))[0], level)
+    assert (np.diff(fit(np.linspace(-1, 5, 50))) >= -1e-12).all()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_a_tree_takes_the_best_split_of_all(seed):
+    import numpy as np
+
+    from petrel.llm.boost import Trees
+
+    rng = np.random.default_rng(seed)
+    x, y, w = rng.integers(0, 9, (80, 4)).astype(float), rng.integers(0, 2, 80), rng.uniform(0.5, 2, 80)
+    model = Trees.fit(x, y, w, rounds=1, depth=1, rate=1.0)
+    p = np.average(y, weights=w)
+    g, h = w * (y - p), np.full(80, 0.0) + w * p * (1 - p)
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1) + g[~m].sum() ** 2 / (h[~m].sum() + 1) - g.sum() ** 2 / (h.sum() + 1)
+    best = max(((gain(x[:, f] < cut), f, cut) for f in range(4) for cut in np.unique(x[:, f])[1:]), key=lambda t: t[0])
+    left = x[:, best[1]] < best[2]
+    want = np.where(left, g[left].sum() / (h[left].sum() + 1), g[~left].sum() / (h[~left].sum() + 1)) + np.log(p / (1 - p))
+    assert np.allclose(model(x), want)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are not here")
+def test_toxicity_held_out_accuracy(spark):
+    """On rows whose labels the training never reads; scores are calibrated in the mean."""
+    got = toxicity.op10_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic is not null"), "doc_id").toPandas()
+    ranks, toxic = got["score"].rank(), got["toxic"] == 1
+    area = (ranks[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    assert len(got) > 500 and area > 0.97 and (got["predicted"] == got["toxic"]).mean() > 0.97
+    assert abs(got["score"].mean() - toxic.mean()) < 0.03
+
+
+def test_held_out_is_never_null(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,)], "doc_id long")
+    assert {r[0] for r in rows.select(F.coalesce(toxicity.labels_modulus() == 2, F.lit(False))).collect()} <= {True, False}
+
+
 def test_toxicity_without_labels(spark):
     docs = data.docs(spark)
     for labels, share in (([], 0.0), ([(4, 0), (5, 0)], 0.0), ([(4, 1), (5, 1), (6, 1), (7, 1)], 1.0)):
