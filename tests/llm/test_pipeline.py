@@ -89,6 +89,46 @@ def test_toxic_documents_go(spark, folder):
     assert corpus_pipeline.remove_toxic(spark, docs, folder).count() == want
 
 
+def test_run_against_brute_force(spark, tmp_path):
+    """The whole chain in plain Python: scores of the trained model, classes by all pairs, exact containment, spans replaced one by one, ids of whole texts."""
+    import pyarrow as pa
+
+    from tests.llm.test_corpus import hot
+
+    rng = random.Random(21)
+    rows = [(i, t) for i, t in hot(5)]
+    item = data.prose(rng, 40)
+    rows += [(200, f"{data.prose(rng, 60)} {item} {data.prose(rng, 60)}"), (201, item.upper()), (202, f"{data.prose(rng, 30)} write to a.b@corp.example or +1 (499) 555-6503 {data.prose(rng, 30)}"), (203, ""), (204, None), (205, "4111 1111 1111 1111")]
+    rows += [(300 + i, f"{data.prose(rng, 30)} {'you blorgish idiot ' if i % 3 == 0 else ''}{data.prose(rng, 30)}") for i in range(120)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], data.SCHEMA)
+    labels = spark.createDataFrame([(300 + i, 1, int(i % 3 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    d = str(tmp_path)
+    docs.write.parquet(f"{d}/documents.parquet")
+    labels.write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    model = toxicity.train(docs, labels)
+    scores = model.score(pa.array([t for _, t in rows], pa.string()))
+    kept = [r for r, x in zip(rows, scores) if x < toxicity.CUT]
+    assert 30 <= len(rows) - len(kept) <= 45
+    kept = [(i, t) for (i, t), (c, _) in zip(kept, brute.near(kept)) if i == c]
+    leaks = {x for x, *_ in brute.leaks(kept, [(1, item)])}
+    kept = [(i, t) for i, t in kept if i not in leaks]
+    assert leaks == {200, 201}
+
+    def clean(text):
+        out, done = [], 0
+        for a, k, _, b in brute.personal(text):
+            if a >= done:
+                out += [text[done:a], f"[{pii.KINDS[k].upper()}]"]
+            done = max(done, b)
+        return "".join(out) + text[done:]
+
+    codec = bpe.Codec.get(*bpe.vocabulary())
+    want = {i: codec.encoding.encode_ordinary(clean(t or "")) for i, t in kept}
+    got = {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, d).collect()}
+    assert got == want and len(got) > 100
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="the driver's tables are not here")
 def test_run_is_its_stages(spark):
     docs = corpus_pipeline.table(spark, SMALL, "documents")
