@@ -200,6 +200,15 @@ def by_group(df: DataFrame, key: str, f: Callable[[pa.Table], pa.Table], schema:
 checkpointed = checkpoints.checkpointed
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """Small rows of a scan dealt anew, so that as many tasks write them as their size needs, not as many as read the texts.
+
+    Each file that an executor opens on a local file system starts a process, whose copy of the executor's memory
+    counts until it runs its program.
+    """
+    return df.hint("rebalance")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

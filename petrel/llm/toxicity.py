@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrel.llm.boost import Isotonic, Trees
-from petrel.llm.common import PLAIN, Words, _table, checkpointed, labels_modulus, mapped, sliced, table
+from petrel.llm.common import PLAIN, Words, _table, checkpointed, gathered, labels_modulus, mapped, sliced, table
 
 #: Labelled rows of each class that training takes at most; folds out of which calibration takes its scores.
 SAMPLE, FOLDS = 12_000, 3
@@ -248,4 +248,4 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = scored(docs, train(docs, table(spark, sf_dir, "labels")), keep=("doc_id",))
-    return out.select("doc_id", F.coalesce(labels_modulus() == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    return gathered(out).select("doc_id", F.coalesce(labels_modulus() == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
