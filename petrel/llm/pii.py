@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from petrel.llm.common import PLAIN, Words, checkpointed, mapped, sliced, table
+from petrel.llm.common import PLAIN, Words, checkpointed, gathered, mapped, sliced, table
 
 KINDS = ["email", "ip", "card", "phone", "term", "name"]
 BASE = 4
@@ -261,7 +261,7 @@ def counted(spans: str, rank: int) -> Column:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
-    return found.select(
+    return gathered(found).select(
         "doc_id",
         *(counted("base", k).alias(f"n_{KINDS[k]}") for k in range(BASE)),
         F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
