@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from petrel.functions.columns import finite, trimmed
+from petrel.operators.checkpoints import checkpointed
 
 # Generic terms of the evidence rules, and marker lists of technical signatures.
 GENERIC_TERMS = (
@@ -161,6 +162,69 @@ def compartments(selected: DataFrame) -> DataFrame:
     return by.select("module", F.coalesce("lineage", F.when(F.size("others") == 1, F.get("others", 0)).otherwise(F.lit("multi-compartment"))).alias("compartment"))
 
 
+def annotations(modules: DataFrame, terms: DataFrame, evidence: DataFrame, signatures: DataFrame) -> DataFrame:
+    """One row for each module: what its rules, significant terms and technical signature say of it together.
+
+    evidence: rows of ``rule_evidence``; the best eligible rule of each axis is selected, and a lineage that a rival
+    contests is mixed, with both as its evidence.
+    """
+    evidence = checkpointed(evidence)  # read by every part below
+    chosen = axis_ranked(evidence).where("place = 1").withColumn("rival", F.lit(False))
+    contested = None
+    for axis in ("lineage", "state", "process"):
+        one = lineage_conflicts(evidence, axis=axis).where("conflict").select("module", F.lit(axis).alias("c_axis"), F.col("other").alias("c_rule"))
+        contested = one if contested is None else contested.union(one)
+    rivals = evidence.join(contested.where("c_axis = 'lineage'").select("module", F.col("c_rule").alias("rule_id")), ["module", "rule_id"]).withColumns({"place": F.lit(1), "rival": F.lit(True)}).select(chosen.columns)
+    selected = chosen.unionByName(rivals)
+    of = lambda axis, c, rival=False: F.max(F.when((F.col("axis") == axis) & (F.col("rival") == rival), F.col(c)))
+    genes = lambda c: F.array_join(F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_list(F.split(F.upper(F.coalesce(c, F.lit(""))), "[,;|/\\s]+"))), lambda g: g != ""))), ";")
+    place = F.when(F.col("axis") == "lineage", F.when(F.col("rival"), 1).otherwise(0)).when(F.col("axis") == "state", 2).otherwise(3)
+    said = F.array_join(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.when(F.coalesce("significant_terms", F.lit("")) != "", F.struct(place.alias("o"), F.col("significant_terms").alias("t"))))), lambda x: x["t"])), " | ")
+    by = selected.groupBy("module").agg(
+        *(of(a, "display_label").alias(f"{a}_label") for a in ("lineage", "state", "process")), *(of(a, "rule_id").alias(f"{a}_rule") for a in ("lineage", "state", "process")), of("lineage", "display_label", True).alias("rival_label"),
+        genes("positive_marker_genes").alias("positive"), genes("supportive_marker_genes").alias("supportive"), genes("term_supporting_genes").alias("by_terms"), said.alias("said"), F.min("best_fdr").alias("best"),
+        F.max("marker_only_eligible").alias("alone"), F.max(F.col("significant_term_count") >= 1).alias("told"),
+    )
+    later = secondary(evidence).where("axis <> 'lineage'").groupBy("module").agg(F.array_join(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct((F.col("axis") != "state").alias("o"), "place", "display_label"))), lambda x: x["display_label"])), "; ").alias("later"))
+    clash = contested.groupBy("module").agg(F.collect_set("c_axis").alias("clashes"))
+    has = terms.select("module").distinct().withColumn("any_terms", F.lit(True))
+    rows = modules.select("module", F.size("genes").alias("module_size")).join(by, "module", "left").join(later, "module", "left").join(clash, "module", "left").join(has, "module", "left")
+    rows = rows.join(signatures.select("module", "detected", F.col("display_label").alias("signature"), F.col("supporting_genes").alias("signature_genes")), "module", "left")
+    level = confidence(selected.join(clash, "module", "left").join(signatures.select("module", "detected"), "module", "left").withColumns({"conflict": F.coalesce(F.size("clashes") > 0, F.lit(False)), "technical": F.coalesce("detected", F.lit(False))}))
+    rows = rows.join(level, "module", "left").join(compartments(chosen).withColumnRenamed("compartment", "where"), "module", "left")
+    tech, some = F.coalesce("detected", F.lit(False)), F.col("alone").isNotNull()
+    torn = lambda axis: F.coalesce(F.array_contains("clashes", axis), F.lit(False))
+    conflict = torn("lineage") | torn("state") | torn("process")
+    mixed = F.concat(F.lit("mixed-lineage-associated ("), "lineage_label", F.lit(" + "), "rival_label", F.lit(")"))
+    # Classes, scopes, labels and warnings of modules.
+    named = F.concat_ws(" / ", F.when(torn("lineage"), mixed).otherwise(F.col("lineage_label")), "state_label", "process_label")
+    scope = (
+        F.when(tech, F.lit("technical_or_covariate")).when(torn("lineage"), F.lit("mixed_lineage")).when(F.col("lineage_rule").isNotNull(), F.lit("lineage_supported"))
+        .when(F.col("state_rule").isNotNull() & F.col("process_rule").isNotNull(), F.lit("state_and_process_supported_lineage_unresolved")).when(F.col("state_rule").isNotNull(), F.lit("state_supported_lineage_unresolved"))
+        .when(F.col("process_rule").isNotNull(), F.lit("process_supported_lineage_unresolved")).otherwise(F.lit("unresolved"))
+    )
+    told, alone = F.coalesce("told", F.lit(False)), F.coalesce("alone", F.lit(False))
+    warnings = F.array_compact(F.array(
+        F.when(tech, F.lit("technical_or_covariate_signature_not_eligible_for_automatic_biological_priority")), F.when(torn("lineage"), F.lit("conflicting_lineage_evidence_label_broadened_to_mixed_lineage")),
+        F.when(torn("state"), F.lit("conflicting_state_evidence")), F.when(torn("process"), F.lit("conflicting_process_evidence")), F.when(~tech & some & F.col("lineage_rule").isNull(), F.lit("lineage_not_resolved_state_or_process_evidence_only")),
+        F.when(~tech & some & alone & ~told, F.lit("marker_only_interpretation_not_eligible_for_automatic_priority")), F.when(~tech & ~some, F.lit("insufficient_specific_marker_and_significant_enrichment_evidence")),
+        F.when(F.col("any_terms").isNull(), F.lit("no_significant_specific_enrichment_terms_available")),
+    ))
+    sure = F.when(tech, F.lit("technical_or_covariate")).otherwise(F.coalesce("confidence", F.lit("unresolved")))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    why = F.when(tech, F.concat("signature", F.lit(", borne by "), text("signature_genes"), F.lit("; not promoted by itself."))).when(some, F.concat(F.lit("Interpretation: "), named, F.lit("; markers: "), text("positive"), F.lit("; supportive: "), text("supportive"), F.lit("; terms: "), text("said"), F.lit("."))).otherwise(F.lit("No specific evidence; unresolved."))
+    return rows.select(
+        F.col("module").alias("community_louvain"), F.col("module").cast("string").alias("module_id"), "module_size",
+        F.when(tech, F.lit("technical_or_covariate")).when(torn("lineage"), F.lit("mixed_biological")).when(some, F.lit("biological")).otherwise(F.lit("unresolved")).alias("interpretation_class"), scope.alias("interpretation_scope"),
+        F.when(tech, F.lit("not_applicable")).otherwise(F.coalesce("where", F.lit("multi-compartment"))).alias("compartment"),
+        F.when(tech, F.lit("not_applicable")).when(torn("lineage"), F.lit("mixed_lineage_associated")).otherwise(F.coalesce("lineage_rule", F.lit("unresolved_lineage"))).alias("lineage"),
+        F.when(tech, F.lit("not_assigned")).otherwise(F.coalesce("state_rule", F.lit("not_assigned"))).alias("state"), F.when(tech, F.lit("not_assigned")).otherwise(F.coalesce("process_rule", F.lit("not_assigned"))).alias("process"),
+        F.when(tech, F.col("signature")).when(some, named).otherwise(F.lit(UNRESOLVED)).alias("primary_interpretation"), text("later").alias("secondary_themes"), sure.alias("confidence"),
+        (~tech & sure.isin("high", "moderate") & ~conflict & some & told).alias("priority_eligible"), text("positive").alias("positive_marker_genes"), text("supportive").alias("supportive_marker_genes"), text("by_terms").alias("term_supporting_genes"),
+        text("said").alias("significant_supporting_terms"), F.col("best").alias("best_supporting_fdr"), conflict.alias("conflict_detected"), F.coalesce(F.nullif(F.array_join(warnings, "; "), F.lit("")), F.lit("no_warning")).alias("warning"), why.alias("evidence_rationale"),
+    )
+
+
 def module_decisions(modules: DataFrame, terms: DataFrame, signatures: DataFrame, fdr_col: str = "fdr") -> DataFrame:
     """The canonical decision: a technical signature, else the first significant terms, else unresolved.
 

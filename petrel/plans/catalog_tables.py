@@ -10,7 +10,7 @@ from petrel.functions import shape
 from petrel.operators import audit, canonical, diff, enrich, evidence, graph, mapping, report, score
 from petrel.plans import fixtures, sheets
 from petrel.plans.catalog import _MORE, _candidates, _mapped, _sql, query
-from petrel.plans.catalog_evidence import _decisions, _full
+from petrel.plans.catalog_evidence import _decisions, _evidence, _full, _modules, _significant
 from petrel.plans.fixtures import THRESHOLD, Tables
 from petrel.sources import contract, discovery, labels, rules
 
@@ -435,6 +435,30 @@ def metric_meanings(t: Tables) -> DataFrame:
     return rows.select("item", sheets._meaning(F.col("item"), sheets.METRICS).alias("meaning"))
 
 
+# ---------------------------------------------------------------- annotations of modules by their rules
+
+_MORE["clash"] = ("SELECT module, rule_id, other FROM rivals WHERE place2 = 1 AND s1 >= 0.35 AND s2 >= 0.35 AND abs(s1 - s2) <= CASE WHEN anymo THEN 0.18 ELSE 0.08 END AND rule_id IN (SELECT rule_id FROM picked WHERE place = 1)", ["rivals", "picked"])
+_MORE["chosen"] = ("SELECT module, rule_id, axis, display_label, round(sc, 9) AS sc, p, t, mo, false AS rival FROM picked WHERE place = 1 UNION ALL SELECT e.module, e.rule_id, e.axis, display_label, round(sc, 9), p, t, mo, true FROM evid e JOIN clash c ON e.module = c.module AND e.rule_id = c.other", ["picked", "evid", "clash"])
+_MORE["notes"] = (
+    "SELECT m.module, max(rule_id) FILTER (axis = 'lineage' AND NOT rival) AS lr, max(rule_id) FILTER (axis = 'process') AS pr, max(display_label) FILTER (axis = 'lineage' AND NOT rival) AS ll, max(display_label) FILTER (axis = 'process') AS pl, max(display_label) FILTER (rival) AS rl, "
+    "max(sc) AS b, bool_or(p >= 2) AS mk, bool_or(t >= 1) AS tm, coalesce(bool_or(mo), false) AS alone, count(rule_id) > 0 AS any_rule, coalesce(bool_or(rival), false) AS torn FROM members m LEFT JOIN chosen c ON c.module = m.module GROUP BY 1",
+    ["members", "chosen"],
+)
+
+
+@query(
+    _sql(
+        "SELECT module AS community_louvain, CASE WHEN torn THEN 'mixed_biological' WHEN any_rule THEN 'biological' ELSE 'unresolved' END AS interpretation_class, CASE WHEN torn THEN 'mixed_lineage' WHEN lr IS NOT NULL THEN 'lineage_supported' WHEN pr IS NOT NULL THEN 'process_supported_lineage_unresolved' ELSE 'unresolved' END AS interpretation_scope, "
+        "CASE WHEN torn THEN 'mixed_lineage_associated' ELSE coalesce(lr, 'unresolved_lineage') END AS lineage, 'not_assigned' AS state, coalesce(pr, 'not_assigned') AS process, CASE WHEN any_rule THEN concat_ws(' / ', CASE WHEN torn THEN 'mixed-lineage-associated (' || ll || ' + ' || rl || ')' ELSE ll END, pl) ELSE 'unresolved biological context' END AS primary_interpretation, "
+        "conf AS confidence, conf IN ('high', 'moderate') AND NOT torn AND any_rule AND coalesce(tm, false) AS priority_eligible, torn AS conflict_detected FROM (SELECT *, CASE WHEN b >= 0.72 AND mk AND tm AND NOT torn THEN 'high' WHEN b >= 0.5 AND (mk OR tm) AND NOT torn THEN 'moderate' WHEN b >= 0.35 THEN 'low' ELSE 'unresolved' END AS conf FROM notes)",
+        "notes",
+    )
+)
+def module_annotations(t: Tables) -> DataFrame:
+    out = evidence.annotations(_modules(t), _significant(t), _evidence(t), evidence.technical(_modules(t)))
+    return out.select("community_louvain", "interpretation_class", "interpretation_scope", "lineage", "state", "process", "primary_interpretation", "confidence", "priority_eligible", "conflict_detected")
+
+
 # ---------------------------------------------------------------- columns by name
 
 

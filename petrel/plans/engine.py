@@ -164,14 +164,14 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: Data
     t |= {"Significant terms": terms, "Module annotations": decided}
     t["Module labels"] = module_labels(members, found)
     if cfg.rulebook:
-        t["Rule evidence"] = evidence.rule_evidence(genes_by, terms, rules.frame(spark, list(cfg.rulebook)))
+        t["Rule evidence"] = checkpointed(evidence.rule_evidence(genes_by, terms, rules.frame(spark, list(cfg.rulebook))))
     entity = C.entity_class(F.col("gene"))
     full = nodes.withColumn("entity_class", entity).withColumn("eligibility", C.eligibility(F.col("entity_class"))).join(decided.select(F.col("module").alias("community"), F.col("confidence").alias("module_confidence"), "interpretation_class", "priority_eligible", "conflict_detected", F.col("primary_interpretation").alias("biological_context")), "community")
     full = checkpointed(full.withColumn("warning", report.warning(F.lit("no_warning"), F.col("eligibility"), F.col("conflict_detected"))))
     best = checkpointed(report.final_priorities(full))
     n = net["vertices"].count()
     mapped_summary, config = mapping.summary(initial, final), f"threshold={res.threshold}; top_n={cfg.top_n}; enrichment={cfg.enrichment}; fdr={cfg.fdr}"
-    canonical_modules = module_table(decided)
+    canonical_modules = evidence.annotations(genes_by, terms, t["Rule evidence"], evidence.technical(genes_by)) if cfg.rulebook else module_table(decided)
     canonical_nodes = checkpointed(node_table(full, canonical_modules))
     reported = report.candidate_evidence(full, best, cfg.top_n).select(F.col("id").alias("STRING_id"), "priority_status")
     ranks = full.select(F.col("id").alias("STRING_id"), F.col("candidate_rank").alias("network_candidate_rank"), "degree_rank", "betweenness_rank", "stress_rank", *score.COMPONENTS)
