@@ -127,6 +127,40 @@ def run_log(lines: DataFrame) -> DataFrame:
     return lines.agg(last(genes, 1).alias("mapped"), last(genes, 2).alias("total"), last(net, 1).alias("nodes"), last(net, 2).alias("edges"), last(net, 3).alias("components"))
 
 
+def workbook(path: str) -> list[tuple[str, str]]:
+    """(check_id, status) of a workbook's parts: the archive, its relationships, its sheets and their headers."""
+    from petrel.sources import sinks
+
+    with zipfile.ZipFile(path) as z:
+        parts = set(z.namelist())
+        whole = z.testzip() is None
+        targets = re.findall(r'Target="([^"]+)"', z.read("xl/_rels/workbook.xml.rels").decode())
+        ids = re.findall(r'Id="([^"]+)"', z.read("xl/_rels/workbook.xml.rels").decode())
+        used = re.findall(r'r:id="([^"]+)"', z.read("xl/workbook.xml").decode())
+    sheets = sinks.read_workbook(path)
+    plain = [[re.sub(r"[^a-z0-9]", "", str(c).lower()) for c in rows[0]] if rows else [] for rows in sheets.values()]
+    found = {
+        "archive_is_whole": whole, "relationship_targets_exist": all(f"xl/{t}" in parts for t in targets), "relationship_ids_are_unique": len(set(ids)) == len(ids), "sheets_have_relationships": set(used) <= set(ids),
+        "sheets_have_headers": all(plain), "header_names_are_unique": all(len(set(p)) == len(p) for p in plain), "sheet_names_fit": all(0 < len(n) <= 31 for n in sheets),
+    }
+    return [(k, "PASS" if v else "FAIL") for k, v in found.items()]
+
+
+def repeated_sheets(books: dict[str, str]) -> list[tuple[str, str, str]]:
+    """(where, one, two): pairs of sheets of equal cells, inside a workbook or across them."""
+    from petrel.sources import sinks
+
+    seen: dict[str, str] = {}
+    out = []
+    for book, path in books.items():
+        for sheet, rows in sinks.read_workbook(path).items():
+            key, name = json.dumps(rows), f"{book}/{sheet}"
+            if key in seen:
+                out.append(("inside" if seen[key].split("/")[0] == book else "across", seen[key], name))
+            seen.setdefault(key, name)
+    return out
+
+
 def publication(folder: str) -> list[tuple[str, str]]:
     """(check_id, status) of a published folder: files, sizes, digests, parts of the workbooks, graph against manifest, no local paths."""
     from petrel.sources import sinks

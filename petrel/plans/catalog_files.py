@@ -9,12 +9,12 @@ import tempfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petrel.operators import provenance
+from petrel.operators import audit, evidence, graph, provenance
 from petrel.operators.checkpoints import shared_folder
 from petrel.plans import sheets
 from petrel.plans.catalog import _MORE, _candidates, _sql, query
 from petrel.plans.fixtures import Tables
-from petrel.sources import contract, discovery, resources, sinks
+from petrel.sources import contract, discovery, resources, rules, sinks
 
 
 def _folder(t: Tables) -> str:
@@ -282,6 +282,58 @@ def staged_publication(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(out, "attempt string, found string")
 
 
+@query("SELECT unnest(['archive_is_whole', 'relationship_targets_exist', 'relationship_ids_are_unique', 'sheets_have_relationships', 'sheets_have_headers', 'header_names_are_unique', 'sheet_names_fit']) AS check_id, unnest(['PASS', 'PASS', 'PASS', 'PASS', 'PASS', 'FAIL', 'PASS']) AS status")
+def workbook_audit(t: Tables) -> DataFrame:
+    path = f"{_folder(t)}/odd.xlsx"
+    r = t.read("region")
+    sinks.write_workbook(path, {"plain": r, "odd": r.select("r_regionkey", F.col("r_name").alias("r-name"), F.col("r_name").alias("R name"))})
+    return t.spark.createDataFrame(audit.workbook(path), "check_id string, status string")
+
+
+@query("SELECT * FROM (VALUES ('inside', 'a/one', 'a/two'), ('across', 'a/one', 'b/three')) v(place, one, two)")
+def repeated_sheets(t: Tables) -> DataFrame:
+    d, r, n = _folder(t), t.read("region").orderBy("r_regionkey"), t.read("nation").orderBy("n_nationkey")
+    sinks.write_workbook(f"{d}/a.xlsx", {"one": r, "two": r})
+    sinks.write_workbook(f"{d}/b.xlsx", {"three": r, "four": n})
+    return t.spark.createDataFrame(audit.repeated_sheets({"a": f"{d}/a.xlsx", "b": f"{d}/b.xlsx"}), "place string, one string, two string")
+
+
+@query("SELECT * FROM (VALUES ('protein_info', (SELECT count(*) FROM supplier)), ('protein_aliases', (SELECT count(*) FROM supplier)), ('enrichment_terms', (SELECT count(*) FROM supplier WHERE s_suppkey % 5 > 0)), ('threshold', 700)) v(item, n)")
+def opened_resources(t: Tables) -> DataFrame:
+    d = _cache(t)
+    _lines(_path(d, "protein_links"), [resources.HEADERS["protein_links"], "9606.1 9606.2 900"])
+    res = resources.Resources.open(t.spark, d, 700)
+    return t.spark.createDataFrame([("protein_info", res.proteins.count()), ("protein_aliases", res.aliases.count()), ("enrichment_terms", res.terms.count()), ("threshold", res.threshold)], "item string, n long")
+
+
+@query("SELECT * FROM (VALUES ('no edges', 'refused'), ('failed check', 'x: failed checks: b'), ('a p-value beyond 1', 'refused'), ('no provenance', 'refused')) v(guard, outcome)")
+def guards(t: Tables) -> DataFrame:
+    """What stops a run."""
+    from pyspark.errors import PySparkException
+
+    def refused(f) -> str:
+        try:
+            f()
+        except (ValueError, PySparkException):
+            return "refused"
+        return "passed"
+
+    spark = t.spark
+    checks = spark.createDataFrame([("a", "PASS"), ("b", "FAIL")], "check_id string, status string")
+    rows = [
+        ("no edges", refused(lambda: graph.require_edges(t.vertices(), t.edges().limit(0)))),
+        ("failed check", _outcome(lambda: evidence.require_passed(checks, "x"))),
+        ("a p-value beyond 1", refused(lambda: spark.range(1).select(sinks.exported_pvalue(F.lit(1.5))).collect())),
+        ("no provenance", refused(lambda: rules.with_provenance(spark.createDataFrame([("r1",)], "rule_id string"), spark.createDataFrame([("r2", "x")], "rule_id string, note string")).collect())),
+    ]
+    return spark.createDataFrame(rows, "guard string, outcome string")
+
+
+@query("SELECT unnest(['engine', 'python', 'spark', 'system']) AS item, true AS told")
+def session_info(t: Tables) -> DataFrame:
+    return sheets.session_info(t.spark).select("item", (F.length("version") > 0).alias("told"))
+
+
 # ---------------------------------------------------------------- provenance
 
 

@@ -212,7 +212,10 @@ def publish(result: Result, target: str, case: str, twins: bool = False) -> str:
 
     def write(staging: str) -> None:
         sheets = {k: v for k, v in tables.items() if k not in ("vertices", "edges", "Graph attributes")}
-        sinks.write_workbook(f"{staging}/analytical.xlsx", forms.shaped(tables))
+        analytical = {k: checkpointed(v) for k, v in forms.shaped(tables).items()}
+        if bad := [k for k, v in forms.checks(analytical) if v == "FAIL"]:
+            raise ValueError(f"analytical sheets: failed checks: {', '.join(bad)}")
+        sinks.write_workbook(f"{staging}/analytical.xlsx", analytical)
         sinks.write_workbook(f"{staging}/technical.xlsx", forms.technical(tables))
         vertices = canonical.matched(tables["vertices"].select(F.col("id").alias("STRING_id")), tables["Graph attributes"])
         sinks.write_graphml(f"{staging}/network.graphml", vertices.withColumn("id", F.col("STRING_id")), tables["edges"])
