@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from petrel.llm.common import SPACED, Words, checkpointed, mapped, sliced, table
@@ -72,15 +73,14 @@ def repeated_words(words: Words, n: int = 5) -> np.ndarray:
     """Which words lie in a window of n words that its text holds twice or more."""
     at, h = words.windows(n)
     doc = words.doc[at]
-    order = np.lexsort((h, doc))
+    order = np.argsort(h)
+    order = order[np.argsort(doc[order].astype(np.uint16) if len(words.first) <= 1 << 16 else doc[order], kind="stable")]
     same = (h[order][1:] == h[order][:-1]) & (doc[order][1:] == doc[order][:-1])
     twice = np.zeros(len(at), dtype=bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    edges = np.zeros(len(words.hash) + 1, dtype=np.int64)
-    np.add.at(edges, at[twice], 1)
-    np.add.at(edges, at[twice] + n, -1)
-    return np.cumsum(edges[:-1]) > 0
+    size = len(words.hash) + 1
+    return np.cumsum(np.bincount(at[twice], minlength=size) - np.bincount(at[twice] + n, minlength=size))[:-1] > 0
 
 
 def _lines(text: str | None) -> tuple[int, int]:
@@ -151,17 +151,10 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
 def quantiles(sketches: DataFrame, keys: list[str], at: dict[str, float]) -> DataFrame:
     """(keys, measure, total, one column for each name of ``at``); quantiles are whole hundredths."""
     # a sketch has a few hundred buckets at most, whatever it has counted
-    listed = sketches.groupBy(*keys, "measure").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("sketch__"))
-
-    def upto(q: float) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("bucket"))
-        step = lambda a, x: F.when((a["bucket"] >= 0), a).otherwise(F.struct((a["n"] + x["n"]).alias("n"), F.when((a["n"] + x["n"]) * 100 >= F.col("total") * round(100 * q), x["bucket"]).otherwise(F.lit(-1)).alias("bucket")))
-        return F.aggregate("sketch__", start, step, lambda a: a["bucket"])
-
-    out = listed
-    for name, q in at.items():
-        out = out.withColumn("at__", upto(q)).withColumn(name, bucket_floor(F.col("at__")))
-    return out.drop("sketch__", "at__")
+    one = W.partitionBy(*keys, "measure")
+    upto = sketches.withColumns({"upto__": F.sum("n").over(one.orderBy("bucket")), "total": F.sum("n").over(one)})
+    least = lambda q: bucket_floor(F.min(F.when(F.col("upto__") * 100 >= F.col("total") * round(100 * q), F.col("bucket"))))
+    return upto.groupBy(*keys, "measure").agg(F.max("total").alias("total"), *(least(q).alias(name) for name, q in at.items()))
 
 
 def thresholds(sketches: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
@@ -204,7 +197,8 @@ def quality(docs: DataFrame, least_rows: int = LEAST_ROWS, **columns: str) -> Da
     rows = with_measures(checkpointed(measured(docs, **columns)))
     # rows that fail the base rules don't shape what is usual
     usual = rows.where(f"n_words >= {LEAST_WORDS} and 100 * n_repeat_words <= {MOST_REPEATED} * n_words")
-    return judged(rows, thresholds(sketch(usual, ["lang", "source"], MEASURES), least_rows))
+    # the sketches are read for three levels of groups
+    return judged(rows, thresholds(checkpointed(sketch(usual, ["lang", "source"], MEASURES)), least_rows))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
