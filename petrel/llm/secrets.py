@@ -130,11 +130,11 @@ def findings(paths: DataFrame, ledger: DataFrame) -> DataFrame:
 LEDGER = f"blob binary, scanned array<string>, spans {SPANS}"
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger table at a path; one that is not there yet is empty."""
+def load(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger table at a path; None if it is not there yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], LEDGER)
+        return None
     return spark.read.schema(LEDGER).parquet(path)
 
 
