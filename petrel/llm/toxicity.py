@@ -236,10 +236,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", keep: tuple[str, ...] | None = None) -> DataFrame:
     """The rows with a score each; a column of that name is replaced. ``keep``: only these columns come back from Python."""
     names = [c for c in (docs.columns if keep is None else keep) if c != score_col]
-    src = docs.select(*names, docs[text_col].cast("string").alias("text__"))
+    kept = text_col in names and dict(docs.dtypes)[text_col] == "string"  # else the text goes to Python beside them
+    src = docs.select(*names) if kept else docs.select(*names, docs[text_col].cast("string").alias("text__"))
+    at = names.index(text_col) if kept else len(names)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        text = b.column(len(names))
+        text = b.column(at)
         return pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(model.score(text))], [*names, score_col])
 
     return mapped(src, run, "".join(f"`{c}` {t}, " for c, t in src.dtypes[: len(names)]) + f"`{score_col}` double")
