@@ -91,6 +91,16 @@ def test_quality_counts(spark):
     assert got == Counter((r[0], *brute.quality(r[1])) for r in data.rows())
 
 
+def test_quality_counts_of_periodic_texts(spark):
+    """Long words and arrangements that sums over powers would confuse; repeats that overlap themselves."""
+    from tests.llm.test_common import thue_morse
+
+    a, b = thue_morse(1024)
+    rows = list(enumerate([f"{a} x y z w {b} x y z w {a}", " ".join(a), " ".join([a, b] * 9), "go " * 400, f"{a}\n{b}\n{a}\n", "a b c d e a b c d e f", "a b c d e f a b c d"]))
+    got = by_row(quality.measured(spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    assert got == Counter((i, *brute.quality(t)) for i, t in rows)
+
+
 def test_quality_verdicts(spark):
     out = quality.quality(data.docs(spark)).collect()
     assert len(out) == len(data.rows())
