@@ -67,9 +67,9 @@ PLAIN = _table([(0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)], lower=T
 
 
 class Words:
-    """The words of some texts: ``start``/``end`` in bytes of ``raw``, ``doc`` (row number), ``hash``."""
+    """The words of some texts: ``start``/``end`` in bytes of ``raw``, ``doc`` (row number), ``hash`` (unless not asked for)."""
 
-    def __init__(self, raw: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> None:
+    def __init__(self, raw: np.ndarray, bounds: np.ndarray, table: np.ndarray, hashed: bool = True) -> None:
         self.raw, self.bounds = raw, bounds
         n = len(raw)
         self._low = np.zeros(n + 8, dtype=np.uint8)  # eight bytes may be read from any place
@@ -84,7 +84,7 @@ class Words:
         if len(inner):
             flips = np.sort(np.concatenate([flips, inner, inner]))
         self.start, self.end = flips[0::2], flips[1::2]
-        self.hash = self._hashes()
+        self.hash = self._hashes() if hashed else None
         self.doc = np.searchsorted(bounds, self.start, side="right") - 1
         self.first = np.searchsorted(self.start, bounds, side="left")  # words first[d]:first[d+1] are row d's
 
@@ -109,6 +109,15 @@ class Words:
             h[i] = int.from_bytes(hashlib.blake2b(self._low[self.start[i] : self.end[i]].tobytes(), digest_size=8).digest(), "little")
         return h
 
+    def numbered(self) -> tuple[np.ndarray, pa.Array]:
+        """A number for each word, equal where the words are, and the words by number: compared, not hashed."""
+        size = self.end - self.start
+        low = self._low[:-8]
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(low[low != 0].tobytes())])
+        coded = words.dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
     def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(word, hash) of the first n (8 at most) bytes of each word that has more."""
         at = np.flatnonzero(self.end - self.start > n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from petrel.llm import decontaminate, quality, secrets, substrings
+from petrel.llm import decontaminate, lines, quality, resample, secrets, substrings
 
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _PLAIN = decontaminate._WORDS
@@ -106,6 +106,38 @@ k AS (SELECT a AS r, count(*) AS n_links FROM e GROUP BY 1)
 SELECT doc_id, class_id, same_id, coalesce(n_links, 0) AS n_links FROM d JOIN cls USING (r) JOIN same USING (r) LEFT JOIN k USING (r)
 """
 
+_BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWERED = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINES = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS MATERIALIZED (SELECT r, doc_id, i, lines[i] AS line, {_LOWERED.format(x=f"trim(lines[i], {_BLANKS})")} AS k FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+m AS (SELECT k, min(doc_id) AS lo FROM l WHERE length(k) >= {lines.LEAST} GROUP BY k HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT r, doc_id, i, line, coalesce(lo < doc_id, false) AS gone FROM l LEFT JOIN m USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM g GROUP BY r, doc_id
+"""
+
+# CRC-32 by its table of 256 remainders, which the polynomial gives bit by bit
+_BIT = "CASE c & 1 WHEN 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT))), lambda c, x: xor(c >> 8, bits[(xor(c, x) & 255) + 1])), 4294967295)"
+
+RESAMPLING = rf"""
+WITH RECURSIVE step(b, k, c) AS (SELECT b, 0, b FROM range(256) t(b) UNION ALL SELECT b, k + 1, {_BIT} FROM step WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS bits FROM step WHERE k = 8),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_PLAIN} AS ws FROM documents),
+o AS MATERIALIZED (SELECT r, unnest(ws) AS w FROM d),
+v AS MATERIALIZED (SELECT w, count(*) AS n FROM (SELECT unnest({_PLAIN}) AS w FROM benchmark) GROUP BY w),
+h AS MATERIALIZED (SELECT w, {_CRC} % {resample.BUCKETS} AS bucket FROM (SELECT w FROM o UNION SELECT w FROM v), crc),
+s AS (SELECT bucket, count(*) AS s FROM o JOIN h USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM v JOIN h USING (w) GROUP BY bucket),
+z AS (SELECT CAST((SELECT count(*) FROM o) + {resample.BUCKETS} AS DOUBLE) AS zs, CAST((SELECT coalesce(sum(n), 0) FROM v) + {resample.BUCKETS} AS DOUBLE) AS zt),
+g AS MATERIALIZED (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * zs / (CAST(s + 1 AS DOUBLE) * zt))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket) CROSS JOIN z),
+x AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM o JOIN h USING (w) JOIN g USING (bucket) GROUP BY r),
+y AS MATERIALIZED (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('{resample.SEED}:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN x USING (r)),
+f AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, n_features, weight) AS rank, count(*) OVER () AS n FROM y WHERE n_features >= {resample.LEAST_WORDS} AND doc_id IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN rank <= {resample.PERCENT} * n // 100 THEN rank END AS BIGINT) AS rank FROM y LEFT JOIN f USING (r)
+"""
+
 ORACLES = {
     "op2_substring_dedup": SUBSTRINGS,
     "op3_chat_format": CHAT,
@@ -113,4 +145,6 @@ ORACLES = {
     "op5_secret_scan": SECRETS,
     "op6_jaccard_join": JACCARD,
     "op7_benchmark_decontamination": decontaminate.ORACLE,
+    "op11_line_dedup": LINES,
+    "op12_importance_resampling": RESAMPLING,
 }
