@@ -74,6 +74,13 @@ def _digest(words: bytes) -> bytes:
     return hashlib.blake2b(words, digest_size=16).digest()
 
 
+def _id(docs: DataFrame, id_col: str) -> tuple[Column, str]:
+    """The id column and its type; whole numbers become longs, other types (strings, digests) stay."""
+    kind = dict(docs.dtypes)[id_col]
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    return (docs[id_col].cast("long") if whole else docs[id_col]).alias("id"), "long" if whole else kind
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, least: int, n: int = SHINGLE) -> DataFrame:
     """(id, digest, words, small, prefixes): of the word sequence; its length; a byte a MinHash value; each tree's least prefix as one number."""
     names = ["id", "digest", "words", "small", "prefixes"]
@@ -103,8 +110,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, least: int, n: int =
         lists = pa.ListArray.from_arrays(pa.array((np.arange(rows + 1) * TREES).astype(np.int32)), pa.array(keys.ravel()))
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(np.concatenate(count).astype(np.int64)), flat, lists], names)
 
-    src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    return mapped(src, run, "id long, digest binary, words long, small binary, prefixes array<long>")
+    ident, kind = _id(docs, id_col)
+    src = docs.select(ident, docs[text_col].cast("string").alias("text"))
+    return mapped(src, run, f"id {kind}, digest binary, words long, small binary, prefixes array<long>")
 
 
 def _pieces(rows: DataFrame, group: list[str], blocks: Column, node: str) -> DataFrame:
@@ -295,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = family.join(sets.select("node", "id", "digest", "copies", "words"), "node")
     sizes = members.groupBy("label").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("words") / BLOCK_WORDS)).alias("parts"))
     wanted = checkpointed(members.drop("words").join(sizes, "label"))
-    text = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+    text = docs.select(_id(docs, id_col)[0], docs[text_col].cast("string").alias("text"))
     found = text.join(F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted, "id")
     work = _pieces(_with_words(found), ["label"], F.col("parts"), "node").select("piece", "side", "node", "copies", "words")
     links = checkpointed(by_group(work, "piece", _verified(top, bottom, n), "node long, links long, root long"))

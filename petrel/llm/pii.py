@@ -111,7 +111,8 @@ def _near(text: str, spans: list[tuple[int, int, int]], places: list[tuple[int,
         k = np.concatenate([np.arange(max(0, i - CONTEXT), i), np.arange(j, min(len(term), j + CONTEXT))])
         k = k[outside[k]]
         if len(k):
-            context = int(term[k].sum())
+            # of the words in their order, and of how many stand before the entity
+            context = int.from_bytes(hashlib.blake2b(term[k].tobytes() + bytes([int((k < i).sum())]), digest_size=8).digest(), "little", signed=True)
             entity = _hash(text[s:e].lower())
             out += [{"entity": entity, "term": int(term[x]), "context": context} for x in k]
     return out

@@ -279,6 +279,14 @@ def test_disclosures_are_the_corpus_counts(spark):
     assert Counter((r["joint"], r["total"], round(r["posterior"], 9), round(r["bits"], 9)) for r in got.values()) == want
 
 
+def test_contexts_are_told_apart_by_order(spark):
+    """The same words around one address in other orders, or on other sides, are other contexts."""
+    rows = ["ann said write to x@y.example", "write to ann said x@y.example", "said ann to write x@y.example", "said ann to x@y.example write"]
+    seen = lambda k: pii.disclosures(pii._observed(spark.createDataFrame([(x,) for x in rows[:k] + rows[:1]], "text string"), "text"), contexts=k).count()
+    assert [seen(k) for k in (1, 2, 3, 4)] == [4, 4, 4, 4]
+    assert pii.disclosures(pii._observed(spark.createDataFrame([(rows[0],)] * 3, "text string"), "text"), contexts=2).count() == 0
+
+
 def plain_codec():
     return bpe.Codec.get(*bpe.vocabulary())
 
