@@ -57,7 +57,7 @@ def enriched(terms: DataFrame, queries: DataFrame, background: DataFrame, names:
     tests = hits.join(drawn, "query_name").join(sizes, [*by, *term])
     tests = tests.join(population, by).join(n_tests, by) if by else tests.join(F.broadcast(population)).join(F.broadcast(n_tests))  # one row each
     tests = tests.where(F.col("background_size") >= least_background)
-    p = hypergeometric_tail(F.col("number_of_genes"), F.col("number_of_genes_in_background"), F.col("background_size"), F.col("query_size"))
+    p = hypergeometric_tail("number_of_genes", "number_of_genes_in_background", "background_size", "query_size")
     tested = tests.withColumn("pvalue", p)
     adjusted = benjamini_hochberg(F.col("pvalue"), ["query_name"], [F.col(c) for c in term], F.col("n_tests"))
     out = tested.withColumn("fdr", adjusted).where(F.col("number_of_genes") >= least_hits).drop("n_tests")

@@ -81,10 +81,10 @@ def test_hypergeometric_and_adjustment(spark):
         n = rng.randrange(10, 3000)
         k, d = rng.randrange(n + 1), rng.randrange(n + 1)
         cases.append((rng.randrange(min(k, d) + 1), k, n, d))
-    got = values(spark, cases, "x long, k long, n long, d long", stats.hypergeometric_tail(F.col("x"), F.col("k"), F.col("n"), F.col("d")))
+    got = values(spark, cases, "x long, k long, n long, d long", stats.hypergeometric_tail("x", "k", "n", "d"))
     for (x, k, n, d), (p,) in zip(cases, got):
         true = sum(math.comb(k, i) * math.comb(n - k, d - i) for i in range(x, min(k, d) + 1) if d - i <= n - k) / math.comb(n, d)
-        assert p == pytest.approx(true, rel=1e-9, abs=1e-12)
+        assert p == pytest.approx(true, rel=1e-12, abs=1e-300)
     p = [0.01, 0.04, 0.03, 0.5, 0.03]
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate(p)], "g int, i int, p double")
     got = [r[0] for r in df.withColumn("a", stats.benjamini_hochberg(F.col("p"), ["g"], [F.col("i")])).orderBy("i").select("a").collect()]
@@ -96,6 +96,48 @@ def test_hypergeometric_and_adjustment(spark):
     assert got == pytest.approx(want)
 
 
+def test_hypergeometric_tails_of_a_large_background(spark):
+    """Against exact rationals, from far in the upper tail to below the mean."""
+    from fractions import Fraction
+
+    n, cases, true = 20_000, [], []
+    for k, d in ((300, 500), (5000, 9000), (10_000, 10_000), (19_900, 40), (3, 19_000), (12_000, 15_000)):
+        mean, low, top = d * k // n, max(0, d + k - n), min(k, d)
+        deviation = math.isqrt(d * k * (n - k) // (n * n)) + 1
+        places = sorted({x for x in (mean - 6 * deviation, mean - 1, mean, mean + 1, mean + deviation, mean + 5 * deviation, mean + 20 * deviation, top) if low < x <= top})
+        whole = math.comb(n, d)
+        term, tail, by_place = math.comb(k, top) * math.comb(n - k, d - top), 0, {}
+        for i in range(top, min(places) - 1, -1):  # neighbours' ratio, in whole numbers
+            tail += term
+            by_place[i] = tail
+            if i > low:
+                term = term * i * (n - k - d + i) // ((k - i + 1) * (d - i + 1))
+        for x in places:
+            cases.append((x, k, n, d))
+            true.append(float(Fraction(by_place[x], whole)))
+    got = values(spark, cases, "x long, k long, n long, d long", stats.hypergeometric_tail("x", "k", "n", "d"))
+    assert len(cases) > 30
+    for c, (p,), t in zip(cases, got, true):
+        assert p == pytest.approx(t, rel=1e-12, abs=1e-300), c
+
+
+@pytest.mark.parametrize("tests", [None, "m"])
+def test_adjustment_by_ranges(spark, tests):
+    """The same as by windows, with ties that many rows share, null p-values, null families and more ranges than values in some."""
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, 0.0, 1.0, 0.25, *(rng.randrange(1, 2000) / 2000 for _ in range(9))]), 5000) for _ in range(1500)] + [("c", 0.5, 5000), ("d", None, 5000)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, g string, p double, m long")
+    read = lambda family, limit: {r["i"]: r["a"] for r in stats.adjusted(df, "p", "a", family, tests, one_task=limit).collect()}
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for family in ([], ["g"]):
+            ranges, windows = read(family, 0), read(family, 10**9)
+            assert ranges == windows and len(ranges) == len(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+
+
 def test_enrichment_counts_annotated_members_only(spark):
     ids = [f"P{i}" for i in range(1, 12)]
     terms = spark.createDataFrame([(i, "c", "t1", "leukocyte migration") for i in ids[:5]] + [(i, "c", "t2", "unrelated process") for i in ids[5:10]], "id string, category string, term string, description string")
