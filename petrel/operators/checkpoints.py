@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back.
+
+    For states of many rounds: a checkpoint keeps its plan's size estimate, which joins multiply round by round
+    until planning takes longer than the work; a table has the size of its files.
+    """
+    path = f"{shared_folder(df.sparkSession)}/state-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

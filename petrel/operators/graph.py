@@ -2,7 +2,7 @@
 
 Path operators work from sources in level-synchronous rounds of joins. Their tables have a
 row for each reachable (source, vertex) pair, so callers give the sources that they need;
-all-pairs measures are meant for networks of some thousand vertices, as in the domain.
+``petrel.operators.paths`` sums all-pairs measures over blocks of sources.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from petrel.functions.columns import LEAST_P, rounded
-from petrel.operators.checkpoints import checkpointed
+from petrel.operators.checkpoints import checkpointed, written
 from petrel.operators.components import components as _components
 
-#: Vertices up to which all-pairs operators run without being told to.
+#: Neighbours of a vertex in a row of the triangle search.
+NEIGHBOUR_CHUNK = 4096
+#: Vertices up to which the table of all pairs is made without being told to.
 ALL_PAIRS = 20_000
 
 
@@ -80,37 +82,47 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, sources: DataFrame | N
     if sources is None and vertices.count() > ALL_PAIRS:
         raise ValueError(f"more than {ALL_PAIRS} vertices: name the sources")
     step = checkpointed(endpoints(edges).select(F.col("id").alias("a"), F.col("other").alias("b")))
-    frontier = checkpointed((sources or vertices).select(F.col("id").alias("s"), F.col("id").alias("t"), F.lit(0).alias("d"), F.lit(1).cast("double").alias("sigma")))
+    frontier = written((sources or vertices).select(F.col("id").alias("s"), F.col("id").alias("t"), F.lit(0).alias("d"), F.lit(1).cast("double").alias("sigma")))
     reached, before = frontier, frontier
     while True:
         # a neighbour of the frontier lies in it, in the level before it, or is new
         seen = frontier.union(before).select("s", "t")
         nxt = frontier.join(step, F.col("t") == F.col("a")).groupBy("s", F.col("b").alias("t")).agg((F.first("d") + 1).alias("d"), F.sum("sigma").alias("sigma"))
-        before, frontier = frontier, checkpointed(nxt.join(seen, ["s", "t"], "left_anti").select("s", "t", "d", "sigma"))
+        before, frontier = frontier, written(nxt.join(seen, ["s", "t"], "left_anti").select("s", "t", "d", "sigma"))
         if frontier.isEmpty():
             return reached
         reached = reached.union(frontier)
 
 
-def centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame) -> DataFrame:
-    """(id, betweenness, stress) over unordered pairs, by accumulation from the deepest level up.
+def dependencies(edges: DataFrame, paths: DataFrame) -> DataFrame:
+    """(id, betweenness, stress) over the ordered pairs that the paths' sources begin, by accumulation from the deepest level up.
 
     For a source, a vertex v depends on its successors w by sigma(v)/sigma(w) (1 + delta(w)), and
     1 + gamma(w) shortest paths lead on from v by w; rows are (source, edge) pairs, not triples of vertices.
     """
     depth = paths.agg(F.max("d")).first()[0] or 0
     step = checkpointed(endpoints(edges).select(F.col("id").alias("a"), F.col("other").alias("b")))
-    paths = checkpointed(paths)
+    paths = written(paths)
     none = paths.where("d < 0").select("s", "t", F.lit(0.0).alias("delta"), F.lit(0.0).alias("gamma"))
     below, done = none, none
     for d in range(depth, 0, -1):
         deep = paths.where(F.col("d") == d).join(below, ["s", "t"], "left").select(F.col("s").alias("ws"), F.col("t").alias("w"), F.col("sigma").alias("wsigma"), F.coalesce("delta", F.lit(0.0)).alias("wdelta"), F.coalesce("gamma", F.lit(0.0)).alias("wgamma"))
         upper = paths.where(F.col("d") == d - 1).select("s", "t", "sigma")
         by_edge = deep.join(step, F.col("w") == F.col("a")).join(upper, (F.col("ws") == F.col("s")) & (F.col("b") == F.col("t")))
-        below = checkpointed(by_edge.groupBy("s", "t").agg(F.sum(F.col("sigma") / F.col("wsigma") * (1 + F.col("wdelta"))).alias("delta"), F.sum(1 + F.col("wgamma")).alias("gamma")))
+        below = written(by_edge.groupBy("s", "t").agg(F.sum(F.col("sigma") / F.col("wsigma") * (1 + F.col("wdelta"))).alias("delta"), F.sum(1 + F.col("wgamma")).alias("gamma")))
         done = done.union(below)
-    sums = done.where("s <> t").join(paths.select("s", "t", "sigma"), ["s", "t"]).groupBy(F.col("t").alias("id")).agg((F.sum("delta") / 2).alias("betweenness"), (F.sum(F.col("sigma") * F.col("gamma")) / 2).alias("stress"))
-    return vertices.join(sums, "id", "left").select("id", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"), F.coalesce("stress", F.lit(0.0)).alias("stress"))
+    return done.where("s <> t").join(paths.select("s", "t", "sigma"), ["s", "t"]).groupBy(F.col("t").alias("id")).agg(F.sum("delta").alias("betweenness"), F.sum(F.col("sigma") * F.col("gamma")).alias("stress"))
+
+
+def centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame) -> DataFrame:
+    """(id, betweenness, stress) over unordered pairs, from the paths of all sources."""
+    return halved(vertices, dependencies(edges, paths))
+
+
+def halved(vertices: DataFrame, sums: DataFrame) -> DataFrame:
+    """Sums over ordered pairs as those over unordered ones; a vertex on no path has 0."""
+    half = lambda c: (F.coalesce(c, F.lit(0.0)) / 2).alias(c)
+    return vertices.join(sums, "id", "left").select("id", half("betweenness"), half("stress"))
 
 
 def normalised_betweenness(measured: DataFrame, n: int) -> DataFrame:
@@ -118,21 +130,41 @@ def normalised_betweenness(measured: DataFrame, n: int) -> DataFrame:
     return measured.withColumn("betweenness", F.col("betweenness") / pairs if pairs else F.lit(None).cast("double"))
 
 
+def reach(paths: DataFrame) -> DataFrame:
+    """(id, reached, total, inverse, eccentricity) of each source: vertices other than itself, sums of d and 1 / d, the greatest d."""
+    return paths.where("d > 0").groupBy(F.col("s").alias("id")).agg(F.count(F.lit(1)).alias("reached"), F.sum("d").alias("total"), F.sum(1 / F.col("d")).alias("inverse"), F.max("d").alias("eccentricity"))
+
+
 def distances(vertices: DataFrame, paths: DataFrame, n: int) -> DataFrame:
     """(id, closeness, harmonic_closeness, eccentricity), normalised; an isolated vertex has no closeness."""
-    by_source = paths.where("d > 0").groupBy(F.col("s").alias("id")).agg((F.count(F.lit(1)) / F.sum("d")).alias("closeness"), (F.sum(1 / F.col("d")) / (n - 1 if n > 1 else None)).alias("harmonic"), F.max("d").alias("eccentricity"))
-    return vertices.join(by_source, "id", "left").select("id", "closeness", F.coalesce("harmonic", F.lit(0.0)).alias("harmonic_closeness"), F.coalesce("eccentricity", F.lit(0)).alias("eccentricity"))
+    return normalised_distances(vertices.join(reach(paths), "id", "left"), n)
+
+
+def normalised_distances(reached: DataFrame, n: int) -> DataFrame:
+    """The same from the rows of ``reach``, with nulls for an isolated vertex."""
+    return reached.select("id", (F.col("reached") / F.col("total")).alias("closeness"), F.coalesce(F.col("inverse") / (n - 1 if n > 1 else None), F.lit(0.0)).alias("harmonic_closeness"), F.coalesce("eccentricity", F.lit(0)).alias("eccentricity"))
+
 
+def triangles(edges: DataFrame, degree: DataFrame, chunk: int = NEIGHBOUR_CHUNK) -> DataFrame:
+    """(x, y, z) of each triangle once, from intersected neighbour lists.
 
-def triangles(edges: DataFrame, degree: DataFrame) -> DataFrame:
-    """(x, y, z) of each triangle once. Edges point to the end of higher degree, so a hub starts few wedges."""
+    Edges point to the end of higher degree, so lists are short: a graph of m edges has none above sqrt(2 m). Each edge
+    x -> y meets the lists of its two ends, cut into chunks, by two joins; rows that move are edges and chunks, not
+    wedges, and only what two lists share becomes rows.
+    """
     a, b = degree.select(F.col("id").alias("src"), F.col("degree").alias("ds")), degree.select(F.col("id").alias("dst"), F.col("degree").alias("dd"))
     ranked = edges.join(a, "src").join(b, "dst")
     forward = F.struct("ds", "src") < F.struct("dd", "dst")
-    out = ranked.select(F.when(forward, F.col("src")).otherwise(F.col("dst")).alias("x"), F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("y"))
-    one, two = out.alias("one"), out.alias("two")
-    wedges = one.join(two, F.col("one.x") == F.col("two.x")).where("one.y < two.y").select(F.col("one.x").alias("x"), F.col("one.y").alias("y"), F.col("two.y").alias("z"))
-    return wedges.join(edges, (F.col("y") == F.col("src")) & (F.col("z") == F.col("dst")), "left_semi")
+    out = checkpointed(ranked.select(F.when(forward, F.col("src")).otherwise(F.col("dst")).alias("x"), F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("y")))
+    whole = out.groupBy("x").agg(F.sort_array(F.collect_list("y")).alias("to"))
+    # a chunk of every list holds the same range of its places, so a list is read in pieces of bounded size
+    pieces = F.transform(F.sequence(F.lit(1), F.ceil(F.size("to") / chunk).cast("int")), lambda i: F.slice("to", (i - 1) * chunk + 1, chunk))
+    lists = checkpointed(whole.select("x", F.explode(pieces).alias("to")))
+    one = out.join(lists, "x")
+    two = lists.select(F.col("x").alias("y"), F.col("to").alias("also"))
+    # chunks whose ranges don't overlap share nothing
+    met = one.join(two, "y").where((F.get("to", F.lit(0)) <= F.element_at("also", -1)) & (F.get("also", F.lit(0)) <= F.element_at("to", -1)))
+    return met.select("x", "y", F.explode(F.array_intersect("to", "also")).alias("z"))
 
 
 def clustering(degree: DataFrame, triangle: DataFrame) -> DataFrame:
@@ -150,9 +182,13 @@ def transitivity(clustered: DataFrame) -> DataFrame:
 
 def distance_summary(member: DataFrame, paths: DataFrame) -> DataFrame:
     """(vertices, mean_distance, diameter, radius) of the largest component; one vertex has no mean and 0 for both."""
-    inside = member.where("in_largest_component").select(F.col("id").alias("s"))
-    far = inside.join(paths, "s", "left").groupBy("s").agg(F.max(F.coalesce("d", F.lit(0))).alias("e"), F.sum("d").alias("total"), F.count_if(F.col("d") > 0).alias("pairs"))
-    return far.agg(F.count(F.lit(1)).alias("vertices"), (F.sum("total") / F.nullif(F.sum("pairs"), F.lit(0))).alias("mean_distance"), F.max("e").alias("diameter"), F.min("e").alias("radius"))
+    return summed_distances(member, reach(paths))
+
+
+def summed_distances(member: DataFrame, reached: DataFrame) -> DataFrame:
+    """The same from the rows of ``reach``."""
+    far = member.where("in_largest_component").select("id").join(reached, "id", "left").select(F.coalesce("eccentricity", F.lit(0)).alias("e"), "total", "reached")
+    return far.agg(F.count(F.lit(1)).alias("vertices"), (F.sum("total") / F.nullif(F.sum("reached"), F.lit(0))).alias("mean_distance"), F.max("e").alias("diameter"), F.min("e").alias("radius"))
 
 
 def modularity(edges: DataFrame, partition: DataFrame) -> DataFrame:

@@ -1,94 +1,130 @@
-"""Deterministic Louvain communities.
+"""Louvain communities in rounds of joins, however large a component is.
 
-Components don't interact but by the total number of edges, so each connected component is
-one group of ``applyInPandas``. Vertices are visited in id order and move to the neighbouring
-community of best gain, ties to the least label; levels aggregate until nothing is gained.
-Communities are numbered by size, then by least id; an isolated vertex is its own.
+A level starts with every vertex in a community of its own. In a round each vertex finds the
+neighbouring community into which a move gains most (ties to the least label). Of all
+proposals that touch a community the best one decides whether the community gives or takes
+in this round, and all moves from giving into taking communities are made at once: no two
+communities swap members, and at least the best move is made. Moves into one community may
+together gain less than each alone; where modularity didn't rise, the round is taken back
+and only moves that are the best for both their communities are made, whose gains add up
+exactly. So modularity never falls. The weight inside communities comes with the next
+round's proposals and costs no pass of its own. When nothing gains, communities become the
+vertices of a weighted graph and the next level starts, until one makes no move.
+
+Weights and strengths are whole numbers and gains are compared as such, so the result
+depends on the graph alone, not on its partitions. The driver holds a row for each round.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from petrel.functions.ranks import with_rank
 from petrel.operators import graph
-from petrel.operators.shipping import shipped
-
-#: Edges of a component that one task takes; a larger one is refused rather than gathered.
-MOST_EDGES = 2_000_000
-
-
-def _move(weights: list[dict[int, float]], loops: list[float], m: float) -> list[int]:
-    n = len(weights)
-    strength = [sum(w.values()) + 2 * s for w, s in zip(weights, loops)]
-    label, total = list(range(n)), strength[:]
-    moved = True
-    while moved:
-        moved = False
-        for v in range(n):
-            into: dict[int, float] = {}
-            for u, w in weights[v].items():
-                into[label[u]] = into.get(label[u], 0.0) + w
-            total[label[v]] -= strength[v]
-            best, gain = label[v], into.get(label[v], 0.0) - strength[v] * total[label[v]] / (2 * m)
-            for c in sorted(into):
-                g = into[c] - strength[v] * total[c] / (2 * m)
-                if g > gain + 1e-12:
-                    best, gain = c, g
-            total[best] += strength[v]
-            if best != label[v]:
-                label[v], moved = best, True
-    return label
-
-
-def partition(pairs: list[tuple], m: float) -> dict:
-    """vertex to community (the least vertex in it) of a connected graph inside one of m edges."""
-    names = sorted({x for p in pairs for x in p})
-    at = {x: i for i, x in enumerate(names)}
-    weights: list[dict[int, float]] = [{} for _ in names]
-    for a, b in pairs:
-        weights[at[a]][at[b]] = weights[at[b]][at[a]] = 1.0
-    loops, member = [0.0] * len(names), list(range(len(names)))
-    while True:
-        label = _move(weights, loops, m)
-        order = {c: i for i, c in enumerate(sorted(set(label)))}
-        if len(order) == len(weights):
-            break
-        new = [order[c] for c in label]
-        merged: list[dict[int, float]] = [{} for _ in order]
-        more = [0.0] * len(order)
-        for v, ws in enumerate(weights):
-            more[new[v]] += loops[v]
-            for u, w in ws.items():
-                if new[u] == new[v]:
-                    more[new[v]] += w / 2
-                else:
-                    merged[new[v]][new[u]] = merged[new[v]].get(new[u], 0.0) + w
-        weights, loops, member = merged, more, [new[c] for c in member]
-    first: dict[int, object] = {}
-    for x, c in zip(names, member):
-        first.setdefault(c, x)
-    return {x: first[c] for x, c in zip(names, member)}
-
-
-def louvain(vertices: DataFrame, edges: DataFrame, most_edges: int = MOST_EDGES) -> DataFrame:
-    """(id, community) with communities numbered from 1."""
-    shipped(vertices.sparkSession)
-    kind = dict(vertices.dtypes)["id"]
-    member = graph.components(vertices, edges)
+from petrel.operators.checkpoints import written
+
+#: A level ends when a round raises modularity by less.
+LEAST_GAIN = 1e-7
+#: Edges beyond which gains are decimals instead of longs.
+LONG_EDGES = 1 << 29
+
+
+@dataclass
+class Found:
+    """member: (id, c) by label; rounds: (level, round, moved, modularity), moved into the state that has the modularity;
+    states: the labels after each round of the first level."""
+
+    member: DataFrame
+    rounds: list[tuple[int, int, str, float]] = field(default_factory=list)
+    states: list[DataFrame] = field(default_factory=list)
+
+
+def _wide(x: Column, m: int) -> Column:
+    return x.cast("decimal(38,0)") if m > LONG_EDGES else x
+
+
+def _proposals(step: DataFrame, node: DataFrame, m: int) -> DataFrame:
+    """(id, k, loop, c, inside, target, gain) of each vertex: its weight inside its community, and its best move if it has neighbours elsewhere."""
+    totals = node.groupBy("c").agg(F.sum("k").alias("total"))
+    placed = node.join(totals, "c")
+    there = placed.select(F.col("id").alias("b"), F.col("c").alias("to"), F.col("total").alias("to_total"))
+    near = step.join(there, "b").groupBy(F.col("a").alias("id"), "to").agg(F.sum("w").alias("w"), F.first("to_total").alias("to_total"))
+    rows = placed.join(near, "id", "left")
+    other = F.col("to") != F.col("c")
+    less = _wide(F.col("k"), m) * F.col("to_total") - _wide(F.lit(2 * m), m) * F.col("w")
+    best = rows.groupBy("id", "k", "loop", "c", "total").agg(F.min(F.when(other, F.struct(less.alias("less"), "to"))).alias("best"), F.coalesce(F.sum(F.when(~other, F.col("w"))), F.lit(0)).alias("inside"))
+    stay = _wide(F.col("k"), m) * (F.col("total") - F.col("k")) - _wide(F.lit(2 * m), m) * F.col("inside")
+    return best.select("id", "k", "loop", "c", "inside", F.col("best.to").alias("target"), (stay - F.col("best.less")).alias("gain"))
+
+
+def _modularity(offered: DataFrame, m: int) -> tuple[float, bool]:
+    """Of the state that the proposals look at; and whether any move gains."""
+    by = offered.groupBy("c").agg(F.sum("k").alias("k"), F.sum(F.col("inside") + 2 * F.col("loop")).alias("inside"), F.max("gain").alias("gain"))
+    d = F.col("k").cast("decimal(19,0)")
+    inside, squares, gain = by.agg(F.sum("inside"), F.sum(d * d), F.max("gain")).first()
+    return float(inside) / (2 * m) - float(squares) / (2 * m) ** 2, gain is not None and gain > 0
+
+
+def _moved(offered: DataFrame, alone: bool) -> DataFrame:
+    """The state (id, k, loop, c) after the moves that may be made together; ``alone``: one at most for each community."""
+    ready = offered.where("gain > 0").select("id", "c", "target", "gain")
+    touched = ready.select("id", "gain", F.explode(F.array(F.struct(F.col("c").alias("of"), F.lit(False).alias("takes")), F.struct(F.col("target").alias("of"), F.lit(True).alias("takes")))).alias("x"))
+    decided = touched.groupBy("x.of").agg(F.max(F.struct("gain", "id", "x.takes")).alias("best")).select("of", F.col("best.id").alias("by"), "best.takes")
+    gives, takes = decided.where("not takes").select(F.col("of").alias("c"), F.col("by").alias("from_by")), decided.where("takes").select(F.col("of").alias("target"), F.col("by").alias("to_by"))
+    going = ready.join(gives, "c").join(takes, "target")
+    if alone:
+        going = going.where("from_by = id and to_by = id")
+    return offered.select("id", "k", "loop", "c").join(going.select("id", "target"), "id", "left").select("id", "k", "loop", F.coalesce("target", "c").alias("c"))
+
+
+def communities(vertices: DataFrame, edges: DataFrame, least_gain: float = LEAST_GAIN, most_rounds: int | None = None) -> Found:
+    """Labels of all vertices; ``most_rounds`` ends the first level, and so the search, after as many rounds."""
     m = edges.count()
-    placed = edges.join(member.select(F.col("id").alias("src"), "component"), "src")
-    largest = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > most_edges:
-        raise ValueError(f"a component has {largest} edges; one task takes {most_edges}")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        got = partition(list(zip(rows["src"].tolist(), rows["dst"].tolist())), float(m))
-        return pd.DataFrame({"node": list(got), "least": list(got.values())})
-
-    found = placed.groupBy("component").applyInPandas(run, f"node {kind}, least {kind}")
-    label = vertices.join(found, vertices["id"] == found["node"], "left").select("id", F.coalesce("least", "id").alias("least"))
-    size = label.groupBy("least").agg(F.count(F.lit(1)).alias("size")).withColumn("community", F.row_number().over(W.orderBy(F.desc("size"), "least")))
-    return label.join(size.select("least", "community"), "least").select("id", "community")
+    found = Found(vertices.select("id", F.col("id").alias("c")))
+    if not m:
+        return found
+    step = written(graph.endpoints(edges).select(F.col("id").alias("a"), F.col("other").alias("b"), F.lit(1).cast("long").alias("w")))
+    strength = step.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k"))
+    node = vertices.join(strength, "id", "left").select("id", F.coalesce("k", F.lit(0)).cast("long").alias("k"), F.lit(0).cast("long").alias("loop"))
+    level = 0
+    while True:
+        offered = written(_proposals(step, node.withColumn("c", F.col("id")), m))
+        q, more = _modularity(offered, m)
+        if not level:
+            found.rounds.append((0, 0, "none", q))
+            found.states.append(offered.select("id", "c"))
+        rounds, moves = 0, "together"
+        while more and (most_rounds is None or rounds < most_rounds):
+            after = written(_proposals(step, _moved(offered, moves == "alone"), m))
+            q_after, more_after = _modularity(after, m)
+            if q_after <= q and moves == "together":
+                moves = "alone"
+                continue
+            rounds += 1
+            found.rounds.append((level, rounds, moves, q_after))
+            if not level:
+                found.states.append(after.select("id", "c"))
+            gained, offered, q, more, moves = q_after - q, after, q_after, more_after, "together"
+            if gained < least_gain:
+                break
+        if not rounds:
+            return found
+        labels = offered.select("id", "c")
+        found.member = written(found.member.select(F.col("id").alias("vertex"), F.col("c").alias("id")).join(labels, "id").select(F.col("vertex").alias("id"), "c"))
+        if most_rounds is not None:
+            return found
+        node = written(offered.groupBy(F.col("c").alias("id")).agg(F.sum("k").alias("k"), (F.sum("loop") + F.expr("sum(inside) div 2")).cast("long").alias("loop")))
+        a, b = labels.select(F.col("id").alias("a"), F.col("c").alias("ca")), labels.select(F.col("id").alias("b"), F.col("c").alias("cb"))
+        step = written(step.join(a, "a").join(b, "b").where("ca <> cb").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
+        level += 1
+
+
+def louvain(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, community) with communities numbered from 1 by size, then by their least vertex."""
+    member = communities(vertices, edges).member
+    size = member.groupBy("c").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"))
+    numbered = with_rank(size, "community", [F.desc("size"), F.asc("least")], dense_order=True)
+    return member.join(numbered.select("c", "community"), "c").select("id", "community")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrel.functions import columns as C
-from petrel.operators import enrich, graph, louvain, mapping, report, score
+from petrel.operators import enrich, graph, louvain, mapping, paths, report, score
+from petrel.operators.checkpoints import checkpointed
 from petrel.plans.fixtures import THRESHOLD, Tables, with_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,14 +117,12 @@ _BETWEEN = "SELECT v.id, {x} AS {n} FROM vertices v LEFT JOIN (SELECT a.t AS v,
 @query(_sql(_BETWEEN.format(x="round(coalesce(b, 0) / ((SELECT count(*) FROM vertices) - 1) / ((SELECT count(*) FROM vertices) - 2) * 2, 9)", n="betweenness"), "sp"))
 def betweenness(t: Tables) -> DataFrame:
     v, e = t.graph()
-    out = graph.centrality(v, e, graph.shortest_paths(v, e))
-    return graph.normalised_betweenness(out, v.count()).select("id", _r("betweenness"))
+    return graph.normalised_betweenness(paths.measures(v, e), v.count()).select("id", _r("betweenness"))
 
 
 @query(_sql(_BETWEEN.format(x="coalesce(st, 0)", n="stress"), "sp"))
 def stress(t: Tables) -> DataFrame:
-    v, e = t.graph()
-    return graph.centrality(v, e, graph.shortest_paths(v, e)).select("id", "stress")
+    return paths.measures(*t.graph()).select("id", "stress")
 
 
 @query(_sql("SELECT v.id, round(c, 9) AS closeness FROM vertices v LEFT JOIN (SELECT s, count(*) / sum(d) AS c FROM sp WHERE d > 0 GROUP BY 1) ON s = v.id", "sp"))
@@ -162,6 +161,15 @@ def lcc_distance_summary(t: Tables) -> DataFrame:
     return graph.distance_summary(member, graph.shortest_paths(v, e)).select("vertices", _r("mean_distance"), "diameter", "radius")
 
 
+@query(_sql(f"SELECT diameter, radius FROM ({_LCC})", "sp", "comp", "lcc"))
+def lcc_extremes(t: Tables) -> DataFrame:
+    """Diameter and radius from bounds of few searches."""
+    v, e = t.graph()
+    inside = checkpointed(graph.largest_component(graph.components(v, e)).where("in_largest_component").select("id"))
+    found = paths.extremes(inside, e.join(inside.withColumnRenamed("id", "src"), "src", "left_semi"))
+    return t.spark.createDataFrame([(found.diameter, found.radius)], "diameter int, radius int")
+
+
 _PARTS = "SELECT count(*) AS communities, round(sum(coalesce(i, 0) / m - (coalesce(e, 0) / (2 * m)) ** 2), 9) AS modularity FROM (SELECT DISTINCT s_nationkey AS c FROM supplier) LEFT JOIN (SELECT a.s_nationkey AS c, count(*) AS i FROM edges JOIN supplier a ON a.s_suppkey = src JOIN supplier b ON b.s_suppkey = dst WHERE a.s_nationkey = b.s_nationkey GROUP BY 1) USING (c) LEFT JOIN (SELECT s_nationkey AS c, count(*) AS e FROM ends JOIN supplier ON s_suppkey = id GROUP BY 1) USING (c) CROSS JOIN (SELECT count(*)::DOUBLE AS m FROM edges)"
 
 
@@ -197,6 +205,43 @@ def louvain_modules(t: Tables) -> DataFrame:
     return louvain.louvain(*t.graph())
 
 
+ROUNDS = 3
+
+
+def _louvain_rounds() -> tuple[dict, str]:
+    """The first rounds of the first level as SQL, and the modularity after each."""
+    more, out = {"s0": ("SELECT id, degree AS k, id AS c FROM degrees", ["degrees"]), "ends_n": ("SELECT sum(degree) AS m2 FROM degrees", ["degrees"])}, []
+    for r in range(ROUNDS + 1):
+        if r:
+            b = r - 1
+            more[f"n{r}"] = (f"SELECT e.id, x.c AS t, count(*) AS w FROM ends e JOIN s{b} x ON e.other = x.id GROUP BY 1, 2", ["ends", f"s{b}"])
+            more[f"z{r}"] = (f"SELECT c, sum(k) AS d FROM s{b} GROUP BY 1", [f"s{b}"])
+            more[f"p{r}"] = (
+                f"SELECT x.id, x.c, min((x.k * zt.d - m2 * n.w, n.t)) FILTER (n.t <> x.c) AS best, x.k * (zc.d - x.k) - m2 * coalesce(sum(n.w) FILTER (n.t = x.c), 0) AS stay FROM s{b} x JOIN z{r} zc ON zc.c = x.c LEFT JOIN n{r} n ON n.id = x.id LEFT JOIN z{r} zt ON zt.c = n.t CROSS JOIN ends_n GROUP BY x.id, x.c, x.k, zc.d, m2",
+                ["ends_n", f"s{b}", f"z{r}", f"n{r}"],
+            )
+            more[f"g{r}"] = (f"SELECT id, c, best[2] AS t, stay - best[1] AS gain FROM p{r} WHERE stay - best[1] > 0", [f"p{r}"])
+            more[f"o{r}"] = (f"SELECT com, max((gain, id, takes))[3] AS takes FROM (SELECT c AS com, gain, id, false AS takes FROM g{r} UNION ALL SELECT t, gain, id, true FROM g{r}) GROUP BY com", [f"g{r}"])
+            more[f"s{r}"] = (f"SELECT x.id, x.k, coalesce(y.t, x.c) AS c FROM s{b} x LEFT JOIN (SELECT g.id, g.t FROM g{r} g JOIN o{r} a ON a.com = g.c AND NOT a.takes JOIN o{r} b ON b.com = g.t AND b.takes) y ON y.id = x.id", [f"s{b}", f"g{r}", f"o{r}"])
+        out.append(f"SELECT CAST({r} AS INTEGER) AS round, (SELECT count(DISTINCT c) FROM s{r}) AS communities, round((SELECT count(*) FROM ends e JOIN s{r} a ON a.id = e.id JOIN s{r} b ON b.id = e.other WHERE a.c = b.c) / m2 - (SELECT sum(d * d) FROM (SELECT sum(k)::DOUBLE AS d FROM s{r} GROUP BY c)) / (m2 * m2), 9) AS modularity FROM ends_n")
+    return more, " UNION ALL ".join(out)
+
+
+_ROUNDS, _BY_ROUND = _louvain_rounds()
+_MORE |= _ROUNDS
+
+
+@query(_sql(_BY_ROUND, "ends", "ends_n", f"s{ROUNDS}"))
+def louvain_rounds(t: Tables) -> DataFrame:
+    """Communities and modularity of the states after the first rounds, by the states themselves."""
+    v, e = t.graph()
+    out = None
+    for r, state in enumerate(louvain.communities(v, e, most_rounds=ROUNDS).states):
+        one = graph.modularity(e, state.withColumnRenamed("c", "community")).select(F.lit(r).alias("round"), "communities", _r("modularity"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query(_sql("SELECT id, degree FROM degrees ORDER BY degree DESC, id LIMIT 30", "degrees"))
 def top_by_degree(t: Tables) -> DataFrame:
     return graph.degrees(t.vertices(), t.edges()).orderBy(F.desc("degree"), "id").limit(30)

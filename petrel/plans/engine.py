@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import petrel
 from petrel.functions import columns as C
-from petrel.operators import canonical, enrich, evidence, graph, louvain, mapping, provenance, report, score
+from petrel.operators import canonical, enrich, evidence, graph, louvain, mapping, paths, provenance, report, score
 from petrel.operators.checkpoints import checkpointed
 from petrel.plans import sheets as forms
 from petrel.sources import contract, labels, rules, sinks
@@ -57,15 +57,15 @@ def network(selected: DataFrame, res: Resources) -> dict[str, DataFrame]:
     graph.require_edges(vertices, edges)
     n = vertices.count()
     member = checkpointed(graph.largest_component(graph.components(vertices, edges)))
-    paths = checkpointed(graph.shortest_paths(vertices, edges))
+    measured = checkpointed(paths.measures(vertices, edges))
     degree = checkpointed(graph.degrees(vertices, edges))
     clustered = checkpointed(graph.clustering(degree, graph.triangles(edges, degree)))
-    central = checkpointed(graph.normalised_betweenness(graph.centrality(vertices, edges, paths), n))
+    central = checkpointed(graph.normalised_betweenness(measured.select("id", "betweenness", "stress"), n))
     community = checkpointed(louvain.louvain(vertices, edges))
     annotation = selected.select(F.col("protein_id").alias("id"), "gene", "pvalue", "logFC")
-    nodes = graph.node_metrics(annotation, member, clustered, central, graph.distances(vertices, paths, n), community)
+    nodes = graph.node_metrics(annotation, member, clustered, central, graph.normalised_distances(measured, n), community)
     scored = checkpointed(score.priority_class(score.with_levels(score.ranked(score.scored(nodes)))))
-    summary = graph.graph_summary(vertices, edges, member, clustered, graph.distance_summary(member, paths), graph.modularity(edges, community), res.threshold)
+    summary = graph.graph_summary(vertices, edges, member, clustered, graph.summed_distances(member, measured), graph.modularity(edges, community), res.threshold)
     return {"vertices": vertices, "edges": edges, "nodes": scored, "summary": checkpointed(summary), "histogram": graph.degree_histogram(degree)}
 
 

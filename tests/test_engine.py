@@ -9,8 +9,10 @@ import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from petrel.operators import audit, graph, louvain, provenance
+from petrel.operators import paths as path_measures
 from petrel.plans import engine, sheets
 from petrel.sources import contract, resources, rules, sinks
 
@@ -152,6 +154,36 @@ def test_louvain_is_deterministic(spark):
     assert q["communities"] == 2 and q["modularity"] == pytest.approx(0.467742, abs=1e-6)
 
 
+def test_louvain_finds_planted_groups_in_one_component(spark):
+    """Six groups in one component, whatever the partitions and names; modularity never falls and is that of the labels."""
+    import random
+
+    rng = random.Random(3)
+    pairs = [(a, b) for a in range(180) for b in range(a + 1, 180) if rng.random() < (0.4 if a // 30 == b // 30 else 0.01)]
+    v, e = spark.range(180), spark.createDataFrame(pairs, "src long, dst long")
+    runs = []
+    for n in (1, 7):
+        found = louvain.communities(v.repartition(n), e.repartition(n))
+        q = [r[3] for r in found.rounds]
+        assert q == sorted(q) and q[-1] > 0.6
+        assert q[-1] == pytest.approx(graph.modularity(e, found.member.withColumnRenamed("c", "community")).first()["modularity"], abs=1e-12)
+        runs.append((found.rounds, sorted(map(tuple, found.member.collect()))))
+        first = [graph.modularity(e, x.withColumnRenamed("c", "community")).first()["modularity"] for x in found.states[:3]]
+        assert first == pytest.approx(q[:3], abs=1e-12)
+    assert runs[0] == runs[1]
+    assert len({(i // 30, c) for i, c in runs[0][1]}) == len({c for _, c in runs[0][1]}) == 6
+
+
+def test_louvain_takes_back_rounds_that_lose(spark):
+    """Many leaves that move at once into hubs; a star, a path, pairs, loops of weight inside contracted vertices."""
+    pairs = [(h, 10 + 40 * h + i) for h in range(4) for i in range(40)] + [(a, b) for a in range(4) for b in range(a + 1, 4)] + [(10 + i, 50 + i) for i in range(40)] + [(90 + i, 91 + i) for i in range(39)]
+    v, e = spark.range(200), spark.createDataFrame(pairs, "src long, dst long")
+    found = louvain.communities(v, e)
+    q = [r[3] for r in found.rounds]
+    assert q == sorted(q) and q[-1] == pytest.approx(graph.modularity(e, found.member.withColumnRenamed("c", "community")).first()["modularity"], abs=1e-12)
+    assert louvain.communities(v, e.limit(0)).rounds == [] and louvain.louvain(v.limit(3), e.limit(0)).count() == 3
+
+
 def test_paths_on_random_graphs(spark):
     import random
     from collections import deque
@@ -185,6 +217,32 @@ def test_paths_on_random_graphs(spark):
     assert {(r["s"], r["t"]): (r["d"], r["sigma"]) for r in paths.collect()} == {(s, t): (d[t], g[t]) for s, (d, g) in dist.items() for t in d}
     got = {r["id"]: r for r in graph.centrality(v, e, paths).collect()}
     assert all(got[i]["stress"] == stress[i] and got[i]["betweenness"] == pytest.approx(between[i]) for i in range(n))
+    # blocks of a few sources sum to the same
+    assert path_measures.blocks(n, len(pairs), 800) == 3 and path_measures.blocks(10**6, 10**7, 10**9) == 20_000
+    for r in path_measures.measures(v, e, 800).collect():
+        d = dist[r["id"]][0]
+        assert r["stress"] == stress[r["id"]] and r["betweenness"] == pytest.approx(between[r["id"]])
+        assert (r["reached"] or 0, r["total"] or 0, r["eccentricity"] or 0) == (len(d) - 1, sum(d.values()), max(d.values()))
+    member = graph.largest_component(graph.components(v, e))
+    inside = {r["id"] for r in member.where("in_largest_component").collect()}
+    got = path_measures.extremes(v.where(F.col("id").isin(*inside)), e.where(F.col("src").isin(*inside)), 2)
+    far = [max(dist[i][0].values()) for i in inside]
+    assert (got.diameter, got.radius) == (max(far), min(far)) and got.searches <= len(inside)
+    three = {frozenset(x) for x in itertools.combinations(range(n), 3) if all(tuple(sorted(p)) in set(pairs) for p in itertools.combinations(x, 2))}
+    for chunk in (1, 2, 4096):
+        rows = [tuple(r) for r in graph.triangles(e, graph.degrees(v, e), chunk).collect()]
+        assert len(rows) == len(three) and {frozenset(r) for r in rows} == three
+
+
+def test_extremes_take_few_searches(spark):
+    """A long grid with a tail: exact, from a twentieth of the vertices; one vertex has 0 for both."""
+    w, h = 12, 3
+    pairs = [(y * w + x, y * w + x + 1) for y in range(h) for x in range(w - 1)] + [(y * w + x, (y + 1) * w + x) for y in range(h - 1) for x in range(w)] + [(w - 1, w * h), (w * h, w * h + 1)]
+    v, e = spark.range(w * h + 2), spark.createDataFrame(pairs, "src long, dst long")
+    got = path_measures.extremes(v, e, 2)
+    assert (got.diameter, got.radius) == (15, 8) and got.searches <= 8
+    one = path_measures.extremes(spark.range(1), e.limit(0))
+    assert (one.diameter, one.radius) == (0, 0)
 
 
 def test_preflight(spark, genes, tmp_path):
