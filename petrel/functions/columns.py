@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from petrel.functions import quantiles
+
 #: -log10 takes p-values from the smallest normal double on.
 LEAST_P = 2.2250738585072014e-308
 
@@ -57,11 +59,20 @@ def rank_desc(x: Column, partition: list[str] | None = None) -> Column:
     return F.when(x.isNotNull(), F.rank().over(over)).cast("int")
 
 
-def levels(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+#: Rows up to which one aggregate takes the quantiles of ``levels``; beyond, they are found by ranges. Both give the same.
+ONE_BUFFER = 200_000
+
+
+def levels(rows: DataFrame, columns: dict[str, Column], one_buffer: int = ONE_BUFFER, count: int | None = None) -> DataFrame:
     """Adds a level by the 0.90, 0.75 and 0.50 quantiles of the finite values; others have none."""
     rows = rows.withColumns({f"{c}__raw": x.cast("double") for c, x in columns.items()})
-    cuts = rows.agg(*(F.percentile(only_finite(F.col(f"{c}__raw")), F.array(F.lit(0.5), F.lit(0.75), F.lit(0.9))).alias(f"{c}__cuts") for c in columns))
-    out = rows.join(F.broadcast(cuts))  # one row
+    chances, of = [0.5, 0.75, 0.9], lambda c: only_finite(F.col(f"{c}__raw"))
+    if (rows.count() if count is None else count) <= one_buffer:
+        cuts = rows.agg(*(F.percentile(of(c), F.array(*map(F.lit, chances))).alias(f"{c}__cuts") for c in columns))
+        out = rows.join(F.broadcast(cuts))  # one row
+    else:
+        found = quantiles.by_ranges(rows, {c: of(c) for c in columns}, chances)
+        out = rows.withColumns({f"{c}__cuts": F.array(*(F.lit(q).cast("double") for q in found[c])) for c in columns})
     for c in columns:
         x, q = F.col(f"{c}__raw"), F.col(f"{c}__cuts")
         out = out.withColumn(c, F.when(~finite(x), F.lit(None)).when(x >= q[2], F.lit("very_high_top_10_percent")).when(x >= q[1], F.lit("high_top_25_percent")).when(x >= q[0], F.lit("medium_above_median")).otherwise(F.lit("low_below_median")))

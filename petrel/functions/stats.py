@@ -105,11 +105,12 @@ def adjusted(rows: DataFrame, p: str, name: str, family: list[str] | None = None
             cond &= c
         return a.alias("a").join(b.alias("b"), cond, how).select("a.*", *(f"b.{c}" for c in add))
 
-    own = W.partitionBy(*family, "part__").orderBy("p__")
+    # sums go up and minima down: a frame to the end of its partition would be computed anew for every row
+    own, down = W.partitionBy(*family, "part__").orderBy("p__"), W.partitionBy(*family, "part__").orderBy(F.desc("p__"))
     placed = beside(dealt, before, [*family, "part__"], ["before__", *([] if tests else ["tests__"])])
     raw = placed.withColumn("raw__", F.col("p__") * F.col("tests__") / (F.col("before__") + F.sum("n__").over(own.rowsBetween(W.unboundedPreceding, W.currentRow))))
-    raw = checkpointed(raw.withColumn("least__", F.min("raw__").over(own.rowsBetween(W.currentRow, W.unboundedFollowing))))
-    after = raw.groupBy(*family, "part__").agg(F.min("raw__").alias("range__")).withColumn("after__", F.min("range__").over(in_order.rowsBetween(1, W.unboundedFollowing)))
+    raw = checkpointed(raw.withColumn("least__", F.min("raw__").over(down.rowsBetween(W.unboundedPreceding, W.currentRow))))
+    after = raw.groupBy(*family, "part__").agg(F.min("raw__").alias("range__")).withColumn("after__", F.min("range__").over(W.partitionBy(*family).orderBy(F.desc("part__")).rowsBetween(W.unboundedPreceding, -1)))
     known = checkpointed(beside(raw, after, [*family, "part__"], ["after__"]).select(*family, "p__", F.least(F.lit(1.0), "least__", "after__").alias(name)))
     # both sides are plain exchanges, so a p-value that many rows share is split
     return beside(rows.withColumn("p__", F.col(p)), known, [*family, "p__"], [name], "left").drop("p__")

@@ -80,13 +80,46 @@ def technical(modules: DataFrame) -> DataFrame:
     return out.withColumn("s", found).select("module", F.col("s").isNotNull().alias("detected"), "s.signature_id", "s.display_label", F.array_join(F.coalesce("s.supporting_genes", F.array().cast("array<string>")), ";").alias("supporting_genes"), F.coalesce("s.evidence_fraction", F.lit(0.0)).alias("evidence_fraction"))
 
 
+def gates(pattern: Column) -> Column:
+    """Literals of which a text must hold one if the lower-case pattern is to match it.
+
+    Of each alternative the longest run of plain characters; an empty literal, which every text holds, where the
+    pattern groups, repeats from none on, escapes or has classes.
+    """
+    plain = ~pattern.rlike(r"[?*{}\[\]()\\]")
+    longest = lambda a: F.aggregate(F.split(a, r"[.^$+]+"), F.lit(""), lambda x, y: F.when(F.length(y) > F.length(x), y).otherwise(x))
+    return F.when(plain, F.transform(F.split(pattern, r"\|"), longest)).otherwise(F.array(F.lit("")))
+
+
+def gated(patterns: Column) -> Column:
+    """(pattern, literals) of each, in lower case."""
+    return F.transform(patterns, lambda p: F.struct(F.lower(p).alias("pattern"), gates(F.lower(p)).alias("literals")))
+
+
+def _open(text: Column, g: Column) -> Column:
+    return F.exists(g["literals"], lambda x: F.contains(text, x))
+
+
+def regex_evaluations(terms: DataFrame, rules: DataFrame, patterns: str = "term_patterns") -> DataFrame:
+    """(pairs, evaluated): pairs of a module's term and a rule's pattern, and those whose literals let the pattern run."""
+    listed = rules.select(F.explode(gated(F.col(patterns))).alias("g"))
+    both = terms.select(F.lower("description").alias("d")).crossJoin(F.broadcast(listed))  # as many as the rulebook has patterns
+    return both.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(_open(F.col("d"), F.col("g"))).alias("evaluated"))
+
+
 def rule_evidence(modules: DataFrame, terms: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every module against every rule. terms: significant ones, (module, description, ...)."""
+    """Every module against every rule. terms: significant ones, (module, description, ...).
+
+    A pattern runs only on descriptions that hold one of its literals: a search for a literal costs little, while
+    patterns that differ from row to row are compiled each time.
+    """
+    rules = rules.withColumns({"term_gates": gated(F.col("term_patterns")), "required_gates": gated(F.col("required_term_patterns"))})
     listed = terms.groupBy("module").agg(F.collect_list(F.struct("fdr", "source", "description", "term_id", "supporting_genes")).alias("terms"))
     both = modules.select("module", "genes").join(listed, "module", "left").crossJoin(F.broadcast(rules)).withColumn("terms", F.array_sort(F.coalesce("terms", F.array().cast("array<struct<fdr:double,source:string,description:string,term_id:string,supporting_genes:string>>"))))
-    matching = lambda patterns: F.filter("terms", lambda t: F.exists(patterns, lambda p: F.rlike(F.lower(t["description"]), F.lower(p))))
+    both = both.withColumn("lowered", F.transform("terms", lambda t: F.struct(F.lower(t["description"]).alias("d"), t.alias("t"))))
+    matching = lambda patterns: F.transform(F.filter("lowered", lambda t: F.exists(patterns, lambda g: _open(t["d"], g) & F.rlike(t["d"], g["pattern"]))), lambda t: t["t"])
     hits = lambda markers: F.array_intersect("genes", F.transform(markers, lambda g: F.upper(trimmed(g))))
-    out = both.withColumns({"positive": hits(F.col("positive_markers")), "supportive": hits(F.col("supportive_markers")), "exclusion": hits(F.col("exclusion_markers")), "matched": matching(F.col("term_patterns")), "required": F.size(matching(F.col("required_term_patterns")))})
+    out = both.withColumns({"positive": hits(F.col("positive_markers")), "supportive": hits(F.col("supportive_markers")), "exclusion": hits(F.col("exclusion_markers")), "matched": matching(F.col("term_gates")), "required": F.size(matching(F.col("required_gates")))})
     out = out.withColumns({"p": F.size("positive"), "s": F.size("supportive"), "x": F.size("exclusion"), "t": F.size("matched")})
     p, s, x, t = (F.col(c) for c in "psxt")
     one = F.lit(1.0)

@@ -504,6 +504,30 @@ def bh_adjust(t: Tables) -> DataFrame:
     return t.genes().select("module", "id", F.round(benjamini_hochberg(F.col("pvalue"), ["module"], [F.col("id")]), 9).alias("adjusted"))
 
 
+_LINE_P = "CAST(CAST(floor(l_extendedprice) AS BIGINT) * 7919 % 99991 + 1 AS DOUBLE) / 99992"
+
+
+@query(
+    f"WITH l AS (SELECT l_returnflag, {_LINE_P} AS p FROM lineitem), r AS (SELECT *, p * count(*) OVER (PARTITION BY l_returnflag) / (rank() OVER (PARTITION BY l_returnflag ORDER BY p) + count(*) OVER (PARTITION BY l_returnflag, p) - 1) AS raw FROM l) "
+    "SELECT DISTINCT l_returnflag, round(p, 9) AS pvalue, round(least(1.0, min(raw) OVER (PARTITION BY l_returnflag ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 9) AS adjusted FROM r"
+)
+def bh_adjust_long_families(t: Tables) -> DataFrame:
+    """A test for each line, in three families: by ranges of p-values, no window over a family."""
+    from petrel.functions.stats import adjusted
+
+    rows = t.read("lineitem").select("l_returnflag", F.expr(_LINE_P).alias("p"))
+    return adjusted(rows, "p", "adjusted", ["l_returnflag"], one_task=0).select("l_returnflag", F.round("p", 9).alias("pvalue"), F.round("adjusted", 9).alias("adjusted")).distinct()
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS measure, {q} AS chance, round(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS value FROM lineitem" for c in ("l_extendedprice", "l_quantity", "l_discount") for q in (0.5, 0.75, 0.9)))
+def quantiles_by_ranges(t: Tables) -> DataFrame:
+    """Exact quantiles of three columns from order statistics by range."""
+    from petrel.functions.quantiles import by_ranges
+
+    found = by_ranges(t.read("lineitem"), {c: F.col(c) for c in ("l_extendedprice", "l_quantity", "l_discount")}, [0.5, 0.75, 0.9])
+    return t.spark.createDataFrame([(c, q, round(v, 6)) for c, values in found.items() for q, v in zip((0.5, 0.75, 0.9), values)], "measure string, chance double, value double")
+
+
 @query(_sql(f"SELECT DISTINCT description, {_GEN} AS is_generic FROM terms", "terms"))
 def generic_term_filter(t: Tables) -> DataFrame:
     return t.terms().select("description").distinct().select("description", enrich.is_generic(F.col("description")).alias("is_generic"))

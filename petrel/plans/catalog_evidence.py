@@ -55,6 +55,12 @@ def rule_cross_eval(t: Tables) -> DataFrame:
     return _evidence(t).select("module", "rule_id", "positive_marker_count", "supportive_marker_count", "exclusion_marker_count", "significant_term_count", "required_term_count", "evidence_score", "standard_eligible", "marker_only_eligible", "eligible")
 
 
+@query(_sql("SELECT count(*) AS pairs, count(*) FILTER (contains(lower(description), lower(p))) AS evaluated FROM sig, (SELECT unnest(pats) AS p FROM rules)", "sig", "rules"))
+def rule_pattern_gates(t: Tables) -> DataFrame:
+    """Pairs of a term and a rule's pattern, and how many of them a literal lets through to the pattern."""
+    return evidence.regex_evaluations(_significant(t), fixtures.rulebook(t))
+
+
 @query(_sql("SELECT module, axis, rule_id, CAST(place AS INTEGER) AS place FROM picked", "picked"))
 def axis_selection(t: Tables) -> DataFrame:
     return evidence.axis_ranked(_evidence(t)).select("module", "axis", "rule_id", "place")

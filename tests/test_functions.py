@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from petrel.functions import columns as C
-from petrel.functions import stats
+from petrel.functions import quantiles, stats
 from petrel.operators import diff, enrich, evidence, mapping, score
 from petrel.sources import contract, sinks
 
@@ -224,3 +224,29 @@ def test_exported_pvalues(spark):
     assert values(spark, [(0.0,), (0.5,)], "p double", sinks.exported_pvalue(F.col("p"))) == [(1e-300,), (0.5,)]
     with pytest.raises(Exception, match="not a number"):
         values(spark, [(1.5,)], "p double", sinks.exported_pvalue(F.col("p")))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 400])
+def test_quantiles_by_ranges(spark, n):
+    """Equal to the aggregate's, with ties over many rows, nulls and a column without values; levels likewise."""
+    rng = random.Random(n)
+    rows = [(i, rng.choice([None, 1.0, 1.0, float("nan"), float("inf"), rng.random() * 9]), rng.randrange(5), None) for i in range(n)]
+    df = spark.createDataFrame(rows, "i int, x double, k int, none double").repartition(3)
+    chances = [0.0, 0.1, 0.5, 0.75, 0.9, 1.0]
+    columns = {"x": C.only_finite(F.col("x")), "k": F.col("k"), "none": F.col("none")}
+    want = df.agg(*(F.percentile(c.cast("double"), F.array(*map(F.lit, chances))).alias(name) for name, c in columns.items())).first()
+    got = quantiles.by_ranges(df, columns, chances)
+    assert got == {name: list(want[name] or [None] * 6) for name in columns}
+    levels = lambda limit: sorted(map(str, C.levels(df, {"a": F.col("x"), "b": F.col("k")}, one_buffer=limit).collect()))
+    assert levels(-1) == levels(10**6)
+
+
+def test_pattern_gates(spark):
+    patterns = ["immune response", "^T cell", "kinase|phosphat.*ase", "a(b|c)d", "x?yz", "chemo.+taxis$", "[ab]c", "\\bword", "cyto.ine|^b", "a|"]
+    got = values(spark, [(p,) for p in patterns], "p string", evidence.gates(F.lower("p")))
+    assert [g[0] for g in got] == [["immune response"], ["t cell"], [""], [""], [""], ["chemo"], [""], [""], ["cyto", "b"], ["a", ""]]
+    texts = ["immune response", "a t cell", "t cell", "phosphatase", "abd", "yz", "chemotaxis", "chemo x taxis", "bc", "some word", "cytokine", "bad", "", "KINASE"]
+    df = spark.createDataFrame([(t, p) for t in texts for p in patterns], "t string, p string")
+    closed = F.exists(evidence.gates(F.lower("p")), lambda x: F.contains(F.lower("t"), x))
+    assert df.where(F.rlike(F.lower("t"), F.lower("p")) & ~closed).count() == 0
+    assert df.where(closed).count() < df.count()
