@@ -123,7 +123,7 @@ def canonical_result(result: Result, folder: str, manifest: dict) -> dict:
     out = {
         "schema_versions": canonical.SCHEMAS, "output_dir": folder,
         "network": {"graph": t["edges"], "node_annotations": t["Node annotations"], "module_annotations": t["Module annotations"], "graph_summary": t["Network summary"]},
-        "biological_evidence": {"significant_module_terms": t["Significant terms"], "validation": t["Validation"]},
+        "biological_evidence": {"module_annotations": t["Module annotations"], "module_rule_evidence": t["Rule provenance"], "significant_module_terms": t["Significant terms"], "node_annotations": t["Node annotations"], "validation": t["Validation"]},
         "priorities": {"proteins": t["Final priorities"], "modules": t["Module priorities"], "candidate_evidence": t["Candidate evidence"]},
         "reports": {"analytical": forms.COLUMNS, "technical": forms.TECHNICAL}, "mapping": t["Mapping summary"], "files": manifest["outputs"], "compatibility": canonical.DEPRECATED, "provenance": manifest,
     }
@@ -194,6 +194,12 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: Data
     }
     checks = evidence.validation(decided, members)
     evidence.require_passed(checks, "module annotations")
+    rule_rows = rules.with_provenance(t["Rule evidence"], rules.curation(spark, list(cfg.rulebook))) if cfg.rulebook else spark.createDataFrame([], f"module int, {rules.CURATED}")
+    bundle = {"module_annotations": checkpointed(canonical_modules), "module_rule_evidence": checkpointed(rule_rows), "significant_module_terms": terms, "node_annotations": canonical_nodes, "validation": checks}
+    # the bundle's nine invariants, and the seven of what it says
+    evidence.require_passed(canonical.evidence_checks(bundle), "evidence bundle")
+    evidence.require_passed(canonical.pipeline_checks(*(bundle[k] for k in ("module_annotations", "module_rule_evidence", "significant_module_terms", "node_annotations")), cfg.fdr), "module evidence")
+    t["Rule provenance"] = bundle["module_rule_evidence"].select(*canonical.PROVENANCE).distinct()
     worst = score.reconstructed(nodes).agg(F.max("score_error")).first()[0]
     if worst > 1e-12:
         raise ValueError(f"a score differs from its components by {worst}")

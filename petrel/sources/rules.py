@@ -27,6 +27,9 @@ EXAMPLE = [
 ]
 
 
+CURATED = "rule_id string, curation_status string, rule_version string, rule_schema_version string, evidence_basis string, reference_count int, references string"
+
+
 def checked(rules: list[dict]) -> list[dict]:
     ids = [r.get("rule_id") for r in rules]
     if len(set(ids)) != len(ids) or not all(ids):
@@ -60,6 +63,20 @@ def provenance(rules: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return out.select("rule_id", F.coalesce("evidence_level", F.lit("unreviewed")).alias("evidence_level"), refs.alias("references"), F.size(F.filter(F.split(refs, ";"), lambda x: F.trim(x) != "")).alias("reference_count"))
 
 
+#: What holds of a rule that doesn't say otherwise.
+UNCURATED = {"curation_status": "legacy_unverified", "rule_version": "1.0.0", "rule_schema_version": "1.0.0", "evidence_basis": "marker genes and term patterns", "references": ""}
+
+
+def curation(spark: SparkSession, rules: list[dict]) -> DataFrame:
+    """(rule_id, curation_status, rule_version, rule_schema_version, evidence_basis, reference_count, references) as the rules' own entries tell."""
+    rows = []
+    for r in checked(rules):
+        own = UNCURATED | {k: r[k] for k in UNCURATED if r.get(k)}
+        refs = [x.strip() for x in own["references"].split(";") if x.strip()]
+        rows.append((r["rule_id"], *(own[k] for k in ("curation_status", "rule_version", "rule_schema_version", "evidence_basis")), len(refs), "; ".join(refs)))
+    return spark.createDataFrame(rows, CURATED)
+
+
 def with_provenance(evidence: DataFrame, known: DataFrame) -> DataFrame:
     """Rule evidence with what is known of each rule; a rule of which nothing is known is an error."""
     columns = [c for c in known.columns if c != "rule_id"]

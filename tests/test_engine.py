@@ -11,7 +11,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from petrel.operators import audit, graph, louvain, provenance
+from petrel.operators import audit, canonical, graph, louvain, provenance
 from petrel.operators import paths as path_measures
 from petrel.plans import engine, sheets
 from petrel.sources import contract, resources, rules, sinks
@@ -78,6 +78,19 @@ def test_topology(result):
     assert {k: pytest.approx(v, abs=1e-6) for k, v in want.items()} == {k: got[k] for k in want}
 
 
+def test_evidence_bundle_is_checked(spark, result):
+    """A rule's own curation goes with its rows; rules without it are unverified; wrong curation stops the run's check."""
+    (r,) = result.tables["Rule provenance"].collect()
+    assert r["rule_id"] == rules.EXAMPLE[0]["rule_id"] and (r["curation_status"], r["reference_count"]) == ("legacy_unverified", 0)
+    said = [rules.EXAMPLE[0] | {"curation_status": "verified", "references": "doi:1; doi:2 ;"}, rules.EXAMPLE[0] | {"rule_id": "other", "curation_status": "verified"}]
+    rows = rules.curation(spark, said)
+    assert [(r["reference_count"], r["references"]) for r in rows.orderBy("rule_id").collect() if r["rule_id"] != "other"] == [(2, "doi:1; doi:2")]
+    modules = result.tables["Node annotations"].select("community_louvain").distinct()
+    decided = modules.select("community_louvain", *(F.lit(v).alias(c) for c, v in {"primary_interpretation": "x", "warning": "", "evidence_rationale": "", "interpretation_class": "biological", "priority_eligible": False, "best_supporting_fdr": 0.5}.items()))
+    checks = {r["check_id"]: r["status"] for r in canonical.pipeline_checks(decided, rows, result.tables["Significant terms"], result.tables["Node annotations"]).collect()}
+    assert {k for k, v in checks.items() if v == "FAIL"} == {"rule_evidence_has_explicit_provenance"}
+
+
 def test_enrichment_and_decisions(result):
     rows = {(r["query_name"], r["term"]): r for r in result.tables["Enrichment"].collect()}
     modules = [r for (q, t), r in rows.items() if q.startswith("module_") and t == "T1"]
