@@ -58,6 +58,12 @@ def counted(texts: DataFrame, terms: DataFrame) -> DataFrame:
     return each.join(terms.select("term"), "term", "left_semi").groupBy("lang", "source", "term").agg(F.count_if("first").alias("documents"), F.count(F.lit(1)).alias("mentions"))
 
 
+def exactly(path: str) -> str:
+    """A pattern that only this path matches: a stream of files takes a single file, not a folder, only by a pattern."""
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def publish(spark: SparkSession, output: str, settings: dict) -> None:
     total = found(spark, f"{output}/counts", COUNTS).groupBy("lang", "term").agg(F.sum("documents").alias("documents"), F.sum("mentions").alias("mentions"), F.count_distinct("source").alias("named"), F.max(F.col("source").isNull().cast("int")).alias("unnamed"))
     texts = found(spark, f"{output}/batches", BATCHES).groupBy("lang").agg(F.sum("documents").alias("all"))  # a row for each language
@@ -85,8 +91,7 @@ def run(spark: SparkSession, documents: str, terms: str, output: str, checkpoint
         replace_partitions(batch.groupBy("lang").agg(F.count(F.lit(1)).alias("documents")).select("*", number_of), f"{output}/batches", "batch")
         log.info("%s: batch %d has %d texts", documents, number, spark.read.schema(BATCHES).parquet(f"{output}/batches").where(F.col("batch") == number).agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0])
 
-    # the path may be one file or a folder of files
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", settings["files_per_batch"]).parquet(f"{documents}*")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", settings["files_per_batch"]).parquet(exactly(documents))
     stream.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     last = found(spark, f"{output}/batches", BATCHES).agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
     held = found(spark, f"{output}/published", "batch long").agg(F.max("batch")).first()[0]

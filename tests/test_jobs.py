@@ -141,6 +141,7 @@ MORE = [(8, "leukocyte collagen", "en", "c"), (9, "matrix matrix", "de", "c")]
 
 def test_term_mentions_stream_only_new_files(spark, corpus):
     more_texts(spark, corpus, ROWS)
+    spark.createDataFrame(MORE, TEXTS).write.parquet(f"{corpus}/texts-of-others")
     first = run_terms(spark, corpus)
     assert first == mentions(ROWS, 0.05) and len(first) >= 5
     assert run_terms(spark, corpus) == first
