@@ -51,11 +51,12 @@ def vocabulary(terms: DataFrame, least: int) -> DataFrame:
 
 
 def counted(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """(lang, source, term, documents, mentions); sorted words tell the first mention in a text from the others."""
-    found_words = texts.select("lang", "source", F.array_sort(words(F.col("text"))).alias("w"))
-    marked = F.transform("w", lambda x, i: F.struct(x.alias("term"), ((i == 0) | (x != F.get("w", i - 1))).alias("first")))
-    each = found_words.select("lang", "source", F.explode(marked).alias("x")).select("lang", "source", "x.*")
-    return each.join(terms.select("term"), "term", "left_semi").groupBy("lang", "source", "term").agg(F.count_if("first").alias("documents"), F.count(F.lit(1)).alias("mentions"))
+    """(lang, source, term, documents, mentions): mentions are counted by text first, so a text counts once for a term."""
+    # rows are numbered before their words become rows
+    numbered = texts.select(F.monotonically_increasing_id().alias("row"), "lang", "source", "text")
+    each = numbered.select("row", "lang", "source", F.explode(words(F.col("text"))).alias("term"))
+    by_text = each.join(terms.select("term"), "term", "left_semi").groupBy("row", "lang", "source", "term").agg(F.count(F.lit(1)).alias("n"))
+    return by_text.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"))
 
 
 def exactly(path: str) -> str:
