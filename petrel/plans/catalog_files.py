@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from petrel.operators.checkpoints import shared_folder
 from petrel.plans import sheets
 from petrel.plans.catalog import _MORE, _candidates, _sql, query
 from petrel.plans.fixtures import Tables
-from petrel.sources import contract, discovery, resources, rules, sinks
+from petrel.sources import contract, discovery, resources, rules, sinks, tables
 
 
 def _folder(t: Tables) -> str:
@@ -118,10 +119,64 @@ def enrichment_modes(t: Tables) -> DataFrame:
 def input_preflight(t: Tables) -> DataFrame:
     d = _folder(t)
     files = {"good.csv": ["gene,logFC,pvalue", "A,1,0.5"], "bad.csv": ["gene,logFC,pvalue", "A,x,0.5"], "empty.csv": []}
-    out = contract.preflight(t.spark, [_lines(f"{d}/{n}", rows) for n, rows in files.items()])
+    out = tables.preflight(t.spark, [_lines(f"{d}/{n}", rows) for n, rows in files.items()])
     return out.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "status")
 
 
+def _case_files(t: Tables) -> str:
+    """Gene tables of orders by line number and return flag, each one file: separators by line number, quoted line ends in
+    lines 5 and 7, and faults in lines 1 (names repeat), 2 (p-values over 1), 3 (texts for numbers) and 6 (adjusted values only)."""
+    line = F.col("l_linenumber")
+    rows = t.read("lineitem").groupBy("l_linenumber", "l_returnflag", "l_orderkey").agg(F.min("l_discount").alias("d"), F.min("l_quantity").alias("q"))
+    rows = rows.select(
+        F.concat(F.lit("L"), line.cast("string"), "l_returnflag").alias("case"), line.alias("n"), F.col("l_orderkey").alias("k"),
+        F.when(line == 1, F.concat(F.when(F.col("l_orderkey") % 2 == 0, F.lit("g")).otherwise(F.lit("G")), (F.col("l_orderkey") % 100).cast("string"))).otherwise(F.concat(F.lit("G"), F.col("l_orderkey").cast("string"))).alias("Gene Symbol"),
+        F.when(line.isin(5, 7), F.lit('a "quoted"; text,\nof two lines')).otherwise(F.lit("plain")).alias("note"),
+        F.when((line == 3) & (F.col("q") == 50), F.lit("x")).otherwise(F.replace((F.col("q") - 25).cast("string"), F.lit("."), F.when(line <= 3, F.lit(",")).otherwise(F.lit(".")))).alias("log2FC"),
+        F.when(line == 2, F.col("d") * 20).otherwise(F.col("d")).alias("p.value"),
+    )
+    folder = f"{shared_folder(t.spark)}/cases-{uuid.uuid4().hex}"
+    for sep, lines in {";": [1, 2, 3], ",": [4, 5, 7], "\t": [6]}.items():
+        part = rows.where(F.col("n").isin(lines)).repartition("case").sortWithinPartitions("case", "k").drop("n", "k")
+        part = part.withColumnRenamed("p.value", "FDR") if lines == [6] else part
+        part.write.mode("append").partitionBy("case").option("header", True).option("sep", sep).option("escape", '"').csv(folder)
+    return folder
+
+
+_CASE = F.regexp_extract("file", "case=([^/]*)/", 1).alias("case")
+_CASES = (
+    "WITH o AS (SELECT l_linenumber AS n, l_returnflag AS f, l_orderkey AS k, min(l_discount) AS d, min(l_quantity) AS q FROM lineitem GROUP BY ALL), "
+    "g AS (SELECT 'L' || n || f AS c, n, row_number() OVER (PARTITION BY n, f ORDER BY k) AS i, k, CASE n WHEN 1 THEN 'G' || k % 100 ELSE 'G' || k END AS gene, q - 25 AS fc, CASE n WHEN 2 THEN d * 20 ELSE d END AS p, n = 3 AND q = 50 AS bad FROM o), "
+    "r AS (SELECT *, CASE WHEN n IN (5, 7) THEN 2 * i - 1 ELSE i END AS line FROM g) "
+)
+
+
+@query(
+    _CASES + "SELECT c AS \"case\", count(*) AS rows, count(DISTINCT gene) AS genes, CAST(sum(CASE WHEN bad THEN 0 ELSE fc END) AS DOUBLE) AS fc, count(*) FILTER (bad) AS no_number, "
+    "round(sum(p), 6) AS p, CAST(sum(line) AS BIGINT) AS lines, CAST(max(line) AS BIGINT) AS last_line FROM r WHERE n <> 6 GROUP BY c"
+)
+def gene_tables(t: Tables) -> DataFrame:
+    """All case files in one scan; those without raw p-values have no rows."""
+    rows = tables.read_tables(t.spark, [_case_files(t)])
+    return rows.groupBy(_CASE).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(F.upper("gene")).alias("genes"), F.sum(F.coalesce("logFC", F.lit(0.0))).alias("fc"), F.count_if(F.col("logFC").isNull()).alias("no_number"),
+        F.round(F.sum("pvalue"), 6).alias("p"), F.sum("input_row").alias("lines"), F.max("input_row").cast("long").alias("last_line"),
+    )
+
+
+@query(
+    _CASES + ", b AS (SELECT c, 2 AS pos, 'logFC_not_finite' AS rule, line FROM r WHERE bad UNION ALL SELECT c, 4, 'pvalue_out_of_range', line FROM r WHERE p > 1 "
+    "UNION ALL SELECT c, 5, 'duplicate_gene', line FROM (SELECT c, line, count(*) OVER (PARTITION BY c, gene) AS m FROM r WHERE n <> 6) WHERE m > 1), "
+    "w AS (SELECT *, min(pos) OVER (PARTITION BY c) AS least FROM b), x AS (SELECT c, rule, line, row_number() OVER (PARTITION BY c ORDER BY line) AS k, count(*) OVER (PARTITION BY c) AS m FROM w WHERE pos = least), "
+    "v AS (SELECT c, any_value(rule) || ': rows ' || string_agg(CAST(line AS VARCHAR), ', ' ORDER BY line) FILTER (k <= 20) || CASE WHEN any_value(m) > 20 THEN ', ...' ELSE '' END AS fault FROM x GROUP BY c) "
+    "SELECT a.c AS \"case\", CASE WHEN n = 6 THEN 0 ELSE a.m END AS rows, CASE WHEN n = 6 THEN 'only adjusted p-values are given; raw p-values are needed' ELSE fault END AS fault "
+    "FROM (SELECT c, n, count(*) AS m FROM r GROUP BY c, n) a LEFT JOIN v ON a.c = v.c"
+)
+def gene_table_verdicts(t: Tables) -> DataFrame:
+    """Every case file's first broken rule and the rows that break it."""
+    return tables.verdicts(t.spark, [_case_files(t)]).select(_CASE, "rows", "fault")
+
+
 # ---------------------------------------------------------------- association resources
 
 

@@ -82,22 +82,22 @@ def source_columns(header: list[str]) -> dict[str, str]:
     return found
 
 
-def typed(rows: DataFrame) -> DataFrame:
-    """input_row, gene, logFC, pvalue of text columns; what is no number is null."""
-    return rows.select(F.col("input_row").cast("int").alias("input_row"), trimmed(F.col("gene")).alias("gene"), as_number(F.col("logFC").cast("string")).alias("logFC"), as_number(F.col("pvalue").cast("string")).alias("pvalue"))
+def typed(rows: DataFrame, *by: str) -> DataFrame:
+    """input_row, gene, logFC, pvalue of text columns, after the columns ``by``; what is no number is null."""
+    return rows.select(*by, F.col("input_row").cast("int").alias("input_row"), trimmed(F.col("gene")).alias("gene"), as_number(F.col("logFC").cast("string")).alias("logFC"), as_number(F.col("pvalue").cast("string")).alias("pvalue"))
 
 
-def checks(rows: DataFrame) -> DataFrame:
-    """(rule, input_row, gene) of every violation; rules are in the order in which they are reported."""
+def checks(rows: DataFrame, *by: str) -> DataFrame:
+    """(rule, input_row, gene) of every violation, for each table that ``by`` names; rules are in the order in which they are reported."""
     empty = F.coalesce(F.col("gene"), F.lit("")) == ""
-    twins = rows.where(~empty).groupBy(F.upper("gene").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twins = rows.where(~empty).groupBy(*by, F.upper("gene").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     found = F.array_compact(F.array(
         F.when(empty, F.lit("1:empty_gene")), F.when(~finite(F.col("logFC")), F.lit("2:logFC_not_finite")),
         F.when(~finite(F.col("pvalue")), F.lit("3:pvalue_not_finite")), F.when(finite(F.col("pvalue")) & ~F.col("pvalue").between(0, 1), F.lit("4:pvalue_out_of_range")),
     ))
-    single = rows.select("input_row", "gene", F.explode(found).alias("rule"))
-    repeated = rows.join(twins, F.upper("gene") == F.col("key"), "left_semi").select("input_row", "gene", F.lit("5:duplicate_gene").alias("rule"))
-    return single.union(repeated).select(F.substring("rule", 3, 40).alias("rule"), F.substring("rule", 1, 1).cast("int").alias("position"), "input_row", "gene")
+    single = rows.select(*by, "input_row", "gene", F.explode(found).alias("rule"))
+    repeated = rows.withColumn("key", F.upper("gene")).join(twins, [*by, "key"], "left_semi").select(*by, "input_row", "gene", F.lit("5:duplicate_gene").alias("rule"))
+    return single.union(repeated).select(*by, F.substring("rule", 3, 40).alias("rule"), F.substring("rule", 1, 1).cast("int").alias("position"), "input_row", "gene")
 
 
 def violations(rows: DataFrame) -> DataFrame:
@@ -139,18 +139,6 @@ def read_genes(spark: SparkSession, path: str) -> tuple[DataFrame, Contract]:
     return rows, Contract(columns, n["n"], n["z"])
 
 
-def preflight(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, status, message) of a list of inputs."""
-    out = []
-    for p in paths:
-        try:
-            read_genes(spark, p)
-            out.append((p, "PASS", ""))
-        except Exception as e:  # noqa: BLE001  any reason is a finding
-            out.append((p, "FAIL", str(e).splitlines()[0][:300]))
-    return spark.createDataFrame(out, "path string, status string, message string")
-
-
 #: Names that no case may have, and the form of those that it may.
 CASE_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,63}")
 RESERVED = {"con", "prn", "aux", "nul", *(f"{d}{n}" for d in ("com", "lpt") for n in range(1, 10))}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from petrel.operators import audit, canonical, graph, louvain, provenance
 from petrel.operators import paths as path_measures
 from petrel.plans import engine, sheets
-from petrel.sources import contract, resources, rules, sinks
+from petrel.sources import contract, resources, rules, sinks, tables
 
 GENES = ["AURKA", "CCNB1", "TOP2A", "CDC20", "BIRC5", "CDK1", "PTPRC", "TYROBP", "HLA-DRA", "CD74", "C1QA", "C1QB"]
 IDS = [f"9606.P{i:04d}" for i in range(1, 13)]
@@ -261,10 +261,74 @@ def test_extremes_take_few_searches(spark):
 def test_preflight(spark, genes, tmp_path):
     bad = tmp_path / "bad.csv"
     bad.write_text("gene,padj,logFC\nA,0.1,1\n")
-    got = {r["path"]: (r["status"], r["message"]) for r in contract.preflight(spark, [genes, str(bad)]).collect()}
+    got = {r["path"]: (r["status"], r["message"]) for r in tables.preflight(spark, [genes, str(bad)]).collect()}
     assert got[genes][0] == "PASS" and got[str(bad)][0] == "FAIL" and "raw p-values" in got[str(bad)][1]
 
 
+def _by_hand(text: str) -> list[tuple[int, list[str]]]:
+    """(line of a record's start, fields) by a walk over the characters."""
+    sep = max(";\t,", key=text.split("\n")[0].count)
+    out, cells, cell, quoted, line, start = [], [], "", False, 0, 0
+    for ch in text + "\n":
+        if ch == '"':
+            quoted = not quoted
+            cell += ch
+        elif ch == "\n" and not quoted:
+            out.append((start, [*cells, cell]))
+            cells, cell, line = [], "", line + 1
+            start = line
+        elif ch == sep and not quoted:
+            cells, cell = [*cells, cell], ""
+        else:
+            line += ch == "\n"
+            cell += ch
+    plain = lambda c: c[1:-1].replace('""', '"') if c.startswith('"') else c
+    return [(i, [plain(c) for c in r]) for i, r in out if r != [""]]
+
+
+@pytest.mark.parametrize("block", ["134217728", "97"])
+def test_many_tables_in_one_scan(spark, tmp_path, block):
+    """Blocks of 97 bytes cut records, quoted fields and headers; the rows are those of a walk over the whole file."""
+    texts = {
+        "plain.csv": "gene,logFC,pvalue\n" + "".join(f"G{k},{k - 20},0.{k:02}\n" for k in range(60)),
+        "quoted.csv": '\ufeff"P.Value";note;"Gene Symbol";logFC\n' + "".join(f'0.5;"two\n\nlines; ""{k}""{"x" * (k * 9)}\n";"Q{k}";-1,{k}\n\n' for k in range(25)),
+        "late.csv": "gene\tpvalue\tlogFC\textra\n" + "".join(f"L{k}\t0\t1\t\n" for k in range(30)) + 'L99\t1\t1\t"a' + "\n" * 120 + 'b"\nL100\t1\t2',
+        "open.csv": 'gene,logFC,pvalue\nA,1,"0.5\nB,1,0.5\n',
+    }
+    for n, x in texts.items():
+        (tmp_path / n).write_text(x)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {(r["file"].rsplit("/")[-1], r["input_row"]): (r["gene"], r["logFC"], r["pvalue"]) for r in tables.read_tables(spark, [str(tmp_path)]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = {}
+    for n, at in {"plain.csv": (0, 1, 2), "quoted.csv": (2, 3, 0), "late.csv": (0, 2, 1)}.items():
+        for i, r in _by_hand(texts[n].lstrip("\ufeff"))[1:]:
+            want[n, i] = (r[at[0]].strip(), float(r[at[1]].replace(",", ".")), float(r[at[2]]))
+    assert got == want
+
+
+def test_verdicts_of_many_tables(spark, tmp_path):
+    head = "gene,logFC,pvalue\n"
+    texts = {
+        "a good.csv": head + "A,1,0.5\nB,2,1", "dup.csv": head + "a,1,1\nB,1,1\nA,2,1", "first.csv": head + ",x,7\nB,x,0.1", "range.csv": head + "".join(f"A{k},1,2\n" for k in range(25)),
+        "short.csv": head + "A,1\nB,1,1", "two.csv": "gene,symbol,logFC,pvalue\nA,B,1,1", "none.csv": head, "empty.csv": "", "blank.csv": "\n\n", "sep.csv": "gene\nA", "missing.csv": "gene,other\nA,1", "open.csv": head + 'A,"1,1\n',
+    }
+    for n, x in texts.items():
+        (tmp_path / n).write_text(x)
+    paths = [str(tmp_path / n) for n in [*texts, "absent.csv"]]
+    got = {r["path"].rsplit("/")[-1]: r["message"] for r in tables.preflight(spark, paths).collect()}
+    assert got == {
+        "a good.csv": "", "dup.csv": "duplicate_gene: rows 1, 3", "first.csv": "empty_gene: rows 1", "range.csv": f"pvalue_out_of_range: rows {', '.join(map(str, range(1, 21)))}, ...", "short.csv": "pvalue_not_finite: rows 1",
+        "two.csv": "several columns for gene: gene, symbol", "none.csv": "the input has no rows", "empty.csv": "the input is empty", "blank.csv": "the input is empty", "sep.csv": "the header has no separator",
+        "missing.csv": "missing columns: logFC, pvalue", "open.csv": "a quote is not closed", "absent.csv": "the input can't be read",
+    }
+    assert [tuple(r) for r in tables.preflight(spark, [str(tmp_path / "absent.csv")]).collect()] == [(str(tmp_path / "absent.csv"), "FAIL", "the input can't be read")]
+
+
 def test_rulebook_is_checked(spark):
     frame = rules.frame(spark, rules.EXAMPLE)
     assert frame.count() == 1
