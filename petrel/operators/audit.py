@@ -161,6 +161,41 @@ def repeated_sheets(books: dict[str, str]) -> list[tuple[str, str, str]]:
     return out
 
 
+def release(vertices: DataFrame, edges: DataFrame, nodes: DataFrame, final: DataFrame, counts: dict[str, int], tolerance: float = 1e-12) -> DataFrame:
+    """(check_id, different, status): a published graph against the tables and the manifest's counts.
+
+    vertices, nodes: id, candidate_score, candidate_rank, community_louvain, vertices with candidate_priority_status; edges: src,
+    dst; final: id; counts: nodes, edges, modules. ``different`` counts ids, or edges, that disagree. Values agree
+    if both are null or within ``tolerance`` of the greater. All sides meet in one full join by id.
+    """
+    side = lambda df, name, *c: df.groupBy(F.col("id").cast("string").alias("id")).agg(F.count(F.lit(1)).alias(f"{name}_rows"), *(F.max(x).alias(f"{name}_{x}") for x in c))
+    values = ["candidate_score", "candidate_rank", "community_louvain"]
+    both = side(vertices, "g", *values, "candidate_priority_status").join(side(nodes, "t", *values), "id", "full").join(side(final, "f"), "id", "full")
+    here, there = F.col("g_rows").isNotNull(), F.col("t_rows").isNotNull()
+    shared, listed = here & there, F.coalesce(F.col("g_candidate_priority_status") == "final_priority", F.lit(False))
+
+    def unlike(c: str) -> Column:
+        g, t = F.col(f"g_{c}"), F.col(f"t_{c}")
+        if c == "candidate_score":
+            near = F.abs(g - t) <= tolerance * F.greatest(F.abs(g), F.abs(t))
+            return shared & ~F.coalesce(near, g.isNull() & t.isNull())
+        return shared & ~g.cast("string").eqNullSafe(t.cast("string"))
+
+    tally = both.agg(
+        F.count_if((here != there) | (F.coalesce("g_rows", F.lit(1)) > 1) | (F.coalesce("t_rows", F.lit(1)) > 1)).alias("vertices_match_nodes"), *(F.count_if(unlike(c)).alias(f"{c}_agrees") for c in values),
+        F.count_if(listed != F.col("f_rows").isNotNull()).alias("final_set_agrees"), F.abs(F.coalesce(F.sum("g_rows"), F.lit(0)) - counts["nodes"]).alias("node_count_agrees"), F.abs(F.count_distinct("g_community_louvain") - counts["modules"]).alias("module_count_agrees"),
+    )
+    ends = edges.select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    once = ends.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    known = vertices.select(F.col("id").cast("string").alias("end")).distinct().withColumn("known", F.lit(True))
+    loose = ends.select(F.explode(F.array("src", "dst")).alias("end")).groupBy("end").agg(F.count(F.lit(1)).alias("n")).join(known, "end", "left")
+    of_edges = once.agg(F.abs(F.coalesce(F.sum("n"), F.lit(0)) - counts["edges"]).alias("edge_count_agrees"), F.count_if((F.col("n") > 1) | (F.col("a") == F.col("b"))).alias("graph_is_simple"))
+    of_ends = loose.agg(F.count_if(F.col("known").isNull()).alias("edge_ends_known"))
+    one = tally.join(F.broadcast(of_edges)).join(F.broadcast(of_ends))  # a row each
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check_id"), F.col(c).cast("long").alias("different")) for c in one.columns))).alias("c")).select("c.*")
+    return rows.withColumn("status", F.when(F.col("different") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")))
+
+
 def publication(folder: str) -> list[tuple[str, str]]:
     """(check_id, status) of a published folder: files, sizes, digests, parts of the workbooks, graph against manifest, no local paths."""
     from petrel.sources import sinks

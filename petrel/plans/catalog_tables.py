@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from petrel.functions import columns as C
 from petrel.functions import shape
 from petrel.operators import audit, canonical, diff, enrich, evidence, graph, mapping, report, score
+from petrel.operators.checkpoints import checkpointed, shared_folder
 from petrel.plans import fixtures, sheets
 from petrel.plans.catalog import _MORE, _candidates, _mapped, _sql, query
 from petrel.plans.catalog_evidence import _decisions, _evidence, _full, _modules, _significant
 from petrel.plans.fixtures import THRESHOLD, Tables
-from petrel.sources import contract, discovery, labels, rules
+from petrel.sources import contract, discovery, graphml, labels, rules, sinks
 
 
 def _texts(values: dict[str, str], k: str, v: str) -> str:
@@ -331,6 +335,34 @@ def graph_priority_status(t: Tables) -> DataFrame:
     return _graph_attributes(t).select("STRING_id", F.col("candidate_priority_status").alias("status"))
 
 
+# An edge to nowhere, one node less, two vertices too many in the manifest, and values changed by id.
+_RELEASE = {
+    "vertices_match_nodes": "count(*) FILTER (id = 5)", "candidate_score_agrees": "count(*) FILTER (id % 50 = 0 AND candidate_score <> 0)", "candidate_rank_agrees": "count(*) FILTER (id % 30 = 2)", "community_louvain_agrees": "count(*) FILTER (id % 40 = 1)",
+    "final_set_agrees": "count(*) FILTER (id = 1)", "node_count_agrees": "max(2)", "module_count_agrees": "max(0)", "edge_count_agrees": "max(1)", "graph_is_simple": "max(0)", "edge_ends_known": "max(1)",
+}
+
+
+@query(_sql("SELECT check_id, different, CASE different WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS check_id, CAST({v} AS BIGINT) AS different FROM annot" for k, v in _RELEASE.items()) + ")", "annot"))
+def release_checks(t: Tables) -> DataFrame:
+    """A graph file, read back as tables, against nodes that differ from it by plan."""
+    attributes = checkpointed(_graph_attributes(t))
+    name = lambda c: F.concat(F.lit("9606."), F.col(c).cast("string"))
+    links = checkpointed(t.edges().select(name("src").alias("src"), name("dst").alias("dst")))
+    os.makedirs(root := shared_folder(t.spark).removeprefix("file://"), exist_ok=True)
+    path = f"{root}/release-{uuid.uuid4().hex}.graphml"
+    lost = t.spark.createDataFrame([("9606.1", "9606.none")], "src string, dst string")
+    sinks.write_graphml(path, attributes.withColumn("id", F.col("STRING_id")), links.union(lost))
+    n = F.substring_index("STRING_id", ".", -1).cast("long")
+    nodes = attributes.where(n != 5).select(
+        F.col("STRING_id").alias("id"), (F.col("candidate_score") * F.when(n % 50 == 0, 1.001).otherwise(1.0)).alias("candidate_score"),
+        (F.col("network_candidate_rank") + F.when(n % 30 == 2, 1).otherwise(0)).alias("candidate_rank"), F.when(n % 40 == 1, "other").otherwise(F.col("community_louvain")).alias("community_louvain"),
+    )
+    final = attributes.where((n % 11 == 0) | (n == 1)).select(F.col("STRING_id").alias("id"))
+    counts = {"nodes": attributes.count() + 2, "edges": links.count(), "modules": attributes.select("community_louvain").distinct().count()}
+    found = graphml.vertices(t.spark, path).withColumnRenamed("network_candidate_rank", "candidate_rank")
+    return audit.release(found, graphml.edges(t.spark, path), nodes, final, counts)
+
+
 @query(_sql("SELECT STRING_id, gene FROM annot", "annot"))
 def matched_vertices(t: Tables) -> DataFrame:
     vertices = t.vertices().select(F.concat(F.lit("9606."), F.col("id").cast("string")).alias("STRING_id"))

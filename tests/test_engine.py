@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from petrel.operators import audit, canonical, graph, louvain, provenance
 from petrel.operators import paths as path_measures
 from petrel.plans import engine, sheets
-from petrel.sources import contract, resources, rules, sinks, tables
+from petrel.sources import contract, graphml, resources, rules, sinks, tables
 
 GENES = ["AURKA", "CCNB1", "TOP2A", "CDC20", "BIRC5", "CDK1", "PTPRC", "TYROBP", "HLA-DRA", "CD74", "C1QA", "C1QB"]
 IDS = [f"9606.P{i:04d}" for i in range(1, 13)]
@@ -118,6 +118,12 @@ def test_publication(result, tmp_path):
     broken = manifest | {"input": {"case_id": "x", "case_id_source": "guessed", "file": "/home/x"}}
     assert {k for k, v in provenance.checks(broken, folder) if v == "FAIL"} == {"no_absolute_paths", "input_file_name_privacy_is_valid", "case_id_privacy_is_valid"}
     assert {k: v for k, v in audit.publication(folder) if v != "PASS"} == {}
+    spark, path, name = result.tables["vertices"].sparkSession, f"{folder}/network.graphml", {"network_candidate_rank": "candidate_rank"}
+    found = graphml.vertices(spark, path)
+    assert {r["id"]: r["pvalue"] for r in found.collect()}[IDS[5]] == 1e-8 and dict(found.dtypes)["degree"] == "double"
+    written = result.tables["Graph attributes"].withColumn("id", F.col("STRING_id")).withColumnsRenamed(name)
+    checked = audit.release(found.withColumnsRenamed(name), graphml.edges(spark, path), written, result.tables["Final priorities"], {"nodes": 12, "edges": 31, "modules": found.select("community_louvain").distinct().count()})
+    assert {r["check_id"] for r in checked.where("status = 'FAIL'").collect()} == set() and checked.count() == 10
     book = sinks.read_workbook(f"{folder}/analytical.xlsx")
     assert {k: v[0] for k, v in book.items()} == sheets.COLUMNS and list(book) == list(sheets.COLUMNS)
     assert book["Executive summary"][1][:2] == ["input_rows", "13"] and len(book["Executive summary"]) == 17 and book["Final priorities"][1][15].startswith("Network rank 1 ")
