@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from petrel.functions import columns as C
 from petrel.functions import shape
-from petrel.operators import audit, canonical, diff, enrich, evidence, graph, mapping, report, score
+from petrel.operators import audit, canonical, diff, enrich, evidence, graph, mapping, report, score, texts
 from petrel.operators.checkpoints import checkpointed, shared_folder
 from petrel.plans import fixtures, sheets
 from petrel.plans.catalog import _MORE, _candidates, _mapped, _sql, query
@@ -243,6 +243,51 @@ def readable_nodes(t: Tables) -> DataFrame:
     return shape.attached(t.genes().select("id", F.col("module").alias("community")), modules, "community", ["module_rank", "database_evidence_summary"])
 
 
+def _short(x: str, digits: int, scientific: bool = True) -> str:
+    """A number of few digits in SQL: digits and power of the scientific form, put together in the shorter way."""
+    scale = f"pow(10.0, {digits - 1} - floor(log10(abs({x}))))"
+    e = f"format('{{:.{digits - 1}e}}', CAST(round_even({x} * {scale}, 0) / {scale} AS DOUBLE))"
+    d, k = f"rtrim(replace(split_part(ltrim({e}, '-'), 'e', 1), '.', ''), '0')", f"CAST(split_part({e}, 'e', 2) AS INTEGER)"
+    fixed = f"CASE WHEN {k} >= length({d}) - 1 THEN rpad({d}, {k} + 1, '0') WHEN {k} >= 0 THEN {d}[:{k} + 1] || '.' || {d}[{k} + 2:] ELSE '0.' || repeat('0', -{k} - 1) || {d} END"
+    short = f"{d}[1] || CASE WHEN length({d}) > 1 THEN '.' || {d}[2:] ELSE '' END || 'e' || split_part({e}, 'e', 2)"
+    text = f"CASE WHEN length({short}) < length({fixed}) THEN {short} ELSE {fixed} END" if scientific else f"({fixed})"
+    return f"CASE WHEN {x} = 0 THEN '0' ELSE CASE WHEN {x} < 0 THEN '-' ELSE '' END || {text} END"
+
+
+def _level(x: str) -> str:
+    q = lambda p: f"(SELECT quantile_cont({x}, {p}) FROM candidates)"
+    return f"CASE WHEN {x} >= {q(0.9)} THEN 'very_high_top_10_percent' WHEN {x} >= {q(0.75)} THEN 'high_top_25_percent' WHEN {x} >= {q(0.5)} THEN 'medium_above_median' ELSE 'low_below_median' END"
+
+
+_COMPONENT_TEXTS = [f"({_short(f'round({c}, 9)', 4, False)})" for c in score.COMPONENTS]
+_TOPOLOGY_SQL = f"'degree rank ' || degree_rank || ' (' || {_level('degree')} || '); betweenness rank ' || betweenness_rank || ' (' || {_level('betweenness')} || '); stress rank ' || stress_rank || ' (' || {_level('stress_centrality')} || ')'"
+
+
+@query(
+    _sql(
+        f"SELECT id, {_TOPOLOGY_SQL} AS topology_support, 'logFC=' || ({_short('logFC', 4)}) || '; |logFC| rank ' || abs_logFC_rank || ' (' || {_level('abs_logFC')} || '); p=' || ({_short('pvalue', 4)}) || '; -log10(p) rank ' || statistical_rank || ' (' || {_level('neg_log10_pvalue')} || ')' AS expression_support, "
+        f"'Composite rank ' || candidate_rank || ' combines normalized degree=' || {_COMPONENT_TEXTS[0]} || ', betweenness=' || {_COMPONENT_TEXTS[1]} || ', log-stress=' || {_COMPONENT_TEXTS[2]} || ', |logFC|=' || {_COMPONENT_TEXTS[3]} || ' and statistical evidence=' || {_COMPONENT_TEXTS[4]} "
+        "|| '. Module context: ' || CASE WHEN module % 5 = 0 THEN 'unresolved' ELSE 'nation ' || module END || '. Eligibility: ' || eligibility || '.' AS matrix_rationale FROM candidates",
+        "candidates",
+    )
+)
+def node_texts(t: Tables) -> DataFrame:
+    """Components are rounded first, as the engines' logarithms differ in their last bits."""
+    rows = _candidates(t).withColumns({c: F.round(c, 9) for c in score.COMPONENTS})
+    return texts.node_texts(rows, F.when(F.col("module") % 5 > 0, F.concat(F.lit("nation "), F.col("module").cast("string")))).select("id", "topology_support", "expression_support", "matrix_rationale")
+
+
+@query(
+    _sql(
+        f"SELECT id, 'Topology support ' || su || ' of 3; best rank ' || least(degree_rank, betweenness_rank, stress_rank) || '; ' || topo || '.' AS hub_rationale "
+        f"FROM (SELECT *, CAST(degree_rank <= 10 AS INTEGER) + CAST(betweenness_rank <= 10 AS INTEGER) + CAST(stress_rank <= 10 AS INTEGER) AS su, {_TOPOLOGY_SQL} AS topo FROM candidates) WHERE su > 0",
+        "candidates",
+    )
+)
+def hub_texts(t: Tables) -> DataFrame:
+    return texts.hub_texts(report.hubs(texts.node_texts(_candidates(t), F.lit(None).cast("string")))).select("id", "hub_rationale")
+
+
 # ---------------------------------------------------------------- network
 
 _FAR = "(SELECT s, count(*) FILTER (d > 0) / nullif(sum(d), 0) AS c, sum(1.0 / nullif(d, 0)) AS h FROM sp GROUP BY 1)"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import petrel
 from petrel.functions import columns as C
 from petrel.operators import canonical, enrich, evidence, graph, louvain, mapping, paths, provenance, report, score
+from petrel.operators import texts as row_texts
 from petrel.operators.checkpoints import checkpointed
 from petrel.plans import sheets as forms
 from petrel.sources import contract, labels, rules, sinks
@@ -179,6 +180,9 @@ def run(genes: DataFrame, res: Resources, cfg: Config = Config(), approved: Data
     evidence.require_passed(canonical.graph_checks(attributes), "graph attributes")
     texts = enrich.collapsed(found, "module").select(F.col("module").alias("community"), "top_raw_terms", "top_interpretable_terms", "best_interpretable_fdr")
     readable = report.readable_modules(report.module_summary(nodes), texts)
+    told = decided.select(F.col("module").alias("community"), F.col("primary_interpretation").alias("interpretation"), "confidence")
+    readable = row_texts.module_texts(readable.join(told, "community", "left")).drop("interpretation", "confidence")
+    t["Row texts"] = row_texts.node_texts(full, F.col("biological_context")).select("id", "gene", "candidate_rank", "topology_support", "expression_support", "matrix_rationale")
     by_kind = {"Module": F.col("query_name").startswith("module_"), "Network": F.col("query_name") == "all_nodes", "Candidate": F.col("query_name") == "top_candidates"}
     if "Enrichment" in t:
         for kind, mine in by_kind.items():

@@ -106,6 +106,9 @@ def test_publication(result, tmp_path):
     folder = engine.publish(result, str(tmp_path), "case1")
     assert not sinks.tampered(folder, f"{folder}/checksums.sha256")
     nodes, edges = sinks.read_graphml(f"{folder}/network.graphml")
+    said = {r["candidate_rank"]: r for r in result.tables["Row texts"].collect()}
+    assert len(said) == 12 and said[1]["matrix_rationale"].startswith("Composite rank 1 combines normalized degree=") and said[1]["topology_support"].startswith("degree rank ")
+    assert all(r["module_rationale"].startswith("Interpretation: ") for r in result.tables["Readable modules"].collect())
     assert len(nodes) == 12 and len(edges) == 31 and float(nodes[IDS[5]]["pvalue"]) == 1e-8
     with zipfile.ZipFile(f"{folder}/technical.xlsx") as z:
         assert z.testzip() is None

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from petrel.functions import columns as C
 from petrel.functions import quantiles, stats
-from petrel.operators import diff, enrich, evidence, mapping, score
+from petrel.operators import diff, enrich, evidence, mapping, score, texts
 from petrel.sources import contract, sinks
 
 
@@ -250,3 +250,16 @@ def test_pattern_gates(spark):
     closed = F.exists(evidence.gates(F.lower("p")), lambda x: F.contains(F.lower("t"), x))
     assert df.where(F.rlike(F.lower("t"), F.lower("p")) & ~closed).count() == 0
     assert df.where(closed).count() < df.count()
+
+
+def test_numbers_as_short_texts(spark):
+    given = [0.00012346, 0.000012346, 100000.0, 123456.0, 0.5, 1e-300, 5e-324, -2.5, 0.0, 1.0, 12345.6, 0.15625, 3e22, -0.00099996, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(x,) for x in given], "x double")
+    got = [tuple(r) for r in df.select(texts.number(F.col("x"), 4), texts.number(F.col("x"), 4, scientific=False, missing="none")).collect()]
+    assert [g[0] for g in got] == ["0.0001235", "1.235e-05", "1e+05", "123500", "0.5", "1e-300", "4.9e-324", "-2.5", "0", "1", "12350", "0.1562", "3e+22", "-0.001", "NA", "NA", "NA"]
+    assert [g[1] for g in got[1:4]] == ["0.00001235", "100000", "123500"] and [g[1] for g in got[-3:]] == ["none"] * 3
+    row = spark.createDataFrame([(1, None, " ", 0.25)], "a int, b string, c string, d double")
+    assert row.select(texts.filled("{a}: {b}, {c}, {d:2}.", {"c": "nothing"})).first()[0] == "1: NA, nothing, 0.25."
+    modules = spark.createDataFrame([(7, None, None, "mixed_or_not_available", "x" * 2000, "A;B")], "module_size int, interpretation string, confidence string, dominant_expression_direction string, database_evidence_summary string, top_genes_by_candidate_score string")
+    text = texts.module_texts(modules).first()["module_rationale"]
+    assert text.startswith("Interpretation: unresolved with confidence not_available. Size: 7.") and len(text) == 1800 and text.endswith("...")
