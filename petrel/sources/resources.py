@@ -32,6 +32,8 @@ SCHEMAS = {
     "enrichment_terms": "id string, category string, term string, description string",
 }
 SPECIES, VERSION = 9606, "12.0"
+#: Where the resources' provider offers them.
+DOWNLOADS = "https://stringdb-downloads.org/download"
 
 
 class ResourceError(ValueError):
@@ -108,14 +110,20 @@ def to_parquet(df: DataFrame, path: str, sort: str | None = None) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def manifest(spark: SparkSession, cache: str) -> DataFrame:
-    """(role, filename, path, exists, size, valid) of the four resources."""
+def url(role: str, species: int = SPECIES, version: str = VERSION, base: str = DOWNLOADS) -> str:
+    """The address of a role's packed file."""
+    return f"{base}/{FILES[role]}.v{version}/{filename(role, species, version)}"
+
+
+def manifest(spark: SparkSession, cache: str, species: int = SPECIES, version: str = VERSION, base: str = DOWNLOADS) -> DataFrame:
+    """(role, filename, path, exists, size, valid, species, version, url) of the four resources; another species or version raises."""
     rows = []
     for role in FILES:
+        address = url(role, species, version, base)
         path = find(cache, role) or candidates(cache, role)[0]
         exists = os.path.isfile(path)
-        rows.append((role, os.path.basename(path), path, exists, os.path.getsize(path) if exists else None, valid(path, role)))
-    return spark.createDataFrame(rows, "role string, filename string, path string, exists boolean, size long, valid boolean")
+        rows.append((role, os.path.basename(path), path, exists, os.path.getsize(path) if exists else None, valid(path, role), species, version, address))
+    return spark.createDataFrame(rows, "role string, filename string, path string, exists boolean, size long, valid boolean, species int, version string, url string")
 
 
 def offline(role: str, target: str) -> None:

@@ -158,6 +158,10 @@ def test_resources_fail_closed(cache, tmp_path, spark):
     assert not resources.valid(str(cut), "enrichment_terms", complete=True)
     assert not resources.valid(path, "protein_links")
     assert {r["valid"] for r in resources.manifest(spark, cache).collect()} == {True}
+    listed = {r["role"]: (r["species"], r["version"], r["url"]) for r in resources.manifest(spark, cache, base="https://mirror.example").collect()}
+    assert listed["protein_links"] == (9606, "12.0", "https://mirror.example/protein.links.v12.0/9606.protein.links.v12.0.txt.gz")
+    with pytest.raises(resources.ResourceError):
+        resources.manifest(spark, cache, species=10090)
     with pytest.raises(resources.ResourceError):
         resources.ensure(str(tmp_path), ["protein_links"])
     fetched = resources.ensure(str(tmp_path / "new"), ["enrichment_terms"], lambda role, target: os.link(path, target) if not os.path.exists(target) else open(target, "wb").write(open(path, "rb").read()))
