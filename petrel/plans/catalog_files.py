@@ -143,7 +143,10 @@ def _case_files(t: Tables) -> str:
     return folder
 
 
-_CASE = F.regexp_extract("file", "case=([^/]*)/", 1).alias("case")
+def _case() -> Column:
+    return F.regexp_extract("file", "case=([^/]*)/", 1).alias("case")
+
+
 _CASES = (
     "WITH o AS (SELECT l_linenumber AS n, l_returnflag AS f, l_orderkey AS k, min(l_discount) AS d, min(l_quantity) AS q FROM lineitem GROUP BY ALL), "
     "g AS (SELECT 'L' || n || f AS c, n, row_number() OVER (PARTITION BY n, f ORDER BY k) AS i, k, CASE n WHEN 1 THEN 'G' || k % 100 ELSE 'G' || k END AS gene, q - 25 AS fc, CASE n WHEN 2 THEN d * 20 ELSE d END AS p, n = 3 AND q = 50 AS bad FROM o), "
@@ -158,7 +161,7 @@ _CASES = (
 def gene_tables(t: Tables) -> DataFrame:
     """All case files in one scan; those without raw p-values have no rows."""
     rows = tables.read_tables(t.spark, [_case_files(t)])
-    return rows.groupBy(_CASE).agg(
+    return rows.groupBy(_case()).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct(F.upper("gene")).alias("genes"), F.sum(F.coalesce("logFC", F.lit(0.0))).alias("fc"), F.count_if(F.col("logFC").isNull()).alias("no_number"),
         F.round(F.sum("pvalue"), 6).alias("p"), F.sum("input_row").alias("lines"), F.max("input_row").cast("long").alias("last_line"),
     )
@@ -174,7 +177,7 @@ def gene_tables(t: Tables) -> DataFrame:
 )
 def gene_table_verdicts(t: Tables) -> DataFrame:
     """Every case file's first broken rule and the rows that break it."""
-    return tables.verdicts(t.spark, [_case_files(t)]).select(_CASE, "rows", "fault")
+    return tables.verdicts(t.spark, [_case_files(t)]).select(_case(), "rows", "fault")
 
 
 # ---------------------------------------------------------------- association resources
