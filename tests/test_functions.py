@@ -148,6 +148,20 @@ def test_enrichment_counts_annotated_members_only(spark):
     assert ask("P1", "P11") == []
 
 
+@pytest.mark.parametrize("per_query", [False, True])
+def test_enrichment_broadcasts_single_rows_only(spark, per_query):
+    """Sides that grow with the input are never sent to the driver, however small a file's size makes them look; terms out of bounds have no row."""
+    terms = spark.range(15).selectExpr("concat('P', id % 12) AS id", "'c' AS category", "if(id < 12, 'many', 'few') AS term", "'d' AS description")
+    queries = spark.range(4).selectExpr("'q' AS query_name", "concat('P', id) AS id")
+    background = terms.select("id").distinct()
+    background = background.withColumn("query_name", F.lit("q")) if per_query else background
+    out = enrich.enriched(terms, queries, background, most_term=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    (r,) = out.collect()
+    assert (r["term"], r["number_of_genes"], r["query_size"], r["background_size"], r["protein_ids"]) == ("few", 3, 4, 12, "P0;P1;P2")
+
+
 def test_candidate_score(spark):
     rows = [(1, 1.0, 0.1, 0.0, 0.5, 1.0), (2, 2.0, 0.2, 3.0, 1.0, 2.0), (3, 4.0, 0.5, 8.0, 2.0, 4.0)]
     df = spark.createDataFrame(rows, "id int, degree double, betweenness double, stress_centrality double, abs_logFC double, neg_log10_pvalue double")
