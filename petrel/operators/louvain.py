@@ -80,15 +80,35 @@ def _moved(offered: DataFrame, alone: bool) -> DataFrame:
     return offered.select("id", "k", "loop", "c").join(going.select("id", "target"), "id", "left").select("id", "k", "loop", F.coalesce("target", "c").alias("c"))
 
 
+def _start(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The weighted steps of the first level and its nodes (id, k, loop)."""
+    step = written(graph.endpoints(edges).select(F.col("id").alias("a"), F.col("other").alias("b"), F.lit(1).cast("long").alias("w")))
+    strength = step.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k"))
+    return step, vertices.join(strength, "id", "left").select("id", F.coalesce("k", F.lit(0)).cast("long").alias("k"), F.lit(0).cast("long").alias("loop"))
+
+
+def first_rounds(vertices: DataFrame, edges: DataFrame, rounds: int) -> list[DataFrame]:
+    """The states (id, c) before and after each of the first rounds of moves made together, whether or not they gain.
+
+    ``communities`` takes back a round that loses and ends a level that gains no more; here every round counts, and
+    one in which nothing moves leaves its state as it was.
+    """
+    step, node = _start(vertices, edges)
+    m, state = edges.count(), node.withColumn("c", F.col("id"))
+    states = [state.select("id", "c")]
+    for _ in range(rounds):
+        state = written(_moved(_proposals(step, state, m), alone=False))
+        states.append(state.select("id", "c"))
+    return states
+
+
 def communities(vertices: DataFrame, edges: DataFrame, least_gain: float = LEAST_GAIN, most_rounds: int | None = None) -> Found:
     """Labels of all vertices; ``most_rounds`` ends the first level, and so the search, after as many rounds."""
     m = edges.count()
     found = Found(vertices.select("id", F.col("id").alias("c")))
     if not m:
         return found
-    step = written(graph.endpoints(edges).select(F.col("id").alias("a"), F.col("other").alias("b"), F.lit(1).cast("long").alias("w")))
-    strength = step.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k"))
-    node = vertices.join(strength, "id", "left").select("id", F.coalesce("k", F.lit(0)).cast("long").alias("k"), F.lit(0).cast("long").alias("loop"))
+    step, node = _start(vertices, edges)
     level = 0
     while True:
         offered = written(_proposals(step, node.withColumn("c", F.col("id")), m))
