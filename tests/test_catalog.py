@@ -6,7 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from petrel.operators import louvain
+from petrel.operators import graph, louvain
+from petrel.operators import paths as path_measures
 from petrel.plans import catalog
 
 
@@ -40,3 +41,21 @@ def test_first_rounds_follow_the_search_while_it_gains(spark):
     assert [r[2] for r in search.rounds] == ["none", "together", "together"]
     for a, b in zip(search.states, louvain.first_rounds(v, e, 2), strict=True):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_paths_of_more_vertices_than_one_block_was_allowed(spark):
+    v = spark.range(20_001)
+    e = spark.createDataFrame([(0, 1), (1, 2), (20_000, 3)], "src long, dst long").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+    paths = graph.shortest_paths(v, e)
+    assert paths.groupBy("d").count().orderBy("d").collect() == [(0, 20_001), (1, 6), (2, 2)]
+
+
+@pytest.mark.parametrize("rows", [1, 60, 10**6])
+def test_blocks_take_each_source_once(spark, rows):
+    """Ten paths of three vertices: a source meets its own component's four edge ends, so 120 rows, not 30 times 40."""
+    v, e = spark.range(31), spark.range(10).selectExpr("explode(array(struct(3 * id AS src, 3 * id + 1 AS dst), struct(3 * id + 1 AS src, 3 * id + 2 AS dst))) AS e").select("e.*")
+    assert path_measures.needed(v, e, rows) == {1: 31, 60: 2, 10**6: 1}[rows]
+    got = path_measures.all_pairs(v, e, rows)
+    assert sorted(map(tuple, got.groupBy("d").count().collect())) == [(0, 31), (1, 40), (2, 20)] and got.select("s", "t").distinct().count() == 91
+    far = {r["id"]: (r["reached"], r["total"], r["eccentricity"]) for r in path_measures.reached(v, e, rows).collect()}
+    assert far == {i: (2, 2, 1) if i % 3 == 1 else (2, 3, 2) for i in range(30)}
