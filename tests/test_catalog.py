@@ -6,9 +6,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from petrel.functions.shape import dealt
 from petrel.operators import graph, louvain
 from petrel.operators import paths as path_measures
 from petrel.plans import catalog
+from petrel.plans.fixtures import Tables
 
 
 def orders(spark, folder, n, pairs):
@@ -59,3 +61,14 @@ def test_blocks_take_each_source_once(spark, rows):
     assert sorted(map(tuple, got.groupBy("d").count().collect())) == [(0, 31), (1, 40), (2, 20)] and got.select("s", "t").distinct().count() == 91
     far = {r["id"]: (r["reached"], r["total"], r["eccentricity"]) for r in path_measures.reached(v, e, rows).collect()}
     assert far == {i: (2, 2, 1) if i % 3 == 1 else (2, 3, 2) for i in range(30)}
+
+
+def test_links_are_counted_in_tasks_of_bounded_size(spark, tmp_path):
+    lines = [(1, 5), (1, 3), (1, 5), (2, 3), (2, 5), (2, 9), (3, 9), (3, 3), (4, 7), (None, 3), (None, 5), (5, None), (5, 3)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    links = Tables(spark, str(tmp_path)).links()
+    assert sorted(map(tuple, links.collect())) == [(3, 5, 1000), (3, 9, 1000), (5, 9, 500)]
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "SortMergeJoin" not in plan
+    parts = dealt(spark.range(10_000), 10_000, "id", rows=500).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 1_000
