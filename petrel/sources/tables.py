@@ -2,7 +2,8 @@
 
 Files are split where Spark splits them, so neither a large file nor a thousand small ones are a task of their own.
 The text is read once and its lines become a Parquet table in the shared folder: a second scan could be split elsewhere,
-as splits depend on the cores at hand, and lines are numbered by split. Blocks and headers are small tables beside it.
+as splits depend on the cores at hand, and lines are numbered by split. Records are another such table; blocks and headers
+are small ones beside them.
 The jobs are as many for a thousand files as for one.
 """
 
@@ -109,7 +110,8 @@ def _parts(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame,
     few = len(lines.inputFiles()) <= BROADCAST_FILES
     lines = written(lines)
     starts = written(blocks(lines))
-    found = records(lines, starts)
+    # headers, their lines and the rows are read from records that are put together once
+    found = written(records(lines, starts))
     heads = written(headers(found))
     at = heads.where("fault IS NULL")
     body = found.join(F.broadcast(at) if few else at, "file").where("input_row > header_row").withColumn("v", fields(F.col("record"), F.col("sep")))

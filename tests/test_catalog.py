@@ -11,6 +11,7 @@ from petrel.operators import graph, louvain
 from petrel.operators import paths as path_measures
 from petrel.plans import catalog
 from petrel.plans.fixtures import Tables
+from petrel.sources import tables
 
 
 def orders(spark, folder, n, pairs):
@@ -72,3 +73,11 @@ def test_links_are_counted_in_tasks_of_bounded_size(spark, tmp_path):
     assert "REPARTITION_BY_NUM" in plan and "SortMergeJoin" not in plan
     parts = dealt(spark.range(10_000), 10_000, "id", rows=500).groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == 20 and max(r["count"] for r in parts) < 1_000
+
+
+def test_records_of_many_tables_are_put_together_once(spark, tmp_path):
+    """Quoted line ends need sorted windows: neither headers nor rows compute them anew."""
+    (tmp_path / "a.csv").write_text('gene,logFC,pvalue,note\nA,1,0.5,"x\ny"\nB,2,0.25,z\n')
+    rows = tables.read_tables(spark, [str(tmp_path)])
+    assert "Window" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["input_row"], r["gene"], r["logFC"]) for r in rows.collect()) == [(1, "A", 1.0), (3, "B", 2.0)]
