@@ -59,6 +59,22 @@ def test_levels_double_until_nothing_survives(spark):
     assert got == {1: 104, 2: 104, 3: 0, 4: 13, 5: 832, 6: 832, 7: 832}
 
 
+def test_every_place_is_looked_at_without_anchors(spark):
+    """A passage of a length beyond the first is found wherever its anchor lies."""
+    rng = random.Random(21)
+    rows, want = [], {}
+    for k in range(30):
+        n = rng.choice([20, 25, 26, 27, 40, 51, 52, 60])
+        passage = " ".join(f"k{k}w{rng.randrange(10**6)}" for _ in range(n))
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, f"{data.prose(rng, 9)} a{i} {passage} b{i} {data.prose(rng, 9)}"))
+            want[i] = 13 if n < 26 else 26 if n < 52 else 52
+    got = {r["doc_id"]: r["longest"] for r in substrings.deduplicated(frame(spark, rows), anchored=False).collect()}
+    assert got == want
+    anchored = {r["doc_id"]: r["longest"] for r in substrings.deduplicated(frame(spark, rows)).collect()}
+    assert all(anchored[i] <= want[i] for i in want) and anchored != want
+
+
 def test_removal_compares_words(spark):
     """Words, and arrangements of words, whose letters' sums agree are kept apart."""
     from tests.llm.test_common import thue_morse
