@@ -81,3 +81,19 @@ def test_records_of_many_tables_are_put_together_once(spark, tmp_path):
     rows = tables.read_tables(spark, [str(tmp_path)])
     assert "Window" not in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["input_row"], r["gene"], r["logFC"]) for r in rows.collect()) == [(1, "A", 1.0), (3, "B", 2.0)]
+
+
+def test_pairs_of_links_are_exchanged_once(spark, tmp_path):
+    """Edges read the pairs and their greatest count: both come from one exchange of pairs."""
+    folder = orders(spark, tmp_path, 6, [(0, 1), (0, 1), (1, 2), (3, 4)])
+    edges = Tables(spark, folder).edges()
+    assert sorted(map(tuple, edges.collect())) == [(0, 1)]
+    plan = edges._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("partial_collect_set") == 1 and plan.count("ReusedExchange") == 1
+
+
+def test_edges_are_derived_once_for_a_query_that_reads_them_again(spark, tmp_path):
+    t = Tables(spark, orders(spark, tmp_path, 6, [(0, 1), (1, 2)]))
+    v, e = t.graph()
+    assert e.sameSemantics(t.edges()) and "collect_set" not in graph.degrees(v, t.edges())._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, t.edges().collect())) == [(0, 1), (1, 2)]
