@@ -97,3 +97,9 @@ def test_edges_are_derived_once_for_a_query_that_reads_them_again(spark, tmp_pat
     v, e = t.graph()
     assert e.sameSemantics(t.edges()) and "collect_set" not in graph.degrees(v, t.edges())._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, t.edges().collect())) == [(0, 1), (1, 2)]
+
+
+def test_edges_are_read_back_from_a_table_of_their_size(spark, tmp_path):
+    """Searches read the edges in every round: a table is read in few tasks, a checkpoint in as many as derived it."""
+    _, e = Tables(spark, orders(spark, tmp_path, 6, [(0, 1), (1, 2)])).graph()
+    assert e.inputFiles() and sorted(map(tuple, e.collect())) == [(0, 1), (1, 2)]
