@@ -103,3 +103,11 @@ def test_edges_are_read_back_from_a_table_of_their_size(spark, tmp_path):
     """Searches read the edges in every round: a table is read in few tasks, a checkpoint in as many as derived it."""
     _, e = Tables(spark, orders(spark, tmp_path, 6, [(0, 1), (1, 2)])).graph()
     assert e.inputFiles() and sorted(map(tuple, e.collect())) == [(0, 1), (1, 2)]
+
+
+def test_components_search_derived_edges(spark, tmp_path, monkeypatch):
+    """The search filters loops, so edges that are not derived yet would have their pairs exchanged twice."""
+    seen = []
+    monkeypatch.setattr(graph, "components", lambda v, e: seen.append(e) or v)
+    catalog.queries()["connected_components"](spark, orders(spark, tmp_path, 6, [(0, 1), (1, 2)]))
+    assert len(seen) == 1 and "collect_set" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
