@@ -75,6 +75,13 @@ def test_links_are_counted_in_tasks_of_bounded_size(spark, tmp_path):
     assert len(parts) == 20 and max(r["count"] for r in parts) < 1_000
 
 
+def test_rows_are_dealt_without_sorting_a_split_up_to_twice_the_threshold(spark):
+    """Beyond 200 partitions a task that deals holds its whole split; two million rows in a task hold less."""
+    parts = lambda rows: dealt(spark.range(10_000), 10_000, "id", rows=rows).rdd.getNumPartitions()
+    assert [parts(n) for n in (50, 46, 25, 24)] == [200, 200, 200, 417]
+    assert dealt(spark.range(10_000), 10_000, "id", rows=46).distinct().count() == 10_000
+
+
 def test_records_of_many_tables_are_put_together_once(spark, tmp_path):
     """Quoted line ends need sorted windows: neither headers nor rows compute them anew."""
     (tmp_path / "a.csv").write_text('gene,logFC,pvalue,note\nA,1,0.5,"x\ny"\nB,2,0.25,z\n')
