@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from petrel.functions.shape import dealt
-from petrel.operators import graph, louvain
+from petrel.operators import graph, louvain, report
 from petrel.operators import paths as path_measures
 from petrel.plans import catalog
 from petrel.plans.fixtures import Tables
@@ -118,3 +118,30 @@ def test_components_search_derived_edges(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(graph, "components", lambda v, e: seen.append(e) or v)
     catalog.queries()["connected_components"](spark, orders(spark, tmp_path, 6, [(0, 1), (1, 2)]))
     assert len(seen) == 1 and "collect_set" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def named(spark, folder, n, pairs):
+    """The same with all columns that genes and their names are made of."""
+    rows = [(k, s, "RAN"[s % 3]) for k, pair in enumerate(pairs) for s in pair]
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(n).selectExpr("id AS s_suppkey", "concat('Supplier#', lpad(cast(id AS string), 9, '0')) AS s_name", "cast(id % 4 AS int) AS s_nationkey").write.parquet(f"{folder}/supplier.parquet")
+    return str(folder)
+
+
+#: A path deeper than the nine levels of the SQL of paths, a pair, and one more vertex.
+DEEP = [*((i, i + 1) for i in range(11)), (12, 13)]
+
+
+def test_executive_rows_count_the_networks_components(spark, tmp_path):
+    folder = named(spark, tmp_path, 15, DEEP)
+    got = sorted(tuple(r) for r in catalog.queries()["executive_rows"](spark, folder).collect())
+    assert got == by_sql(folder, "executive_rows")
+    assert [r[2] for r in got[4:9]] == ["15", "12", "3", "12", "0.8"]
+
+
+def test_summary_leaves_out_modules_in_conflict_and_writes_plain_numbers(spark):
+    metrics = spark.createDataFrame([("nodes", 120000.0), ("edges", 1e7), ("components", 40000.0), ("largest_component_nodes", 60.0), ("largest_component_fraction", 0.0005), ("density", float("nan"))], "metric string, value double")
+    decided = spark.createDataFrame([("biological", True, False), ("biological", True, None), ("biological", True, True), ("mixed_biological", False, True)], "interpretation_class string, priority_eligible boolean, conflict_detected boolean")
+    got = {r["item"]: r["value"] for r in report.summary_rows(spark.createDataFrame([("input_rows", "9")], "metric string, value string"), metrics, decided, spark.range(2), "x").collect()}
+    assert [got[k] for k in ("network_nodes", "network_edges", "connected_components", "largest_component_nodes", "largest_component_fraction")] == ["120000", "10000000", "40000", "60", "0.0005"]
+    assert [got[k] for k in ("input_rows", "louvain_modules", "priority_eligible_modules", "mixed_biological_modules", "final_priority_candidates", "run_configuration")] == ["9", "4", "2", "1", "2", "x"]
