@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +147,20 @@ def test_summary_leaves_out_modules_in_conflict_and_writes_plain_numbers(spark):
     got = {r["item"]: r["value"] for r in report.summary_rows(spark.createDataFrame([("input_rows", "9")], "metric string, value string"), metrics, decided, spark.range(2), "x").collect()}
     assert [got[k] for k in ("network_nodes", "network_edges", "connected_components", "largest_component_nodes", "largest_component_fraction")] == ["120000", "10000000", "40000", "60", "0.0005"]
     assert [got[k] for k in ("input_rows", "louvain_modules", "priority_eligible_modules", "mixed_biological_modules", "final_priority_candidates", "run_configuration")] == ["9", "4", "2", "1", "2", "x"]
+
+
+@pytest.mark.parametrize("n, pairs", [(15, DEEP), (2, [(0, 1)])], ids=["deep", "no pairs to lie between"])
+def test_node_metrics_have_paths_and_scores(spark, tmp_path, n, pairs):
+    folder = named(spark, tmp_path, n, pairs)
+    df = catalog.queries()["node_metrics"](spark, folder)
+    rows = sorted(df.collect())
+    assert len(df.columns) == 16 and [tuple(r) for r in rows] == by_sql(folder, "node_metrics")
+    if n == 2:
+        assert [(r["betweenness"], r["stress_centrality"], r["candidate_score"]) for r in rows] == [(None, 0, None)] * 2
+        return
+    between = [i * (11 - i) if i < 12 else 0 for i in range(n)]
+    assert [r["stress_centrality"] for r in rows] == between and [r["betweenness"] for r in rows] == [b / 91 for b in between]
+    assert {r["component"] for r in rows[:12]} == {0} and rows[0]["closeness"] == pytest.approx(1 / 6)
+    level = lambda xs: [(x - min(xs)) / (max(xs) - min(xs)) for x in xs]
+    parts = [level([f(r) for r in rows]) for f in (lambda r: r["degree"], lambda r: r["betweenness"], lambda r: math.log1p(r["stress_centrality"]), lambda r: r["abs_logFC"], lambda r: -math.log10(r["pvalue"]))]
+    assert [r["candidate_score"] for r in rows] == [pytest.approx(((d + b + s) / 3 + e + p) / 3, abs=1e-9) for d, b, s, e, p in zip(*parts, strict=True)]
